@@ -12,7 +12,7 @@ from riskspark import config
 __all__ = [
     "col_of", "lenient_double", "finite_or_null", "entity_key", "device_type_code",
     "proxy_flag", "hour_of_day", "day_bucket", "clip", "decide", "drift_band",
-    "epoch_seconds", "hash_unit", "hash_key", "round6", "as_flag",
+    "epoch_seconds", "hash_unit", "hash_key", "round6", "as_flag", "np_round",
 ]
 
 
@@ -33,8 +33,7 @@ def finite_or_null(c) -> Column:
 
 def lenient_double(c) -> Column:
     """Unparsable -> NULL (``try_cast``), then non-finite -> NULL."""
-    return finite_or_null(F.try_cast(col_of(c), "double") if hasattr(F, "try_cast")
-                          else F.expr(f"try_cast({c} as double)"))
+    return finite_or_null(col_of(c).try_cast("double"))
 
 
 def entity_key(card, addr) -> Column:
@@ -124,3 +123,11 @@ def hash_unit(seed, key) -> Column:
 
 def round6(c) -> Column:
     return F.round(col_of(c).cast("double"), 6)
+
+
+def np_round(c, digits: int) -> Column:
+    """Numpy rounding -- scale, round half to even, unscale (so
+    ``np_round(.12345, 4) = .1234``).  DuckDB twin:
+    ``round_even(x * 10^d, 0) / 10^d``."""
+    f = float(10 ** digits)
+    return F.rint(col_of(c) * F.lit(f)) / F.lit(f)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskspark import config
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
+from riskspark.functions.scalar import np_round
 from riskspark.operators.ranks import running_totals
 
 
@@ -55,7 +56,7 @@ def average_precision(c: DataFrame, model: str = "model") -> DataFrame:
 def score_table(c: DataFrame, model: str = "model") -> DataFrame:
     """ROC-AUC and average precision per model, 4 decimals."""
     t = roc_auc(c, model).join(average_precision(c, model), model)
-    return t.select(model, F.round("roc_auc", 4).alias("roc_auc"), F.round("pr_auc", 4).alias("pr_auc"))
+    return t.select(model, np_round("roc_auc", 4).alias("roc_auc"), np_round("pr_auc", 4).alias("pr_auc"))
 
 
 def _prf(tp: Column, fp: Column, P: Column) -> tuple[Column, Column, Column]:
@@ -79,17 +80,17 @@ def threshold_sweep(scores: DataFrame, thresholds=config.SWEEP_THRESHOLDS, *, mo
                               (F.col(f"pp{i}") - F.col(f"tp{i}")).alias("fp")) for i, t in enumerate(thresholds)])
     long = a.select(model, "P", (F.col("_n") - F.col("P")).alias("N"), F.inline(rows))
     prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("P"))
-    return long.select(model, "threshold", F.round(prec, digits).alias("precision"),
-                       F.round(rec, digits).alias("recall"), F.round(f1, digits).alias("f1"),
-                       F.round(_div0(F.col("fp"), F.col("N")), digits).alias("fpr"))
+    return long.select(model, "threshold", np_round(prec, digits).alias("precision"),
+                       np_round(rec, digits).alias("recall"), np_round(f1, digits).alias("f1"),
+                       np_round(_div0(F.col("fp"), F.col("N")), digits).alias("fpr"))
 
 
 def _operating_point(c: DataFrame, chosen: DataFrame, model: str) -> DataFrame:
     """Metrics and confusion matrix at a chosen threshold per model."""
     j = c.join(chosen, [model, "threshold"])
     prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("P"))
-    return j.select(model, F.round("threshold", 4).alias("threshold"), F.round(prec, 4).alias("precision"),
-                    F.round(rec, 4).alias("recall"), F.round(f1, 4).alias("f1"),
+    return j.select(model, np_round("threshold", 4).alias("threshold"), np_round(prec, 4).alias("precision"),
+                    np_round(rec, 4).alias("recall"), np_round(f1, 4).alias("f1"),
                     (F.col("N") - F.col("fp")).alias("tn"), F.col("fp"), (F.col("P") - F.col("tp")).alias("fn"),
                     F.col("tp"))
 
