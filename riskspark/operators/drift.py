@@ -39,12 +39,12 @@ def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
         F.sum(1 - F.col("side")).alias("r"), F.sum(F.col("side")).alias("c"))
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_nb") - 1, F.lit(0)))).alias("bin"))
     full = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["r", "c"])
-    tot = full.groupBy("feature").agg(F.sum("r").alias("R"), F.sum("c").alias("C"))
+    tot = full.groupBy("feature").agg(F.sum("r").alias("r_tot"), F.sum("c").alias("c_tot"))
     full = full.join(tot, "feature")
-    rp = F.col("r") / F.col("R") + config.PSI_EPS
-    cp = F.col("c") / F.col("C") + config.PSI_EPS
-    psi = (full.groupBy("feature").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("_psi"), F.first("R").alias("n_ref"),
-                                       F.first("C").alias("n_cur")))
+    rp = F.col("r") / F.col("r_tot") + config.PSI_EPS
+    cp = F.col("c") / F.col("c_tot") + config.PSI_EPS
+    psi = (full.groupBy("feature").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("_psi"),
+                                       F.first("r_tot").alias("n_ref"), F.first("c_tot").alias("n_cur")))
     return (psi.join(edges.select("feature", "_nb"), "feature").join(nulls, "feature", "left")
             .select("feature", F.when(F.col("_nb") < 2, F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"),
                     "n_ref", "n_cur", "n_null"))

@@ -34,23 +34,24 @@ def curve(scores: DataFrame, *, model: str = "model", label: str = "label", scor
     tp = F.col("tot_p") - F.col("cum_p") + F.col("p")
     fp = F.col("tot_n") - F.col("cum_n") + F.col("n")
     out = rt.select(model, F.col(score).alias("threshold"), "p", "n", tp.alias("tp"), fp.alias("fp"),
-                    F.col("tot_p").alias("P"), F.col("tot_n").alias("N"),
+                    F.col("tot_p").alias("pos_total"), F.col("tot_n").alias("neg_total"),
                     (F.col("tot_p") - F.col("cum_p")).alias("tp_above"))
     return (out.withColumn("precision", _div0(F.col("tp"), F.col("tp") + F.col("fp")))
-            .withColumn("recall", F.when(F.col("P") == 0, F.lit(1.0)).otherwise(F.col("tp") / F.col("P")))
+            .withColumn("recall", F.when(F.col("pos_total") == 0, F.lit(1.0))
+                        .otherwise(F.col("tp") / F.col("pos_total")))
             .withColumn("tpr", F.col("recall"))
-            .withColumn("fpr", _div0(F.col("fp"), F.col("N"))))
+            .withColumn("fpr", _div0(F.col("fp"), F.col("neg_total"))))
 
 
 def roc_auc(c: DataFrame, model: str = "model") -> DataFrame:
     """Pairs ranked right, ties count half."""
     num = F.sum(F.col("n") * (F.col("tp_above") + F.col("p") / 2.0))
-    return c.groupBy(model).agg((num / (F.first("P") * F.first("N"))).alias("roc_auc"))
+    return c.groupBy(model).agg((num / (F.first("pos_total") * F.first("neg_total"))).alias("roc_auc"))
 
 
 def average_precision(c: DataFrame, model: str = "model") -> DataFrame:
     """Step sum over thresholds of (recall gain) x precision."""
-    return c.groupBy(model).agg((F.sum(F.col("p") * F.col("precision")) / F.first("P")).alias("pr_auc"))
+    return c.groupBy(model).agg((F.sum(F.col("p") * F.col("precision")) / F.first("pos_total")).alias("pr_auc"))
 
 
 def score_table(c: DataFrame, model: str = "model") -> DataFrame:
@@ -70,7 +71,7 @@ def threshold_sweep(scores: DataFrame, thresholds=config.SWEEP_THRESHOLDS, *, mo
                     label: str = "label", score: str = "score", digits: int = 4) -> DataFrame:
     """Precision / recall / F1 (and FPR) at ``score >= t`` for each t, in
     one aggregation pass."""
-    aggs = [F.sum(F.col(label).cast("long")).alias("P"), F.count(F.lit(1)).alias("_n")]
+    aggs = [F.sum(F.col(label).cast("long")).alias("pos_total"), F.count(F.lit(1)).alias("_n")]
     for i, t in enumerate(thresholds):
         hit = F.col(score) >= F.lit(float(t))
         aggs += [F.sum(F.when(hit, F.col(label)).otherwise(0)).cast("long").alias(f"tp{i}"),
@@ -78,20 +79,21 @@ def threshold_sweep(scores: DataFrame, thresholds=config.SWEEP_THRESHOLDS, *, mo
     a = scores.groupBy(model).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"),
                               (F.col(f"pp{i}") - F.col(f"tp{i}")).alias("fp")) for i, t in enumerate(thresholds)])
-    long = a.select(model, "P", (F.col("_n") - F.col("P")).alias("N"), F.inline(rows))
-    prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("P"))
+    long = a.select(model, "pos_total", (F.col("_n") - F.col("pos_total")).alias("neg_total"), F.inline(rows))
+    prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("pos_total"))
     return long.select(model, "threshold", np_round(prec, digits).alias("precision"),
                        np_round(rec, digits).alias("recall"), np_round(f1, digits).alias("f1"),
-                       np_round(_div0(F.col("fp"), F.col("N")), digits).alias("fpr"))
+                       np_round(_div0(F.col("fp"), F.col("neg_total")), digits).alias("fpr"))
 
 
 def _operating_point(c: DataFrame, chosen: DataFrame, model: str) -> DataFrame:
     """Metrics and confusion matrix at a chosen threshold per model."""
     j = c.join(chosen, [model, "threshold"])
-    prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("P"))
+    prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("pos_total"))
     return j.select(model, np_round("threshold", 4).alias("threshold"), np_round(prec, 4).alias("precision"),
                     np_round(rec, 4).alias("recall"), np_round(f1, 4).alias("f1"),
-                    (F.col("N") - F.col("fp")).alias("tn"), F.col("fp"), (F.col("P") - F.col("tp")).alias("fn"),
+                    (F.col("neg_total") - F.col("fp")).alias("tn"), F.col("fp"),
+                    (F.col("pos_total") - F.col("tp")).alias("fn"),
                     F.col("tp"))
 
 
@@ -163,8 +165,8 @@ def metrics_long(c: DataFrame, scores: DataFrame, threshold: float = 0.5, model:
     """(model, metric, value) rows: AUCs plus the confusion rates at t."""
     st = score_table(c, model)
     cm = confusion(scores, threshold, model=model)
-    a = st.select(model, F.inline(F.array(F.struct(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value")),
-                                          F.struct(F.lit("pr_auc"), F.col("pr_auc")))))
+    a = st.select(model, F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                                            for m in ("roc_auc", "pr_auc")])))
     b = cm.select(model, F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
                                             for m in ("recall", "fpr", "fnr", "precision")])))
     return a.unionByName(b)
@@ -184,11 +186,11 @@ def evaluation_report(scores: DataFrame, *, model: str = "model", target: float
                                       F.sum("label").cast("double").alias("test_positives"))
     parts = [
         sizes.select(model, F.lit("sizes").alias("section"),
-                     F.inline(F.array(F.struct(F.lit("test_size").alias("key"), F.col("test_size").alias("value")),
-                                      F.struct(F.lit("test_positives"), F.col("test_positives"))))),
+                     F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value"))
+                                        for k in ("test_size", "test_positives")]))),
         score_table(c, model).select(model, F.lit("model_scores").alias("section"),
-                                     F.inline(F.array(F.struct(F.lit("roc_auc").alias("key"), F.col("roc_auc").alias("value")),
-                                                      F.struct(F.lit("pr_auc"), F.col("pr_auc"))))),
+                                     F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value"))
+                                                        for k in ("roc_auc", "pr_auc")]))),
     ]
     sw = threshold_sweep(scores, model=model)
     parts.append(sw.select(model, F.lit("threshold_sweep").alias("section"),
