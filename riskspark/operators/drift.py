@@ -4,7 +4,7 @@ two-sample KS statistic, for all features in one job over long
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark import config
@@ -23,30 +23,42 @@ def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
     outer edges opened to +-inf; bins are [a, b); shares get +1e-6;
     PSI = sum((c - r) * ln(c / r)).  A constant reference gives 0.
     """
+    spark = ref.sparkSession
     probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(ref, "value", probs, ["feature"], scale=scale)
-    edges = (q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("_u"))
-             .withColumn("_nb", F.size("_u") - 1)
-             .withColumn("_inner", F.when(F.col("_nb") >= 2, F.slice("_u", 2, F.greatest(F.col("_nb") - 1, F.lit(1))))
-                         .otherwise(F.array().cast("array<double>"))))
-    edges = F.broadcast(edges.select("feature", "_nb", "_inner"))  # features x (bins + 1)
+    q = exact_quantiles(ref, "value", probs, ["feature"], scale=scale).collect()  # features x (bins + 1)
+    uniq: dict = {}
+    for r in q:
+        uniq.setdefault(r["feature"], set()).add(r["q"])
+    edges = {f: sorted(u) for f, u in uniq.items()}
+    inner = {f: e[1:-1] if len(e) >= 3 else [] for f, e in edges.items()}
+    nbins = {f: len(e) - 1 for f, e in edges.items()}
+    if not edges:
+        return spark.createDataFrame([], "feature string, psi double, n_ref long, n_cur long, n_null long")
+    edge_map = F.create_map(*[x for f, e in inner.items()
+                              for x in (F.lit(f), F.array(*[F.lit(float(v)) for v in e]).cast("array<double>"))])
     sides = (ref.select("feature", "value", F.lit(0).alias("side"))
              .unionByName(cur.select("feature", "value", F.lit(1).alias("side"))))
-    nulls = sides.groupBy("feature").agg(F.sum(F.col("value").isNull().cast("int")).alias("n_null"))
-    binned = (sides.filter(F.col("value").isNotNull()).join(edges, "feature")
-              .withColumn("bin", F.size(F.filter("_inner", lambda e: F.col("value") >= e))))
+    # one pass over both sides: bin each value against its feature's edges
+    binned = sides.withColumn("bin", F.when(
+        F.col("value").isNotNull(), F.size(F.filter(F.element_at(edge_map, F.col("feature")),
+                                                    lambda e: F.col("value") >= e))))
     counts = binned.groupBy("feature", "bin").agg(
-        F.sum(1 - F.col("side")).alias("r"), F.sum(F.col("side")).alias("c"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_nb") - 1, F.lit(0)))).alias("bin"))
-    full = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["r", "c"])
-    tot = full.groupBy("feature").agg(F.sum("r").alias("r_tot"), F.sum("c").alias("c_tot"))
-    full = full.join(tot, "feature")
-    rp = F.col("r") / F.col("r_tot") + config.PSI_EPS
-    cp = F.col("c") / F.col("c_tot") + config.PSI_EPS
-    psi = (full.groupBy("feature").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("_psi"),
-                                       F.first("r_tot").alias("n_ref"), F.first("c_tot").alias("n_cur")))
-    return (psi.join(edges.select("feature", "_nb"), "feature").join(nulls, "feature", "left")
-            .select("feature", F.when(F.col("_nb") < 2, F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"),
+        F.sum(F.when(F.col("bin").isNotNull(), 1 - F.col("side")).otherwise(0)).alias("r"),
+        F.sum(F.when(F.col("bin").isNotNull(), F.col("side")).otherwise(0)).alias("c"),
+        F.sum(F.col("bin").isNull().cast("long")).alias("nn"))
+    grid = spark.createDataFrame([(f, b) for f, n in nbins.items() for b in range(max(n, 1))],
+                                 "feature string, bin int")
+    full = F.broadcast(grid).join(counts.filter(F.col("bin").isNotNull()), ["feature", "bin"], "left") \
+        .fillna(0, ["r", "c"])
+    w = Window.partitionBy("feature")  # over the bins of one feature (<= bins rows)
+    rp = F.col("r") / F.sum("r").over(w) + config.PSI_EPS
+    cp = F.col("c") / F.sum("c").over(w) + config.PSI_EPS
+    psi = full.select("feature", "r", "c", ((cp - rp) * F.log(cp / rp)).alias("_t")).groupBy("feature").agg(
+        F.sum("_t").alias("_psi"), F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+    nulls = counts.groupBy("feature").agg(F.sum("nn").alias("n_null"))
+    few = F.create_map(*[x for f, n in nbins.items() for x in (F.lit(f), F.lit(n < 2))])
+    return (psi.join(nulls, "feature", "left")
+            .select("feature", F.when(F.element_at(few, F.col("feature")), F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"),
                     "n_ref", "n_cur", "n_null"))
 
 

@@ -27,6 +27,7 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str, scale: ScaleConfig =
     """Left join a one-row-per-key table: broadcast when its counted size is
     within ``max_broadcast_rows``, otherwise a shuffle join (AQE splits
     skewed partitions)."""
+    table = cut_lineage(table)  # computed once; the count below is cheap
     n = table.count()
     side = F.broadcast(table) if n <= scale.max_broadcast_rows else table
     return df.join(side, key, "left")

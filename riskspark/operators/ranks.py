@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
+from riskspark.session import cut_lineage
 
 _GK = "_gk"
 
@@ -57,7 +58,7 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
     """
     spark = df.sparkSession
     bucket_on = bucket_on or order[0]
-    d = df.withColumn(_GK, _group_key(by))
+    d = cut_lineage(df.withColumn(_GK, _group_key(by)))  # sized once, read twice
     sizes = d.groupBy(_GK).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.filter(F.col("_n") > scale.rows_per_bucket).collect()  # <= N / rows_per_bucket rows
     order_cols = [F.col(c) for c in order]
@@ -101,28 +102,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     """Linear-interpolated quantiles (numpy / pandas / DuckDB ``quantile_cont``
     semantics), exact, nulls skipped.  Returns ``by..., p, q, n``.
 
-    Works on distinct values with counts, so a value repeated a billion
-    times is one row.
+    Works on distinct values with counts (a value repeated a billion times is
+    one row); one pass over the running totals finds both neighbours of every
+    target rank.
     """
     by = list(by or [])
     v = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     d = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    rt = running_totals(d, by, ["_v"], ["_c"], scale=scale).withColumn(_GK, _group_key(by))
-    groups = rt.groupBy(_GK, *by).agg(F.first("tot__c").alias("n"))
+    rt = running_totals(d, by, ["_v"], ["_c"], scale=scale)
     pa = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (groups.select(_GK, *by, "n", F.explode(pa).alias("p"))
-               .withColumn("_pos", (F.col("n") - 1) * F.col("p"))
-               .withColumn("_klo", F.floor("_pos"))
-               .withColumn("_khi", F.ceil("_pos"))
-               .withColumn("_frac", F.col("_pos") - F.col("_klo")))
-    t_small = F.broadcast(targets.select(_GK, "p", "_klo", "_khi"))  # groups x probs rows
-    hit = rt.select(_GK, "_v", "cum__c", "_c").join(t_small, _GK)
-    lo = hit.filter((F.col("cum__c") - F.col("_c") <= F.col("_klo")) & (F.col("_klo") < F.col("cum__c"))) \
-        .select(_GK, "p", F.col("_v").alias("_vlo"))
-    hi = hit.filter((F.col("cum__c") - F.col("_c") <= F.col("_khi")) & (F.col("_khi") < F.col("cum__c"))) \
-        .select(_GK, "p", F.col("_v").alias("_vhi"))
-    res = targets.join(lo, [_GK, "p"]).join(hi, [_GK, "p"])
-    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
+    x = (rt.select(*by, "_v", "_c", "cum__c", "tot__c", F.explode(pa).alias("p"))
+         .withColumn("_pos", (F.col("tot__c") - 1) * F.col("p")))
+    lo_k, hi_k = F.floor("_pos"), F.ceil("_pos")
+    start = F.col("cum__c") - F.col("_c")
+    has_lo = (start <= lo_k) & (lo_k < F.col("cum__c"))
+    has_hi = (start <= hi_k) & (hi_k < F.col("cum__c"))
+    hit = x.filter(has_lo | has_hi)  # at most two rows per (group, p)
+    res = hit.groupBy(*by, "p").agg(
+        F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"), F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
+        F.first("_pos").alias("_pos"), F.first("tot__c").alias("n"))
+    frac = F.col("_pos") - F.floor("_pos")
+    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
     return res.select(*by, "p", q.alias("q"), "n")
 
 
