@@ -51,8 +51,8 @@ def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
     full = F.broadcast(grid).join(counts.filter(F.col("bin").isNotNull()), ["feature", "bin"], "left") \
         .fillna(0, ["r", "c"])
     w = Window.partitionBy("feature")  # over the bins of one feature (<= bins rows)
-    rp = F.col("r") / F.sum("r").over(w) + config.PSI_EPS
-    cp = F.col("c") / F.sum("c").over(w) + config.PSI_EPS
+    rp = F.coalesce(F.try_divide(F.col("r"), F.sum("r").over(w)), F.lit(0.0)) + config.PSI_EPS
+    cp = F.coalesce(F.try_divide(F.col("c"), F.sum("c").over(w)), F.lit(0.0)) + config.PSI_EPS
     psi = full.select("feature", "r", "c", ((cp - rp) * F.log(cp / rp)).alias("_t")).groupBy("feature").agg(
         F.sum("_t").alias("_psi"), F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     nulls = counts.groupBy("feature").agg(F.sum("nn").alias("n_null"))
@@ -70,7 +70,7 @@ def ks_table(ref: DataFrame, cur: DataFrame, scale: ScaleConfig = DEFAULT_SCALE)
                           .select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("c"))))
     d = sides.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     rt = running_totals(d, ["feature"], ["value"], ["r", "c"], scale=scale)
-    gap = F.abs(F.col("cum_r") / F.col("tot_r") - F.col("cum_c") / F.col("tot_c"))
+    gap = F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))
     return rt.groupBy("feature").agg(F.max(gap).alias("ks"))
 
 

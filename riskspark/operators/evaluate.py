@@ -46,12 +46,12 @@ def curve(scores: DataFrame, *, model: str = "model", label: str = "label", scor
 def roc_auc(c: DataFrame, model: str = "model") -> DataFrame:
     """Pairs ranked right, ties count half."""
     num = F.sum(F.col("n") * (F.col("tp_above") + F.col("p") / 2.0))
-    return c.groupBy(model).agg((num / (F.first("pos_total") * F.first("neg_total"))).alias("roc_auc"))
+    return c.groupBy(model).agg(F.try_divide(num, F.first("pos_total") * F.first("neg_total")).alias("roc_auc"))
 
 
 def average_precision(c: DataFrame, model: str = "model") -> DataFrame:
     """Step sum over thresholds of (recall gain) x precision."""
-    return c.groupBy(model).agg((F.sum(F.col("p") * F.col("precision")) / F.first("pos_total")).alias("pr_auc"))
+    return c.groupBy(model).agg(F.try_divide(F.sum(F.col("p") * F.col("precision")), F.first("pos_total")).alias("pr_auc"))
 
 
 def score_table(c: DataFrame, model: str = "model") -> DataFrame:

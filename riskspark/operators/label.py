@@ -38,7 +38,7 @@ def session_anomaly(cols: list[str]):
         return F.lit(0)
     flags = []
     for c in cols:
-        z = (F.col(f"_v_{c}") - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}")
+        z = F.try_divide(F.col(f"_v_{c}") - F.col(f"_mu_{c}"), F.col(f"_sd_{c}"))
         flags.append((F.abs(z) > config.SESSION_Z) & (F.col(f"_cnt_{c}") >= config.SESSION_MIN_COUNT)
                      & (F.col(f"_sd_{c}") > 0) & F.col(f"_spread_{c}"))
     return as_flag(reduce(lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)), flags))

@@ -98,8 +98,8 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
         "n", "n_pos", (F.col("n") - F.col("n_pos")).alias("n_neg"),
         F.lit(1.0).alias("weight_neg"),
         F.least((F.col("n") - npos1) / npos1, F.lit(config.WEIGHT_CAP)).alias("weight_pos"),
-        (F.col("n") / (2.0 * (F.col("n") - F.col("n_pos")))).alias("balanced_neg"),
-        (F.col("n") / (2.0 * F.col("n_pos"))).alias("balanced_pos"))
+        F.try_divide(F.col("n"), 2.0 * (F.col("n") - F.col("n_pos"))).alias("balanced_neg"),
+        F.try_divide(F.col("n"), 2.0 * F.col("n_pos")).alias("balanced_pos"))
 
 
 def with_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
