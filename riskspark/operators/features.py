@@ -40,22 +40,48 @@ def string_order_key(c) -> Column:
     return F.conv(hx, 16, 10).cast("long")
 
 
+LITERAL_MAX = 10_000  # lookup tables up to this many keys become a literal map (no join)
+
+
+def _small_lookup(table: DataFrame, key: str, value: str) -> Column | None:
+    """A literal ``key -> value`` map when the table has at most
+    ``LITERAL_MAX`` rows (checked with a bounded ``limit``), else None."""
+    rows = table.select(key, value).limit(LITERAL_MAX + 1).collect()
+    if len(rows) > LITERAL_MAX:
+        return None
+    if not rows:
+        return F.create_map().cast(f"map<{table.schema[key].dataType.simpleString()},"
+                                   f"{table.schema[value].dataType.simpleString()}>")
+    return F.create_map(*[F.lit(x) for r in rows for x in (r[key], r[value])])
+
+
 def frequency_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """value -> number of rows holding it (null / unseen -> 0).
-    A grouped count plus lookup join; never a window on the value (hot values)."""
+    A grouped count plus a lookup (literal map when small, else a checked
+    join); never a window on the value (hot values)."""
     freq = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(out))
+    m = _small_lookup(freq, col, out)
+    if m is not None:
+        return df.withColumn(out, F.coalesce(F.element_at(m, F.col(col)), F.lit(0)).cast("long"))
     return lookup_join(df, freq, col, scale).withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 
 def ordinal_codes(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """F2 state: sorted distinct non-null values -> 0..k-1."""
+    """F2 state: sorted distinct non-null values -> 0..k-1 (distributed rank)."""
     vals = df.filter(F.col(col).isNotNull()).select(col).distinct().withColumn("_ok", string_order_key(col))
     r = exact_rank(vals, [], ["_ok", col], bucket_on="_ok", scale=scale)
     return r.select(col, (F.col("rank") - 1).alias(out))
 
 
 def ordinal_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """category code in sorted order, null -> -1."""
+    """category code in sorted (binary string) order, null -> -1."""
+    vals = df.filter(F.col(col).isNotNull()).select(col).distinct()
+    few = vals.limit(LITERAL_MAX + 1).collect()
+    if len(few) <= LITERAL_MAX:
+        ordered = sorted((r[col] for r in few), key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
+        m = F.create_map(*[F.lit(x) for i, v in enumerate(ordered) for x in (v, i)]) if ordered else None
+        code = F.element_at(m, F.col(col)) if m is not None else F.lit(None)
+        return df.withColumn(out, F.coalesce(code, F.lit(-1)).cast("long"))
     codes = ordinal_codes(df, col, out, scale)
     return lookup_join(df, codes, col, scale).withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("long"))
 
@@ -235,6 +261,7 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     checkpointed frame.
     """
     spark = labeled.sparkSession
+    labeled = cut_lineage(labeled)  # several fit actions below read it; compute it once
     enc = encode_categoricals(labeled, scale=scale)
     id_cols = [c for c in labeled.columns if c.startswith("id_")]
     raw = enc.select(
@@ -275,12 +302,43 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     frame = h.withColumn("split", F.when(F.col(uid).isNull(), F.lit(None))
                          .when(is_test, "test").otherwise("train"))
 
-    # fitted constants (bounded by the feature count)
-    fit_rows = frame if clip_fit_on == "all" else frame.filter(F.col("split") == "train")
-    bounds = winsor_bounds(fit_rows, fcols, scale=scale)
+    # fitted constants (bounded by the feature count), one exact-quantile pass:
+    # clip bounds over all (or train) rows and train medians.  Clipping is
+    # monotone, so the median of clipped values interpolates the clipped
+    # neighbours of the raw median.
+    bound_set = "all" if clip_fit_on == "all" else "train"
+    long = unpivot_features(frame, fcols, keep=["split"]).select(
+        "feature", "value", F.explode(F.array(F.lit("all"), F.when(F.col("split") == "train", F.lit("train"))))
+        .alias("subset")).filter(F.col("subset").isNotNull())
+    lo_p, hi_p = config.CLIP_QUANTILES
+    qrows = exact_quantiles(long, "value", [lo_p, 0.5, hi_p], ["feature", "subset"], scale=scale).collect()
+    qd = {(r["feature"], r["subset"], r["p"]): r for r in qrows}
+
+    def _q(c, subset, p):
+        r = qd.get((c, subset, p))
+        return None if r is None else r["q"]
+
+    bounds = {c: (_q(c, bound_set, lo_p), _q(c, bound_set, hi_p)) for c in fcols}
+
+    def _clip_v(v, lo, hi):
+        if v is None:
+            return None
+        if hi is not None and v > hi:
+            v = hi
+        if lo is not None and v < lo:
+            v = lo
+        return v
+
+    meds = {}
+    for c in fcols:
+        r = qd.get((c, "train", 0.5))
+        if r is None:
+            meds[c] = None
+            continue
+        a, b = _clip_v(r["q_lo"], *bounds[c]), _clip_v(r["q_hi"], *bounds[c])
+        meds[c] = a + (b - a) * r["q_frac"]
     clipped = frame.withColumns({c: clip(F.col(c), *bounds[c]) for c in fcols})
     train = clipped.filter(F.col("split") == "train")
-    meds = medians(train, fcols, scale=scale)
     mom = moments(impute(train, meds), fcols)
 
     def transform_value(c: str, x: Column) -> Column:

@@ -100,7 +100,9 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, *,
                     scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Linear-interpolated quantiles (numpy / pandas / DuckDB ``quantile_cont``
-    semantics), exact, nulls skipped.  Returns ``by..., p, q, n``.
+    semantics), exact, nulls skipped.  Returns ``by..., p, q, n`` plus the two
+    neighbouring values ``q_lo, q_hi`` and weight ``q_frac`` (so a quantile of
+    any monotone transform of the values follows without another pass).
 
     Works on distinct values with counts (a value repeated a billion times is
     one row); one pass over the running totals finds both neighbours of every
@@ -123,7 +125,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
         F.first("_pos").alias("_pos"), F.first("tot__c").alias("n"))
     frac = F.col("_pos") - F.floor("_pos")
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
-    return res.select(*by, "p", q.alias("q"), "n")
+    return res.select(*by, "p", q.alias("q"), "n", F.col("_vlo").alias("q_lo"), F.col("_vhi").alias("q_hi"),
+                      frac.alias("q_frac"))
 
 
 def exact_rank(df: DataFrame, by: list[str], order: list[str], *, bucket_on: str | None = None,
