@@ -10,7 +10,7 @@ from __future__ import annotations
 from riskspark.plans.registry import REGISTRY, register  # noqa: F401
 from riskspark.sources.bindings import txn_view
 from riskspark.plans.sqlparts import LAB, LABEL_COLS_SQL
-from riskspark.plans import q_basic, q_cards, q_eval, q_models  # noqa: F401
+from riskspark.plans import q_basic, q_cards, q_eval, q_io, q_models  # noqa: F401
 from riskspark.operators.label import label_transactions
 
 @register("w7_label_transactions", f"{LAB} select {LABEL_COLS_SQL} from lab")

@@ -38,3 +38,28 @@ def test_null_keys_get_no_card_values(spark):
     rows = {r.TransactionID: r for r in out.collect()}
     assert rows[1].p is None and rows[1].rn is None
     assert rows[3].p == 1 and rows[3].rn == 2
+
+
+def test_label_and_sequences_identical_on_hot_path(spark):
+    """Whole label + feature build with every card forced through the
+    hot-card split, and ranks/quantiles through the two-level path."""
+    from riskspark.operators.features import build_sequences
+    from riskspark.operators.label import label_transactions
+    from riskspark.sources.bindings import txn_view
+    txn = txn_view(spark, SF001)
+    hot = ScaleConfig(hot_key_rows=2, max_hot_keys=10_000, rows_per_bucket=50, quantile_accuracy=2000)
+
+    def run(scale):
+        lab = label_transactions(txn, scale=scale)
+        seqs, state, feats = build_sequences(lab, scale=scale)
+        lrows = sorted(tuple(r) for r in lab.collect())
+        srows = sorted((r.TransactionID, r.split, r.label, r.hist_len,
+                        tuple(round(float(x), 5) for step in r.seq for x in step)) for r in seqs.collect())
+        st = sorted((r.feature, r.stat, round(r.value, 9)) for r in state.collect())
+        return lrows, srows, st, feats
+
+    a, b = run(ScaleConfig()), run(hot)
+    assert a[3] == b[3]
+    assert a[0] == b[0]
+    assert a[2] == b[2]
+    assert a[1] == b[1] and len(a[1]) > 500
