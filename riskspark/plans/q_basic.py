@@ -42,7 +42,7 @@ def p2(spark, sf):
 
 
 @register("p3_device_type_code", f"""{T} select TransactionID,
-  case when DeviceType = 'mobile' then 1 when DeviceType = 'desktop' then 2 else 0 end as DeviceType_enc from t""")
+  cast(case when DeviceType = 'mobile' then 1 when DeviceType = 'desktop' then 2 else 0 end as bigint) as DeviceType_enc from t""")
 def p3(spark, sf):
     return _txn(spark, sf).select("TransactionID", S.device_type_code("DeviceType").alias("DeviceType_enc"))
 
@@ -252,8 +252,8 @@ def a7(spark, sf):
     return PR.daily_trend(_txn(spark, sf), "TransactionDT", "isFraud")
 
 
-@register("a8_card_summary", f"""{T} select uid, count(*) as n_txn, sum(isFraud) as n_fraud,
-  max(case when DeviceInfo is not null then 1 else 0 end) as has_device from t where uid is not null group by uid""")
+@register("a8_card_summary", f"""{T} select uid, count(*) as n_txn, cast(sum(isFraud) as bigint) as n_fraud,
+  cast(max(case when DeviceInfo is not null then 1 else 0 end) as bigint) as has_device from t where uid is not null group by uid""")
 def a8(spark, sf):
     return PR.card_summary(_txn(spark, sf), "uid", "isFraud", "DeviceInfo")
 
@@ -264,7 +264,7 @@ def a9(spark, sf):
     return PR.span_summary(_txn(spark, sf), "uid", "TransactionDT")
 
 
-@register("a10_signal_lift", f"""{LAB} select signal, value, {r6('avg(isFraud)')} as fraud_rate, count(*) as count from (
+@register("a10_signal_lift", f"""{LAB} select signal, cast(value as bigint) as value, {r6('avg(isFraud)')} as fraud_rate, count(*) as count from (
   select 'signal_device' as signal, signal_device as value, isFraud from lab
   union all select 'signal_session', signal_session, isFraud from lab
   union all select 'signal_velocity', signal_velocity, isFraud from lab) u group by signal, value""")
@@ -273,9 +273,9 @@ def a10(spark, sf):
 
 
 def _a11_sql():
-    dist = ", ".join(f"sum(case when isFraud = 1 and signal_count = {k} then 1 else 0 end) as fraud_with_{k}_signals" for k in range(4))
-    sens = ", ".join(f"sum(case when isFraud = 1 and signal_count >= {k} then 1 else 0 end) as label_if_{k}_required" for k in (1, 2, 3))
-    return f"""{LAB} select count(*) as n_rows, sum(case when isFraud = 1 then 1 else 0 end) as n_fraud, sum(ato_proxy) as n_label,
+    dist = ", ".join(f"cast(sum(case when isFraud = 1 and signal_count = {k} then 1 else 0 end) as bigint) as fraud_with_{k}_signals" for k in range(4))
+    sens = ", ".join(f"cast(sum(case when isFraud = 1 and signal_count >= {k} then 1 else 0 end) as bigint) as label_if_{k}_required" for k in (1, 2, 3))
+    return f"""{LAB} select count(*) as n_rows, cast(sum(case when isFraud = 1 then 1 else 0 end) as bigint) as n_fraud, cast(sum(ato_proxy) as bigint) as n_label,
   {r6('sum(ato_proxy) / sum(case when isFraud = 1 then 1 else 0 end)')} as label_share_of_fraud,
   {r6('avg(ato_proxy)')} as label_rate, {dist}, {sens} from lab"""
 
@@ -285,7 +285,7 @@ def a11(spark, sf):
     return PR.label_summary(label_transactions(_txn(spark, sf)))
 
 
-@register("a12_label_sensitivity", f"""{LAB} select k as required_signals, sum(case when isFraud = 1 and signal_count >= k then 1 else 0 end) as n_label
+@register("a12_label_sensitivity", f"""{LAB} select cast(k as bigint) as required_signals, cast(sum(case when isFraud = 1 and signal_count >= k then 1 else 0 end) as bigint) as n_label
 from lab, (select unnest([1, 2, 3]) as k) ks group by k""")
 def a12(spark, sf):
     lab = label_transactions(_txn(spark, sf))
@@ -317,7 +317,7 @@ def a15(spark, sf):
     return spark.createDataFrame([(c, a, b) for c, (a, b) in m.items()], "feature string, mean double, std double")
 
 
-@register("a16_group_max", f"{LAB} select uid, max(ato_proxy) as has_pos from lab where uid is not null group by uid")
+@register("a16_group_max", f"{LAB} select uid, cast(max(ato_proxy) as bigint) as has_pos from lab where uid is not null group by uid")
 def a16(spark, sf):
     return PR.group_max(label_transactions(_txn(spark, sf)), "uid", "ato_proxy")
 

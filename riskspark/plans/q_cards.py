@@ -276,7 +276,7 @@ def r6q(spark, sf):
 
 
 @register("r8_class_weights", f"""{LAB}, c as (select count(*) as n, sum(ato_proxy) as n_pos from lab)
-select n, n_pos, n - n_pos as n_neg, 1.0 as weight_neg, {r6('least((n - greatest(n_pos, 1)) / greatest(n_pos, 1), 25.0)')} as weight_pos,
+select n, cast(n_pos as bigint) as n_pos, cast(n - n_pos as bigint) as n_neg, 1.0::double as weight_neg, {r6('least((n - greatest(n_pos, 1)) / greatest(n_pos, 1), 25.0)')} as weight_pos,
   {r6('n / (2.0 * (n - n_pos))')} as balanced_neg, {r6('n / (2.0 * n_pos)')} as balanced_pos from c""")
 def r8(spark, sf):
     return SP.class_weights(_lab(spark, sf), "ato_proxy")

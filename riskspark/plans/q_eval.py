@@ -89,7 +89,8 @@ OP_COLS = f"""{r4('threshold')} as threshold, {r4('case when tp + fp = 0 then 0.
 
 @register("e7_best_f1", f"""{CURVE_SQL},
 b as (select *, row_number() over (partition by model order by 2 * prec * rec / (prec + rec + 1e-9) desc, threshold) as rk from cv)
-select model, {OP_COLS}, neg_total - fp as tn, fp, pos_total - tp as fn, tp from b where rk = 1""")
+select model, {OP_COLS}, cast(neg_total - fp as bigint) as tn, cast(fp as bigint) as fp,
+  cast(pos_total - tp as bigint) as fn, cast(tp as bigint) as tp from b where rk = 1""")
 def e7(spark, sf):
     return EV.best_f1(_curve(spark, sf))
 
@@ -109,7 +110,8 @@ cm as (select model, sum(case when score < 0.5 and label <> 1 then 1 else 0 end)
   sum(case when score >= 0.5 and label = 1 then 1 else 0 end) as tp from sp group by model)"""
 
 
-@register("e9_confusion_matrix", f"""{CONF_SQL} select model, tn, fp, fn, tp,
+@register("e9_confusion_matrix", f"""{CONF_SQL} select model, cast(tn as bigint) as tn, cast(fp as bigint) as fp,
+  cast(fn as bigint) as fn, cast(tp as bigint) as tp,
   {r6('case when tp + fn = 0 then 0.0 else tp / (tp + fn) end')} as recall,
   {r6('case when fp + tn = 0 then 0.0 else fp / (fp + tn) end')} as fpr,
   {r6('case when fn + tp = 0 then 0.0 else fn / (fn + tp) end')} as fnr,
@@ -122,7 +124,7 @@ def e9(spark, sf):
   union all select model, 1, tp, fp, fn from cm)
 select model, cast(cls as bigint) as cls, {r6('case when a + b = 0 then 0.0 else a / (a + b) end')} as precision,
   {r6('case when a + c = 0 then 0.0 else a / (a + c) end')} as recall,
-  {r6('case when 2 * a + b + c = 0 then 0.0 else 2.0 * a / (2 * a + b + c) end')} as f1, a + c as support from l""")
+  {r6('case when 2 * a + b + c = 0 then 0.0 else 2.0 * a / (2 * a + b + c) end')} as f1, cast(a + c as bigint) as support from l""")
 def e10(spark, sf):
     return EV.class_report(_sp(spark, sf), 0.5)
 
@@ -253,7 +255,8 @@ def _score_sides(spark, sf):
     return ref.select(s), cur.select(s)
 
 
-@register("d1_psi", f"with {_DRIFT} select feature, {r6('psi')} as psi, n_ref, n_cur, n_null from psi")
+@register("d1_psi", f"with {_DRIFT} select feature, {r6('psi')} as psi, cast(n_ref as bigint) as n_ref, "
+          "cast(n_cur as bigint) as n_cur, cast(n_null as bigint) as n_null from psi")
 def d1(spark, sf):
     ref, cur = _long_sides(spark, sf)
     return DR.psi_table(ref, cur)
