@@ -261,7 +261,7 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     checkpointed frame.
     """
     spark = labeled.sparkSession
-    labeled = cut_lineage(labeled)  # several fit actions below read it; compute it once
+    labeled = cut_lineage(labeled, columnar=True)  # several narrow fit actions read it; compute it once
     enc = encode_categoricals(labeled, scale=scale)
     id_cols = [c for c in labeled.columns if c.startswith("id_")]
     raw = enc.select(

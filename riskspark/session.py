@@ -53,13 +53,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a Parquet table under the shared checkpoint folder
-    and read it back: the lineage is cut (survives executor loss, never a
-    local checkpoint) and re-reads get column pruning and filter pushdown,
-    which an RDD checkpoint would not."""
+def cut_lineage(df: DataFrame, columnar: bool = False) -> DataFrame:
+    """Cut the lineage at a fit barrier; never a local checkpoint, so the
+    result survives executor loss without replaying upstream shuffles.
+
+    Default: ``checkpoint(eager=True)`` into the shared checkpoint folder
+    (fastest to write; re-reads are whole rows).  ``columnar=True`` writes a
+    Parquet table under the same folder instead, for inputs that later
+    actions read only a few columns of (pruning + pushdown on re-read).
+    """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not columnar:
+        return df.checkpoint(eager=True)
     path = f"{base}/riskspark-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job
