@@ -69,6 +69,7 @@ def card_pass(df: DataFrame, *, key: str = "uid",
               history_len: int = 10,
               history_col: str = "_hist",
               card_aggs: list[Column] | None = None,
+              running: list[str] | None = None,
               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Return ``df`` plus, per row:
 
@@ -77,12 +78,16 @@ def card_pass(df: DataFrame, *, key: str = "uid",
     * ``history_col``: ``array<array<double>>`` of ``history`` columns of the
       up to ``history_len`` previous rows, oldest first;
     * every ``card_aggs`` expression evaluated over the whole card, plus
-      ``_card_n``.
+      ``_card_n``;
+    * for each ``running`` column ``c``, statistics of the *earlier* rows of
+      the card only: ``_rn_c`` (non-null count), ``_rs_c`` (sum), ``_rq_c``
+      (sum of squares), ``_rmax_c``, ``_rmin_c`` (causal whole-history stats).
 
     Rows with a null key get nulls (a null key is not a card).
     """
     lags = lags or {}
     card_aggs = card_aggs or []
+    running = running or []
     spark = df.sparkSession
     L = max(history_len if history else 1, 1)
     order_cols = [F.col(c) for c in order]
@@ -104,6 +109,25 @@ def card_pass(df: DataFrame, *, key: str = "uid",
         if history:
             item = F.array(*[F.col(c).cast("double") for c in history])
             exprs.append(F.collect_list(item).over(w.rowsBetween(-L, -1)).alias(history_col))
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        for c in running:
+            x = F.col(c).cast("double")
+            if ctx_col is not None:  # context rows are already in the sub-range offsets
+                x = F.when(F.col(ctx_col) == 0, x)
+            n_in = F.count(x).over(before)
+            s_in, q_in = F.sum(x).over(before), F.sum(x * x).over(before)
+            mx_in, mn_in = F.max(x).over(before), F.min(x).over(before)
+            if ctx_col is None:
+                exprs += [n_in.alias(f"_rn_{c}"), s_in.alias(f"_rs_{c}"), q_in.alias(f"_rq_{c}"),
+                          mx_in.alias(f"_rmax_{c}"), mn_in.alias(f"_rmin_{c}")]
+            else:
+                n_all = n_in + F.col(f"_on_{c}")
+                some = n_all > 0
+                exprs += [n_all.alias(f"_rn_{c}"),
+                          F.when(some, F.coalesce(s_in, F.lit(0.0)) + F.col(f"_os_{c}")).alias(f"_rs_{c}"),
+                          F.when(some, F.coalesce(q_in, F.lit(0.0)) + F.col(f"_oq_{c}")).alias(f"_rq_{c}"),
+                          F.greatest(mx_in, F.col(f"_omax_{c}")).alias(f"_rmax_{c}"),
+                          F.least(mn_in, F.col(f"_omin_{c}")).alias(f"_rmin_{c}")]
         return exprs
 
     # -- cold cards: one window partition per card ---------------------------
@@ -126,12 +150,22 @@ def card_pass(df: DataFrame, *, key: str = "uid",
         hot_rows = hot_rows.withColumn("_sub", bucket(F.col(key), F.col(order[0]).cast("double")))
         hot_rows = cut_lineage(hot_rows)
 
-        sub_n = hot_rows.groupBy(key, "_sub").agg(F.count(F.lit(1)).alias("_sub_n"))
-        ws = Window.partitionBy(key).orderBy("_sub")
-        sub_start = sub_n.withColumn(
-            "_start", F.coalesce(F.sum("_sub_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
-                                 F.lit(0)).cast("long"))
-        sub_start = F.broadcast(sub_start)
+        run_aggs = []
+        for c in running:
+            x = F.col(c).cast("double")
+            run_aggs += [F.count(x).alias(f"_tn_{c}"), F.sum(x).alias(f"_ts_{c}"), F.sum(x * x).alias(f"_tq_{c}"),
+                         F.max(x).alias(f"_tmax_{c}"), F.min(x).alias(f"_tmin_{c}")]
+        sub_n = hot_rows.groupBy(key, "_sub").agg(F.count(F.lit(1)).alias("_sub_n"), *run_aggs)
+        ws = Window.partitionBy(key).orderBy("_sub")  # over the sub-ranges of one card (bounded)
+        prior = ws.rowsBetween(Window.unboundedPreceding, -1)
+        offs = {"_start": F.coalesce(F.sum("_sub_n").over(prior), F.lit(0)).cast("long")}
+        for c in running:
+            offs.update({f"_on_{c}": F.coalesce(F.sum(f"_tn_{c}").over(prior), F.lit(0)),
+                         f"_os_{c}": F.coalesce(F.sum(f"_ts_{c}").over(prior), F.lit(0.0)),
+                         f"_oq_{c}": F.coalesce(F.sum(f"_tq_{c}").over(prior), F.lit(0.0)),
+                         f"_omax_{c}": F.max(f"_tmax_{c}").over(prior),
+                         f"_omin_{c}": F.min(f"_tmin_{c}").over(prior)})
+        sub_start = F.broadcast(sub_n.withColumns(offs))
 
         need = list(dict.fromkeys([key, "_sub", *order, *lags.values(), *(history or [])]))
         wd = Window.partitionBy(key, "_sub").orderBy(*[F.col(c).desc() for c in order])
@@ -146,9 +180,10 @@ def card_pass(df: DataFrame, *, key: str = "uid",
                .filter(F.col("_pos") >= F.col("_tstart") - L)
                .select(*[c for c in need if c != "_sub"], F.col("_tsub").alias("_sub"),
                        F.lit(1).alias("_ctx")))
+        off_cols = ["_start"] + [f"{p}_{c}" for c in running for p in ("_on", "_os", "_oq", "_omax", "_omin")]
         both = (hot_rows.withColumn("_ctx", F.lit(0))
                 .unionByName(ctx, allowMissingColumns=True)
-                .join(sub_start.select(key, "_sub", "_start"), [key, "_sub"]))
+                .join(sub_start.select(key, "_sub", *off_cols), [key, "_sub"]))
         wh = Window.partitionBy(key, "_sub").orderBy(*order_cols)
         hot_out = (both.select(*base_cols, "_ctx", *window_exprs(wh, "_ctx", "_start"))
                    .filter(F.col("_ctx") == 0).drop("_ctx")

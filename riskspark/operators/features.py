@@ -108,13 +108,25 @@ def amount_deviation(x, mu, sd) -> Column:
 
 
 def behaviour_features(df: DataFrame, *, uid: str = "uid", ts: str = "TransactionDT",
-                       tie: str = "TransactionID", amount: str = "TransactionAmt",
+                       tie: str = "TransactionID", amount: str = "TransactionAmt", causal: bool = False,
                        scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """W11 = W8 running number + W9 amount deviation + W10 account age + P5 hour."""
+    """W11 = W8 running number + W9 amount deviation + W10 account age + P5 hour.
+
+    ``causal=True``: the amount deviation uses only the card's earlier rows
+    (mean / sample std of the history; none yet -> null, one row -> std 1).
+    """
     amt = lenient_double(amount)
     out = card_pass(df.withColumn("_amt", amt), key=uid, order=(ts, tie), row_number="txn_count_rolling",
-                    card_aggs=[F.avg("_amt").alias("_amt_mu"), F.stddev_samp("_amt").alias("_amt_sd"),
-                               F.min(ts).alias("_dt_min")], scale=scale)
+                    card_aggs=[F.min(ts).alias("_dt_min")] + ([] if causal else [
+                        F.avg("_amt").alias("_amt_mu"), F.stddev_samp("_amt").alias("_amt_sd")]),
+                    running=["_amt"] if causal else None, scale=scale)
+    if causal:
+        n, s1, s2 = F.col("_rn__amt"), F.col("_rs__amt"), F.col("_rq__amt")
+        var = F.try_divide(s2 - s1 * s1 / n, n - 1)
+        out = out.withColumns({"_amt_mu": F.try_divide(s1, n),
+                               "_amt_sd": F.when(n < 2, F.lit(None))
+                               .when(F.col("_rmax__amt") == F.col("_rmin__amt"), F.lit(0.0))  # exact 0 spread
+                               .otherwise(F.sqrt(F.greatest(var, F.lit(0.0))))})
     return (out.withColumn("amt_deviation", amount_deviation(F.col("_amt"), F.col("_amt_mu"), F.col("_amt_sd")))
             .withColumn("account_age_dt", F.col(ts) - F.col("_dt_min"))
             .withColumn("hour_of_day", hour_of_day(ts))

@@ -32,6 +32,18 @@ def session_stats_aggs(cols: list[str]) -> list:
     return aggs
 
 
+def causal_stats(src: str, c: str) -> dict:
+    """Count / mean / sample std / spread of the earlier rows (from the
+    running sums of ``card_pass``), named like ``session_stats_aggs``."""
+    n, s, q = F.col(f"_rn_{src}"), F.col(f"_rs_{src}"), F.col(f"_rq_{src}")
+    var = F.try_divide(q - s * s / n, n - 1)
+    return {f"_cnt_{c}": n, f"_mu_{c}": F.try_divide(s, n),
+            f"_sd_{c}": F.when(n < 2, F.lit(None))
+            .when(F.col(f"_rmax_{src}") == F.col(f"_rmin_{src}"), F.lit(0.0))  # exact 0 spread
+            .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))),
+            f"_spread_{c}": F.col(f"_rmax_{src}") > F.col(f"_rmin_{src}")}
+
+
 def session_anomaly(cols: list[str]):
     """Any column with |z| > 2 on a card with >= 3 values and a spread."""
     if not cols:
@@ -47,18 +59,23 @@ def session_anomaly(cols: list[str]):
 def label_transactions(txn: DataFrame, *, uid: str = "uid", ts: str = "TransactionDT",
                        tie: str = "TransactionID", device: str = "DeviceInfo",
                        network: str = "id_31", fraud: str = "isFraud",
-                       session_cols: list[str] | None = None,
+                       session_cols: list[str] | None = None, causal: bool = False,
                        scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Add the three signals, their count and ``ato_proxy``.
 
     One shuffle on ``uid`` (plus a map-side aggregate for the card spreads).
+    ``causal=True`` judges each session value only against the card's
+    earlier rows (the reference uses the whole card, future included).
     """
     cols = [c for c in (session_cols or config.SESSION_COLUMNS) if c in txn.columns]
     base = txn.columns
     df = txn.select("*", *[lenient_double(c).alias(f"_v_{c}") for c in cols])
     df = card_pass(df, key=uid, order=(ts, tie),
                    lags={"prev_device": device, "prev_dt": ts},
-                   card_aggs=session_stats_aggs(cols), scale=scale)
+                   card_aggs=[] if causal else session_stats_aggs(cols),
+                   running=[f"_v_{c}" for c in cols] if causal else None, scale=scale)
+    if causal:
+        df = df.withColumns({k: v for c in cols for k, v in causal_stats(f"_v_{c}", c).items()})
     is_proxy = proxy_flag(network) if network in base else F.lit(0)
     out = (df
            .withColumn("device_changed", as_flag(F.col(device) != F.col("prev_device")))

@@ -53,6 +53,34 @@ _lab_proj("w5_velocity", ["time_since_prev", "signal_velocity"])
 _lab_proj("w6_signal_count_and_label", ["signal_count", "ato_proxy"])
 
 
+# ---- causal variants: statistics of earlier rows only --------------------
+
+_PREV = f"({_W} rows between unbounded preceding and 1 preceding)"
+
+
+def _causal_label_sql():
+    stats = ", ".join(
+        f"count({c}) over {_PREV} as _cnt_{c}, avg({c}) over {_PREV} as _mu_{c}, "
+        f"stddev_samp({c}) over {_PREV} as _sd_{c}, (max({c}) over {_PREV} > min({c}) over {_PREV}) as _sp_{c}"
+        for c in ("id_01", "id_02"))
+    anomalies = " or ".join(
+        f"coalesce(abs(({c} - _mu_{c}) / _sd_{c}) > 2.0 and _cnt_{c} >= 3 and _sd_{c} > 0 and _sp_{c}, false)"
+        for c in ("id_01", "id_02"))
+    return f"{T}, w as (select *, {stats} from t) select TransactionID, cast(({anomalies}) as bigint) as signal_session from w"
+
+
+@register("w4c_session_anomaly_causal", _causal_label_sql())
+def w4c(spark, sf):
+    return label_transactions(_txn(spark, sf), causal=True).select("TransactionID", "signal_session")
+
+
+@register("w9c_amount_deviation_causal", f"""{T}, w as (select *, avg(TransactionAmt) over {_PREV} as mu,
+  stddev_samp(TransactionAmt) over {_PREV} as sd from t)
+select TransactionID, {r6('case when sd = 0 then null else (TransactionAmt - mu) / coalesce(sd, 1.0) end')} as amt_deviation from w""")
+def w9c(spark, sf):
+    return FE.behaviour_features(_txn(spark, sf), causal=True).select("TransactionID", "amt_deviation")
+
+
 # ---- W8-W11: behaviour features -------------------------------------------------------
 
 BEH_SQL = f"""b as (select *, row_number() over ({_W}) as txn_count_rolling,

@@ -63,3 +63,23 @@ def test_label_and_sequences_identical_on_hot_path(spark):
     assert a[0] == b[0]
     assert a[2] == b[2]
     assert a[1] == b[1] and len(a[1]) > 500
+
+
+def test_causal_running_stats_hot_equals_plain_and_brute_force(spark):
+    from riskspark.sources.bindings import txn_view
+    df = txn_view(spark, SF001)
+
+    def run(scale):
+        out = card_pass(df, running=["TransactionAmt"], scale=scale)
+        return sorted((r.TransactionID, r["_rn_TransactionAmt"], round(r["_rs_TransactionAmt"] or 0, 6),
+                       round(r["_rq_TransactionAmt"] or 0, 4), r["_rmax_TransactionAmt"], r["_rmin_TransactionAmt"])
+                      for r in out.collect())
+
+    plain = run(ScaleConfig())
+    assert plain == run(ScaleConfig(hot_key_rows=3, max_hot_keys=1000))
+    pdf = df.toPandas().sort_values(["uid", "TransactionDT", "TransactionID"])
+    g = pdf.groupby("uid")["TransactionAmt"]
+    pdf["n"] = g.cumcount()
+    pdf["s"] = g.cumsum() - pdf["TransactionAmt"]
+    want = {r.TransactionID: (r.n, round(r.s, 6)) for r in pdf.itertuples()}
+    assert all(want[t][0] == n and abs(want[t][1] - s) < 1e-6 for t, n, s, *_ in plain)
