@@ -145,7 +145,15 @@ def card_pass(df: DataFrame, *, key: str = "uid",
         edge_rows = (hot_rows.groupBy(key)
                      .agg(F.percentile_approx(order[0], probs, scale.quantile_accuracy).alias("e"))
                      .collect())  # bounded: <= max_hot_keys x n_sub values
-        edges = {r[key]: np.unique(np.asarray(r["e"], dtype=float)) for r in edge_rows}
+        sizes = {r[key]: r[CARD_N] for r in hot.collect()}  # bounded: <= max_hot_keys rows
+        edges = {}
+        for r in edge_rows:  # each card gets the sub-ranges its own size needs
+            e = np.unique(np.asarray(r["e"], dtype=float))
+            want = max(math.ceil(sizes[r[key]] / scale.hot_key_rows) * 4, 2)
+            if len(e) >= want:
+                e = e[np.unique(np.linspace(0, len(e) - 1, want - 1).round().astype(int))]
+            edges[r[key]] = e
+        n_subs = sum(len(e) + 1 for e in edges.values())
         bucket = _range_bucketer(spark, edges)
         hot_rows = hot_rows.withColumn("_sub", bucket(F.col(key), F.col(order[0]).cast("double")))
         hot_rows = cut_lineage(hot_rows)
@@ -165,7 +173,9 @@ def card_pass(df: DataFrame, *, key: str = "uid",
                          f"_oq_{c}": F.coalesce(F.sum(f"_tq_{c}").over(prior), F.lit(0.0)),
                          f"_omax_{c}": F.max(f"_tmax_{c}").over(prior),
                          f"_omin_{c}": F.min(f"_tmin_{c}").over(prior)})
-        sub_start = F.broadcast(sub_n.withColumns(offs))
+        sub_start = sub_n.withColumns(offs)
+        if n_subs <= scale.max_broadcast_rows:  # one row per sub-range; size known from the edges
+            sub_start = F.broadcast(sub_start)
 
         need = list(dict.fromkeys([key, "_sub", *order, *lags.values(), *(history or [])]))
         wd = Window.partitionBy(key, "_sub").orderBy(*[F.col(c).desc() for c in order])

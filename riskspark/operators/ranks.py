@@ -47,6 +47,17 @@ def _bucketer(spark, edges: dict):
     return bucket
 
 
+def _thin(edges: np.ndarray, buckets: int) -> np.ndarray:
+    """Keep about ``buckets - 1`` evenly spaced edges: each group gets the
+    buckets its own size needs, not the largest group's."""
+    if buckets <= 1 or len(edges) == 0:
+        return edges[:0]
+    if len(edges) < buckets:
+        return edges
+    idx = np.unique(np.linspace(0, len(edges) - 1, buckets - 1).round().astype(int))
+    return edges[idx]
+
+
 def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str], *,
                    bucket_on: str | None = None, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in ``order`` within ``by``) and
@@ -78,7 +89,9 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
                  .agg(F.percentile_approx(F.col(bucket_on).cast("double"), probs,
                                           max(scale.quantile_accuracy, 4 * n_b)).alias("e"))
                  .collect())
-    edges = {r[_GK]: np.unique(np.asarray(r["e"], dtype=float)) for r in edge_rows}
+    need = {r[_GK]: r["_n"] for r in big}
+    edges = {r[_GK]: _thin(np.unique(np.asarray(r["e"], dtype=float)),
+                           math.ceil(need[r[_GK]] / scale.rows_per_bucket) * 2) for r in edge_rows}
     bucket = _bucketer(spark, edges)
     d = d.withColumn("_b", bucket(F.col(_GK), F.col(bucket_on).cast("double")))
     w = Window.partitionBy(_GK, "_b").orderBy(*order_cols)
@@ -91,7 +104,8 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
     offs = btot.select(_GK, "_b",
                        *[F.coalesce(F.sum(f"_bt_{c}").over(prev), F.lit(0)).alias(f"_off_{c}") for c in sums],
                        *[F.sum(f"_bt_{c}").over(wg).alias(f"tot_{c}") for c in sums])
-    out = inner.join(F.broadcast(offs), [_GK, "_b"])  # groups x buckets rows
+    n_offs = sum(len(e) + 1 for e in edges.values())  # ~ 2 N / rows_per_bucket after thinning
+    out = inner.join(F.broadcast(offs) if n_offs <= scale.max_broadcast_rows else offs, [_GK, "_b"])
     out = out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums],
                      *[F.col(f"tot_{c}") for c in sums])
     return out
