@@ -7,8 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DecimalType, DoubleType, FloatType, IntegerType,
-                               LongType, ShortType)
+from pyspark.sql.types import ByteType, DecimalType, DoubleType, FloatType, IntegerType, ShortType
 
 
 @dataclass
