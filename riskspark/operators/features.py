@@ -55,11 +55,13 @@ def _small_lookup(table: DataFrame, key: str, value: str) -> Column | None:
     return F.create_map(*[F.lit(x) for r in rows for x in (r[key], r[value])])
 
 
-def frequency_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """value -> number of rows holding it (null / unseen -> 0).
-    A grouped count plus a lookup (literal map when small, else a checked
-    join); never a window on the value (hot values)."""
-    freq = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(out))
+def frequency_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE,
+                     fit_df: DataFrame | None = None) -> DataFrame:
+    """value -> number of rows holding it (null / unseen -> 0), counted
+    on ``fit_df`` (default ``df``).  A grouped count plus a lookup (literal
+    map when small, else a checked join); never a window on the value."""
+    src = df if fit_df is None else fit_df
+    freq = src.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(out))
     m = _small_lookup(freq, col, out)
     if m is not None:
         return df.withColumn(out, F.coalesce(F.element_at(m, F.col(col)), F.lit(0)).cast("long"))
@@ -73,30 +75,34 @@ def ordinal_codes(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAUL
     return r.select(col, (F.col("rank") - 1).alias(out))
 
 
-def ordinal_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """category code in sorted (binary string) order, null -> -1."""
-    vals = df.filter(F.col(col).isNotNull()).select(col).distinct()
+def ordinal_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE,
+                   fit_df: DataFrame | None = None) -> DataFrame:
+    """category code in sorted (binary string) order over the values of
+    ``fit_df`` (default ``df``); null or unseen -> -1."""
+    src = df if fit_df is None else fit_df
+    vals = src.filter(F.col(col).isNotNull()).select(col).distinct()
     few = vals.limit(LITERAL_MAX + 1).collect()
     if len(few) <= LITERAL_MAX:
         ordered = sorted((r[col] for r in few), key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
         m = F.create_map(*[F.lit(x) for i, v in enumerate(ordered) for x in (v, i)]) if ordered else None
         code = F.element_at(m, F.col(col)) if m is not None else F.lit(None)
         return df.withColumn(out, F.coalesce(code, F.lit(-1)).cast("long"))
-    codes = ordinal_codes(df, col, out, scale)
+    codes = ordinal_codes(src, col, out, scale)
     return lookup_join(df, codes, col, scale).withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("long"))
 
 
 def encode_categoricals(df: DataFrame, *, device_type: str = "DeviceType", device_info: str = "DeviceInfo",
-                        cards=("card4", "card6"), scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """F3 = P3 + F1 + F2."""
+                        cards=("card4", "card6"), scale: ScaleConfig = DEFAULT_SCALE,
+                        fit_df: DataFrame | None = None) -> DataFrame:
+    """F3 = P3 + F1 + F2, fitted on ``fit_df`` (default: ``df`` itself)."""
     out = df
     if device_type in df.columns:
         out = out.withColumn(f"{device_type}_enc", device_type_code(device_type).cast("long"))
     if device_info in df.columns:
-        out = frequency_encode(out, device_info, f"{device_info}_enc", scale)
+        out = frequency_encode(out, device_info, f"{device_info}_enc", scale, fit_df=fit_df)
     for c in cards:
         if c in df.columns:
-            out = ordinal_encode(out, c, f"{c}_enc", scale)
+            out = ordinal_encode(out, c, f"{c}_enc", scale, fit_df=fit_df)
     return out
 
 
@@ -261,7 +267,7 @@ def sequence_history(df: DataFrame, feature_cols: list[str], *, uid: str = "uid"
 def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "TransactionDT",
                     tie: str = "TransactionID", label: str = "ato_proxy",
                     history_len: int = config.WINDOW_SIZE, test_size: float = config.TEST_SIZE,
-                    seed=config.RANDOM_SEED, clip_fit_on: str = "all",
+                    seed=config.RANDOM_SEED, clip_fit_on: str = "all", fit_on: str = "all",
                     scale: ScaleConfig = DEFAULT_SCALE):
     """encode -> behaviour -> choose -> winsorise -> card split ->
     train-median impute -> train standardise -> sequences.
@@ -271,10 +277,34 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     and ``state`` is the fitted ``(feature, stat, value)`` table.
     One shuffle on ``uid``; the fitted statistics are aggregates over a
     checkpointed frame.
+
+    ``fit_on="all"`` (default) fits encoders, column choice and clip bounds on
+    every row, as the reference does; ``fit_on="train"`` fits them on train
+    cards only (medians and scaling are always train-only).
     """
     spark = labeled.sparkSession
     labeled = cut_lineage(labeled, columnar=True)  # several narrow fit actions read it; compute it once
-    enc = encode_categoricals(labeled, scale=scale)
+    if fit_on == "train":
+        clip_fit_on = "train"
+
+    # R1 without joining the big frame: per stratum, the hash of the last test card
+    cards = (labeled.filter(F.col(uid).isNotNull()).groupBy(uid)
+             .agg(F.max(label).cast("int").alias("has_pos")))
+    ranked = exact_rank(_hash_cols(cards, seed, uid), ["has_pos"], ["_h", uid], bucket_on="_h1", scale=scale)
+    cut = {r["has_pos"]: (r["_h"], r[uid]) for r in ranked.filter(
+        F.col("rank") == F.round(F.lit(test_size) * F.col("group_n"))).collect()}  # <= 2 rows
+
+    def is_test_of(has_pos_col: str):
+        t = F.lit(False)
+        for hp, (ch, cu) in cut.items():
+            t = t | ((F.col(has_pos_col) == hp) & ((F.col("_h") < ch) | ((F.col("_h") == ch) & (F.col(uid) <= cu))))
+        return t
+
+    fit_rows = None
+    if fit_on == "train":  # only the small encoder tables are fitted through this semi-join
+        train_cards = _hash_cols(cards, seed, uid).filter(~is_test_of("has_pos")).select(uid)
+        fit_rows = labeled.join(train_cards, uid, "left_semi")
+    enc = encode_categoricals(labeled, scale=scale, fit_df=fit_rows)
     id_cols = [c for c in labeled.columns if c.startswith("id_")]
     raw = enc.select(
         "*",
@@ -296,23 +326,15 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
         for c in cands})
     frame = cut_lineage(frame)
 
-    # P10 on the per-row values
-    counts = frame.agg(*[F.count(f"_f_{c}").alias(c) for c in cands]).first()
-    feats = [c for c in cands if counts[c] > 0]
-    fcols = [f"_f_{c}" for c in feats]
-
-    # R1 without joining the frame: per stratum, the hash of the last test card
-    cards = frame.filter(F.col(uid).isNotNull()).groupBy(uid).agg(F.max("_has_pos").alias("has_pos"))
-    ranked = exact_rank(_hash_cols(cards, seed, uid), ["has_pos"], ["_h", uid], bucket_on="_h1", scale=scale)
-    cut = {r["has_pos"]: (r["_h"], r[uid]) for r in ranked.filter(
-        F.col("rank") == F.round(F.lit(test_size) * F.col("group_n"))).collect()}  # <= 2 rows
     h = _hash_cols(frame, seed, uid)
-    is_test = F.lit(False)
-    for hp, (ch, cu) in cut.items():
-        is_test = is_test | ((F.col("_has_pos") == hp) &
-                             ((F.col("_h") < ch) | ((F.col("_h") == ch) & (F.col(uid) <= cu))))
     frame = h.withColumn("split", F.when(F.col(uid).isNull(), F.lit(None))
-                         .when(is_test, "test").otherwise("train"))
+                         .when(is_test_of("_has_pos"), "test").otherwise("train"))
+
+    # P10 on the per-row values (all rows, or train rows)
+    p10_rows = frame if fit_on == "all" else frame.filter(F.col("split") == "train")
+    counts = p10_rows.agg(*[F.count(f"_f_{c}").alias(c) for c in cands]).first()
+    feats = [c for c in cands if counts[c] > 0]
+    fcols = [f"_f_{c}" for c in feats]
 
     # fitted constants (bounded by the feature count), one exact-quantile pass:
     # clip bounds over all (or train) rows and train medians.  Clipping is

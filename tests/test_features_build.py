@@ -88,3 +88,21 @@ def test_history_keeps_last_ten_previous_rows(spark):
     df = spark.createDataFrame(rows, "uid string, TransactionDT long, TransactionID long, ato_proxy int, f1 double")
     last = FE.sequence_history(df, ["f1"]).filter("TransactionID = 14").first()
     assert [s[0] for s in last.seq] == [float(i) for i in range(4, 14)]
+
+
+def test_fit_on_train_keeps_rows_and_split(spark):
+    from riskspark.operators.label import label_transactions
+    from riskspark.sources.bindings import txn_view
+    from tests.conftest import SF001
+    lab = label_transactions(txn_view(spark, SF001))
+    a, sa, fa = FE.build_sequences(lab)
+    b, sb, fb = FE.build_sequences(lab, fit_on="train")
+    ka = sorted((r.TransactionID, r.split) for r in a.select("TransactionID", "split").collect())
+    kb = sorted((r.TransactionID, r.split) for r in b.select("TransactionID", "split").collect())
+    assert ka == kb and fa == fb
+    # bounds of the train-only fit equal exact quantiles over the train rows' raw amounts
+    train_uids = {r.uid for r in a.filter("split = 'train'").select("uid").distinct().collect()}
+    amts = sorted(r.TransactionAmt for r in lab.collect() if r.uid in train_uids)
+    import numpy as np
+    lo = {r.stat: r.value for r in sb.filter("feature = 'TransactionAmt'").collect()}["clip_lo"]
+    assert abs(lo - float(np.quantile(amts, 0.001))) < 1e-9
