@@ -291,3 +291,18 @@ def d4(spark, sf):
     feat = DR.drift_report(ref, cur, _FEATS)
     sref, scur = _score_sides(spark, sf)
     return DR.retraining_recommendation(DR.score_drift(sref, scur), feat)
+
+
+@register("p14d_decision_derived_thresholds", f"""{CURVE_SQL},
+b as (select *, row_number() over (partition by model order by 2 * prec * rec / (prec + rec + 1e-9) desc, threshold) as rk from cv),
+bt as (select model, {r4('threshold')} as block from b where rk = 1),
+vt as (select model, max(case when rec >= 0.9 then threshold end) as t from cv group by model),
+th as (select bt.model, bt.block, coalesce({r4('vt.t')}, bt.block) as verify from bt left join vt on bt.model = vt.model)
+select sp.doc_id, sp.model, {r6('round_even(score * 100 * 100, 0) / 100')} as ato_risk_score,
+  case when round_even(score * 100 * 100, 0) / 100 >= th.block * 100 then 'block'
+       when round_even(score * 100 * 100, 0) / 100 >= th.verify * 100 then 'step_up_auth' else 'allow' end as recommended_action
+from sp join th on sp.model = th.model""")
+def p14d(spark, sf):
+    from riskspark.operators import decide as DC
+    sp = _sp(spark, sf)
+    return DC.decide_with(sp, DC.derived_thresholds(EV.curve(sp)), key="doc_id")
