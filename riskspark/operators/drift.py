@@ -11,65 +11,80 @@ from riskspark import config
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
 from riskspark.functions.scalar import drift_band
 from riskspark.operators.features import unpivot_features
-from riskspark.operators.ranks import exact_quantiles, running_totals
+from riskspark.operators.ranks import quantiles_from_running, running_totals
+from riskspark.session import cut_lineage
 
 
-def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
-              scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """D1 per feature.  ``ref`` / ``cur`` are long ``(feature, value)``; nulls
-    are dropped and counted in ``n_null``.
+def _side_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """The one pass over the raw rows: ``(feature, value) -> r, c`` counts of
+    each side (a null value row holds the null counts)."""
+    sides = (ref.select("feature", F.col("value").cast("double").alias("value"), F.lit(1).alias("r"), F.lit(0).alias("c"))
+             .unionByName(cur.select("feature", F.col("value").cast("double").alias("value"),
+                                     F.lit(0).alias("r"), F.lit(1).alias("c"))))
+    return sides.groupBy("feature", "value").agg(F.sum("r").cast("long").alias("r"), F.sum("c").cast("long").alias("c"))
+
+
+def drift_stats(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
+                scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """D1 + D2 per feature from long ``(feature, value)`` rows of both sides:
+    ``feature, psi, ks, n_ref, n_cur, n_null``.
 
-    Edges: distinct exact quantiles of the reference at 0, 1/bins, ... 1,
-    outer edges opened to +-inf; bins are [a, b); shares get +1e-6;
-    PSI = sum((c - r) * ln(c / r)).  A constant reference gives 0.
+    One scan of the raw rows (distinct value counts per side), one set of
+    distributed running totals over the distinct values; from it the
+    reference quantile edges (PSI), the CDF gap (KS) and the per-bin counts.
+    PSI: edges = distinct exact reference quantiles at 0, 1/bins ... 1 with
+    the outer ones opened to +-inf, bins [a, b), shares + 1e-6,
+    sum((c - r) ln(c / r)); a constant reference gives 0.  Nulls are dropped
+    and counted in ``n_null``.
     """
     spark = ref.sparkSession
+    counts = cut_lineage(_side_counts(ref, cur))
+    nulls = counts.filter(F.col("value").isNull()).select("feature", (F.col("r") + F.col("c")).alias("n_null"))
+    d = counts.filter(F.col("value").isNotNull())
+    rt = cut_lineage(running_totals(d, ["feature"], ["value"], ["r", "c"], scale=scale))
     probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(ref, "value", probs, ["feature"], scale=scale).collect()  # features x (bins + 1)
+    q = quantiles_from_running(rt.filter(F.col("r") > 0), ["feature"], "value", "r", "cum_r", "tot_r",
+                               probs).collect()  # features x (bins + 1)
     uniq: dict = {}
-    for r in q:
-        uniq.setdefault(r["feature"], set()).add(r["q"])
+    for row in q:
+        uniq.setdefault(row["feature"], set()).add(row["q"])
     edges = {f: sorted(u) for f, u in uniq.items()}
+    feats = sorted(edges)
+    if not feats:
+        return spark.createDataFrame([], "feature string, psi double, ks double, n_ref long, n_cur long, n_null long")
     inner = {f: e[1:-1] if len(e) >= 3 else [] for f, e in edges.items()}
     nbins = {f: len(e) - 1 for f, e in edges.items()}
-    if not edges:
-        return spark.createDataFrame([], "feature string, psi double, n_ref long, n_cur long, n_null long")
-    edge_map = F.create_map(*[x for f, e in inner.items()
-                              for x in (F.lit(f), F.array(*[F.lit(float(v)) for v in e]).cast("array<double>"))])
-    sides = (ref.select("feature", "value", F.lit(0).alias("side"))
-             .unionByName(cur.select("feature", "value", F.lit(1).alias("side"))))
-    # one pass over both sides: bin each value against its feature's edges
-    binned = sides.withColumn("bin", F.when(
-        F.col("value").isNotNull(), F.size(F.filter(F.element_at(edge_map, F.col("feature")),
-                                                    lambda e: F.col("value") >= e))))
-    counts = binned.groupBy("feature", "bin").agg(
-        F.sum(F.when(F.col("bin").isNotNull(), 1 - F.col("side")).otherwise(0)).alias("r"),
-        F.sum(F.when(F.col("bin").isNotNull(), F.col("side")).otherwise(0)).alias("c"),
-        F.sum(F.col("bin").isNull().cast("long")).alias("nn"))
-    grid = spark.createDataFrame([(f, b) for f, n in nbins.items() for b in range(max(n, 1))],
-                                 "feature string, bin int")
-    full = F.broadcast(grid).join(counts.filter(F.col("bin").isNotNull()), ["feature", "bin"], "left") \
-        .fillna(0, ["r", "c"])
+    edge_map = F.create_map(*[x for f in feats
+                              for x in (F.lit(f), F.array(*[F.lit(float(v)) for v in inner[f]]).cast("array<double>"))])
+    binned = (rt.join(F.broadcast(spark.createDataFrame([(f,) for f in feats], "feature string")), "feature")
+              .withColumn("bin", F.size(F.filter(F.element_at(edge_map, F.col("feature")), lambda e: F.col("value") >= e))))
+    per_bin = binned.groupBy("feature", "bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    grid = spark.createDataFrame([(f, b) for f in feats for b in range(max(nbins[f], 1))], "feature string, bin int")
+    full = F.broadcast(grid).join(per_bin, ["feature", "bin"], "left").fillna(0, ["r", "c"])
     w = Window.partitionBy("feature")  # over the bins of one feature (<= bins rows)
     rp = F.coalesce(F.try_divide(F.col("r"), F.sum("r").over(w)), F.lit(0.0)) + config.PSI_EPS
     cp = F.coalesce(F.try_divide(F.col("c"), F.sum("c").over(w)), F.lit(0.0)) + config.PSI_EPS
     psi = full.select("feature", "r", "c", ((cp - rp) * F.log(cp / rp)).alias("_t")).groupBy("feature").agg(
         F.sum("_t").alias("_psi"), F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    nulls = counts.groupBy("feature").agg(F.sum("nn").alias("n_null"))
-    few = F.create_map(*[x for f, n in nbins.items() for x in (F.lit(f), F.lit(n < 2))])
-    return (psi.join(nulls, "feature", "left")
+    gap = F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))
+    ks = rt.groupBy("feature").agg(F.max(gap).alias("ks"))
+    few = F.create_map(*[x for f in feats for x in (F.lit(f), F.lit(nbins[f] < 2))])
+    return (psi.join(ks, "feature", "left").join(nulls, "feature", "left")
             .select("feature", F.when(F.element_at(few, F.col("feature")), F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"),
-                    "n_ref", "n_cur", "n_null"))
+                    "ks", "n_ref", "n_cur", F.coalesce(F.col("n_null"), F.lit(0)).alias("n_null")))
+
+
+def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
+              scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """D1 per feature: ``feature, psi, n_ref, n_cur, n_null``."""
+    return drift_stats(ref, cur, bins, scale).select("feature", "psi", "n_ref", "n_cur", "n_null")
 
 
 def ks_table(ref: DataFrame, cur: DataFrame, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """D2 per feature: max |F_ref(x) - F_cur(x)| over all observed x
     (right-continuous empirical CDFs)."""
-    sides = (ref.filter(F.col("value").isNotNull()).select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("c"))
-             .unionByName(cur.filter(F.col("value").isNotNull())
-                          .select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("c"))))
-    d = sides.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    rt = running_totals(d, ["feature"], ["value"], ["r", "c"], scale=scale)
+    counts = _side_counts(ref, cur).filter(F.col("value").isNotNull())
+    rt = running_totals(counts, ["feature"], ["value"], ["r", "c"], scale=scale)
     gap = F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))
     return rt.groupBy("feature").agg(F.max(gap).alias("ks"))
 
@@ -79,7 +94,7 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
     """D3: ``feature, psi, ks, drift`` sorted by PSI descending."""
     ref = unpivot_features(reference, features)
     cur = unpivot_features(current, features)
-    rep = psi_table(ref, cur, bins, scale).join(ks_table(ref, cur, scale), "feature", "left")
+    rep = drift_stats(ref, cur, bins, scale)
     return rep.select("feature", "psi", "ks", drift_band("psi").alias("drift")).orderBy(F.col("psi").desc())
 
 

@@ -111,6 +111,31 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
     return out
 
 
+def quantiles_from_running(rt: DataFrame, by: list[str], value: str, count: str, cum: str, tot: str,
+                           probs: list[float]) -> DataFrame:
+    """Exact linear quantiles from a running-totals table of distinct values
+    (``count`` rows at ``value``; ``cum`` inclusive running count; ``tot``
+    group total).  One pass finds both neighbours of every target rank;
+    rows with a zero count never match.  Returns ``by..., p, q, n, q_lo,
+    q_hi, q_frac``."""
+    pa = F.array(*[F.lit(float(p)) for p in probs])
+    x = (rt.select(*by, F.col(value).alias("_v"), F.col(count).alias("_c"), F.col(cum).alias("_cum"),
+                   F.col(tot).alias("_tot"), F.explode(pa).alias("p"))
+         .withColumn("_pos", (F.col("_tot") - 1) * F.col("p")))
+    lo_k, hi_k = F.floor("_pos"), F.ceil("_pos")
+    start = F.col("_cum") - F.col("_c")
+    has_lo = (start <= lo_k) & (lo_k < F.col("_cum"))
+    has_hi = (start <= hi_k) & (hi_k < F.col("_cum"))
+    hit = x.filter(has_lo | has_hi)  # at most two rows per (group, p)
+    res = hit.groupBy(*by, "p").agg(
+        F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"), F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
+        F.first("_pos").alias("_pos"), F.first("_tot").alias("n"))
+    frac = F.col("_pos") - F.floor("_pos")
+    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
+    return res.select(*by, "p", q.alias("q"), "n", F.col("_vlo").alias("q_lo"), F.col("_vhi").alias("q_hi"),
+                      frac.alias("q_frac"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, *,
                     scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Linear-interpolated quantiles (numpy / pandas / DuckDB ``quantile_cont``
@@ -119,28 +144,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     any monotone transform of the values follows without another pass).
 
     Works on distinct values with counts (a value repeated a billion times is
-    one row); one pass over the running totals finds both neighbours of every
-    target rank.
+    one row).
     """
     by = list(by or [])
     v = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     d = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
     rt = running_totals(d, by, ["_v"], ["_c"], scale=scale)
-    pa = F.array(*[F.lit(float(p)) for p in probs])
-    x = (rt.select(*by, "_v", "_c", "cum__c", "tot__c", F.explode(pa).alias("p"))
-         .withColumn("_pos", (F.col("tot__c") - 1) * F.col("p")))
-    lo_k, hi_k = F.floor("_pos"), F.ceil("_pos")
-    start = F.col("cum__c") - F.col("_c")
-    has_lo = (start <= lo_k) & (lo_k < F.col("cum__c"))
-    has_hi = (start <= hi_k) & (hi_k < F.col("cum__c"))
-    hit = x.filter(has_lo | has_hi)  # at most two rows per (group, p)
-    res = hit.groupBy(*by, "p").agg(
-        F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"), F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
-        F.first("_pos").alias("_pos"), F.first("tot__c").alias("n"))
-    frac = F.col("_pos") - F.floor("_pos")
-    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
-    return res.select(*by, "p", q.alias("q"), "n", F.col("_vlo").alias("q_lo"), F.col("_vhi").alias("q_hi"),
-                      frac.alias("q_frac"))
+    return quantiles_from_running(rt, by, "_v", "_c", "cum__c", "tot__c", probs)
 
 
 def exact_rank(df: DataFrame, by: list[str], order: list[str], *, bucket_on: str | None = None,
