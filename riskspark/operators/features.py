@@ -141,6 +141,20 @@ def behaviour_features(df: DataFrame, *, uid: str = "uid", ts: str = "Transactio
 
 # --- column choice ---------------------------------------------------------------
 
+def select_columns(df: DataFrame, *, pattern: str | None = None, numeric_only: bool = False,
+                   keep: list[str] | None = None) -> DataFrame:
+    """Project ``keep`` plus the columns whose name matches a glob
+    ``pattern`` (e.g. ``id_*``) and, optionally, have a numeric type --
+    decided from the schema, so the scan reads only those columns."""
+    import fnmatch
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    keep = list(keep or [])
+    chosen = [c for c, t in df.dtypes
+              if c not in keep and (pattern is None or fnmatch.fnmatchcase(c, pattern))
+              and (not numeric_only or t in numeric or t.startswith("decimal"))]
+    return df.select(*keep, *chosen)
+
+
 def feature_candidates(columns: list[str]) -> list[str]:
     banned = set(config.LABEL_ONLY_COLUMNS) | set(config.ID_AND_TARGET_COLUMNS)
     wanted = config.BASE_FEATURES + [c for c in columns if c.startswith("id_")]

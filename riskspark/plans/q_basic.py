@@ -87,8 +87,7 @@ def p8(spark, sf):
 
 @register("p9_select_by_pattern", f"{T} select TransactionID, {r6('id_01')} as id_01, {r6('id_02')} as id_02, id_31 from t")
 def p9(spark, sf):
-    df = _txn(spark, sf)
-    return df.select("TransactionID", *[c for c in df.columns if c.startswith("id_")])
+    return FE.select_columns(_txn(spark, sf), pattern="id_*", keep=["TransactionID"])
 
 
 def _p10_sql():

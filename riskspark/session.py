@@ -39,7 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names its shared folder in ``spark.checkpoint.dir``; that wins.
     Only a local master may fall back to a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- a Connect session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
