@@ -166,7 +166,8 @@ def card_pass(df: DataFrame, *, key: str = "uid",
         sub_n = hot_rows.groupBy(key, "_sub").agg(F.count(F.lit(1)).alias("_sub_n"), *run_aggs)
         ws = Window.partitionBy(key).orderBy("_sub")  # over the sub-ranges of one card (bounded)
         prior = ws.rowsBetween(Window.unboundedPreceding, -1)
-        offs = {"_start": F.coalesce(F.sum("_sub_n").over(prior), F.lit(0)).cast("long")}
+        offs = {"_start": F.coalesce(F.sum("_sub_n").over(prior), F.lit(0)).cast("long"),
+                "_srank": F.row_number().over(ws)}  # rank among the card's non-empty sub-ranges
         for c in running:
             offs.update({f"_on_{c}": F.coalesce(F.sum(f"_tn_{c}").over(prior), F.lit(0)),
                          f"_os_{c}": F.coalesce(F.sum(f"_ts_{c}").over(prior), F.lit(0.0)),
@@ -183,10 +184,12 @@ def card_pass(df: DataFrame, *, key: str = "uid",
                  .filter(F.col("_rd") <= L)
                  .join(sub_start, [key, "_sub"])
                  .withColumn("_pos", F.col("_start") + F.col("_sub_n") - F.col("_rd")))
-        targets = sub_start.select(key, F.col("_sub").alias("_tsub"), F.col("_start").alias("_tstart"))
+        # the L rows before sub-range s lie in at most L earlier non-empty sub-ranges
+        targets = sub_start.select(key, F.col("_srank").alias("_trank"), F.col("_sub").alias("_tsub"),
+                                   F.col("_start").alias("_tstart"))
         ctx = (tails.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(L))))
-               .withColumn("_tsub", F.col("_sub") + F.col("_j"))
-               .join(targets, [key, "_tsub"])
+               .withColumn("_trank", F.col("_srank") + F.col("_j"))
+               .join(targets, [key, "_trank"])
                .filter(F.col("_pos") >= F.col("_tstart") - L)
                .select(*[c for c in need if c != "_sub"], F.col("_tsub").alias("_sub"),
                        F.lit(1).alias("_ctx")))

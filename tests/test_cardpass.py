@@ -83,3 +83,26 @@ def test_causal_running_stats_hot_equals_plain_and_brute_force(spark):
     pdf["s"] = g.cumsum() - pdf["TransactionAmt"]
     want = {r.TransactionID: (r.n, round(r.s, 6)) for r in pdf.itertuples()}
     assert all(want[t][0] == n and abs(want[t][1] - s) < 1e-6 for t, n, s, *_ in plain)
+
+
+def test_hot_path_with_gaps_between_sub_ranges(spark, monkeypatch):
+    """Sub-range numbers need not be consecutive: context rows are routed by
+    the rank of the non-empty sub-range."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    import riskspark.operators.cardpass as CP
+
+    def gapped(spark_, edges):
+        @pandas_udf("int")
+        def bucket(keys: pd.Series, values: pd.Series) -> pd.Series:
+            out = np.zeros(len(values), dtype=np.int32)
+            for k, idx in keys.groupby(keys).indices.items():
+                out[idx] = np.searchsorted(edges[k], values.to_numpy()[idx], side="right") * 5
+            return pd.Series(out)
+        return bucket
+
+    plain = _run(spark, ScaleConfig())
+    monkeypatch.setattr(CP, "_range_bucketer", gapped)
+    assert _run(spark, ScaleConfig(hot_key_rows=3, max_hot_keys=1000)) == plain
