@@ -286,11 +286,15 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     """encode -> behaviour -> choose -> winsorise -> card split ->
     train-median impute -> train standardise -> sequences.
 
+    Two ordered passes per card: the first yields per-row features (a narrow
+    table, checkpointed for the fits), the second collects the history of the
+    final transformed values.  Materialising the 10-step history before the
+    fits would write ~10x the feature data; a second narrow shuffle is cheaper.
+
     Returns ``(sequences, state, feature_cols)``; ``sequences`` has
     ``uid, TransactionID, label, split, hist_len, seq (array<array<float>>)``
     and ``state`` is the fitted ``(feature, stat, value)`` table.
-    One shuffle on ``uid``; the fitted statistics are aggregates over a
-    checkpointed frame.
+    The fitted statistics are aggregates over the checkpointed narrow frame.
 
     ``fit_on="all"`` (default) fits encoders, column choice and clip bounds on
     every row, as the reference does; ``fit_on="train"`` fits them on train
@@ -328,17 +332,18 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
         *[lenient_double(c).alias(f"_r_{c}") for c in id_cols])
     raw_cols = _RAW_FIXED + [f"_r_{c}" for c in id_cols]
     frame = card_pass(raw, key=uid, order=(ts, tie), row_number="txn_count_rolling",
-                      history=raw_cols, history_len=history_len,
                       card_aggs=[F.avg("_r_amt").alias("_amt_mu"), F.stddev_samp("_r_amt").alias("_amt_sd"),
                                  F.min(ts).alias("_dt_min"), F.max(label).cast("int").alias("_has_pos")],
                       scale=scale)
     id_slot = {c: 6 + i for i, c in enumerate(id_cols)}
     row_ctx = {"rownum": F.col("txn_count_rolling").cast("double"), "id_slot": id_slot}
     cands = feature_candidates(config.BASE_FEATURES + id_cols)
-    frame = frame.withColumns({
-        f"_f_{c}": finite_or_null(_feature_from_raw(c, lambda i: F.col(raw_cols[i]), row_ctx).cast("double"))
-        for c in cands})
-    frame = cut_lineage(frame)
+    # narrow per-row frame (keys + one value per candidate feature) is the only
+    # thing materialised for the fits; the wide history is never written here
+    frame = cut_lineage(frame.select(
+        uid, tie, ts, label, "_has_pos",
+        *[finite_or_null(_feature_from_raw(c, lambda i: F.col(raw_cols[i]), row_ctx).cast("double")).alias(f"_f_{c}")
+          for c in cands]))
 
     h = _hash_cols(frame, seed, uid)
     frame = h.withColumn("split", F.when(F.col(uid).isNull(), F.lit(None))
@@ -395,17 +400,19 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
         filled = F.coalesce(clip(finite_or_null(x), lo, hi), F.lit(meds[c]))
         return ((filled - F.lit(m)) / F.lit(s)).cast("float")
 
+    # second ordered pass over the narrow, final feature values: the history
+    # window reads them directly (a narrow shuffle instead of a wide checkpoint)
+    final = frame.filter(F.col(uid).isNotNull()).select(
+        uid, tie, ts, F.col(label).cast("int").alias("label"), "split",
+        *[transform_value(f"_f_{c}", F.col(f"_f_{c}")).alias(f"_z_{c}") for c in feats])
+    hist = card_pass(final, key=uid, order=(ts, tie), history=[f"_z_{c}" for c in feats],
+                     history_len=history_len, scale=scale)
     n = F.size("_hist")
-
-    def step(hv, j):
-        ctx = {"rownum": (F.col("txn_count_rolling") - n + j).cast("double"), "id_slot": id_slot}
-        return F.array(*[transform_value(f"_f_{c}", _feature_from_raw(c, lambda i: hv[i], ctx).cast("double"))
-                         for c in feats])
-
-    zero = F.array(*[F.lit(0.0).cast("float") for _ in feats])
-    seqs = (frame.filter(F.col(uid).isNotNull() & (n > 0))
-            .select(uid, tie, F.col(label).cast("int").alias("label"), "split", n.alias("hist_len"),
-                    F.concat(F.array_repeat(zero, F.lit(history_len) - n), F.transform("_hist", step)).alias("seq")))
+    zero = F.array(*[F.lit(0.0) for _ in feats])
+    seqs = (hist.filter(n > 0)
+            .select(uid, tie, "label", "split", n.alias("hist_len"),
+                    F.concat(F.array_repeat(zero, F.lit(history_len) - n), F.col("_hist"))
+                    .cast("array<array<float>>").alias("seq")))
     state_rows = []
     for c in feats:
         fc = f"_f_{c}"
