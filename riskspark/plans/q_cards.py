@@ -236,8 +236,8 @@ z as (select uid, TransactionID, TransactionDT, ato_proxy, split, {scaled} from
 h as (select uid, TransactionID, ato_proxy, split,
   flatten(list([{vec}]) over ({_W} rows between {_H} preceding and 1 preceding)) as fl from z)
 select uid, TransactionID, cast(ato_proxy as bigint) as label, split, cast(len(fl) / {len(_FEATS)} as bigint) as hist_len,
-  round(list_sum(list_transform(fl, lambda x: cast(x as double))), 3) as s_seq,
-  round(list_sum(list_transform(fl, lambda x, i: cast(x as double) * ({_H * len(_FEATS)} - len(fl) + i))), 2) as w_seq
+  round(list_sum(list_transform(fl, lambda x: cast(x as double))), 3) + 0.0::double as s_seq,
+  round(list_sum(list_transform(fl, lambda x, i: cast(x as double) * ({_H * len(_FEATS)} - len(fl) + i))), 2) + 0.0::double as w_seq
 from h where fl is not null and len(fl) > 0"""
 
 

@@ -24,7 +24,7 @@ def _curve(spark, sf):
 
 def r4(expr: str) -> str:
     """numpy-style 4-place rounding (half to even after scaling)."""
-    return f"round_even(({expr}) * 10000.0, 0) / 10000.0"
+    return f"(round_even(({expr}) * 10000.0, 0) / 10000.0 + 0.0::double)"
 
 
 CURVE_SQL = f"""with sp as {B.SCORE_PAIRS_SQL},

@@ -5,7 +5,9 @@ from riskspark.sources.bindings import TXN_SQL
 
 
 def r6(expr: str) -> str:
-    return f"round({expr}, 6)"
+    """6-place rounding; ``+ 0.0`` turns DuckDB's -0.0 into 0.0 (Spark's
+    decimal rounding never yields a negative zero)."""
+    return f"(round({expr}, 6) + 0.0::double)"
 
 
 T = f"with t as {TXN_SQL}"
