@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import simhash
+from riskspark.llm import decontam, langid, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_benchmark_decontamination(spark, sf_dir):
+    return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+
+
+SQL["op3_benchmark_decontamination"] = decontam.SQL
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.ranker(docs))
+
+
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, radius=4)
