@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import decontam, langid, simhash
+from riskspark.llm import decontam, langid, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,6 +37,11 @@ def op4_language_id(spark, sf_dir):
     return langid.identify(docs, langid.ranker(docs))
 
 
+@query
+def op9_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, size=4096)
+
+
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, radius=4)
