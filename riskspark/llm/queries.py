@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import decontam, langid, packing, simhash
+from riskspark.llm import decontam, langid, linededup, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,6 +37,11 @@ def op4_language_id(spark, sf_dir):
     return langid.identify(docs, langid.ranker(docs))
 
 
+@query
+def op8_line_dedup(spark, sf_dir):
+    return linededup.report(table(spark, sf_dir, "documents"), tau=2, shortest=20)
+
+
 @query
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, size=4096)
