@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskspark.llm import decontam, langid, linededup, packing, simhash
+from riskspark.llm import ann, chat, decontam, langid, linededup, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,6 +38,23 @@ def op4_language_id(spark, sf_dir):
     return langid.identify(docs, langid.ranker(docs))
 
 
+@query
+def op5_inverted_multi_index(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
+@query
+def op7_chat_formatting(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    convs = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    template = chat.Instruct()
+    return chat.read_back(chat.format_conversations(convs, template), template)
+
+
+SQL["op7_chat_formatting"] = chat.SQL
+
+
 @query
 def op8_line_dedup(spark, sf_dir):
     return linededup.report(table(spark, sf_dir, "documents"), tau=2, shortest=20)
