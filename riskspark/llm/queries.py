@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ann, chat, decontam, langid, linededup, packing, simhash
+from riskspark.llm import ann, chat, decontam, langid, linededup, packing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+SQL["op1_warc"] = warc.SQL
+
+
 @query
 def op3_benchmark_decontamination(spark, sf_dir):
     return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
