@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ann, chat, decontam, langid, linededup, packing, simhash, warc
+from riskspark.llm import ann, chat, decontam, langid, linededup, packing, quality, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op1_warc(spark, sf_dir):
 SQL["op1_warc"] = warc.SQL
 
 
+@query
+def op2_quality_classifier(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), mod=5, rest=0)
+
+
 @query
 def op3_benchmark_decontamination(spark, sf_dir):
     return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
