@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ann, chat, decontam, langid, linededup, packing, quality, simhash, warc
+from riskspark.llm import ann, chat, decontam, langid, linededup, packing, quality, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,6 +56,11 @@ def op5_inverted_multi_index(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), mod=4, rest=2)
+
+
 @query
 def op7_chat_formatting(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
