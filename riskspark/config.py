@@ -6,7 +6,7 @@ match; everything else is a tuning knob for large clusters.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- FIXED values (reference semantics) ------------------------------------
 RANDOM_SEED = 42
@@ -43,25 +43,11 @@ ID_AND_TARGET_COLUMNS = ["TransactionID", "uid", "isFraud", "ato_proxy"]
 
 @dataclass(frozen=True)
 class ScaleConfig:
-    """Knobs that only matter on big clusters.
+    """parts: range partitions that ordered operators (ranks, quantiles, curves,
+    card passes) lay their rows out in; None: ``spark.sql.shuffle.partitions``.
+    Results don't depend on it."""
 
-    hot_key_rows:     a card with more rows than this is split into ordered
-                      sub-ranges instead of one window partition.
-    max_hot_keys:     upper bound on the broadcast hot-card table; the row
-                      threshold is doubled until the hot set fits.
-    rows_per_bucket:  target distinct values per bucket in two-level running
-                      totals (ranks, quantiles, curves).
-    max_broadcast_rows: largest lookup table joined by broadcast.
-    quantile_accuracy: accuracy of the approximate sketch that only places
-                      bucket boundaries (results stay exact).
-    """
-
-    hot_key_rows: int = 2_000_000
-    max_hot_keys: int = 20_000
-    rows_per_bucket: int = 2_000_000
-    max_broadcast_rows: int = 5_000_000
-    quantile_accuracy: int = 20_000
-    extra: dict = field(default_factory=dict)
+    parts: int | None = None
 
 
 DEFAULT_SCALE = ScaleConfig()

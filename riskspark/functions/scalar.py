@@ -12,7 +12,7 @@ from riskspark import config
 __all__ = [
     "col_of", "lenient_double", "finite_or_null", "entity_key", "device_type_code",
     "proxy_flag", "hour_of_day", "day_bucket", "clip", "decide", "drift_band",
-    "epoch_seconds", "hash_unit", "hash_key", "round6", "as_flag", "np_round",
+    "epoch_seconds", "hash_unit", "hash_key", "as_flag", "np_round",
 ]
 
 
@@ -31,15 +31,20 @@ def finite_or_null(c) -> Column:
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None)).otherwise(c)
 
 
+#: Decimal text with an optional exponent: Java's parser also takes "1d" or "0x1p3".
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def lenient_double(c) -> Column:
-    """Unparsable -> NULL (``try_cast``), then non-finite -> NULL."""
-    return finite_or_null(col_of(c).try_cast("double"))
+    """Text that isn't a decimal number -> NULL, non-finite -> NULL."""
+    c = col_of(c)
+    text = (F.typeof(c) == "string") & ~c.cast("string").rlike(_NUMBER)  # constant false for other types
+    return finite_or_null(F.when(text, F.lit(None)).otherwise(c.try_cast("double")))
 
 
 def entity_key(card, addr) -> Column:
-    """``card + '_' + addr`` with a missing address printed as ``nan``."""
-    return F.concat_ws("_", col_of(card).cast("string"),
-                       F.coalesce(col_of(addr).cast("string"), F.lit("nan")))
+    """``card + '_' + addr``, a missing one printed as ``nan``."""
+    return F.concat_ws("_", *[F.coalesce(col_of(c).cast("string"), F.lit("nan")) for c in (card, addr)])
 
 
 def device_type_code(c) -> Column:
@@ -121,10 +126,6 @@ def hash_unit(seed, key) -> Column:
     return h / F.lit(float(16 ** 15))
 
 
-def round6(c) -> Column:
-    return F.round(col_of(c).cast("double"), 6)
-
-
 def np_round(c, digits: int) -> Column:
     """Numpy rounding -- scale, round half to even, unscale (so
     ``np_round(.12345, 4) = .1234``).  DuckDB twin:

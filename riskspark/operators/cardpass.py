@@ -1,64 +1,25 @@
 """One ordered pass over every card (entity) of a transaction table.
 
 All per-card operators (previous value, running number, history window,
-whole-card statistics) are produced here so the table is shuffled on the
-card key once.
-
-Skew: a single card may hold a large share of all rows.  Cards above a row
-threshold ("hot" cards) are cut into time-ordered sub-ranges; each
-sub-range is its own window partition and receives the last ``L`` rows of
-the sub-ranges before it as context rows, so lags, running numbers and
-history frames stay exact.  Whole-card statistics come from a grouped
-aggregate (map-side partial aggregation), never from a whole-card window.
+whole-card statistics) are produced here, on one path whatever a card's size.
+Rows are laid out once by range on (card, order) and written with the number of
+their range partition, so a card that holds a large share of all rows is divided
+like any other run of rows, and so are rows of one time and rows without a card.
+
+A window partition is one card's rows in one part.  At most one card crosses from
+a part to the next, so the cards of several parts are at most as many as parts;
+each of their later pieces gets the last ``L`` rows before it as context rows and
+its offsets from the pieces before, which keeps lags, running numbers, history
+frames and running statistics exact.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
-from riskspark.session import cut_lineage
-
-CARD_N = "_card_n"
-
-
-def hot_keys(stats: DataFrame, key: str, scale: ScaleConfig) -> DataFrame | None:
-    """Keys with more than ``hot_key_rows`` rows, as a table whose size is
-    checked: the threshold doubles until at most ``max_hot_keys`` remain."""
-    threshold = scale.hot_key_rows
-    while True:
-        hot = stats.filter(F.col(CARD_N) > threshold).select(key, CARD_N)
-        n = hot.count()
-        if n == 0:
-            return None
-        if n <= scale.max_hot_keys:
-            return hot
-        threshold *= 2
-
-
-def _range_bucketer(spark, edges: dict):
-    """pandas UDF: index of the sub-range of ``value`` for its key
-    (``searchsorted`` on that key's interior edges, ties go up)."""
-    bc = spark.sparkContext.broadcast(edges)
-
-    @pandas_udf("int")
-    def bucket(keys: pd.Series, values: pd.Series) -> pd.Series:
-        table = bc.value
-        out = np.zeros(len(values), dtype=np.int32)
-        vals = values.to_numpy()
-        for k, idx in keys.groupby(keys).indices.items():
-            e = table.get(k)
-            if e is not None and len(e):
-                out[idx] = np.searchsorted(e, vals[idx], side="right")
-        return pd.Series(out)
-
-    return bucket
+from riskspark.operators.ranks import PART, ascending, ordered_parts
 
 
 def card_pass(df: DataFrame, *, key: str = "uid",
@@ -68,7 +29,7 @@ def card_pass(df: DataFrame, *, key: str = "uid",
               history: list[str] | None = None,
               history_len: int = 10,
               history_col: str = "_hist",
-              card_aggs: list[Column] | None = None,
+              card_aggs: dict[str, Column] | None = None,
               running: list[str] | None = None,
               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Return ``df`` plus, per row:
@@ -77,135 +38,92 @@ def card_pass(df: DataFrame, *, key: str = "uid",
     * ``row_number``: 1, 2, 3 ... in card order;
     * ``history_col``: ``array<array<double>>`` of ``history`` columns of the
       up to ``history_len`` previous rows, oldest first;
-    * every ``card_aggs`` expression evaluated over the whole card, plus
-      ``_card_n``;
+    * ``card_aggs``: ``{out: aggregate}`` evaluated over the whole card;
     * for each ``running`` column ``c``, statistics of the *earlier* rows of
-      the card only: ``_rn_c`` (non-null count), ``_rs_c`` (sum), ``_rq_c``
-      (sum of squares), ``_rmax_c``, ``_rmin_c`` (causal whole-history stats).
+      the card only: ``_rn_c`` (non-null count), ``_rm_c`` (mean), ``_rsd_c``
+      (sample std), ``_rmax_c``, ``_rmin_c``.
 
+    ``order`` should be unique within a card; a null order value comes first.
     Rows with a null key get nulls (a null key is not a card).
     """
-    lags = lags or {}
-    card_aggs = card_aggs or []
-    running = running or []
-    spark = df.sparkSession
-    L = max(history_len if history else 1, 1)
-    order_cols = [F.col(c) for c in order]
-    base_cols = df.columns
-
-    nonnull = df.filter(F.col(key).isNotNull())
-    stats = cut_lineage(nonnull.groupBy(key).agg(F.count(F.lit(1)).alias(CARD_N), *card_aggs))
-    hot = hot_keys(stats, key, scale)
-
-    def window_exprs(w, ctx_col=None, start_col=None):
-        exprs = [F.lag(F.col(src), 1).over(w).alias(out) for out, src in lags.items()]
-        if row_number:
-            if ctx_col is None:
-                exprs.append(F.row_number().over(w).cast("long").alias(row_number))
-            else:
-                real = F.sum(1 - F.col(ctx_col)).over(
-                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                exprs.append((F.col(start_col) + real).cast("long").alias(row_number))
-        if history:
-            item = F.array(*[F.col(c).cast("double") for c in history])
-            exprs.append(F.collect_list(item).over(w.rowsBetween(-L, -1)).alias(history_col))
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        for c in running:
-            x = F.col(c).cast("double")
-            if ctx_col is not None:  # context rows are already in the sub-range offsets
-                x = F.when(F.col(ctx_col) == 0, x)
-            n_in = F.count(x).over(before)
-            s_in, q_in = F.sum(x).over(before), F.sum(x * x).over(before)
-            mx_in, mn_in = F.max(x).over(before), F.min(x).over(before)
-            if ctx_col is None:
-                exprs += [n_in.alias(f"_rn_{c}"), s_in.alias(f"_rs_{c}"), q_in.alias(f"_rq_{c}"),
-                          mx_in.alias(f"_rmax_{c}"), mn_in.alias(f"_rmin_{c}")]
-            else:
-                n_all = n_in + F.col(f"_on_{c}")
-                some = n_all > 0
-                exprs += [n_all.alias(f"_rn_{c}"),
-                          F.when(some, F.coalesce(s_in, F.lit(0.0)) + F.col(f"_os_{c}")).alias(f"_rs_{c}"),
-                          F.when(some, F.coalesce(q_in, F.lit(0.0)) + F.col(f"_oq_{c}")).alias(f"_rq_{c}"),
-                          F.greatest(mx_in, F.col(f"_omax_{c}")).alias(f"_rmax_{c}"),
-                          F.least(mn_in, F.col(f"_omin_{c}")).alias(f"_rmin_{c}")]
-        return exprs
-
-    # -- cold cards: one window partition per card ---------------------------
-    cold = nonnull if hot is None else nonnull.join(F.broadcast(hot.select(key)), key, "left_anti")
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    cold_out = cold.select(*base_cols, *window_exprs(w)).join(stats, key, "left")
-    parts = [cold_out]
-
-    # -- hot cards: ordered sub-ranges with carried context ---------------------
-    if hot is not None:
-        max_n = hot.agg(F.max(CARD_N)).first()[0]
-        n_sub = int(min(max(math.ceil(max_n / scale.hot_key_rows) * 4, 2), 4096))
-        probs = [i / n_sub for i in range(1, n_sub)]
-        hot_rows = nonnull.join(F.broadcast(hot.select(key)), key)
-        edge_rows = (hot_rows.groupBy(key)
-                     .agg(F.percentile_approx(order[0], probs, scale.quantile_accuracy).alias("e"))
-                     .collect())  # bounded: <= max_hot_keys x n_sub values
-        sizes = {r[key]: r[CARD_N] for r in hot.collect()}  # bounded: <= max_hot_keys rows
-        edges = {}
-        for r in edge_rows:  # each card gets the sub-ranges its own size needs
-            e = np.unique(np.asarray(r["e"], dtype=float))
-            want = max(math.ceil(sizes[r[key]] / scale.hot_key_rows) * 4, 2)
-            if len(e) >= want:
-                e = e[np.unique(np.linspace(0, len(e) - 1, want - 1).round().astype(int))]
-            edges[r[key]] = e
-        n_subs = sum(len(e) + 1 for e in edges.values())
-        bucket = _range_bucketer(spark, edges)
-        hot_rows = hot_rows.withColumn("_sub", bucket(F.col(key), F.col(order[0]).cast("double")))
-        hot_rows = cut_lineage(hot_rows)
-
-        run_aggs = []
-        for c in running:
-            x = F.col(c).cast("double")
-            run_aggs += [F.count(x).alias(f"_tn_{c}"), F.sum(x).alias(f"_ts_{c}"), F.sum(x * x).alias(f"_tq_{c}"),
-                         F.max(x).alias(f"_tmax_{c}"), F.min(x).alias(f"_tmin_{c}")]
-        sub_n = hot_rows.groupBy(key, "_sub").agg(F.count(F.lit(1)).alias("_sub_n"), *run_aggs)
-        ws = Window.partitionBy(key).orderBy("_sub")  # over the sub-ranges of one card (bounded)
-        prior = ws.rowsBetween(Window.unboundedPreceding, -1)
-        offs = {"_start": F.coalesce(F.sum("_sub_n").over(prior), F.lit(0)).cast("long"),
-                "_srank": F.row_number().over(ws)}  # rank among the card's non-empty sub-ranges
-        for c in running:
-            offs.update({f"_on_{c}": F.coalesce(F.sum(f"_tn_{c}").over(prior), F.lit(0)),
-                         f"_os_{c}": F.coalesce(F.sum(f"_ts_{c}").over(prior), F.lit(0.0)),
-                         f"_oq_{c}": F.coalesce(F.sum(f"_tq_{c}").over(prior), F.lit(0.0)),
-                         f"_omax_{c}": F.max(f"_tmax_{c}").over(prior),
-                         f"_omin_{c}": F.min(f"_tmin_{c}").over(prior)})
-        sub_start = sub_n.withColumns(offs)
-        if n_subs <= scale.max_broadcast_rows:  # one row per sub-range; size known from the edges
-            sub_start = F.broadcast(sub_start)
-
-        need = list(dict.fromkeys([key, "_sub", *order, *lags.values(), *(history or [])]))
-        wd = Window.partitionBy(key, "_sub").orderBy(*[F.col(c).desc() for c in order])
-        tails = (hot_rows.select(*need).withColumn("_rd", F.row_number().over(wd))
-                 .filter(F.col("_rd") <= L)
-                 .join(sub_start, [key, "_sub"])
-                 .withColumn("_pos", F.col("_start") + F.col("_sub_n") - F.col("_rd")))
-        # the L rows before sub-range s lie in at most L earlier non-empty sub-ranges
-        targets = sub_start.select(key, F.col("_srank").alias("_trank"), F.col("_sub").alias("_tsub"),
-                                   F.col("_start").alias("_tstart"))
-        ctx = (tails.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(L))))
-               .withColumn("_trank", F.col("_srank") + F.col("_j"))
-               .join(targets, [key, "_trank"])
-               .filter(F.col("_pos") >= F.col("_tstart") - L)
-               .select(*[c for c in need if c != "_sub"], F.col("_tsub").alias("_sub"),
-                       F.lit(1).alias("_ctx")))
-        off_cols = ["_start"] + [f"{p}_{c}" for c in running for p in ("_on", "_os", "_oq", "_omax", "_omin")]
-        both = (hot_rows.withColumn("_ctx", F.lit(0))
-                .unionByName(ctx, allowMissingColumns=True)
-                .join(sub_start.select(key, "_sub", *off_cols), [key, "_sub"]))
-        wh = Window.partitionBy(key, "_sub").orderBy(*order_cols)
-        hot_out = (both.select(*base_cols, "_ctx", *window_exprs(wh, "_ctx", "_start"))
-                   .filter(F.col("_ctx") == 0).drop("_ctx")
-                   .join(F.broadcast(stats.join(F.broadcast(hot.select(key)), key)), key))
-        parts.append(hot_out)
-
-    # -- rows without a key --------------------------------------------------
-    nulls = df.filter(F.col(key).isNull())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.unionByName(nulls, allowMissingColumns=True)
+    lags, card_aggs, running = lags or {}, card_aggs or {}, running or []
+    depth = max(history_len if history else 1, 1)
+    base = df.columns
+    d = ordered_parts(df, [key, *order], scale)
+
+    # cards that cross from a part to the next: one per part at most
+    ends = d.filter(F.col(key).isNotNull()).groupBy(PART).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    crossing = (ends.withColumn("next", F.lead("lo").over(Window.orderBy(PART)))
+                .filter(F.col("hi") == F.col("next")).select(F.col("hi").alias(key)).distinct())
+    rows = d.join(F.broadcast(crossing), key)
+
+    # their pieces (at most two per part and card) with the offsets of what comes before
+    piece_aggs = [F.count(F.lit(1)).alias("_n")]
+    for c in running:
+        x = F.col(c).cast("double")
+        piece_aggs += [F.count(x).alias(f"_n_{c}"), F.avg(x).alias(f"_m_{c}"),
+                       (F.var_pop(x) * F.count(x)).alias(f"_q_{c}"), F.max(x).alias(f"_x_{c}"), F.min(x).alias(f"_i_{c}")]
+    of_card = Window.partitionBy(key)
+    before = of_card.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = {"_start": F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"),
+               "_rank": F.row_number().over(of_card.orderBy(PART))}
+    for c in running:
+        # moments about the first piece's mean, which lies among the values: no cancellation
+        about = F.min_by(f"_m_{c}", F.when(F.col(f"_n_{c}") > 0, F.col(PART))).over(of_card)
+        off = F.col(f"_m_{c}") - about
+        n, s = F.col(f"_n_{c}"), F.sum(F.col(f"_n_{c}") * off).over(before)
+        q = F.sum(F.col(f"_q_{c}") + n * off * off).over(before)
+        n0 = F.coalesce(F.sum(n).over(before), F.lit(0))
+        offsets |= {f"_n0_{c}": n0, f"_m0_{c}": about + F.try_divide(s, n0), f"_q0_{c}": q - F.try_divide(s * s, n0),
+                    f"_x0_{c}": F.max(f"_x_{c}").over(before), f"_i0_{c}": F.min(f"_i_{c}").over(before)}
+    pieces = rows.groupBy(key, PART).agg(*piece_aggs).withColumns(offsets)
+
+    # context rows: the last rows before a piece lie in as many pieces before it at most
+    need = list(dict.fromkeys([key, *order, *lags.values(), *(history or [])]))
+    last = Window.partitionBy(key, PART).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    tails = (rows.select(*need, PART).withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= depth)
+             .join(F.broadcast(pieces.select(key, PART, "_n", "_start", "_rank")), [key, PART])
+             .select(*need, (F.col("_start") + F.col("_n") - F.col("_back")).alias("_at"),
+                     F.explode(F.sequence(F.col("_rank") + 1, F.col("_rank") + depth)).alias("_rank")))
+    context = (tails.join(F.broadcast(pieces.select(key, "_rank", PART, "_start")), [key, "_rank"])
+               .filter(F.col("_at") >= F.col("_start") - depth).select(*need, PART, F.lit(1).alias("_ctx")))
+
+    names = ["_start", *[f"{p}_{c}" for c in running for p in ("_n0", "_m0", "_q0", "_x0", "_i0")]]
+    carried = pieces.select(key, PART, *names)
+    if card_aggs:  # over all pieces of a crossing card
+        whole = rows.groupBy(key).agg(*[a.alias(f"_w_{name}") for name, a in card_aggs.items()])
+        carried = carried.join(F.broadcast(whole), key)
+    both = (d.withColumn("_ctx", F.lit(0)).unionByName(context, allowMissingColumns=True)
+            .join(F.broadcast(carried), [key, PART], "left"))
+
+    w = Window.partitionBy(key, PART).orderBy(*ascending(list(order)))
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    own = F.col("_ctx") == 0
+    out = {name: F.lag(src, 1).over(w) for name, src in lags.items()}
+    if row_number:
+        seen = F.sum(1 - F.col("_ctx")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        out[row_number] = (F.coalesce("_start", F.lit(0)) + seen).cast("long")
+    if history:
+        item = F.array(*[F.col(c).cast("double") for c in history])
+        out[history_col] = F.collect_list(item).over(w.rowsBetween(-depth, -1))
+    for name, a in card_aggs.items():  # a card of one piece has no context rows
+        out[name] = F.when(F.col("_start").isNull(), a.over(Window.partitionBy(key, PART))).otherwise(F.col(f"_w_{name}"))
+    for c in running:
+        out |= _running(F.when(own, F.col(c).cast("double")), c, earlier)
+    known = F.col(key).isNotNull()
+    kept = [F.when(known, e).alias(name) for name, e in out.items()]
+    return both.select(*base, "_ctx", *kept).filter(F.col("_ctx") == 0).drop("_ctx")
+
+
+def _running(x: Column, c: str, earlier) -> dict[str, Column]:
+    """Statistics of the earlier rows: those of this piece merged with the offsets."""
+    n1, m1, q1 = F.count(x).over(earlier), F.avg(x).over(earlier), F.var_pop(x).over(earlier)
+    n0, m0, q0 = F.coalesce(F.col(f"_n0_{c}"), F.lit(0)), F.col(f"_m0_{c}"), F.col(f"_q0_{c}")
+    n, gap = n0 + n1, m1 - m0
+    mean = F.when(n0 == 0, m1).when(n1 == 0, m0).otherwise(m0 + gap * n1 / n)
+    q = F.when(n0 == 0, q1 * n1).when(n1 == 0, q0).otherwise(q0 + q1 * n1 + gap * gap * n0 * n1 / n)
+    sd = F.when(n0 == 0, F.stddev_samp(x).over(earlier)).otherwise(F.sqrt(F.greatest(F.try_divide(q, n - 1), F.lit(0.0))))
+    hi, lo = F.greatest(F.max(x).over(earlier), F.col(f"_x0_{c}")), F.least(F.min(x).over(earlier), F.col(f"_i0_{c}"))
+    # one value, or equal ones, have no spread at all
+    sd = F.when(n < 2, F.lit(None)).when(hi == lo, F.lit(0.0)).otherwise(sd)
+    return {f"_rn_{c}": n, f"_rm_{c}": mean, f"_rsd_{c}": sd, f"_rmax_{c}": hi, f"_rmin_{c}": lo}

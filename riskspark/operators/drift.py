@@ -15,19 +15,28 @@ from riskspark.operators.ranks import quantiles_from_running, running_totals
 from riskspark.session import cut_lineage
 
 
-def _side_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
+def _both(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    return (ref.select("feature", "value", F.lit(True).alias("is_ref"))
+            .unionByName(cur.select("feature", "value", F.lit(False).alias("is_ref"))))
+
+
+def _side_counts(rows: DataFrame) -> DataFrame:
     """The one pass over the raw rows: ``(feature, value) -> r, c`` counts of
     each side (a null value row holds the null counts)."""
-    sides = (ref.select("feature", F.col("value").cast("double").alias("value"), F.lit(1).alias("r"), F.lit(0).alias("c"))
-             .unionByName(cur.select("feature", F.col("value").cast("double").alias("value"),
-                                     F.lit(0).alias("r"), F.lit(1).alias("c"))))
-    return sides.groupBy("feature", "value").agg(F.sum("r").cast("long").alias("r"), F.sum("c").cast("long").alias("c"))
+    r = F.col("is_ref").cast("long")
+    return (rows.groupBy("feature", F.col("value").cast("double").alias("value"))
+            .agg(F.sum(r).alias("r"), F.sum(1 - r).alias("c")))
 
 
 def drift_stats(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
                 scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """D1 + D2 per feature from long ``(feature, value)`` rows of both sides:
-    ``feature, psi, ks, n_ref, n_cur, n_null``.
+    ``feature, psi, ks, n_ref, n_cur, n_null``."""
+    return drift_of(_both(ref, cur), bins, scale)
+
+
+def drift_of(rows: DataFrame, bins: int = config.PSI_BINS, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """The same from ``(feature, value, is_ref)`` rows.
 
     One scan of the raw rows (distinct value counts per side), one set of
     distributed running totals over the distinct values; from it the
@@ -37,8 +46,8 @@ def drift_stats(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
     sum((c - r) ln(c / r)); a constant reference gives 0.  Nulls are dropped
     and counted in ``n_null``.
     """
-    spark = ref.sparkSession
-    counts = cut_lineage(_side_counts(ref, cur))
+    spark = rows.sparkSession
+    counts = cut_lineage(_side_counts(rows))
     nulls = counts.filter(F.col("value").isNull()).select("feature", (F.col("r") + F.col("c")).alias("n_null"))
     d = counts.filter(F.col("value").isNotNull())
     rt = cut_lineage(running_totals(d, ["feature"], ["value"], ["r", "c"], scale=scale))
@@ -83,7 +92,12 @@ def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
 def ks_table(ref: DataFrame, cur: DataFrame, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """D2 per feature: max |F_ref(x) - F_cur(x)| over all observed x
     (right-continuous empirical CDFs)."""
-    counts = _side_counts(ref, cur).filter(F.col("value").isNotNull())
+    return ks_of(_both(ref, cur), scale)
+
+
+def ks_of(rows: DataFrame, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """The same from ``(feature, value, is_ref)`` rows."""
+    counts = _side_counts(rows).filter(F.col("value").isNotNull())
     rt = running_totals(counts, ["feature"], ["value"], ["r", "c"], scale=scale)
     gap = F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))
     return rt.groupBy("feature").agg(F.max(gap).alias("ks"))
@@ -94,7 +108,12 @@ def drift_report(reference: DataFrame, current: DataFrame, features: list[str],
     """D3: ``feature, psi, ks, drift`` sorted by PSI descending."""
     ref = unpivot_features(reference, features)
     cur = unpivot_features(current, features)
-    rep = drift_stats(ref, cur, bins, scale)
+    return report_of(_both(ref, cur), bins, scale)
+
+
+def report_of(rows: DataFrame, bins: int = config.PSI_BINS, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """The same from ``(feature, value, is_ref)`` rows."""
+    rep = drift_of(rows, bins, scale)
     return rep.select("feature", "psi", "ks", drift_band("psi").alias("drift")).orderBy(F.col("psi").desc())
 
 

@@ -26,8 +26,8 @@ def curve(scores: DataFrame, *, model: str = "model", label: str = "label", scor
           scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """E5/E6 points: per model and distinct score ``t`` (predict ``score >= t``):
     ``p, n`` rows at t, ``tp, fp`` at the cut, ``P, N``, precision, recall,
-    tpr, fpr."""
-    pts = (scores.groupBy(model, score)
+    tpr, fpr.  Rows without a score or a label can't be ranked and are left out."""
+    pts = (scores.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(model, score)
            .agg(F.sum(F.col(label).cast("long")).alias("p"), F.count(F.lit(1)).alias("_c"))
            .withColumn("n", F.col("_c") - F.col("p")).drop("_c"))
     rt = running_totals(pts, [model], [score], ["p", "n"], scale=scale)
@@ -43,21 +43,29 @@ def curve(scores: DataFrame, *, model: str = "model", label: str = "label", scor
             .withColumn("fpr", _div0(F.col("fp"), F.col("neg_total"))))
 
 
+def _auc() -> Column:
+    num = F.sum(F.col("n") * (F.col("tp_above") + F.col("p") / 2.0))
+    pairs = F.first("pos_total").cast("double") * F.first("neg_total")  # as a long it can overflow
+    return F.try_divide(num, pairs)
+
+
+def _ap() -> Column:
+    return F.try_divide(F.sum(F.col("p") * F.col("precision")), F.first("pos_total"))
+
+
 def roc_auc(c: DataFrame, model: str = "model") -> DataFrame:
     """Pairs ranked right, ties count half."""
-    num = F.sum(F.col("n") * (F.col("tp_above") + F.col("p") / 2.0))
-    return c.groupBy(model).agg(F.try_divide(num, F.first("pos_total") * F.first("neg_total")).alias("roc_auc"))
+    return c.groupBy(model).agg(_auc().alias("roc_auc"))
 
 
 def average_precision(c: DataFrame, model: str = "model") -> DataFrame:
     """Step sum over thresholds of (recall gain) x precision."""
-    return c.groupBy(model).agg(F.try_divide(F.sum(F.col("p") * F.col("precision")), F.first("pos_total")).alias("pr_auc"))
+    return c.groupBy(model).agg(_ap().alias("pr_auc"))
 
 
 def score_table(c: DataFrame, model: str = "model") -> DataFrame:
     """ROC-AUC and average precision per model, 4 decimals."""
-    t = roc_auc(c, model).join(average_precision(c, model), model)
-    return t.select(model, np_round("roc_auc", 4).alias("roc_auc"), np_round("pr_auc", 4).alias("pr_auc"))
+    return c.groupBy(model).agg(np_round(_auc(), 4).alias("roc_auc"), np_round(_ap(), 4).alias("pr_auc"))
 
 
 def _prf(tp: Column, fp: Column, P: Column) -> tuple[Column, Column, Column]:
@@ -86,36 +94,43 @@ def threshold_sweep(scores: DataFrame, thresholds=config.SWEEP_THRESHOLDS, *, mo
                        np_round(_div0(F.col("fp"), F.col("neg_total")), digits).alias("fpr"))
 
 
-def _operating_point(c: DataFrame, chosen: DataFrame, model: str) -> DataFrame:
-    """Metrics and confusion matrix at a chosen threshold per model."""
-    j = c.join(chosen, [model, "threshold"])
-    prec, rec, f1 = _prf(F.col("tp"), F.col("fp"), F.col("pos_total"))
-    return j.select(model, np_round("threshold", 4).alias("threshold"), np_round(prec, 4).alias("precision"),
-                    np_round(rec, 4).alias("recall"), np_round(f1, 4).alias("f1"),
-                    (F.col("neg_total") - F.col("fp")).alias("tn"), F.col("fp"),
-                    (F.col("pos_total") - F.col("tp")).alias("fn"),
-                    F.col("tp"))
+_POINT = ("threshold", "tp", "fp", "pos_total", "neg_total")
+
+
+def best_f1_point() -> Column:
+    """Aggregate: the curve point of the largest 2PR/(P+R+1e-9), the lowest
+    threshold on ties."""
+    f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + config.F1_EPS)
+    return F.min_by(F.struct(*_POINT), F.struct((-f1).alias("a"), F.col("threshold").alias("b")))
+
+
+def recall_point(target: float) -> Column:
+    """Aggregate: the curve point of the highest threshold whose recall reaches
+    ``target``, null when none does."""
+    return F.max_by(F.struct(*_POINT), F.when(F.col("recall") >= target, F.col("threshold")))
+
+
+def _operating_point(point: str) -> list[Column]:
+    """Metrics and confusion matrix at a chosen curve point."""
+    tp, fp, pos, neg = (F.col(f"{point}.{c}") for c in _POINT[1:])
+    prec, rec, f1 = _prf(tp, fp, pos)
+    rows = {"threshold": np_round(f"{point}.threshold", 4), "precision": np_round(prec, 4), "recall": np_round(rec, 4),
+            "f1": np_round(f1, 4), "tn": neg - fp, "fp": fp, "fn": pos - tp, "tp": tp}
+    return [F.when(F.col(point).isNotNull(), v).alias(k) for k, v in rows.items()]
 
 
 def best_f1(c: DataFrame, model: str = "model") -> DataFrame:
     """Threshold maximising 2PR/(P+R+1e-9), lowest threshold on ties;
     metrics recomputed there (``score >= t``)."""
-    f1c = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + config.F1_EPS)
-    chosen = (c.withColumn("_f1", f1c).groupBy(model)
-              .agg(F.min_by("threshold", F.struct((-F.col("_f1")).alias("a"), F.col("threshold").alias("b")))
-                   .alias("threshold")))
-    return _operating_point(c, chosen, model)
+    return c.groupBy(model).agg(best_f1_point().alias("_pt")).select(model, *_operating_point("_pt"))
 
 
 def recall_target(c: DataFrame, target: float = 0.90, model: str = "model") -> DataFrame:
     """Highest threshold whose recall reaches ``target``;
     ``reachable = 0`` (metrics null) when none does."""
-    chosen = c.groupBy(model).agg(F.max(F.when(F.col("recall") >= target, F.col("threshold"))).alias("threshold"))
-    op = _operating_point(c, chosen.filter(F.col("threshold").isNotNull()), model)
-    return (chosen.select(model).join(op, model, "left")
-            .select(model, F.lit(float(target)).alias("target_recall"),
-                    F.col("threshold").isNotNull().cast("int").alias("reachable"),
-                    "threshold", "precision", "recall", "f1"))
+    op = c.groupBy(model).agg(recall_point(target).alias("_pt"))
+    return op.select(model, F.lit(float(target)).alias("target_recall"), F.col("_pt").isNotNull().cast("int").alias("reachable"),
+                     *_operating_point("_pt")).select(model, "target_recall", "reachable", "threshold", "precision", "recall", "f1")
 
 
 def confusion(scores: DataFrame, threshold: float = 0.5, *, model: str = "model", label: str = "label",
@@ -182,30 +197,30 @@ def evaluation_report(scores: DataFrame, *, model: str = "model", target: float
     """Sizes + E3 + E4 + E7 + E8 as one long table
     ``(model, section, key, value)``, ready for the JSON sink."""
     c = curve(scores, model=model, scale=scale)
-    sizes = scores.groupBy(model).agg(F.count(F.lit(1)).cast("double").alias("test_size"),
-                                      F.sum("label").cast("double").alias("test_positives"))
-    parts = [
-        sizes.select(model, F.lit("sizes").alias("section"),
-                     F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value"))
-                                        for k in ("test_size", "test_positives")]))),
-        score_table(c, model).select(model, F.lit("model_scores").alias("section"),
-                                     F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value"))
-                                                        for k in ("roc_auc", "pr_auc")]))),
-    ]
-    sw = threshold_sweep(scores, model=model)
-    parts.append(sw.select(model, F.lit("threshold_sweep").alias("section"),
-                           F.inline(F.array(*[F.struct(F.concat(F.lit(m + "@"), F.format_number("threshold", 1)).alias("key"),
-                                                       F.col(m).alias("value"))
-                                              for m in ("precision", "recall", "f1")]))))
-    bf = best_f1(c, model)
-    parts.append(bf.select(model, F.lit("best_f1").alias("section"),
-                           F.inline(F.array(*[F.struct(F.lit(m).alias("key"), F.col(m).cast("double").alias("value"))
-                                              for m in ("threshold", "precision", "recall", "f1", "tn", "fp", "fn", "tp")]))))
-    rt = recall_target(c, target, model)
-    parts.append(rt.select(model, F.lit(f"at_recall_{target:.2f}").alias("section"),
-                           F.inline(F.array(*[F.struct(F.lit(m).alias("key"), F.col(m).cast("double").alias("value"))
-                                              for m in ("reachable", "threshold", "precision", "recall", "f1")]))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    one = (c.groupBy(model).agg(np_round(_auc(), 4).alias("roc_auc"), np_round(_ap(), 4).alias("pr_auc"),
+                                best_f1_point().alias("_f1"), recall_point(target).alias("_rt")))
+    hits = []
+    for i, t in enumerate(config.SWEEP_THRESHOLDS):
+        hit = F.col("score") >= F.lit(float(t))
+        hits += [F.sum(F.when(hit, F.col("label")).otherwise(0)).cast("long").alias(f"_tp{i}"),
+                 F.sum(F.when(hit, 1).otherwise(0)).cast("long").alias(f"_pp{i}")]
+    # a model without any ranked row still has its sizes
+    per = scores.groupBy(F.col(model).alias("_m")).agg(
+        F.count(F.lit(1)).cast("double").alias("test_size"), F.sum("label").cast("double").alias("test_positives"), *hits)
+    j = per.join(one, per["_m"].eqNullSafe(one[model]), "left")
+
+    def item(section: str, key: str, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), value.cast("double").alias("value"))
+
+    items = [item("sizes", k, F.col(k)) for k in ("test_size", "test_positives")]
+    items += [item("model_scores", k, F.col(k)) for k in ("roc_auc", "pr_auc")]
+    for i, t in enumerate(config.SWEEP_THRESHOLDS):
+        tp = F.col(f"_tp{i}")
+        prf = _prf(tp, F.col(f"_pp{i}") - tp, F.col("test_positives"))
+        items += [item("threshold_sweep", f"{m}@{float(t):.1f}", np_round(v, 4)) for m, v in zip(("precision", "recall", "f1"), prf)]
+    names = ("threshold", "precision", "recall", "f1", "tn", "fp", "fn", "tp")
+    items += [item("best_f1", m, v) for m, v in zip(names, _operating_point("_f1"))]
+    at = f"at_recall_{target:.2f}"
+    items += [item(at, "reachable", F.col("_rt").isNotNull())]
+    items += [item(at, m, v) for m, v in zip(names[:4], _operating_point("_rt"))]
+    return j.select(F.col("_m").alias(model), F.inline(F.array(*items)))

@@ -23,72 +23,39 @@ from riskspark.session import cut_lineage
 
 # --- lookups -----------------------------------------------------------------
 
-def lookup_join(df: DataFrame, table: DataFrame, key: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """Left join a one-row-per-key table: broadcast when its counted size is
-    within ``max_broadcast_rows``, otherwise a shuffle join (AQE splits
-    skewed partitions)."""
-    table = cut_lineage(table)  # computed once; the count below is cheap
-    n = table.count()
-    side = F.broadcast(table) if n <= scale.max_broadcast_rows else table
-    return df.join(side, key, "left")
-
-
-def string_order_key(c) -> Column:
-    """Numeric key monotone in binary string order (first 7 UTF-8 bytes);
-    places bucket boundaries when ranking strings."""
-    hx = F.rpad(F.substring(F.hex(F.encode(F.col(c), "UTF-8")), 1, 14), 14, "0")
-    return F.conv(hx, 16, 10).cast("long")
-
-
-LITERAL_MAX = 10_000  # lookup tables up to this many keys become a literal map (no join)
-
-
-def _small_lookup(table: DataFrame, key: str, value: str) -> Column | None:
-    """A literal ``key -> value`` map when the table has at most
-    ``LITERAL_MAX`` rows (checked with a bounded ``limit``), else None."""
-    rows = table.select(key, value).limit(LITERAL_MAX + 1).collect()
-    if len(rows) > LITERAL_MAX:
-        return None
-    if not rows:
-        return F.create_map().cast(f"map<{table.schema[key].dataType.simpleString()},"
-                                   f"{table.schema[value].dataType.simpleString()}>")
-    return F.create_map(*[F.lit(x) for r in rows for x in (r[key], r[value])])
-
-
-def frequency_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE,
-                     fit_df: DataFrame | None = None) -> DataFrame:
+def lookup_join(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join a one-row-per-key table.  No hint: AQE broadcasts the table when
+    its measured bytes are within ``spark.sql.autoBroadcastJoinThreshold`` and
+    otherwise splits skewed keys of a shuffle join.  Null keys match nothing and
+    are spread over the shuffle instead of meeting in one partition."""
+    salt = F.when(F.col(key).isNull(), F.monotonically_increasing_id() % 4096).otherwise(0)
+    side = table.withColumnRenamed(key, "_key").withColumn("_side", F.lit(0).cast("long"))
+    left = df.withColumn("_salt", salt.cast("long"))
+    return left.join(side, (left[key] == side["_key"]) & (left["_salt"] == side["_side"]), "left").drop("_salt", "_side", "_key")
+
+
+def frequency_encode(df: DataFrame, col: str, out: str, fit_df: DataFrame | None = None) -> DataFrame:
     """value -> number of rows holding it (null / unseen -> 0), counted
-    on ``fit_df`` (default ``df``).  A grouped count plus a lookup (literal
-    map when small, else a checked join); never a window on the value."""
+    on ``fit_df`` (default ``df``).  A grouped count plus a lookup join;
+    never a window on the value."""
     src = df if fit_df is None else fit_df
     freq = src.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(out))
-    m = _small_lookup(freq, col, out)
-    if m is not None:
-        return df.withColumn(out, F.coalesce(F.element_at(m, F.col(col)), F.lit(0)).cast("long"))
-    return lookup_join(df, freq, col, scale).withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
+    return lookup_join(df, freq, col).withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 
 def ordinal_codes(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """F2 state: sorted distinct non-null values -> 0..k-1 (distributed rank)."""
-    vals = df.filter(F.col(col).isNotNull()).select(col).distinct().withColumn("_ok", string_order_key(col))
-    r = exact_rank(vals, [], ["_ok", col], bucket_on="_ok", scale=scale)
-    return r.select(col, (F.col("rank") - 1).alias(out))
+    """F2 state: sorted distinct non-null values -> 0..k-1, in the order of the
+    column's own type (numbers by value, strings by bytes)."""
+    vals = df.filter(F.col(col).isNotNull()).select(col).distinct()
+    return exact_rank(vals, [], [col], scale=scale).select(col, (F.col("rank") - 1).alias(out))
 
 
 def ordinal_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE,
                    fit_df: DataFrame | None = None) -> DataFrame:
-    """category code in sorted (binary string) order over the values of
-    ``fit_df`` (default ``df``); null or unseen -> -1."""
-    src = df if fit_df is None else fit_df
-    vals = src.filter(F.col(col).isNotNull()).select(col).distinct()
-    few = vals.limit(LITERAL_MAX + 1).collect()
-    if len(few) <= LITERAL_MAX:
-        ordered = sorted((r[col] for r in few), key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
-        m = F.create_map(*[F.lit(x) for i, v in enumerate(ordered) for x in (v, i)]) if ordered else None
-        code = F.element_at(m, F.col(col)) if m is not None else F.lit(None)
-        return df.withColumn(out, F.coalesce(code, F.lit(-1)).cast("long"))
-    codes = ordinal_codes(src, col, out, scale)
-    return lookup_join(df, codes, col, scale).withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("long"))
+    """category code in sorted order over the values of ``fit_df`` (default
+    ``df``); null or unseen -> -1."""
+    codes = ordinal_codes(df if fit_df is None else fit_df, col, out, scale)
+    return lookup_join(df, codes, col).withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("long"))
 
 
 def encode_categoricals(df: DataFrame, *, device_type: str = "DeviceType", device_info: str = "DeviceInfo",
@@ -99,7 +66,7 @@ def encode_categoricals(df: DataFrame, *, device_type: str = "DeviceType", devic
     if device_type in df.columns:
         out = out.withColumn(f"{device_type}_enc", device_type_code(device_type).cast("long"))
     if device_info in df.columns:
-        out = frequency_encode(out, device_info, f"{device_info}_enc", scale, fit_df=fit_df)
+        out = frequency_encode(out, device_info, f"{device_info}_enc", fit_df=fit_df)
     for c in cards:
         if c in df.columns:
             out = ordinal_encode(out, c, f"{c}_enc", scale, fit_df=fit_df)
@@ -122,17 +89,11 @@ def behaviour_features(df: DataFrame, *, uid: str = "uid", ts: str = "Transactio
     (mean / sample std of the history; none yet -> null, one row -> std 1).
     """
     amt = lenient_double(amount)
+    whole = {} if causal else {"_amt_mu": F.avg("_amt"), "_amt_sd": F.stddev_samp("_amt")}
     out = card_pass(df.withColumn("_amt", amt), key=uid, order=(ts, tie), row_number="txn_count_rolling",
-                    card_aggs=[F.min(ts).alias("_dt_min")] + ([] if causal else [
-                        F.avg("_amt").alias("_amt_mu"), F.stddev_samp("_amt").alias("_amt_sd")]),
-                    running=["_amt"] if causal else None, scale=scale)
+                    card_aggs={"_dt_min": F.min(ts)} | whole, running=["_amt"] if causal else None, scale=scale)
     if causal:
-        n, s1, s2 = F.col("_rn__amt"), F.col("_rs__amt"), F.col("_rq__amt")
-        var = F.try_divide(s2 - s1 * s1 / n, n - 1)
-        out = out.withColumns({"_amt_mu": F.try_divide(s1, n),
-                               "_amt_sd": F.when(n < 2, F.lit(None))
-                               .when(F.col("_rmax__amt") == F.col("_rmin__amt"), F.lit(0.0))  # exact 0 spread
-                               .otherwise(F.sqrt(F.greatest(var, F.lit(0.0))))})
+        out = out.withColumns({"_amt_mu": F.col("_rm__amt"), "_amt_sd": F.col("_rsd__amt")})
     return (out.withColumn("amt_deviation", amount_deviation(F.col("_amt"), F.col("_amt_mu"), F.col("_amt_sd")))
             .withColumn("account_age_dt", F.col(ts) - F.col("_dt_min"))
             .withColumn("hour_of_day", hour_of_day(ts))
@@ -308,7 +269,7 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     # R1 without joining the big frame: per stratum, the hash of the last test card
     cards = (labeled.filter(F.col(uid).isNotNull()).groupBy(uid)
              .agg(F.max(label).cast("int").alias("has_pos")))
-    ranked = exact_rank(_hash_cols(cards, seed, uid), ["has_pos"], ["_h", uid], bucket_on="_h1", scale=scale)
+    ranked = exact_rank(_hash_cols(cards, seed, uid), ["has_pos"], ["_h", uid], scale=scale)
     cut = {r["has_pos"]: (r["_h"], r[uid]) for r in ranked.filter(
         F.col("rank") == F.round(F.lit(test_size) * F.col("group_n"))).collect()}  # <= 2 rows
 
@@ -332,8 +293,8 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
         *[lenient_double(c).alias(f"_r_{c}") for c in id_cols])
     raw_cols = _RAW_FIXED + [f"_r_{c}" for c in id_cols]
     frame = card_pass(raw, key=uid, order=(ts, tie), row_number="txn_count_rolling",
-                      card_aggs=[F.avg("_r_amt").alias("_amt_mu"), F.stddev_samp("_r_amt").alias("_amt_sd"),
-                                 F.min(ts).alias("_dt_min"), F.max(label).cast("int").alias("_has_pos")],
+                      card_aggs={"_amt_mu": F.avg("_r_amt"), "_amt_sd": F.stddev_samp("_r_amt"),
+                                 "_dt_min": F.min(ts), "_has_pos": F.max(F.col(label).cast("int"))},
                       scale=scale)
     id_slot = {c: 6 + i for i, c in enumerate(id_cols)}
     row_ctx = {"rownum": F.col("txn_count_rolling").cast("double"), "id_slot": id_slot}

@@ -21,27 +21,20 @@ LABEL_OUTPUTS = ["prev_device", "device_changed", "is_proxy", "signal_device",
                  "signal_count", "ato_proxy"]
 
 
-def session_stats_aggs(cols: list[str]) -> list:
-    """Whole-card count / mean / sample std / spread of each session value."""
-    aggs = []
+def session_stats_aggs(cols: list[str]) -> dict:
+    """Whole-card count / mean / sample std / extremes of each session value."""
+    aggs = {}
     for c in cols:
         v = F.col(f"_v_{c}")
-        aggs += [F.count(v).alias(f"_cnt_{c}"), F.avg(v).alias(f"_mu_{c}"),
-                 F.stddev_samp(v).alias(f"_sd_{c}"),
-                 (F.max(v) > F.min(v)).alias(f"_spread_{c}")]
+        aggs |= {f"_cnt_{c}": F.count(v), f"_mu_{c}": F.avg(v), f"_sd_{c}": F.stddev_samp(v),
+                 f"_max_{c}": F.max(v), f"_min_{c}": F.min(v)}
     return aggs
 
 
 def causal_stats(src: str, c: str) -> dict:
-    """Count / mean / sample std / spread of the earlier rows (from the
-    running sums of ``card_pass``), named like ``session_stats_aggs``."""
-    n, s, q = F.col(f"_rn_{src}"), F.col(f"_rs_{src}"), F.col(f"_rq_{src}")
-    var = F.try_divide(q - s * s / n, n - 1)
-    return {f"_cnt_{c}": n, f"_mu_{c}": F.try_divide(s, n),
-            f"_sd_{c}": F.when(n < 2, F.lit(None))
-            .when(F.col(f"_rmax_{src}") == F.col(f"_rmin_{src}"), F.lit(0.0))  # exact 0 spread
-            .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))),
-            f"_spread_{c}": F.col(f"_rmax_{src}") > F.col(f"_rmin_{src}")}
+    """The same of the earlier rows (running statistics of ``card_pass``)."""
+    return {f"_{a}_{c}": F.col(f"_{b}_{src}")
+            for a, b in (("cnt", "rn"), ("mu", "rm"), ("sd", "rsd"), ("max", "rmax"), ("min", "rmin"))}
 
 
 def session_anomaly(cols: list[str]):
@@ -52,7 +45,7 @@ def session_anomaly(cols: list[str]):
     for c in cols:
         z = F.try_divide(F.col(f"_v_{c}") - F.col(f"_mu_{c}"), F.col(f"_sd_{c}"))
         flags.append((F.abs(z) > config.SESSION_Z) & (F.col(f"_cnt_{c}") >= config.SESSION_MIN_COUNT)
-                     & (F.col(f"_sd_{c}") > 0) & F.col(f"_spread_{c}"))
+                     & (F.col(f"_sd_{c}") > 0) & (F.col(f"_max_{c}") > F.col(f"_min_{c}")))
     return as_flag(reduce(lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)), flags))
 
 
@@ -63,7 +56,7 @@ def label_transactions(txn: DataFrame, *, uid: str = "uid", ts: str = "Transacti
                        scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Add the three signals, their count and ``ato_proxy``.
 
-    One shuffle on ``uid`` (plus a map-side aggregate for the card spreads).
+    One ordered pass per card.
     ``causal=True`` judges each session value only against the card's
     earlier rows (the reference uses the whole card, future included).
     """
@@ -72,7 +65,7 @@ def label_transactions(txn: DataFrame, *, uid: str = "uid", ts: str = "Transacti
     df = txn.select("*", *[lenient_double(c).alias(f"_v_{c}") for c in cols])
     df = card_pass(df, key=uid, order=(ts, tie),
                    lags={"prev_device": device, "prev_dt": ts},
-                   card_aggs=[] if causal else session_stats_aggs(cols),
+                   card_aggs=None if causal else session_stats_aggs(cols),
                    running=[f"_v_{c}" for c in cols] if causal else None, scale=scale)
     if causal:
         df = df.withColumns({k: v for c in cols for k, v in causal_stats(f"_v_{c}", c).items()})

@@ -1,134 +1,86 @@
 """Ordered running totals, exact quantiles and exact ranks without a
-single-partition window.
+single-partition window, on one path whatever the size.
 
-Two levels: rows of a large group are cut into buckets at approximate
-quantile boundaries of the order column (a sketch only places boundaries;
-results stay exact).  Running sums are computed inside each bucket, bucket
-totals (a small table) are prefix-summed and joined back.  Small groups take
-one window partition each.
+Rows are laid out by range on the full (group, order) tuple, so ties of a
+prefix, nulls, strings and any number of groups are divided alike, and written
+once with the number of their range partition.  Running sums are taken inside
+each (group, part); the totals of the parts -- one row per part and group --
+are prefix-summed and joined back.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
 from riskspark.session import cut_lineage
 
-_GK = "_gk"
-
-
-def _group_key(by: list[str]):
-    if not by:
-        return F.lit("")
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in by])
-
+PART = "_part"
 
-def _bucketer(spark, edges: dict):
-    bc = spark.sparkContext.broadcast(edges)
 
-    @pandas_udf("int")
-    def bucket(keys: pd.Series, values: pd.Series) -> pd.Series:
-        table = bc.value
-        out = np.zeros(len(values), dtype=np.int32)
-        vals = values.to_numpy(dtype=float)
-        for k, idx in keys.groupby(keys).indices.items():
-            e = table.get(k)
-            if e is not None and len(e):
-                out[idx] = np.searchsorted(e, vals[idx], side="right")
-        return pd.Series(out)
+def ascending(cols: list[str]) -> list[Column]:
+    """The order used everywhere: ascending, nulls first."""
+    return [F.col(c).asc_nulls_first() for c in cols]
 
-    return bucket
 
-
-def _thin(edges: np.ndarray, buckets: int) -> np.ndarray:
-    """Keep about ``buckets - 1`` evenly spaced edges: each group gets the
-    buckets its own size needs, not the largest group's."""
-    if buckets <= 1 or len(edges) == 0:
-        return edges[:0]
-    if len(edges) < buckets:
-        return edges
-    idx = np.unique(np.linspace(0, len(edges) - 1, buckets - 1).round().astype(int))
-    return edges[idx]
+def ordered_parts(df: DataFrame, keys: list[str], scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """``df`` as a written table in range partitions of ``keys``, numbered in
+    ``_part``: rows of a smaller number come before those of a larger one."""
+    n = scale.parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = df.repartitionByRange(n, *ascending(keys)).withColumn(PART, F.spark_partition_id())
+    return cut_lineage(laid, columnar=True)  # the tag must not be computed twice
 
 
 def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str], *,
-                   bucket_on: str | None = None, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+                   scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in ``order`` within ``by``) and
     ``tot_<c>`` (group total) for each column of ``sums``.
 
-    ``order`` must be unique within a group (pre-aggregate ties).
-    ``bucket_on`` is a numeric column monotone in ``order`` (default
-    ``order[0]``) used to place bucket boundaries.
+    ``order`` must be unique within a group (pre-aggregate ties); nulls of
+    ``by`` are a group, nulls of ``order`` come first.
     """
-    spark = df.sparkSession
-    bucket_on = bucket_on or order[0]
-    d = cut_lineage(df.withColumn(_GK, _group_key(by)))  # sized once, read twice
-    sizes = d.groupBy(_GK).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.filter(F.col("_n") > scale.rows_per_bucket).collect()  # <= N / rows_per_bucket rows
-    order_cols = [F.col(c) for c in order]
-    if not big:
-        w = Window.partitionBy(_GK).orderBy(*order_cols)
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wg = Window.partitionBy(_GK)
-        out = d.select("*", *[F.sum(c).over(run).alias(f"cum_{c}") for c in sums],
-                       *[F.sum(c).over(wg).alias(f"tot_{c}") for c in sums])
-        return out.drop(_GK)
-
-    n_b = int(min(max(math.ceil(max(r["_n"] for r in big) / scale.rows_per_bucket) * 2, 2), 65536))
-    probs = [i / n_b for i in range(1, n_b)]
-    big_keys = spark.createDataFrame([(r[_GK],) for r in big], f"{_GK} string")
-    edge_rows = (d.join(F.broadcast(big_keys), _GK)
-                 .groupBy(_GK)
-                 .agg(F.percentile_approx(F.col(bucket_on).cast("double"), probs,
-                                          max(scale.quantile_accuracy, 4 * n_b)).alias("e"))
-                 .collect())
-    need = {r[_GK]: r["_n"] for r in big}
-    edges = {r[_GK]: _thin(np.unique(np.asarray(r["e"], dtype=float)),
-                           math.ceil(need[r[_GK]] / scale.rows_per_bucket) * 2) for r in edge_rows}
-    bucket = _bucketer(spark, edges)
-    d = d.withColumn("_b", bucket(F.col(_GK), F.col(bucket_on).cast("double")))
-    w = Window.partitionBy(_GK, "_b").orderBy(*order_cols)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = ordered_parts(df, [*by, *order], scale)
+    run = (Window.partitionBy(*by, PART).orderBy(*ascending(order))
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.select("*", *[F.sum(c).over(run).alias(f"_in_{c}") for c in sums])
-    btot = d.groupBy(_GK, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sums])
-    wb = Window.partitionBy(_GK).orderBy("_b")
-    prev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    wg = Window.partitionBy(_GK)
-    offs = btot.select(_GK, "_b",
-                       *[F.coalesce(F.sum(f"_bt_{c}").over(prev), F.lit(0)).alias(f"_off_{c}") for c in sums],
-                       *[F.sum(f"_bt_{c}").over(wg).alias(f"tot_{c}") for c in sums])
-    n_offs = sum(len(e) + 1 for e in edges.values())  # ~ 2 N / rows_per_bucket after thinning
-    out = inner.join(F.broadcast(offs) if n_offs <= scale.max_broadcast_rows else offs, [_GK, "_b"])
-    out = out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums],
-                     *[F.col(f"tot_{c}") for c in sums])
-    return out
+    tot = d.groupBy(*by, PART).agg(*[F.sum(c).alias(f"_bt_{c}") for c in sums])
+    # over one row per part and group: at most parts + groups rows in all
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(*[F.col(c).alias(f"_k_{c}") for c in [*by, PART]],
+                      *[F.coalesce(F.sum(f"_bt_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
+                      *[F.sum(f"_bt_{c}").over(whole).alias(f"tot_{c}") for c in sums])
+    same = F.lit(True)
+    for c in [*by, PART]:
+        same = same & inner[c].eqNullSafe(offs[f"_k_{c}"])
+    return inner.join(offs, same).select(*[inner[c] for c in df.columns],
+                                         *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums],
+                                         *[F.col(f"tot_{c}") for c in sums])
 
 
 def quantiles_from_running(rt: DataFrame, by: list[str], value: str, count: str, cum: str, tot: str,
                            probs: list[float]) -> DataFrame:
     """Exact linear quantiles from a running-totals table of distinct values
     (``count`` rows at ``value``; ``cum`` inclusive running count; ``tot``
-    group total).  One pass finds both neighbours of every target rank;
-    rows with a zero count never match.  Returns ``by..., p, q, n, q_lo,
-    q_hi, q_frac``."""
+    group total).  Each row keeps only the probabilities whose neighbour it is,
+    so nothing is multiplied out; rows with a zero count never match.  Returns
+    ``by..., p, q, n, q_lo, q_hi, q_frac``."""
+    start, end, n = F.col(cum) - F.col(count), F.col(cum), F.col(tot)
+
+    def holds(k: Column) -> Column:
+        return (start <= k) & (k < end)
+
+    def near(p: Column) -> Column:
+        return holds(F.floor((n - 1) * p)) | holds(F.ceil((n - 1) * p))
+
     pa = F.array(*[F.lit(float(p)) for p in probs])
-    x = (rt.select(*by, F.col(value).alias("_v"), F.col(count).alias("_c"), F.col(cum).alias("_cum"),
-                   F.col(tot).alias("_tot"), F.explode(pa).alias("p"))
-         .withColumn("_pos", (F.col("_tot") - 1) * F.col("p")))
-    lo_k, hi_k = F.floor("_pos"), F.ceil("_pos")
-    start = F.col("_cum") - F.col("_c")
-    has_lo = (start <= lo_k) & (lo_k < F.col("_cum"))
-    has_hi = (start <= hi_k) & (hi_k < F.col("_cum"))
-    hit = x.filter(has_lo | has_hi)  # at most two rows per (group, p)
-    res = hit.groupBy(*by, "p").agg(
-        F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"), F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
+    x = rt.select(*by, F.col(value).alias("_v"), start.alias("_s"), end.alias("_e"), n.alias("_tot"),
+                  F.explode(F.filter(pa, near)).alias("p")).withColumn("_pos", (F.col("_tot") - 1) * F.col("p"))
+    lo = (F.col("_s") <= F.floor("_pos")) & (F.floor("_pos") < F.col("_e"))
+    hi = (F.col("_s") <= F.ceil("_pos")) & (F.ceil("_pos") < F.col("_e"))
+    res = x.groupBy(*by, "p").agg(  # at most two rows per (group, p)
+        F.max(F.when(lo, F.col("_v"))).alias("_vlo"), F.max(F.when(hi, F.col("_v"))).alias("_vhi"),
         F.first("_pos").alias("_pos"), F.first("_tot").alias("n"))
     frac = F.col("_pos") - F.floor("_pos")
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac
@@ -153,10 +105,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     return quantiles_from_running(rt, by, "_v", "_c", "cum__c", "tot__c", probs)
 
 
-def exact_rank(df: DataFrame, by: list[str], order: list[str], *, bucket_on: str | None = None,
-               out: str = "rank", scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+def exact_rank(df: DataFrame, by: list[str], order: list[str], *, out: str = "rank",
+               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """1-based position of each row in ``order`` within ``by`` (order must be
-    unique), plus ``group_n`` -- a distributed ``row_number``."""
-    d = df.withColumn("_one", F.lit(1))
-    r = running_totals(d, by, order, ["_one"], bucket_on=bucket_on, scale=scale)
+    unique, of any type), plus ``group_n`` -- a distributed ``row_number``."""
+    r = running_totals(df.withColumn("_one", F.lit(1)), by, order, ["_one"], scale=scale)
     return r.withColumnRenamed("cum__one", out).withColumnRenamed("tot__one", "group_n").drop("_one")

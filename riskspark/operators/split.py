@@ -17,15 +17,14 @@ from riskspark.operators.ranks import exact_quantiles, exact_rank
 
 
 def _hash_cols(df: DataFrame, seed, key: str) -> DataFrame:
-    h = hash_key(seed, key)
-    return df.withColumn("_h", h).withColumn("_h1", F.conv(F.substring(h, 1, 15), 16, 10).cast("long"))
+    return df.withColumn("_h", hash_key(seed, key))
 
 
 def stratified_split(keys: DataFrame, key: str, stratum: str, test_size: float = config.TEST_SIZE,
                      seed=config.RANDOM_SEED, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """R1/R2 core: within each stratum the ``round(test_size * n)`` keys with
     the smallest ``md5(seed:key)`` are ``test``, the rest ``train``."""
-    r = exact_rank(_hash_cols(keys, seed, key), [stratum], ["_h", key], bucket_on="_h1", scale=scale)
+    r = exact_rank(_hash_cols(keys, seed, key), [stratum], ["_h", key], scale=scale)
     n_test = F.round(F.lit(test_size) * F.col("group_n"))
     return r.select(*keys.columns, F.when(F.col("rank") <= n_test, "test").otherwise("train").alias("split"))
 
@@ -61,9 +60,13 @@ def undersample(df: DataFrame, key: str, label: str = "label", ratio: int = conf
     pos = df.filter(F.col(label) == 1)
     neg = df.filter(F.col(label) != 1)
     n_pos = pos.count()
-    ranked = exact_rank(_hash_cols(neg, seed, key), [], ["_h", key], bucket_on="_h1", scale=scale)
-    keep = ranked.filter(F.col("rank") <= F.lit(n_pos * ratio)).select(*df.columns)
-    return pos.unionByName(keep)
+    ranked = exact_rank(_hash_cols(neg.select(key), seed, key).distinct(), [], ["_h", key], scale=scale)
+    last = ranked.filter(F.col("rank") <= F.lit(n_pos * ratio)).agg(F.max(F.struct("_h", key)).alias("m")).first()["m"]
+    if last is None:
+        return pos
+    # only key and hash were ranked; the cut-off pair picks the full rows
+    h = hash_key(seed, key)
+    return pos.unionByName(neg.filter((h < last["_h"]) | ((h == last["_h"]) & (F.col(key) <= F.lit(last[key])))))
 
 
 def bootstrap(df: DataFrame, key: str, n: int | None = None, seed=config.RANDOM_SEED,

@@ -23,22 +23,28 @@ def _txn(spark, sf):
 
 # ---- P: projections / scalar functions ------------------------------------------
 
-@register("p1_lenient_cast", "select event_id, try_cast(regexp_extract(props, ': (.*)}', 1) as double) as k_num, "
-          "try_cast(props as double) as props_num from events")
+@register("p1_lenient_cast", "select event_id, try_cast(k as double) as k_num, try_cast(props as double) as props_num, "
+          "try_cast(k || 'd' as double) as d_num, try_cast('0x' || k || 'p3' as double) as hex_num, "
+          "try_cast(k || 'e2' as double) as exp_num, try_cast('-' || k || '.5 ' as double) as neg_num "
+          "from (select *, regexp_extract(props, ': (.*)}', 1) as k from events)")
 def p1(spark, sf):
     ev = read_table(spark, sf, "events")
-    return ev.select("event_id", S.lenient_double(F.regexp_extract("props", ": (.*)}", 1)).alias("k_num"),
-                     S.lenient_double("props").alias("props_num"))
+    k = F.regexp_extract("props", ": (.*)}", 1)
+    text = {"k_num": k, "props_num": F.col("props"), "d_num": F.concat(k, F.lit("d")), "hex_num": F.concat(F.lit("0x"), k, F.lit("p3")),
+            "exp_num": F.concat(k, F.lit("e2")), "neg_num": F.concat(F.lit("-"), k, F.lit(".5 "))}
+    return ev.select("event_id", *[S.lenient_double(c).alias(n) for n, c in text.items()])
 
 
-@register("p2_entity_key", """select o.o_orderkey, concat_ws('_', cast(o.o_custkey as varchar),
-  coalesce(cast(c.c_acctbal as varchar), 'nan')) as uid
-from orders o left join (select * from customer where c_acctbal > 0) c on o.o_custkey = c.c_custkey""")
+@register("p2_entity_key", """select c.c_custkey, o.o_orderkey,
+  coalesce(cast(o.o_custkey as varchar), 'nan') || '_' || cast(c.c_custkey as varchar) as uid_no_card,
+  cast(c.c_custkey as varchar) || '_' || coalesce(cast(o.o_orderkey as varchar), 'nan') as uid_no_addr
+from customer c left join orders o on o.o_custkey = c.c_custkey""")
 def p2(spark, sf):
-    od = read_table(spark, sf, "orders")
-    idt = B.identity_view(spark, sf)
-    j = od.join(idt, od.o_custkey == idt.cust_id, "left")
-    return j.select("o_orderkey", S.entity_key("o_custkey", "c_acctbal").alias("uid"))
+    """Customers without an order have no card on one side, no address on the other."""
+    cu, od = read_table(spark, sf, "customer"), read_table(spark, sf, "orders")
+    j = cu.join(od, od.o_custkey == cu.c_custkey, "left")
+    return j.select("c_custkey", "o_orderkey", S.entity_key("o_custkey", "c_custkey").alias("uid_no_card"),
+                    S.entity_key("c_custkey", "o_orderkey").alias("uid_no_addr"))
 
 
 @register("p3_device_type_code", f"""{T} select TransactionID,
@@ -346,9 +352,9 @@ def t2(spark, sf):
 @register("t3_union", f"""select 'reference' as side, {r6('l_extendedprice')} as l_extendedprice from {B.DRIFT_REF_SQL} r
   union all select 'current', {r6('l_extendedprice')} from {B.DRIFT_CUR_SQL} c""")
 def t3(spark, sf):
-    ref, cur = B.drift_sides(spark, sf)
-    return (ref.select(F.lit("reference").alias("side"), "l_extendedprice")
-            .unionByName(cur.select(F.lit("current").alias("side"), "l_extendedprice")))
+    rows = B.drift_rows(spark, sf)
+    return (rows.filter("is_ref").select(F.lit("reference").alias("side"), "l_extendedprice")
+            .unionByName(rows.filter("not is_ref").select(F.lit("current").alias("side"), "l_extendedprice")))
 
 
 @register("t4_distinct", f"{T} select distinct DeviceInfo from t")

@@ -202,7 +202,7 @@ def e13(spark, sf):
 
 # ---- D: drift ------------------------------------------------------------------------------------
 
-def _long(side_sql: str, feats: list[str]) -> str:
+def _long_sql(side_sql: str, feats: list[str]) -> str:
     return " union all ".join(f"select '{c}' as feature, cast({c} as double) as value from {side_sql} s" for c in feats)
 
 
@@ -211,7 +211,7 @@ def _drift_ctes(ref_sql: str, cur_sql: str, feats: list[str], px: str = "") -> s
     probs = ", ".join(str(i / config.PSI_BINS) for i in range(config.PSI_BINS + 1))
     n = {k: px + k for k in ("ref", "cur", "qs", "ed", "sides", "cnt", "grid", "full_", "tot", "psi0", "nul", "psi",
                              "kd", "kc", "ks", "rep")}
-    return f"""{n['ref']} as ({_long(ref_sql, feats)}), {n['cur']} as ({_long(cur_sql, feats)}),
+    return f"""{n['ref']} as ({_long_sql(ref_sql, feats)}), {n['cur']} as ({_long_sql(cur_sql, feats)}),
 {n['qs']} as (select feature, list_sort(list_distinct(quantile_cont(value, [{probs}]))) as u from {n['ref']} group by feature),
 {n['ed']} as (select feature, len(u) - 1 as nb, case when len(u) - 1 >= 2 then list_slice(u, 2, len(u) - 1) else [] end as inner_e from {n['qs']}),
 {n['sides']} as (select feature, value, 0 as side from {n['ref']} union all select feature, value, 1 from {n['cur']}),
@@ -243,41 +243,31 @@ _SCORE_CUR = "(select l_extendedprice * (1 - l_discount) as score from lineitem
 _SDRIFT = _drift_ctes(_SCORE_REF, _SCORE_CUR, ["score"])
 
 
-def _long_sides(spark, sf):
+def _long(spark, sf, cols):
+    """(feature, value, is_ref) rows of some series, from one scan."""
     from riskspark.operators.features import unpivot_features
-    ref, cur = B.drift_sides(spark, sf)
-    return unpivot_features(ref, _FEATS), unpivot_features(cur, _FEATS)
-
-
-def _score_sides(spark, sf):
-    ref, cur = B.drift_sides(spark, sf)
-    s = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("score")
-    return ref.select(s), cur.select(s)
+    return unpivot_features(B.drift_rows(spark, sf), cols, keep=["is_ref"])
 
 
 @register("d1_psi", f"with {_DRIFT} select feature, {r6('psi')} as psi, cast(n_ref as bigint) as n_ref, "
           "cast(n_cur as bigint) as n_cur, cast(n_null as bigint) as n_null from psi")
 def d1(spark, sf):
-    ref, cur = _long_sides(spark, sf)
-    return DR.psi_table(ref, cur)
+    return DR.drift_of(_long(spark, sf, _FEATS)).select("feature", "psi", "n_ref", "n_cur", "n_null")
 
 
 @register("d2_ks_statistic", f"with {_DRIFT} select feature, {r6('ks')} as ks from ks")
 def d2(spark, sf):
-    ref, cur = _long_sides(spark, sf)
-    return DR.ks_table(ref, cur)
+    return DR.ks_of(_long(spark, sf, _FEATS))
 
 
 @register("d3_drift_report", f"with {_DRIFT} select feature, {r6('psi')} as psi, {r6('ks')} as ks, drift from rep order by psi desc")
 def d3(spark, sf):
-    ref, cur = B.drift_sides(spark, sf)
-    return DR.drift_report(ref, cur, _FEATS)
+    return DR.report_of(_long(spark, sf, _FEATS))
 
 
 @register("d5_score_drift", f"with {_SDRIFT} select feature as series, {r6('psi')} as psi, {r6('ks')} as ks, drift from rep")
 def d5(spark, sf):
-    ref, cur = _score_sides(spark, sf)
-    return DR.score_drift(ref, cur)
+    return DR.report_of(_long(spark, sf, ["score"])).withColumnRenamed("feature", "series")
 
 
 @register("d4_retraining_recommendation", f"""with {_DRIFT}, {_drift_ctes(_SCORE_REF, _SCORE_CUR, ["score"], "s_")},
@@ -287,10 +277,8 @@ select {r6('score_psi')} as score_psi, case when score_psi < 0.1 then 'stable' w
   case when score_psi >= 0.25 then 'retrain_now' when score_psi >= 0.1 or n_sig > 0 then 'investigate' else 'no_action' end as recommended_action
 from a""")
 def d4(spark, sf):
-    ref, cur = B.drift_sides(spark, sf)
-    feat = DR.drift_report(ref, cur, _FEATS)
-    sref, scur = _score_sides(spark, sf)
-    return DR.retraining_recommendation(DR.score_drift(sref, scur), feat)
+    rep = DR.report_of(_long(spark, sf, [*_FEATS, "score"]))  # the score is one more series
+    return DR.retraining_recommendation(rep.filter("feature = 'score'"), rep.filter("feature <> 'score'"))
 
 
 @register("p14d_decision_derived_thresholds", f"""{CURVE_SQL},

@@ -56,6 +56,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, deleted when the session's file
+    system closes."""
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("name a shared folder in spark.checkpoint.dir")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
+
+
 def cut_lineage(df: DataFrame, columnar: bool = False) -> DataFrame:
     """Cut the lineage at a fit barrier; never a local checkpoint, so the
     result survives executor loss without replaying upstream shuffles.
@@ -66,9 +79,9 @@ def cut_lineage(df: DataFrame, columnar: bool = False) -> DataFrame:
     actions read only a few columns of (pruning + pushdown on re-read).
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    ensure_checkpoint_dir(spark)
     if not columnar:
         return df.checkpoint(eager=True)
-    path = f"{base}/riskspark-tables/{uuid.uuid4().hex}"
+    path = fresh_folder(spark, "riskspark-table")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job

@@ -78,13 +78,14 @@ SCORE_PAIRS_SQL = """(select l.doc_id, 'length' as model, cast(l.toxic as intege
 DRIFT_FEATURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
 
 
-def drift_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(reference, current) <- lineitem split at shipdate 2000-01-01."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_shipdate", *DRIFT_FEATURES)
+def drift_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides <- lineitem, ``is_ref`` before shipdate 2000-01-01, with a
+    score; rows without a shipdate are on no side."""
+    li = read_table(spark, sf_dir, "lineitem")
     cut = F.lit("2000-01-01").cast(li.schema["l_shipdate"].dataType)
-    ref = li.filter(F.col("l_shipdate") < cut).select(*DRIFT_FEATURES)
-    cur = li.filter(F.col("l_shipdate") >= cut).select(*DRIFT_FEATURES)
-    return ref, cur
+    score = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return li.filter(F.col("l_shipdate").isNotNull()).select(
+        (F.col("l_shipdate") < cut).alias("is_ref"), *DRIFT_FEATURES, score.alias("score"))
 
 
 DRIFT_REF_SQL = "(select l_extendedprice, l_quantity, l_discount, l_tax from lineitem where l_shipdate < timestamp '2000-01-01')"
@@ -103,9 +104,3 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return od.select(F.col("o_orderkey").alias("TransactionID"),
                      F.col("o_custkey").alias("cust_id"), "o_totalprice", "o_orderstatus")
 
-
-def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embedding rows with a minority class label = 5 (for SMOTE)."""
-    em = read_table(spark, sf_dir, "embeddings")
-    return em.select("vec_id", "embedding",
-                     F.when(F.col("label") == 5, 1).otherwise(0).alias("label"))

@@ -1,108 +1,85 @@
-"""The hot-card path (ordered sub-ranges + carried context) must give the
-same rows as the plain one-partition-per-card path."""
+"""The ordered card pass against a plain loop over each card, for any number of
+range partitions: hot cards, equal times, null times and null cards included."""
 
+import math
+import random
+import statistics
+
+import pytest
 from pyspark.sql import functions as F
 
 from riskspark.config import ScaleConfig
 from riskspark.operators.cardpass import card_pass
 from tests.conftest import SF001
 
-
-def _run(spark, scale):
-    from riskspark.sources.bindings import txn_view
-    df = txn_view(spark, SF001)
-    out = card_pass(df, lags={"prev_dt": "TransactionDT", "prev_dev": "DeviceInfo"},
-                    row_number="rn", history=["TransactionAmt", "TransactionDT"], history_len=3,
-                    card_aggs=[F.avg("TransactionAmt").alias("mu")], scale=scale)
-    return sorted(tuple(r) for r in out.select(
-        "TransactionID", "prev_dt", "prev_dev", "rn", F.to_json("_hist"), "mu", "_card_n").collect())
-
-
-def test_hot_path_equals_plain_path(spark):
-    plain = _run(spark, ScaleConfig())
-    hot = _run(spark, ScaleConfig(hot_key_rows=3, max_hot_keys=1000))
-    assert len(plain) == 1000
-    assert plain == hot
-
-
-def test_hot_threshold_doubles_until_bounded(spark):
-    # every card is over 1 row, but only 2 may be broadcast -> threshold grows
-    plain = _run(spark, ScaleConfig())
-    capped = _run(spark, ScaleConfig(hot_key_rows=1, max_hot_keys=2))
-    assert plain == capped
-
-
-def test_null_keys_get_no_card_values(spark):
-    df = spark.createDataFrame([(None, 1, 1), ("a", 1, 2), ("a", 5, 3)], "uid string, TransactionDT long, TransactionID long")
-    out = card_pass(df, lags={"p": "TransactionDT"}, row_number="rn")
-    rows = {r.TransactionID: r for r in out.collect()}
-    assert rows[1].p is None and rows[1].rn is None
-    assert rows[3].p == 1 and rows[3].rn == 2
-
-
-def test_label_and_sequences_identical_on_hot_path(spark):
-    """Whole label + feature build with every card forced through the
-    hot-card split, and ranks/quantiles through the two-level path."""
+SCHEMA = "uid string, TransactionDT long, TransactionID long, x double, dev string"
+
+
+def table(kind):
+    rng = random.Random(kind)
+    rows = []
+    for i in range(400):
+        uid = {"hot": "h" if i % 3 else f"c{i % 11}", "one time": "h", "mixed": rng.choice(["a", "b", "c", None])}[kind]
+        ts = {"hot": rng.randrange(90), "one time": 1000, "mixed": rng.choice([None, 5, 5, 9, rng.randrange(50)])}[kind]
+        rows.append((uid, ts, i, rng.choice([None, 1e9 + rng.randrange(9) / 100, float(rng.randrange(5))]), f"d{rng.randrange(3)}"))
+    return rows
+
+
+def slow(rows, depth):
+    out = {r[2]: dict(prev=None, rn=None, hist=None, mu=None, n=None, rn_x=None, rm_x=None, rsd_x=None) for r in rows}
+    cards = {}
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        if r[0] is not None:
+            cards.setdefault(r[0], []).append(r)
+    for own in cards.values():
+        every = [r[3] for r in own if r[3] is not None]
+        for i, r in enumerate(own):
+            x = [p[3] for p in own[:i] if p[3] is not None]
+            out[r[2]] = dict(prev=own[i - 1][4] if i else None, rn=i + 1, hist=[[p[3]] for p in own[max(0, i - depth) : i]],
+                             mu=statistics.fmean(every) if every else None, n=len(every), rn_x=len(x),
+                             rm_x=statistics.fmean(x) if x else None, rsd_x=statistics.stdev(x) if len(x) > 1 else None)
+    return out
+
+
+def close(a, b):
+    if isinstance(a, float) and isinstance(b, float):
+        return math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-6)
+    return a == b
+
+
+@pytest.mark.parametrize("parts", [1, 4, 37])
+@pytest.mark.parametrize("kind", ["hot", "one time", "mixed"])
+def test_equals_a_plain_loop(spark, kind, parts):
+    rows = table(kind)
+    got = card_pass(spark.createDataFrame(rows, SCHEMA), lags={"prev": "dev"}, row_number="rn", history=["x"], history_len=3,
+                    card_aggs={"mu": F.avg("x"), "n": F.count("x")}, running=["x"], scale=ScaleConfig(parts=parts))
+    want = slow(rows, 3)
+    found = got.collect()
+    assert sorted(r.TransactionID for r in found) == sorted(want)
+    for r in found:
+        w = want[r.TransactionID]
+        have = dict(prev=r.prev, rn=r.rn, hist=r["_hist"], mu=r.mu, n=r.n, rn_x=r["_rn_x"], rm_x=r["_rm_x"], rsd_x=r["_rsd_x"])
+        assert all(close(have[k], w[k]) for k in w), (r, w)
+
+
+def test_one_time_is_divided(spark):
+    from riskspark.operators.ranks import PART, ordered_parts
+    df = spark.createDataFrame(table("one time"), SCHEMA)
+    sizes = [r["count"] for r in ordered_parts(df, ["uid", "TransactionDT", "TransactionID"], ScaleConfig(parts=8)).groupBy(PART).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 120
+
+
+def test_labels_and_sequences_do_not_depend_on_parts(spark):
     from riskspark.operators.features import build_sequences
     from riskspark.operators.label import label_transactions
     from riskspark.sources.bindings import txn_view
     txn = txn_view(spark, SF001)
-    hot = ScaleConfig(hot_key_rows=2, max_hot_keys=10_000, rows_per_bucket=50, quantile_accuracy=2000)
 
     def run(scale):
         lab = label_transactions(txn, scale=scale)
         seqs, state, feats = build_sequences(lab, scale=scale)
-        lrows = sorted(tuple(r) for r in lab.collect())
-        srows = sorted((r.TransactionID, r.split, r.label, r.hist_len,
-                        tuple(round(float(x), 5) for step in r.seq for x in step)) for r in seqs.collect())
-        st = sorted((r.feature, r.stat, round(r.value, 9)) for r in state.collect())
-        return lrows, srows, st, feats
-
-    a, b = run(ScaleConfig()), run(hot)
-    assert a[3] == b[3]
-    assert a[0] == b[0]
-    assert a[2] == b[2]
-    assert a[1] == b[1] and len(a[1]) > 500
+        return (sorted(tuple(r) for r in lab.collect()),
+                sorted((r.TransactionID, r.split, r.label, r.hist_len, tuple(round(float(x), 5) for step in r.seq for x in step)) for r in seqs.collect()),
+                sorted((r.feature, r.stat, round(r.value, 9)) for r in state.collect()), feats)
 
-
-def test_causal_running_stats_hot_equals_plain_and_brute_force(spark):
-    from riskspark.sources.bindings import txn_view
-    df = txn_view(spark, SF001)
-
-    def run(scale):
-        out = card_pass(df, running=["TransactionAmt"], scale=scale)
-        return sorted((r.TransactionID, r["_rn_TransactionAmt"], round(r["_rs_TransactionAmt"] or 0, 6),
-                       round(r["_rq_TransactionAmt"] or 0, 4), r["_rmax_TransactionAmt"], r["_rmin_TransactionAmt"])
-                      for r in out.collect())
-
-    plain = run(ScaleConfig())
-    assert plain == run(ScaleConfig(hot_key_rows=3, max_hot_keys=1000))
-    pdf = df.toPandas().sort_values(["uid", "TransactionDT", "TransactionID"])
-    g = pdf.groupby("uid")["TransactionAmt"]
-    pdf["n"] = g.cumcount()
-    pdf["s"] = g.cumsum() - pdf["TransactionAmt"]
-    want = {r.TransactionID: (r.n, round(r.s, 6)) for r in pdf.itertuples()}
-    assert all(want[t][0] == n and abs(want[t][1] - s) < 1e-6 for t, n, s, *_ in plain)
-
-
-def test_hot_path_with_gaps_between_sub_ranges(spark, monkeypatch):
-    """Sub-range numbers need not be consecutive: context rows are routed by
-    the rank of the non-empty sub-range."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    import riskspark.operators.cardpass as CP
-
-    def gapped(spark_, edges):
-        @pandas_udf("int")
-        def bucket(keys: pd.Series, values: pd.Series) -> pd.Series:
-            out = np.zeros(len(values), dtype=np.int32)
-            for k, idx in keys.groupby(keys).indices.items():
-                out[idx] = np.searchsorted(edges[k], values.to_numpy()[idx], side="right") * 5
-            return pd.Series(out)
-        return bucket
-
-    plain = _run(spark, ScaleConfig())
-    monkeypatch.setattr(CP, "_range_bucketer", gapped)
-    assert _run(spark, ScaleConfig(hot_key_rows=3, max_hot_keys=1000)) == plain
+    assert run(ScaleConfig(parts=2)) == run(ScaleConfig(parts=61))

@@ -1,86 +1,89 @@
 """Encoders, behaviour features, column choice, cleaning, sequences."""
 
 import math
+import statistics
 
-from pyspark.sql import functions as F
+import pytest
 
 from riskspark import config
+from riskspark.config import ScaleConfig
 from riskspark.operators import features as FE
 
-
-def test_encode_categoricals(spark):
-    df = spark.createDataFrame([(1, "mobile", "iPhone", "visa", "debit"), (2, "desktop", "iPhone", "mastercard", "credit"),
-                                (3, None, "Windows", "visa", "debit")],
-                               "id int, DeviceType string, DeviceInfo string, card4 string, card6 string")
-    r = {x.id: x for x in FE.encode_categoricals(df).collect()}
-    assert [r[i].DeviceType_enc for i in (1, 2, 3)] == [1, 2, 0]
-    assert r[1].DeviceInfo_enc == 2 and r[3].DeviceInfo_enc == 1
-    assert r[1].card4_enc == 1 and r[2].card4_enc == 0  # sorted: mastercard < visa
-    assert all(r[i].card4_enc is not None for i in r)
-
-
-def test_null_category_codes(spark):
-    df = spark.createDataFrame([(1, None), (2, "b"), (3, "a")], "id int, card4 string")
-    r = {x.id: x.card4_enc for x in FE.ordinal_encode(df, "card4", "card4_enc").collect()}
-    assert r == {1: -1, 2: 1, 3: 0}
-
-
-def test_behaviour_features(spark):
-    df = spark.createDataFrame([("A", 0, 1, 10.0), ("A", 100, 2, 10.0), ("A", 200, 3, 100.0)],
-                               "uid string, TransactionDT long, TransactionID long, TransactionAmt double")
-    out = FE.behaviour_features(df).orderBy("TransactionDT").collect()
-    assert [r.txn_count_rolling for r in out] == [1, 2, 3]
-    assert abs(out[2].amt_deviation) > abs(out[0].amt_deviation)
-    assert [r.account_age_dt for r in out] == [0, 100, 200]
-
-
-def test_single_row_and_constant_cards(spark):
-    df = spark.createDataFrame([("A", 0, 1, 10.0), ("B", 0, 2, 5.0), ("B", 10, 3, 5.0)],
-                               "uid string, TransactionDT long, TransactionID long, TransactionAmt double")
-    r = {x.TransactionID: x.amt_deviation for x in FE.behaviour_features(df).collect()}
-    assert r[1] == 0.0          # std of one row -> 1
-    assert r[2] is None         # std 0 -> undefined, imputed later
-
-
-def test_choose_features_excludes_label_only_and_ids(spark):
-    cols = {"TransactionAmt": 1.0, "amt_deviation": 0.0, "account_age_dt": 0.0, "hour_of_day": 0.0,
-            "txn_count_rolling": 1, "DeviceType_enc": 1, "DeviceInfo_enc": 1, "card4_enc": 0, "card6_enc": 0,
-            "id_02": 1.0, "id_31": "chrome", "signal_count": 2, "device_changed": 1, "time_since_prev": 10.0,
-            "TransactionID": 1, "uid": "A", "isFraud": 0, "ato_proxy": 0}
-    df = spark.createDataFrame([tuple(cols.values())], list(cols))
-    chosen = FE.choose_features(df)
-    banned = set(config.LABEL_ONLY_COLUMNS) | set(config.ID_AND_TARGET_COLUMNS)
-    assert banned.isdisjoint(chosen)
-    assert "id_02" in chosen and "TransactionAmt" in chosen and "id_31" not in chosen
-    assert chosen[:9] == config.BASE_FEATURES
-
-
-def test_winsorise_clips_extremes(spark):
-    df = spark.createDataFrame([(x,) for x in [1.0, 2.0, 3.0, 4.0, 5.0, 1e6]], "x double")
-    out = FE.winsorise(df, FE.winsor_bounds(df, ["x"]))
-    assert out.agg(F.max("x")).first()[0] < 1e6
-
-
-def test_non_finite_values_removed(spark):
-    df = spark.createDataFrame([(x,) for x in [1.0, math.inf, -math.inf, 2.0]], "x double")
-    vals = [r.x for r in FE.winsorise(df, FE.winsor_bounds(df, ["x"])).collect()]
-    assert not any(v is not None and math.isinf(v) for v in vals)
-
-
-def test_history_pads_front_and_skips_first_row(spark):
-    df = spark.createDataFrame([("A", 0, 1, 0, 5.0), ("A", 100, 2, 1, 9.0)],
-                               "uid string, TransactionDT long, TransactionID long, ato_proxy int, f1 double")
-    out = FE.sequence_history(df, ["f1"]).collect()
-    assert len(out) == 1
-    r = out[0]
-    assert r.TransactionID == 2 and r.ato_proxy == 1 and r.uid == "A"
-    assert len(r.seq) == config.WINDOW_SIZE and r.seq[-1] == [5.0]
-    assert all(s == [0.0] for s in r.seq[:-1])
-
-
-def test_history_skips_single_row_cards(spark):
-    df = spark.createDataFrame([("A", 0, 1, 0, 1.0)], "uid string, TransactionDT long, TransactionID long, ato_proxy int, f1 double")
-    assert FE.sequence_history(df, ["f1"]).count() == 0
+HISTORY = "uid string, TransactionDT long, TransactionID long, f1 double, f2 double"
+
+
+def test_all_encoders_at_once(spark):
+    rows = [(0, "desktop", "Pixel", "amex", None), (1, "Mobile", None, "diners", "charge"), (2, "mobile", "Pixel", None, "charge"),
+            (3, None, "Mac", "Visa", "credit"), (4, "desktop", "Pixel", "amex", "debit")]
+    df = spark.createDataFrame(rows, "i int, DeviceType string, DeviceInfo string, card4 string, card6 string")
+    got = [tuple(r)[5:] for r in FE.encode_categoricals(df).orderBy("i").collect()]
+    # type: mobile 1, desktop 2; device: rows that hold it; cards: place in byte order (capitals first)
+    assert got == [(2, 3, 1, -1), (0, 0, 2, 0), (1, 3, -1, 0), (0, 1, 0, 1), (2, 3, 1, 2)]
+
+
+def test_encoders_take_missing_columns(spark):
+    df = spark.createDataFrame([("x",)], "card6 string")
+    assert FE.encode_categoricals(df).columns == ["card6", "card6_enc"]
+
+
+CARDS = {"up": [1.0, 2.0, 6.0], "flat": [8.25, 8.25], "one": [300.0]}
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_behaviour_of_three_cards(spark, parts):
+    rows, i = [], 0
+    for uid, amounts in CARDS.items():
+        for k, a in enumerate(amounts):
+            rows.append((uid, 3600 * (20 + 9 * k), i, a))
+            i += 1
+    df = spark.createDataFrame(rows, "uid string, TransactionDT long, TransactionID long, TransactionAmt double")
+    got = {(r.uid, r.txn_count_rolling): r for r in FE.behaviour_features(df, scale=ScaleConfig(parts=parts)).collect()}
+    for uid, amounts in CARDS.items():
+        for k, a in enumerate(amounts):
+            r = got[uid, k + 1]
+            assert r.account_age_dt == 9 * 3600 * k and r.hour_of_day == (20 + 9 * k) % 24
+            if uid == "flat":
+                assert r.amt_deviation is None
+            else:
+                sd = statistics.stdev(amounts) if len(amounts) > 1 else 1.0
+                assert abs(r.amt_deviation - (a - statistics.fmean(amounts)) / sd) < 1e-12
+
+
+@pytest.mark.parametrize("base", [1e7, 1e9])
+def test_earlier_rows_only_near_large_amounts(spark, base):
+    amounts = [base + x for x in (0.0, 0.01, 0.02, 0.0, 0.03)]
+    df = spark.createDataFrame([("k", i, i, a) for i, a in enumerate(amounts)], "uid string, TransactionDT long, TransactionID long, TransactionAmt double")
+    for parts in (1, 5):
+        got = [r.amt_deviation for r in FE.behaviour_features(df, causal=True, scale=ScaleConfig(parts=parts)).orderBy("TransactionID").collect()]
+        assert got[0] is None and abs(got[1] - 0.01) < 1e-6
+        for i in (2, 3, 4):
+            exact = [x - base for x in amounts[:i]]
+            want = (amounts[i] - base - statistics.fmean(exact)) / statistics.stdev(exact)
+            assert abs(got[i] - want) < 1e-2 * abs(want) + 1e-6
+
+
+def test_feature_choice(spark):
+    names = [*config.BASE_FEATURES, *config.LABEL_ONLY_COLUMNS, *config.ID_AND_TARGET_COLUMNS, "id_07", "id_88", "id_text", "other"]
+    names = list(dict.fromkeys(names))
+    values = {"id_text": "no number", "id_88": None, config.BASE_FEATURES[-1]: None}
+    df = spark.createDataFrame([tuple(values.get(c, "3") for c in names)], ", ".join(f"`{c}` string" for c in names))
+    assert FE.choose_features(df) == [*config.BASE_FEATURES[:-1], "id_07"]
+
+
+def test_bounds_cut_both_tails_and_drop_what_is_not_finite(spark):
+    xs = [float(i) for i in range(1001)] + [math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    bounds = FE.winsor_bounds(df, ["x"])
+    assert bounds == {"x": (1.0, 999.0)}
+    out = [r.x for r in FE.winsorise(df, bounds).orderBy("i").collect()]
+    assert out[0] == 1.0 and out[1000] == 999.0 and out[2:999] == xs[2:999] and out[1001:] == [None] * 4
+
+
+def test_short_histories_are_padded_in_front(spark):
+    rows = [("p", 10 * i, i, float(i), -float(i)) for i in range(3)] + [("alone", 0, 9, 1.0, 1.0), (None, 0, 10, 1.0, 1.0), (None, 1, 11, 1.0, 1.0)]
+    got = {r.TransactionID: r for r in FE.sequence_history(spark.createDataFrame(rows, HISTORY), ["f1", "f2"], history_len=4).collect()}
+    assert set(got) == {1, 2} and got[2].hist_len == 2
+    assert got[2].seq == [[0.0, 0.0], [0.0, 0.0], [0.0, 0.0], [1.0, -1.0]]
 
 
 def test_history_keeps_last_ten_previous_rows(spark):
