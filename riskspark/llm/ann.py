@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import column, cut
+from riskspark.llm.common import column, cut, map_batches
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -48,7 +48,7 @@ def vectors(table: DataFrame) -> DataFrame:
                     out.append(x.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "v"])
 
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, v binary")
+    rows = map_batches(table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"), run, "vec_id long, v binary")
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
@@ -160,7 +160,7 @@ def search(table: DataFrame, is_query, top: int = 20, k: int = 64, share: float
             cell = index.cells(matrix(column(b, "v").to_pylist(), dim))
             yield pa.RecordBatch.from_arrays([column(b, "vec_id"), column(b, "v"), pa.array(cell, pa.int64())], names=["vec_id", "v", "cell"])
 
-    lists = cut(rows.mapInArrow(assign, "vec_id long, v binary, cell long"), "vector-lists")
+    lists = cut(map_batches(rows, assign, "vec_id long, v binary, cell long"), "vector-lists")
     index.lay_out({r.cell: r["count"] for r in lists.groupBy("cell").count().collect()})  # k * k rows at most
     queries = lists.where(is_query).select(F.col("vec_id").alias("query_id"), "v")
     chunks = max(1, math.ceil(queries.count() / chunk))
@@ -194,8 +194,8 @@ def search(table: DataFrame, is_query, top: int = 20, k: int = 64, share: float
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return best_of_block(q["query_id"].to_numpy(), matrix(q["v"], dim), q["reach"].to_numpy(), v["vec_id"].to_numpy(), matrix(v["v"], dim), index, top)
 
-    asked = queries.mapInArrow(ask, "block long, chunk long, query_id long, v binary, reach double")
-    dealt = lists.mapInArrow(deal, "block long, chunk long, vec_id long, v binary")
+    asked = map_batches(queries, ask, "block long, chunk long, query_id long, v binary, reach double")
+    dealt = map_batches(lists, deal, "block long, chunk long, vec_id long, v binary")
     found = asked.groupBy("block", "chunk").cogroup(dealt.groupBy("block", "chunk")).applyInPandas(meet, FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import column
+from riskspark.llm.common import column, map_batches
 
 Turns = list[tuple[str, str]]
 PROBES = ("\x01a", "\x02b")
@@ -125,7 +125,7 @@ def format_conversations(convs: DataFrame, render: Callable[[Turns], str]) -> Da
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return rows.mapInArrow(run, f"conv_id long, formatted string, spans {SPANS}, rewrites array<long>")
+    return map_batches(rows, run, f"conv_id long, formatted string, spans {SPANS}, rewrites array<long>")
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -153,7 +153,7 @@ def read_back(formatted: DataFrame, template: Instruct) -> DataFrame:
         for b in batches:
             yield _batch([digest(*r) for r in zip(*(column(b, c).to_pylist() for c in ("conv_id", "formatted", "spans")))], names, kinds)
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_batches(formatted, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def _sql() -> str:

@@ -4,7 +4,7 @@ functions for Arrow batches, and connected components over an edge table."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch; with rows of any size, it bounds a worker's memory.
+BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """`df.mapInArrow(fn, schema)` over batches of bounded bytes; a task hands back
+    the memory it no longer uses, as its worker lives on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

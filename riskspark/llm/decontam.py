@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import LOWER, column, cut, raw
+from riskspark.llm.common import LOWER, column, cut, map_batches, raw
 
 #: Separators become a space; bytes from 0x80 on are part of words.
 NORMAL = bytes(b if chr(b).isalnum() or b >= 0x80 else 32 for b in LOWER)
@@ -52,7 +52,7 @@ def windows(items: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pattern, pa.binary()), pa.array(ids, pa.string())], names=["pattern", "item_id"])
 
     picked = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "pattern binary, item_id string").distinct()
+    return map_batches(picked, run, "pattern binary, item_id string").distinct()
 
 
 class Automaton:
@@ -139,7 +139,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 10, max_bytes: int
             kinds = pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.int64(), pa.int64()
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(pa.array(x, k) for x, k in zip((ids, spn, n, hit), kinds))], names=["doc_id", "item_ids", "spans", "n_words", "n_hit"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MATCHES}")
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MATCHES}")
 
 
 def _matches_by_group(docs: DataFrame, parts: list[Automaton]) -> DataFrame:
@@ -153,7 +153,7 @@ def _matches_by_group(docs: DataFrame, parts: list[Automaton]) -> DataFrame:
                 r, i, j, own = zip(*rows) if rows else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(own, pa.list_(pa.string()))], names=["_row", "i", "j", "own"])
 
-        one = docs.mapInArrow(run, "_row long, i long, j long, own array<string>")
+        one = map_batches(docs, run, "_row long, i long, j long, own array<string>")
         found = one if found is None else found.union(one)
     met = docs.join(found.groupBy("_row").agg(F.collect_list(F.struct("i", "j", "own")).alias("found")), "_row", "left").drop("_row")
 
@@ -164,7 +164,7 @@ def _matches_by_group(docs: DataFrame, parts: list[Automaton]) -> DataFrame:
             kinds = pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.int64(), pa.int64()
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(pa.array(x, k) for x, k in zip((ids, spn, n, hit), kinds))], names=["doc_id", "item_ids", "spans", "n_words", "n_hit"])
 
-    return met.mapInArrow(merge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MATCHES}")
+    return map_batches(met, merge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MATCHES}")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -175,7 +175,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10, max_bytes: i
             for b in batches:
                 yield b.filter(pa.array([not auto.scan(t)[1] for t in raw(b, "text")], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_batches(docs, run, docs.schema)
         if len(parts) > 1:  # one automaton in memory at a time
             docs = cut(docs, "decontam-kept")
     return docs

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import column, held_out, rows_in_pieces
+from riskspark.llm.common import column, held_out, map_batches, rows_in_pieces
 
 TOP = 300
 UND = "und"
@@ -78,7 +78,7 @@ def profiles(docs: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(code.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "code", "n"])
 
         for b in batches:
-            for piece in rows_in_pieces(b, 4096, 2 << 20):
+            for piece in rows_in_pieces(b, 4096, 1 << 20):
                 own: dict[str, list[np.ndarray]] = {}
                 for t, lang in zip(column(piece, "text").to_pylist(), column(piece, "lang").to_pylist()):
                     own.setdefault(lang, []).append(ngrams(symbols(t)))
@@ -91,7 +91,7 @@ def profiles(docs: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
         yield out()
 
     rows = docs.where("text is not null and lang is not null").select("text", "lang")
-    total = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    total = map_batches(rows, count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     best = total.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))).where(F.col("place") <= top)
     found: dict[str, list] = {}
     for r in best.orderBy("lang", "place").collect():
@@ -138,7 +138,7 @@ def identify(docs: DataFrame, model: Ranker, mod: int = 5, rest: int = 0) -> Dat
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     picked = docs.select("doc_id", held_out("doc_id", mod, rest).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
+    return map_batches(picked, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Ranker) -> DataFrame:
@@ -147,4 +147,4 @@ def keep_identified(docs: DataFrame, model: Ranker) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array([model.predict(t)[0] != UND for t in column(b, "text").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import column, components, cut, raw, rows_in_pieces
+from riskspark.llm.common import column, components, cut, map_batches, raw, rows_in_pieces
 
 TAU, SHORTEST = 2, 20
 #: Entries one shuffle target gets, about; the fewest targets.
 PER_TARGET, FEWEST_BITS = 1 << 22, 6
 #: Pairs a task looks at at a time.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 18
 #: Largest bitmap sent to the tasks, in 64-bit words (16 MB).
 BITMAP_WORDS = 1 << 21
 ENTRY = np.dtype([("k", "<u4"), ("s", "<u4"), ("h", "<u8")])
@@ -217,7 +217,7 @@ def places(docs: DataFrame) -> DataFrame:
                         h.append(line_hash(line))
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(no, pa.int64()), pa.array(np.array(h, np.uint64).view(np.int64))], names=["doc_id", "line_no", "h"])
 
-    return docs.mapInArrow(run, "doc_id long, line_no long, h long")
+    return map_batches(docs, run, "doc_id long, line_no long, h long")
 
 
 def distinct_lines(batch: pa.RecordBatch, shortest: int, wanted=None) -> dict[int, str]:
@@ -239,7 +239,7 @@ def pairs(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for piece in rows_in_pieces(b, 1 << 20):
+            for piece in rows_in_pieces(b, 1 << 20, 1 << 20):
                 found = distinct_lines(piece, shortest)
                 if not found:
                     continue
@@ -253,7 +253,7 @@ def pairs(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
         a, b = candidates(*of, tau)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return docs.mapInArrow(emit, "target long, role int, entries binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
+    return map_batches(docs, emit, "target long, role int, entries binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
 
 
 class Bitmap:
@@ -290,10 +290,10 @@ def links(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
             near = within(column(b, "line").to_pylist(), column(b, "line2").to_pylist(), tau)
             yield pa.RecordBatch.from_arrays([column(b, "a"), column(b, "b")], names=["a", "b"]).filter(pa.array(near))
 
-    texts = docs.mapInArrow(fetch, "h long, line string").join(hashes.distinct(), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    texts = map_batches(docs, fetch, "h long, line string").join(hashes.distinct(), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
     texts = cut(texts, "line-texts")
     both = found.join(texts.select(F.col("h").alias("a"), "line"), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line2")), "b")
-    return both.select("a", "b", "line", "line2").mapInArrow(verify, "a long, b long")
+    return map_batches(both.select("a", "b", "line", "line2"), verify, "a long, b long")
 
 
 def dropped(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFrame:
@@ -340,7 +340,7 @@ def dedup(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFram
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema])
-    out = _dropping(docs, tau, shortest).mapInArrow(run, schema)
+    out = map_batches(_dropping(docs, tau, shortest), run, schema)
     kind = dict(docs.dtypes).get("n_chars")
     return out.withColumn("n_chars", F.length("text").cast(kind)) if kind in ("bigint", "int") else out
 
@@ -359,4 +359,4 @@ def report(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFra
                 pa.array([t for t, _, _ in rows], pa.binary()).cast(pa.string()), pa.array(drops, kind)], names=["doc_id", "n_lines", "n_dropped", "text", "drops"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _dropping(docs, tau, shortest).mapInArrow(run, "doc_id long, n_lines long, n_dropped long, text string, drops array<struct<line_no: long, first_doc_id: long, first_line_no: long>>")
+    return map_batches(_dropping(docs, tau, shortest), run, "doc_id long, n_lines long, n_dropped long, text string, drops array<struct<line_no: long, first_doc_id: long, first_line_no: long>>")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskspark.llm.common import column, rows_in_pieces
+from riskspark.llm.common import column, map_batches, rows_in_pieces
 
 SIZE = 4096
 SENTENCE, INSIDE, STEP = 16, 256, 512
@@ -61,7 +61,8 @@ class Ids:
         for s, i in vocab.items():
             self.word_end[i] = s.endswith("</w>")
             self.sentence_end[i] = s.endswith("</w>") and s[0] in ".!?"
-        self.at: dict[str, tuple[int, int]] = {}
+        #: each word's first id in `flat`, above its number of ids
+        self.at: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _put(self, key: str, ids) -> None:
@@ -69,7 +70,7 @@ class Ids:
         while self.used + n > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + n] = ids
-        self.at[key] = (self.used, n)
+        self.at[key] = self.used << 24 | n
         self.used += n
 
     def _learn(self, new: list[str]) -> None:
@@ -96,8 +97,9 @@ class Ids:
         need = {p for stem, dot in parts for p in (stem, dot) if p not in self.at}
         if need:
             self._learn(sorted(need))
-        where = np.array([self.at[p] for stem, dot in parts for p in (stem, dot)], np.int64).reshape(-1, 2)
-        return take(self.flat, where[:, 0], where[:, 1]), where[:, 1].reshape(-1, 2).sum(1)
+        where = np.array([self.at[p] for stem, dot in parts for p in (stem, dot)], np.int64)
+        n = where & 0xFFFFFF
+        return take(self.flat, where >> 24, n), n.reshape(-1, 2).sum(1)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and each text's number of ids."""
@@ -219,4 +221,4 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = SIZE) -> Dat
                 yield rows(list(packer.add(column(piece, "doc_id").to_pylist(), column(piece, "text"))))
         yield rows(list(packer.finish()))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, PIECES)

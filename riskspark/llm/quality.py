@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import tokens
-from riskspark.llm.common import column, cut, held_out, raw, rows_in_pieces
+from riskspark.llm.common import column, cut, held_out, map_batches, raw, rows_in_pieces
 
 BUCKETS, DIM, NEAR = 8192, 32, 2
 #: Buckets that travel together; partial sums first meet in `SALTS` groups each.
@@ -83,7 +83,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         total = sum(_unpacked(x) for x in rows["sums"])
         return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "sums": [total.tobytes()]})
 
-    partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "chunk long, salt long, sums binary")
+    partial = map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "chunk long, salt long, sums binary")
     once = partial.groupBy("chunk", "salt").applyInPandas(add, "chunk long, sums binary")
     out = np.zeros((BUCKETS // CHUNK, CHUNK, DIM + 1), np.int64)
     for r in once.toLocalIterator():  # SALTS rows a chunk at most
@@ -209,7 +209,7 @@ def scored(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, samp
                 x = pooler(raw(piece, "text"))
                 yield pa.RecordBatch.from_arrays([column(piece, "doc_id"), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
 
-    features = cut(docs.mapInArrow(pool, "doc_id long, x binary"), "quality-features")
+    features = cut(map_batches(docs, pool, "doc_id long, x binary"), "quality-features")
     known = labelled(labels, "quality", mod, rest, sample)
     rows = features.join(known, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.first("label").alias("label")).orderBy("doc_id").collect()
     x = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.float32).reshape(len(rows), WIDTH)
@@ -221,4 +221,4 @@ def scored(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, samp
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "held_out"), pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     picked = features.select("doc_id", held_out("doc_id", mod, rest).alias("held_out"), "x")
-    return picked.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(picked, score, "doc_id long, held_out boolean, score double, predicted int")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import LOWER, column, components, cut, raw
+from riskspark.llm.common import LOWER, column, components, cut, map_batches, raw
 
 #: Variants one target handles at most, about.
 PER_TARGET = 1 << 22
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, n: int = 4) -> DataFrame:
             fp = np.array([fingerprint(t, n) for t in raw(b, "text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(fp)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, fp long")
 
 
 class Ball:
@@ -89,11 +89,21 @@ class Ball:
         """All variants with code `target`, and the index of each one's source."""
         c = self.of(fp) ^ target
         n = self.start[c + 1] - self.start[c]
-        src = np.repeat(np.arange(len(fp)), n)
-        at = np.arange(len(src)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.start[c], n)
+        src = np.repeat(np.arange(len(fp), dtype=np.int32), n)
+        at = np.arange(len(src), dtype=np.int32) + np.repeat((self.start[c] - (np.cumsum(n) - n)).astype(np.int32), n)
         return fp[src] ^ self.masks[at], src
 
 
+def shared(var: np.ndarray, bits: int = 23) -> np.ndarray:
+    """True at least where a value occurs more than once: its hash slot does."""
+    slot = ((var * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
+    last = np.zeros(1 << bits, np.int32)
+    last[slot] = np.arange(len(var), dtype=np.int32)
+    again = np.zeros(1 << bits, bool)
+    again[slot[last[slot] != np.arange(len(var), dtype=np.int32)]] = True
+    return again[slot]
+
+
 def meetings(fp: np.ndarray, ball: Ball, target: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (fingerprint, smaller fingerprint) that join all that meet at a
     variant of this target.  Members of a meeting are joined to its smallest one:
@@ -101,14 +111,13 @@ def meetings(fp: np.ndarray, ball: Ball, target: int, radius: int) -> tuple[np.n
     component, and it avoids a group's pairs.  Links are verified by bit distance."""
     fp = np.unique(fp)
     var, src = ball.variants(fp, target)
-    h = (var * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    keep = np.bincount(h.astype(np.int64), minlength=1 << 24)[h] > 1 if len(var) > 1 << 16 else np.ones(len(var), bool)
+    keep = shared(var)
     var, src = var[keep], src[keep]
     order = np.lexsort((src, var))
     var, src = var[order], src[order]
     new = np.r_[True, var[1:] != var[:-1]] if len(var) else np.zeros(0, bool)
     head = src[np.flatnonzero(new)][np.cumsum(new) - 1] if len(var) else src
-    pair = np.unique((src * len(fp) + head)[src != head])
+    pair = np.unique((src.astype(np.int64) * len(fp) + head)[src != head])
     a, b = pair // max(len(fp), 1), pair % max(len(fp), 1)
     near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
     a, b = a[near], b[near]
@@ -167,7 +176,7 @@ def _round(distinct: DataFrame, ball: Ball, lo: int, hi: int, radius: int) -> Da
         a, b = meetings(fp, ball, int(key[0]), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return distinct.mapInArrow(emit, "target long, fps binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
+    return map_batches(distinct, emit, "target long, fps binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
 
 
 def with_components(fps: DataFrame, radius: int = 4) -> DataFrame:

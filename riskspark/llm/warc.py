@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import column, cut, scratch
+from riskspark.llm.common import column, cut, map_batches, scratch
 
 #: Captures per index block; bytes of an archive file and of one read of it, about.
 LINES, FILE_BYTES, READ_BYTES = 300, 64 << 20, 4 << 20
@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     again = rows.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha", "first")
-    return cut(rows.join(again, "sha", "left").select("page_id", "url", "html", "first").mapInArrow(run, CAPTURE), "captures")
+    return cut(map_batches(rows.join(again, "sha", "left").select("page_id", "url", "html", "first"), run, CAPTURE), "captures")
 
 
 def captures(rows: list[tuple]) -> pa.RecordBatch:
@@ -213,7 +213,7 @@ def build_index(found: DataFrame, folder: str) -> Index:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "page", "last_key", "last_page", "blocks", "directory"])
 
     order = F.col("key"), F.coalesce("page_id", F.lit(NO_ID))
-    parts = found.repartitionByRange(*order).sortWithinPartitions(*order, "file", "offset").mapInArrow(run, "key binary, page long, last_key binary, last_page long, blocks string, directory string")
+    parts = map_batches(found.repartitionByRange(*order).sortWithinPartitions(*order, "file", "offset"), run, "key binary, page long, last_key binary, last_page long, blocks string, directory string")
     rows = [((bytes(r.key), r.page), (bytes(r.last_key), r.last_page), r.blocks, r.directory) for r in parts.collect()]
     return Index(folder, sorted(rows))
 
@@ -225,7 +225,7 @@ def requests(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in column(b, "url").to_pylist()], pa.binary()), column(b, "page_id")], names=["key", "page_id"])
 
     picked = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
-    return picked.mapInArrow(run, "key binary, page_id long").distinct()
+    return map_batches(picked, run, "key binary, page_id long").distinct()
 
 
 def lookup(wanted: DataFrame, index: Index) -> DataFrame:
@@ -241,7 +241,7 @@ def lookup(wanted: DataFrame, index: Index) -> DataFrame:
         yield captures(rows)
 
     order = F.col("key"), F.coalesce("page_id", F.lit(NO_ID))
-    return wanted.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, CAPTURE)
+    return map_batches(wanted.repartitionByRange(*order).sortWithinPartitions(*order), run, CAPTURE)
 
 
 def read_records(found: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
@@ -284,7 +284,7 @@ def read_records(found: DataFrame, folder: str, payloads: bool = True) -> DataFr
         if handle is not None:
             handle.close()
 
-    return found.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
+    return map_batches(found.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset"), run, RECORD)
 
 
 def archive(spark: SparkSession, pages: DataFrame) -> tuple[str, Index]:
