@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import tokens
-from riskspark.llm.common import LOWER, column, held_out, raw, rows_in_pieces
+from riskspark.llm.common import LOWER, column, held_out, map_batches, raw, rows_in_pieces
 
 SPAN, STRIDE = 32, 16
 VOCABULARY, SEEN, CHAR_BITS, WIDTH, HIDDEN, ATTEND = 1 << 16, 3, 13, 8, 8, 8
@@ -50,6 +50,31 @@ class Inputs:
         inside = np.repeat(r.start - self.at, self.size) + np.arange(int(self.size.sum()))
         self.tri, self.first = tri[inside], r.first
 
+    @classmethod
+    def of_many(cls, texts: list[bytes | None], n_bytes: int = 1 << 20) -> Inputs:
+        """The same from about `n_bytes` of texts at a time."""
+        part = np.cumsum([len(t or b"") for t in texts]) // n_bytes
+        parts = [cls([t for t, k in zip(texts, part) if k == one]) for one in np.unique(part)] or [cls([])]
+        out = object.__new__(cls)
+        out.word, out.size, out.tri = (np.concatenate([getattr(p, k) for p in parts]) for k in ("word", "size", "tri"))
+        out.at = np.cumsum(out.size) - out.size
+        out.first = np.r_[0, np.cumsum(np.concatenate([np.diff(p.first) for p in parts]))].astype(np.int64)
+        return out
+
+    def part(self, i: int, j: int) -> Inputs:
+        """The texts i to j - 1."""
+        a, b = int(self.first[i]), int(self.first[j])
+        out = object.__new__(Inputs)
+        out.word, out.size, out.first = self.word[a:b], self.size[a:b], self.first[i : j + 1] - a
+        out.at = np.cumsum(out.size) - out.size
+        t = int(self.at[a]) if a < len(self.at) else len(self.tri)
+        out.tri = self.tri[t : t + int(out.size.sum())]
+        return out
+
+    def parts(self, n: int = 100) -> Iterator[Inputs]:
+        for i in range(0, len(self.first) - 1, n):
+            yield self.part(i, min(i + n, len(self.first) - 1))
+
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """First word and text of every window; each text has at least one."""
         n = np.diff(self.first)
@@ -227,7 +252,8 @@ class Network:
 def telling(ids: np.ndarray, text: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of each id's occurring in a toxic text, rare ones held back, and the
     number of texts it occurs in."""
-    pair = np.unique(ids.astype(np.int64) * len(y) + text)
+    cut = np.searchsorted(text, np.arange(0, len(y) + 200, 200))  # texts' ids, some texts at a time
+    pair = np.concatenate([np.unique(ids[i:j].astype(np.int64) * len(y) + text[i:j]) for i, j in zip(cut[:-1], cut[1:])])
     hot = y[pair % len(y)] == 1
     a, b = (np.bincount(pair[k] // len(y), minlength=n) for k in (hot, ~hot))
     odds = np.log((a + 0.5) / (y.sum() + 1)) - np.log((b + 0.5) / ((1 - y).sum() + 1))
@@ -247,9 +273,9 @@ def fit(texts: list[bytes | None], y: np.ndarray, epochs: int = 6, steps: int =
     aside[order[::5]] = True
     if min(y[~aside].sum(), (1 - y[~aside]).sum()) == 0 or min(y[aside].sum(), (1 - y[aside]).sum()) == 0:
         aside[:] = False
-    train = Inputs([t for t, k in zip(texts, aside) if not k])
+    train = Inputs.of_many([t for t, k in zip(texts, aside) if not k])
     ty = y[~aside]
-    text = np.repeat(np.arange(len(ty)), np.diff(train.first))
+    text = np.repeat(np.arange(len(ty), dtype=np.int32), np.diff(train.first))
     words, ids = np.unique(train.word, return_inverse=True)
     odds, seen = telling(ids, text, ty, len(words))
     order = np.argsort(-seen, kind="stable")[:VOCABULARY]
@@ -267,7 +293,7 @@ def fit(texts: list[bytes | None], y: np.ndarray, epochs: int = 6, steps: int =
     epochs = max(epochs, -(-steps * batch // (len(ty) + int((ty == 0).sum()))))
     for epoch in range(epochs):
         if epoch in (epochs // 3, 2 * epochs // 3):
-            worst = net.logits(train)[0]
+            worst = np.concatenate([net.logits(part)[0] for part in train.parts()])
         best = np.array([i + int(np.argmax(worst[i:j])) for i, j in zip(first, last)])
         some = first + (rng.random(len(ty)) * (last - first)).astype(np.int64)
         pick = np.concatenate([best, some[ty == 0]])
@@ -288,7 +314,8 @@ def fit(texts: list[bytes | None], y: np.ndarray, epochs: int = 6, steps: int =
                     _adam(net.p[k], m[k], v2[k], rows, own_grad, rate, step)
                 else:
                     _adam(net.p[k], m[k], v2[k], slice(None), grad, rate, step)
-    z = net.text_logits(Inputs([t for t, k in zip(texts, aside) if k]) if aside.any() else train).astype(np.float64)
+    last = Inputs.of_many([t for t, k in zip(texts, aside) if k]) if aside.any() else train
+    z = np.concatenate([net.text_logits(part) for part in last.parts()]).astype(np.float64)
     _calibrate(net, z, y[aside] if aside.any() else ty)
     return net
 
@@ -331,4 +358,4 @@ def scored(docs: DataFrame, labels: DataFrame, mod: int = 4, rest: int = 2, samp
                 yield pa.RecordBatch.from_arrays([column(piece, "doc_id"), column(piece, "held_out"), pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     picked = docs.select("doc_id", held_out("doc_id", mod, rest).alias("held_out"), "text")
-    return picked.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(picked, run, "doc_id long, held_out boolean, score double, predicted int")

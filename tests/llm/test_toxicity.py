@@ -63,6 +63,16 @@ def test_scoring_equals_the_training_pass():
     assert np.allclose(net.text_logits(inputs), [z[text == i].max() for i in range(4)])
 
 
+def test_parts_are_the_whole():
+    texts = [b"a few words", None, b"", b"more, and more words", "über".encode() * 9, b"x " * 70]
+    whole, many = X.Inputs(texts), X.Inputs.of_many(texts, 9)
+    for k in ("word", "size", "at", "tri", "first"):
+        assert (getattr(whole, k) == getattr(many, k)).all(), k
+    net = X.Network(np.unique(whole.word)[1:], 3)
+    got = np.concatenate([net.text_logits(p) for p in whole.parts(2)])
+    assert np.allclose(got, net.text_logits(whole), atol=1e-5)
+
+
 def test_query_is_accurate_on_held_out_rows(spark):
     got = {r.doc_id: r for r in QUERIES["op6_toxicity"](spark, SF1).collect()}
     labels = {r.doc_id: r.toxic for r in table(spark, SF1, "labels").collect()}
