@@ -192,6 +192,22 @@ def standardise(df: DataFrame, mom: dict) -> DataFrame:
     return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in mom.items()})
 
 
+def apply_state(df: DataFrame, state: DataFrame) -> DataFrame:
+    """S7 re-applied: clip, impute and scale the columns of new rows by a fitted
+    ``(feature, stat, value)`` table (five rows per feature come to the driver).
+    A missing bound is no bound; features that ``df`` lacks are skipped."""
+    fitted: dict = {}
+    for r in state.collect():
+        fitted.setdefault(r["feature"], {})[r["stat"]] = r["value"]
+
+    def const(c: str, stat: str) -> Column:
+        return F.lit(fitted[c].get(stat)).cast("double")
+
+    return df.withColumns({
+        c: (F.coalesce(clip(lenient_double(c), const(c, "clip_lo"), const(c, "clip_hi")), const(c, "median")) - const(c, "mean"))
+        / const(c, "scale") for c in fitted if c in df.columns})
+
+
 def min_max_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """(s - min) / (max - min + 1e-9) over the batch."""
     r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()

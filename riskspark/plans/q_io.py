@@ -102,6 +102,15 @@ def s7(spark, sf):
     return io.load_state(spark, path)
 
 
+@register("s7b_apply_state", f"""{T}, st as (select quantile_cont(TransactionAmt, 0.001) as lo, quantile_cont(TransactionAmt, 0.999) as hi,
+  median(TransactionAmt) as med, avg(TransactionAmt) as mu, stddev_pop(TransactionAmt) as sd from t)
+select TransactionID, {r6("(coalesce(case when TransactionAmt > hi then hi when TransactionAmt < lo then lo else TransactionAmt end, med) - mu) / (case when sd = 0 then 1.0 else sd end)")} as TransactionAmt
+from t, st""")
+def s7b(spark, sf):
+    """The saved state, loaded and applied to rows."""
+    return FE.apply_state(B.txn_view(spark, sf).select("TransactionID", "TransactionAmt"), s7(spark, sf))
+
+
 @register("s8_materialized_table", f"{LAB} select TransactionID, cast(ato_proxy as bigint) as ato_proxy from lab")
 def s8(spark, sf):
     path = _scratch(spark, "materialized")

@@ -79,6 +79,14 @@ def test_bounds_cut_both_tails_and_drop_what_is_not_finite(spark):
     assert out[0] == 1.0 and out[1000] == 999.0 and out[2:999] == xs[2:999] and out[1001:] == [None] * 4
 
 
+def test_state_is_applied_to_new_rows(spark):
+    stats = {"clip_lo": 0.0, "clip_hi": 10.0, "median": 4.0, "mean": 2.0, "scale": 2.0}
+    state = spark.createDataFrame([("x", k, v) for k, v in stats.items()] + [("y", "clip_lo", None), ("y", "clip_hi", None), ("y", "median", 1.0), ("y", "mean", 0.0), ("y", "scale", 1.0), ("gone", "mean", 1.0)], "feature string, stat string, value double")
+    df = spark.createDataFrame([(1, "-5", 99.0), (2, "3", None), (3, "11", -1.0), (4, "1d", 0.5)], "i int, x string, y double")
+    got = [(r.x, r.y) for r in FE.apply_state(df, state).orderBy("i").collect()]
+    assert got == [(-1.0, 99.0), (0.5, 1.0), (4.0, -1.0), (1.0, 0.5)]
+
+
 def test_short_histories_are_padded_in_front(spark):
     rows = [("p", 10 * i, i, float(i), -float(i)) for i in range(3)] + [("alone", 0, 9, 1.0, 1.0), (None, 0, 10, 1.0, 1.0), (None, 1, 11, 1.0, 1.0)]
     got = {r.TransactionID: r for r in FE.sequence_history(spark.createDataFrame(rows, HISTORY), ["f1", "f2"], history_len=4).collect()}
