@@ -3,12 +3,14 @@ functions for Arrow batches, and connected components over an edge table."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.session import ensure_checkpoint_dir
@@ -39,12 +41,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 BATCH_BYTES = 4 << 20
 
 
+def hand_back() -> None:
+    """Return freed memory to the system, as a worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """`df.mapInArrow(fn, schema)` over batches of bounded bytes; a task hands back
     the memory it no longer uses, as its worker lives on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()
+        hand_back()
 
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
@@ -73,6 +83,44 @@ def held_out(doc_id: str, mod: int, rest: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
+#: Largest bitmap sent to the tasks, in 64-bit words (16 MB).
+BITMAP_WORDS = 1 << 21
+
+
+class Bitmap:
+    """A set of hashes `h` as a bitmap of bounded size: no hash of the set is
+    missed, and the larger the set, the more others pass."""
+
+    def __init__(self, hashes: DataFrame, n: int):
+        self.bits = min(BITMAP_WORDS * 64, max(1 << 16, 1 << (16 * max(1, n)).bit_length()))
+        bit = F.pmod("h", F.lit(self.bits))
+        words = hashes.select((bit / 64).cast("long").alias("w"), F.expr("shiftleft(1L, cast(pmod(h, 64) as int))").alias("b"))
+        rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+        self.words = np.zeros(self.bits // 64, np.uint64)
+        self.words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).view(np.uint64)
+
+    def __call__(self, h: int) -> bool:
+        at = h % self.bits
+        return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
+
+    def holds(self, h: Column) -> Column:
+        """Whether hashes pass; only they go to Python."""
+        @F.pandas_udf("boolean")
+        def test(s: pd.Series) -> pd.Series:
+            at = s.to_numpy(np.int64).view(np.uint64) & np.uint64(self.bits - 1)
+            return pd.Series((self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+        return test(h)
+
+
+def apart(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`docs` in two: all rows whose doc_id is one of `ids(doc_id)`, with perhaps
+    some more, and others.  What follows has to join only the first."""
+    found = Bitmap(ids.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h")), ids.count())
+    hit = found.holds(F.xxhash64(F.col("doc_id").cast("long")))
+    return docs.where(hit), docs.where(~hit)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the undirected graph `edges(a, b)`: one row
     (node, root) per node that is not its component's smallest node, root being

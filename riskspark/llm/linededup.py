@@ -29,15 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import column, components, cut, map_batches, raw, rows_in_pieces
+from riskspark.llm.common import Bitmap, apart, column, components, cut, hand_back, map_batches, raw, rows_in_pieces
 
 TAU, SHORTEST = 2, 20
 #: Entries one shuffle target gets, about; the fewest targets.
 PER_TARGET, FEWEST_BITS = 1 << 22, 6
 #: Pairs a task looks at at a time.
 AT_ONCE = 1 << 18
-#: Largest bitmap sent to the tasks, in 64-bit words (16 MB).
-BITMAP_WORDS = 1 << 21
 ENTRY = np.dtype([("k", "<u4"), ("s", "<u4"), ("h", "<u8")])
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -239,7 +237,7 @@ def pairs(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for piece in rows_in_pieces(b, 1 << 20, 1 << 20):
+            for piece in rows_in_pieces(b, 1 << 20, 1 << 19):
                 found = distinct_lines(piece, shortest)
                 if not found:
                     continue
@@ -251,28 +249,12 @@ def pairs(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         of = [np.frombuffer(b"".join(rows["entries"][rows["role"] == role]), ENTRY) for role in (0, 1)]
         a, b = candidates(*of, tau)
+        hand_back()
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return map_batches(docs, emit, "target long, role int, entries binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
 
 
-class Bitmap:
-    """A set of hashes as a bitmap of bounded size: no hash of the set is missed,
-    and the larger the set, the more others pass."""
-
-    def __init__(self, hashes: DataFrame, n: int):
-        self.bits = min(BITMAP_WORDS * 64, max(1 << 16, 1 << (16 * max(1, n)).bit_length()))
-        bit = F.pmod("h", F.lit(self.bits))
-        words = hashes.select((bit / 64).cast("long").alias("w"), F.expr("shiftleft(1L, cast(pmod(h, 64) as int))").alias("b"))
-        rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-        self.words = np.zeros(self.bits // 64, np.uint64)
-        self.words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).view(np.uint64)
-
-    def __call__(self, h: int) -> bool:
-        at = h % self.bits
-        return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
-
-
 def links(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
     """Pairs (a, b) of hashes of distinct lines at most tau edits apart."""
     found = cut(pairs(docs, n_lines, tau, shortest), "line-pairs")
@@ -314,8 +296,11 @@ def dropped(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFr
 
 
 def _dropping(docs: DataFrame, tau: int, shortest: int) -> DataFrame:
-    found = dropped(docs, tau, shortest).select(F.col("doc_id").alias("_id"), F.col("drops").alias("_drops"))
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+    """`docs` with the column _drops; only documents that have some are shuffled."""
+    found = cut(dropped(docs, tau, shortest).select(F.col("doc_id").alias("__id"), F.col("drops").alias("__drops")), "line-drops")
+    hit, rest = apart(docs, found.select(F.col("__id").alias("doc_id")))
+    met = hit.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    return met.unionByName(rest.withColumn("__drops", F.lit(None).cast(found.schema["__drops"].dataType)))
 
 
 def _without(text: bytes | None, drops: list | None) -> tuple[bytes | None, int, list]:
@@ -335,7 +320,7 @@ def dedup(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [_without(t, d)[0] for t, d in zip(raw(b, "text"), column(b, "_drops").to_pylist())]
+            texts = [_without(t, d)[0] for t, d in zip(raw(b, "text"), column(b, "__drops").to_pylist())]
             cols = {n: column(b, n) for n in names} | {"text": pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
@@ -352,7 +337,7 @@ def report(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [_without(t, d) for t, d in zip(raw(b, "text"), column(b, "_drops").to_pylist())]
+            rows = [_without(t, d) for t, d in zip(raw(b, "text"), column(b, "__drops").to_pylist())]
             drops = [[{k: d[k] for k in ("line_no", "first_doc_id", "first_line_no")} for d in own] for _, _, own in rows]
             yield pa.RecordBatch.from_arrays([
                 column(b, "doc_id"), pa.array([n for _, n, _ in rows], pa.int64()), pa.array([len(d) for d in drops], pa.int64()),

@@ -35,8 +35,8 @@ from riskspark.llm.common import column, map_batches, rows_in_pieces
 
 SIZE = 4096
 SENTENCE, INSIDE, STEP = 16, 256, 512
-#: Words whose ids a worker keeps.
-CACHE = 1 << 19
+#: Words a worker keeps in either of two generations; those still asked for stay.
+CACHE = 1 << 18
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -61,19 +61,12 @@ class Ids:
         for s, i in vocab.items():
             self.word_end[i] = s.endswith("</w>")
             self.sentence_end[i] = s.endswith("</w>") and s[0] in ".!?"
-        #: each word's first id in `flat`, above its number of ids
-        self.at: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def _put(self, key: str, ids) -> None:
-        n = len(ids)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + n] = ids
-        self.at[key] = self.used << 24 | n
-        self.used += n
-
-    def _learn(self, new: list[str]) -> None:
+        #: words' ids as bytes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
         alone = [w for w in new if w.isascii() or unicodedata.normalize("NFC", w).lower().isalpha()]
         alone = [w for w in alone if w.isalpha()]  # one pre-token each, so one word end each
         for i in range(0, len(alone), 2000):
@@ -82,24 +75,24 @@ class Ids:
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) == len(part):
                 for w, a, b in zip(part, [0, *ends.tolist()], ends.tolist()):
-                    self._put(w, ids[a:b])
-        rest = [w for w in new if w not in self.at]
+                    found[w] = ids[a:b].tobytes()
+        rest = [w for w in new if w not in found]
         for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            self._put(w, e.ids)
+            found[w] = np.array(e.ids, np.uint32).tobytes()
+        return found
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word one after another, and each word's number of ids."""
-        if len(self.at) > CACHE:
-            self.at, self.used = {}, 0
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
         # ASCII case goes; a last "," or "." after a letter or digit is a pre-token of its own
         keys = [w.lower() if w.isascii() and "<" not in w else w for w in words]
         parts = [(k[:-1], k[-1]) if len(k) > 1 and k[-1] in ",." and k[-2].isascii() and k[-2].isalnum() else (k, "") for k in keys]
-        need = {p for stem, dot in parts for p in (stem, dot) if p not in self.at}
-        if need:
-            self._learn(sorted(need))
-        where = np.array([self.at[p] for stem, dot in parts for p in (stem, dot)], np.int64)
-        n = where & 0xFFFFFF
-        return take(self.flat, where >> 24, n), n.reshape(-1, 2).sum(1)
+        need = {p for pair in parts for p in pair if p not in self.young}
+        self.young |= {p: self.old[p] for p in need if p in self.old}
+        self.young |= self._learn(sorted(p for p in need if p not in self.old))
+        blobs = [self.young[stem] + self.young[dot] for stem, dot in parts]
+        return np.frombuffer(b"".join(blobs), np.uint32), np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and each text's number of ids."""

@@ -81,13 +81,13 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = sum(_unpacked(x) for x in rows["sums"])
-        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "sums": [total.tobytes()]})
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "sums": [_packed(total)]})
 
     partial = map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "chunk long, salt long, sums binary")
     once = partial.groupBy("chunk", "salt").applyInPandas(add, "chunk long, sums binary")
     out = np.zeros((BUCKETS // CHUNK, CHUNK, DIM + 1), np.int64)
-    for r in once.toLocalIterator():  # SALTS rows a chunk at most
-        out[r.chunk] += np.frombuffer(bytes(r.sums), np.int64).reshape(CHUNK, DIM + 1)
+    for r in once.groupBy("chunk").applyInPandas(add, "chunk long, sums binary").collect():  # a row a chunk
+        out[r.chunk] = _unpacked(bytes(r.sums))
     return out.reshape(BUCKETS, DIM + 1)
 
 

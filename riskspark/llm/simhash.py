@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import LOWER, column, components, cut, map_batches, raw
+from riskspark.llm.common import LOWER, apart, column, components, cut, hand_back, map_batches, raw
 
 #: Variants one target handles at most, about.
 PER_TARGET = 1 << 22
@@ -174,6 +174,7 @@ def _round(distinct: DataFrame, ball: Ball, lo: int, hi: int, radius: int) -> Da
     def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         fp = np.frombuffer(b"".join(rows["fps"]), np.uint64)
         a, b = meetings(fp, ball, int(key[0]), radius)
+        hand_back()
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return map_batches(distinct, emit, "target long, fps binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
@@ -201,7 +202,10 @@ def keep_one(docs: DataFrame, n: int = 4, radius: int = 4) -> DataFrame:
     smallest doc_id stays (once, if that id repeats).  Rows without a doc_id
     can't be told apart and stay."""
     found = with_components(cut(fingerprints(docs, n), "simhash"), radius)
-    kept = cut(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n")), "simhash-kept")
-    once = docs.join(kept.where("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    more = docs.join(kept.where("_n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"), F.max(F.col("doc_id") == F.col("component_id")).alias("__kept"))
+    special = cut(ids.where("_n > 1 or not __kept"), "simhash-special")  # documents that go or repeat
+    hit, rest = apart(docs, special)
+    told = hit.where("doc_id is not null").join(special.select(F.col("doc_id").alias("__id"), "__kept"), F.col("doc_id").cast("long") == F.col("__id"), "left")
+    once = told.where("__id is null").select(*docs.columns)
+    more = told.where("__kept").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return rest.unionByName(hit.where("doc_id is null")).unionByName(once).unionByName(more)
