@@ -9,6 +9,11 @@ put the segment; keys are (l, segment, substring).  Index and probe entries are
 shuffled on the key; pairs that meet are sifted by the parity of their character
 counts and verified by banded bit-parallel edit distance on their texts.
 
+Entries are counted first, in `SLOTS` hashed counters.  Keys of a counter above a bound
+are not shuffled as entries: the lines that hold one are dealt to chunks, each
+pair of chunks is verified in a group of its own, and only links that join two
+parts of the group are kept.
+
 A class is a connected component of links; its first place, the smallest
 (doc_id, line number), stays, all other places go.  Lines of fewer than `shortest`
 characters are only compared for equality, and lines of white space are never
@@ -25,6 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +42,10 @@ TAU, SHORTEST = 2, 20
 PER_TARGET, FEWEST_BITS = 1 << 22, 6
 #: Pairs a task looks at at a time.
 AT_ONCE = 1 << 18
+#: Counters of entries, those that travel together, and the fewest entries of a hot one.
+SLOTS, SLOT_CHUNK, HOT = 1 << 20, 1 << 14, 1 << 10
+#: Lines of one chunk of a hot counter, and pairs verified at a time there.
+LINES, CHECKED = 1 << 12, 1 << 11
 ENTRY = np.dtype([("k", "<u4"), ("s", "<u4"), ("h", "<u8")])
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -79,18 +89,31 @@ def window(i: int, delta: int, tau: int) -> range:
     return range(max(-left, delta - right), min(left, delta + right) + 1)
 
 
+def code_points(lines: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def sketches(lines: list[str]) -> np.ndarray:
+    """Parities of the counts of a line's characters, in 32 classes."""
+    if not lines:
+        return np.zeros(0, np.uint32)
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    bit = np.uint64(1) << (scramble(code_points(lines)) & np.uint64(31))
+    return np.bitwise_xor.reduceat(bit, np.cumsum(size) - size).astype(np.uint32)
+
+
 class Signatures:
     """Index and probe entries of a list of distinct lines (as text)."""
 
     def __init__(self, lines: list[str], hashes: list[int], tau: int, shortest: int):
-        cp = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        self.lines, self.hashes = lines, hashes
+        cp = code_points(lines)
         size = np.fromiter(map(len, lines), np.int64, len(lines))
         end = np.cumsum(size)
         start = end - size
         fwd, self.inv = powers(len(cp) + 1)
         self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(scramble(cp + np.uint64(1)) * fwd[:-1])]
-        bit = np.uint64(1) << (scramble(cp) & np.uint64(31))
-        sketch = np.bitwise_xor.reduceat(bit, start).astype(np.uint32) if len(lines) else np.zeros(0, np.uint32)
+        sketch = sketches(lines)
         h = np.array(hashes, np.uint64)
         self.index, self.probe = [], []
         at, n = segments(size, tau)
@@ -145,6 +168,105 @@ def candidates(index: np.ndarray, probe: np.ndarray, tau: int) -> tuple[np.ndarr
     return pairs[:, 0], pairs[:, 1]
 
 
+def slots(key: np.ndarray) -> np.ndarray:
+    """Counters of keys; other bits than those that make up the target."""
+    return (key & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def hot_slots(docs: DataFrame, n_entries: int, tau: int, shortest: int) -> np.ndarray:
+    """Counters with more entries than a bound; equal lines of several batches all count."""
+    bound = max(HOT, 4 * n_entries // SLOTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for sig in signatures(batches, tau, shortest):
+            total += np.bincount(np.concatenate([slots(key) for key, _, _ in sig.index + sig.probe]), minlength=SLOTS)
+        parts = total.reshape(-1, min(SLOTS, SLOT_CHUNK))
+        full = np.flatnonzero(parts.any(1))
+        salt = TaskContext.get().partitionId() % 32
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([salt] * len(full), pa.int64()), pa.array([parts[i].tobytes() for i in full], pa.binary())], names=["chunk", "salt", "sums"])
+
+    def summed(rows: pd.DataFrame) -> np.ndarray:
+        return sum(np.frombuffer(x, np.int64) for x in rows["sums"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "sums": [summed(rows).tobytes()]})
+
+    def above(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slot": int(rows["chunk"].iloc[0]) * min(SLOTS, SLOT_CHUNK) + np.flatnonzero(summed(rows) > bound)})
+
+    once = map_batches(docs, run, "chunk long, salt long, sums binary").groupBy("chunk", "salt").applyInPandas(add, "chunk long, sums binary")
+    return np.array(sorted(r.slot for r in once.groupBy("chunk").applyInPandas(above, "slot long").collect()), np.int64)  # at most SLOTS / 4
+
+
+def spanning(lines: list[str], hashes: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links whose components are those of all pairs of lines at most tau edits
+    apart, fewer than there are lines.  Pairs already connected are passed over; lines
+    come by hash, as neighbours of similar lines connect little."""
+    order = np.argsort(scramble(hashes.view(np.uint64)), kind="stable")
+    lines, hashes = [lines[i] for i in order.tolist()], hashes[order]
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    sketch = sketches(lines)
+    root = np.arange(len(lines))
+    out, todo, n = [], [], 0
+
+    def verify() -> None:
+        a, b = (np.concatenate(x) for x in zip(*todo))
+        apart_yet = root[a] != root[b]
+        a, b = a[apart_yet], b[apart_yet]
+        near = within([lines[i] for i in a], [lines[i] for i in b], tau)
+        for i, j in zip(a[near].tolist(), b[near].tolist()):
+            if root[i] != root[j]:
+                root[root == root[j]] = root[i]
+                out.append((i, j))
+
+    for i in range(len(lines)):
+        near = (np.bitwise_count(sketch[i + 1 :] ^ sketch[i]) <= 2 * tau) & (np.abs(size[i + 1 :] - size[i]) <= tau) & (root[i + 1 :] != root[i])
+        b = i + 1 + np.flatnonzero(near)
+        todo.append((np.full(len(b), i), b))
+        n += len(b)
+        if n >= CHECKED:
+            verify()
+            todo, n = [], 0
+    if n:
+        verify()
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return hashes[a], hashes[b]
+
+
+def hot_links(docs: DataFrame, hot: np.ndarray, tau: int, shortest: int) -> DataFrame:
+    """Links among the lines of each hot counter, verified."""
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sig in signatures(batches, tau, shortest):
+            found = [(slots(key), h) for key, _, h in sig.index + sig.probe]
+            slot, h = (np.concatenate(x) for x in zip(*found))
+            own = np.isin(slot, hot)
+            rows = np.unique(np.rec.fromarrays([slot[own], h[own]], names="slot,h"))
+            text = dict(zip(sig.hashes, sig.lines))
+            yield pa.RecordBatch.from_arrays([pa.array(rows["slot"], pa.int64()), pa.array(rows["h"].view(np.int64)), pa.array([text[x] for x in rows["h"].tolist()], pa.string())], names=["slot", "h", "line"])
+
+    lines = cut(map_batches(docs, members, "slot long, h long, line string").dropDuplicates(["slot", "h"]), "line-hot")
+    chunks = {r.slot: -(-r["count"] // LINES) for r in lines.groupBy("slot").count().where("count > 1").collect()}  # at most one row a hot counter
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A line to all pairs of chunks that its own is one of."""
+        for b in batches:
+            slot, h = column(b, "slot").to_numpy(), column(b, "h").to_numpy()
+            n = np.array([chunks.get(s, 0) for s in slot.tolist()], np.int64)
+            own = (scramble(h.view(np.uint64)) % np.maximum(n, 1).astype(np.uint64)).astype(np.int64)
+            for j in range(int(n.max(initial=0))):
+                met = (n > j) & ((own != j) | (n == 1))
+                yield pa.RecordBatch.from_arrays([column(b, "slot"), pa.array(np.minimum(own, j)), pa.array(np.maximum(own, j)), column(b, "h"), column(b, "line")], names=["slot", "i", "j", "h", "line"]).filter(pa.array(met))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        a, b = spanning(rows["line"].tolist(), rows["h"].to_numpy(np.int64), tau)
+        hand_back()
+        return pd.DataFrame({"a": a, "b": b})
+
+    dealt = map_batches(lines, deal, "slot long, i long, j long, h long, line string")
+    return cut(dealt.groupBy("slot", "i", "j").applyInPandas(meet, "a long, b long"), "line-hot-links")
+
+
 def within(first: list[str], second: list[str], tau: int) -> np.ndarray:
     """Whether each pair's edit distance is at most tau (tau <= 31).  A band of 2 tau
     + 1 diagonals is kept in one machine word a pair and moves down one row a column;
@@ -230,21 +352,26 @@ def distinct_lines(batch: pa.RecordBatch, shortest: int, wanted=None) -> dict[in
     return {h: s for h, s in found.items() if len(s) >= shortest}
 
 
-def pairs(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
-    """Distinct candidate pairs (a, b) of line hashes."""
-    entries = n_lines * (tau + 1 + sum(len(window(i, d, tau)) for d in range(tau + 1) for i in range(tau + 1)))
-    bits = max(FEWEST_BITS, math.ceil(math.log2(max(1, entries / PER_TARGET))))
+def signatures(batches: Iterator[pa.RecordBatch], tau: int, shortest: int) -> Iterator[Signatures]:
+    """Entries of the lines of a few documents at a time."""
+    for b in batches:
+        for piece in rows_in_pieces(b, 1 << 20, 1 << 19):
+            found = distinct_lines(piece, shortest)
+            if found:
+                yield Signatures(list(found.values()), list(found), tau, shortest)
+
+
+def pairs(docs: DataFrame, n_entries: int, hot: np.ndarray, tau: int, shortest: int) -> DataFrame:
+    """Distinct candidate pairs (a, b) of line hashes; keys of hot counters are left out."""
+    bits = max(FEWEST_BITS, math.ceil(math.log2(max(1, n_entries / PER_TARGET))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for piece in rows_in_pieces(b, 1 << 20, 1 << 19):
-                found = distinct_lines(piece, shortest)
-                if not found:
-                    continue
-                sig = Signatures(list(found.values()), list(found), tau, shortest)
-                for role, part in ((0, sig.index), (1, sig.probe)):
-                    t, blobs = by_target(part, bits)
-                    yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array([role] * len(t), pa.int32()), pa.array(blobs, pa.binary())], names=["target", "role", "entries"])
+        for sig in signatures(batches, tau, shortest):
+            for role, part in ((0, sig.index), (1, sig.probe)):
+                if len(hot):
+                    part = [tuple(x[~np.isin(slots(entry[0]), hot)] for x in entry) for entry in part]
+                t, blobs = by_target(part, bits)
+                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array([role] * len(t), pa.int32()), pa.array(blobs, pa.binary())], names=["target", "role", "entries"])
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         of = [np.frombuffer(b"".join(rows["entries"][rows["role"] == role]), ENTRY) for role in (0, 1)]
@@ -256,8 +383,16 @@ def pairs(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
 
 
 def links(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
-    """Pairs (a, b) of hashes of distinct lines at most tau edits apart."""
-    found = cut(pairs(docs, n_lines, tau, shortest), "line-pairs")
+    """Pairs (a, b) of hashes of distinct lines at most tau edits apart; of lines that
+    share the key of a hot counter, as many as keep them connected."""
+    n_entries = n_lines * (tau + 1 + sum(len(window(i, d, tau)) for d in range(tau + 1) for i in range(tau + 1)))
+    hot = hot_slots(docs, n_entries, tau, shortest)
+    near = verified(docs, cut(pairs(docs, n_entries, hot, tau, shortest), "line-pairs"), tau, shortest)
+    return near.union(hot_links(docs, hot, tau, shortest)) if len(hot) else near
+
+
+def verified(docs: DataFrame, found: DataFrame, tau: int, shortest: int) -> DataFrame:
+    """The pairs of the written table `found(a, b)` at most tau edits apart."""
     hashes = found.select(F.col("a").alias("h")).union(found.select("b"))
     wanted = Bitmap(hashes, 2 * found.count())
 

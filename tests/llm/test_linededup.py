@@ -155,3 +155,21 @@ def test_small_blocks_give_the_same_pairs(monkeypatch):
         assert found() == want
     near = {(i + 1, j + 1) for i, a in enumerate(lines) for j, b in enumerate(lines) if i < j and slow_distance(a, b) <= 2}
     assert near <= want
+
+
+def test_hot_keys_are_dealt_to_chunks(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT", 4)
+    monkeypatch.setattr(L, "LINES", 7)
+    rng = random.Random(6)
+    base = [f"page {rng.randrange(300):05d} of the yearly report" for _ in range(80)] + ["".join(rng.choice("abcd") for _ in range(40)) for _ in range(20)]
+    docs = [(d, "\n".join(edited(rng, rng.choice(base), rng.choice([0, 0, 1, 2])) for _ in range(6))) for d in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len(L.hot_slots(df, 0, 2, 20)) > 10
+    check(L.report(df).collect(), docs)
+
+
+def test_a_hot_key_does_not_give_all_pairs(spark):
+    lines = [f"page {i:05d} of the yearly report" for i in range(3000)]
+    df = spark.createDataFrame([(i, "\n".join(lines[i : i + 50])) for i in range(0, 3000, 50)], "doc_id long, text string")
+    assert L.links(df, len(lines), 2, 20).count() < 20 * len(lines)
+    assert sum(r.n_dropped for r in L.report(df).collect()) == len(lines) - 1
