@@ -56,3 +56,14 @@ def test_edge_rows(spark):
     assert got == {0: [(-2.0, 20), (-0.5, 1), (-0.5, 9), (0.0, 40)], 20: [(-2.0, 0), (-1.0, 1), (-1.0, 9), (0.0, 40)], 40: [(0.0, 0), (0.0, 20), (0.5, 1), (0.5, 9)]}
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
     assert ann.search(df.where("vec_id = 0"), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_recall_of_the_default_share_beyond_the_floor(spark):
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings").collect()
+    ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows], np.float64)
+    assert len(ids) > 2 * 40 * 20  # more vectors than the floor reaches
+    want = brute(ids, x, [i for i in ids if i % 20 == 0])
+    got = by_query(QUERIES["op5_inverted_multi_index"](spark, "/root/testdata/sf0.1").collect())
+    recall = np.mean([len({i for _, i in got[q]} & {i for _, i in want[q]}) / 20 for q in want])
+    print("recall", len(ids), len(want), recall)
+    assert 0.9 <= recall < 1  # pruned, and still found
