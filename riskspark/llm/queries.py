@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ann, chat, decontam, langid, linededup, packing, quality, simhash, toxicity, warc
+from riskspark.llm import ann, chat, decontam, langid, licences, linededup, packing, periodic, quality, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -86,3 +86,13 @@ def op9_packing(spark, sf_dir):
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, radius=4)
+
+
+@query
+def op11_license_scan(spark, sf_dir):
+    return licences.digest(licences.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.digest(periodic.detect(periodic.planted(table(spark, sf_dir, "documents"))))
