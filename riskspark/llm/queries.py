@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ann, chat, decontam, langid, licences, linededup, packing, periodic, quality, simhash, toxicity, warc
+from riskspark.llm import ann, chat, decontam, langid, licences, linededup, negatives, packing, periodic, quality, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,6 +93,15 @@ def op11_license_scan(spark, sf_dir):
     return licences.digest(licences.scan(table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = negatives.SQL
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     return periodic.digest(periodic.detect(periodic.planted(table(spark, sf_dir, "documents"))))
