@@ -22,6 +22,7 @@ import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,15 @@ from riskspark.llm.common import column, map_batches, rows_in_pieces
 
 SIZE = 4096
 SENTENCE, INSIDE, STEP = 16, 256, 512
-#: Words a worker keeps in either of two generations; those still asked for stay.
+#: Stems a worker keeps before it goes back to those of its last batch.
 CACHE = 1 << 18
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Ids:
     """Token ids of texts.  The tokenizer drops white space and no token spans it,
-    so a text's ids are its white-space separated words' ids one after another;
-    each distinct word is tokenized once."""
+    so a text's ids are its white-space separated words' ids one after another.  Distinct
+    words are tokenized in one go, and those of a batch kept for the next ones."""
 
     _made: dict[str, Ids] = {}
 
@@ -61,47 +62,70 @@ class Ids:
         for s, i in vocab.items():
             self.word_end[i] = s.endswith("</w>")
             self.sentence_end[i] = s.endswith("</w>") and s[0] in ".!?"
-        #: words' ids as bytes
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        found: dict[str, bytes] = {}
-        alone = [w for w in new if w.isascii() or unicodedata.normalize("NFC", w).lower().isalpha()]
-        alone = [w for w in alone if w.isalpha()]  # one pre-token each, so one word end each
+        #: stems kept, by number; where the ids of each start in `flat`, and how many they are
+        self.kept: dict[str, int] = {}
+        self.flat, self.start, self.n = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct stems, and where each stem's ids start and how many they are."""
+        at = np.fromiter(map(self.kept.get, stems, repeat(-1)), np.int64, len(stems))
+        unknown = np.flatnonzero(at < 0)
+        new = [stems[i] for i in unknown]
+        flat, start, n = self._encode(new)
+        at[unknown] = np.arange(len(new)) + len(self.n)
+        self.kept.update(zip(new, at[unknown].tolist()))
+        self.start = np.r_[self.start, start + len(self.flat)]
+        self.flat, self.n = np.r_[self.flat, flat], np.r_[self.n, n]
+        start, n = self.start[at], self.n[at]
+        if len(self.kept) > CACHE:  # this batch's stems stay
+            self.flat, self.n = take(self.flat, start, n), n
+            self.start = start = np.cumsum(n) - n
+            self.kept = dict(zip(stems, range(len(stems))))
+        return self.flat, start, n
+
+    def _encode(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        blobs, of, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        # letters alone are one pre-token each, so have one word end each
+        alone = [i for i, w in enumerate(stems) if w.isalpha() and (w.isascii() or unicodedata.normalize("NFC", w).lower().isalpha())]
+        single = np.ones(len(stems), bool)
         for i in range(0, len(alone), 2000):
             part = alone[i : i + 2000]
-            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(self.tok.encode_batch_fast([" ".join([stems[j] for j in part])], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) == len(part):
-                for w, a, b in zip(part, [0, *ends.tolist()], ends.tolist()):
-                    found[w] = ids[a:b].tobytes()
-        rest = [w for w in new if w not in found]
-        for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            found[w] = np.array(e.ids, np.uint32).tobytes()
-        return found
-
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of each word one after another, and each word's number of ids."""
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
-        # ASCII case goes; a last "," or "." after a letter or digit is a pre-token of its own
-        keys = [w.lower() if w.isascii() and "<" not in w else w for w in words]
-        parts = [(k[:-1], k[-1]) if len(k) > 1 and k[-1] in ",." and k[-2].isascii() and k[-2].isalnum() else (k, "") for k in keys]
-        need = {p for pair in parts for p in pair if p not in self.young}
-        self.young |= {p: self.old[p] for p in need if p in self.old}
-        self.young |= self._learn(sorted(p for p in need if p not in self.old))
-        blobs = [self.young[stem] + self.young[dot] for stem, dot in parts]
-        return np.frombuffer(b"".join(blobs), np.uint32), np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+                single[part] = False
+                blobs.append(ids)
+                of.append(np.array(part))
+                n.append(np.diff(np.r_[0, ends]))
+        rest = np.flatnonzero(single)
+        found = [e.ids for e in self.tok.encode_batch_fast([stems[j] for j in rest], add_special_tokens=False)]
+        blobs.append(np.fromiter((x for ids in found for x in ids), np.uint32))
+        of.append(rest)
+        n.append(np.fromiter(map(len, found), np.int64, len(found)))
+        order, size = np.concatenate(of), np.concatenate(n)
+        start, count = np.zeros(len(stems), np.int64), np.zeros(len(stems), np.int64)
+        start[order], count[order] = np.cumsum(size) - size, size
+        return np.concatenate(blobs), start, count
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and each text's number of ids."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        words = split.flatten().dictionary_encode()
-        ids, n = self.words(words.dictionary.to_pylist())
-        index = words.indices.to_numpy(zero_copy_only=False)
+        encoded = split.flatten().dictionary_encode()
+        words, index = encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False)
+        # ASCII case goes; a last "," or "." after a letter or digit is a pre-token of its own
+        plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
+        words = pc.if_else(plain, pc.ascii_lower(words), words)
+        marked = pc.match_substring_regex(words, "[0-9A-Za-z][,.]$")
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        flat, start, n = self.stems([*stems.dictionary.to_pylist(), ",", "."])
+        stem = stems.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        mark = len(n) - 2 + pc.ends_with(words, ".").to_numpy(zero_copy_only=False).astype(np.int64)
+        has = marked.to_numpy(zero_copy_only=False).astype(np.int64)
+        # a word is two runs: its stem's ids and its mark's, if it has one
+        sizes = np.stack([n[stem], n[mark] * has], 1)
+        flat, n = take(flat, np.stack([start[stem], start[mark]], 1).ravel(), sizes.ravel()), sizes.sum(1)
         each = n[index]
-        out = take(ids, (np.cumsum(n) - n)[index], each)
+        out = take(flat, (np.cumsum(n) - n)[index], each)
         ends = np.r_[0, np.cumsum(each)]
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         return out, ends[offsets[1:]] - ends[offsets[:-1]]
