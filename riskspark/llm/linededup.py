@@ -1,54 +1,85 @@
 """Near-duplicate lines across documents by a segment-partition edit join.
 
-Two lines are linked if their edit distance (insert, delete, replace a character)
-is at most `tau`; equal lines are one.  A line of the index is split into tau + 1
-even segments, of which at least one occurs unchanged in any linked line.  A longer
-or equally long line therefore probes, for each length l within tau of its own and
-each segment of that length, its substrings in the window where an alignment can
-put the segment; keys are (l, segment, substring).  Index and probe entries are
-shuffled on the key; pairs that meet are sifted by the parity of their character
-counts and verified by banded bit-parallel edit distance on their texts.
-
-Entries are counted first, in `SLOTS` hashed counters.  Keys of a counter above a bound
-are not shuffled as entries: the lines that hold one are dealt to chunks, each
-pair of chunks is verified in a group of its own, and only links that join two
-parts of the group are kept.
+A line is a sequence of symbols: its words (what white space separates) if it has at
+least `words` of them, else its characters.  Two lines of the same kind are linked if
+their edit distance (insert, delete, replace a symbol) is at most a threshold that grows
+with the shorter one's length n: 1 + n // `per` words, at most `most`, or `tau` characters.
+Equal lines are one.  A line of the index with threshold t is split into t + 1 even segments,
+of which at least one occurs unchanged in any linked line.  A longer or equally long
+line therefore probes, for each length l within the threshold of l and each segment of that
+length, its substrings in the window where an alignment can put the segment; keys
+are (kind, l, segment, substring).  Index and probe entries are shuffled on the key;
+pairs that meet are sifted by the parity of their symbols' counts and verified by
+banded bit-parallel edit distance on their symbols.
+
+The target of a key counts the key's lines before it pairs them.  Those of a key with
+more than `HOT` pairs are not paired but handed on: they are dealt to chunks, each pair of
+chunks is verified in a group of its own, and only links that join two parts of
+the group are kept.
 
 A class is a connected component of links; its first place, the smallest
-(doc_id, line number), stays, all other places go.  Lines of fewer than `shortest`
-characters are only compared for equality, and lines of white space are never
-touched.  Rows with the same doc_id are one place; a null doc_id comes last.
-Null texts stay null.
+(doc_id, line number), stays, all other places go.  Lines of fewer than `words` words
+and fewer than `shortest` characters are only compared for equality, and lines of white
+space are never touched.  Rows with the same doc_id are one place.  Rows with a null
+doc_id come last and are told apart, and ordered, by the hash of their text.  Null
+texts stay null.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm.common import Bitmap, apart, column, components, cut, hand_back, map_batches, raw, rows_in_pieces
 
-TAU, SHORTEST = 2, 20
-#: Entries one shuffle target gets, about; the fewest targets.
-PER_TARGET, FEWEST_BITS = 1 << 22, 6
-#: Pairs a task looks at at a time.
-AT_ONCE = 1 << 18
-#: Counters of entries, those that travel together, and the fewest entries of a hot one.
-SLOTS, SLOT_CHUNK, HOT = 1 << 20, 1 << 14, 1 << 10
-#: Lines of one chunk of a hot counter, and pairs verified at a time there.
-LINES, CHECKED = 1 << 12, 1 << 11
+#: Entries one shuffle target gets, about, entries of a line, about, and the fewest targets.
+PER_TARGET, PER_LINE, FEWEST_BITS = 1 << 21, 24, 6
+#: Pairs a task looks at at a time, and pairs of one key above which it is hot.
+AT_ONCE, HOT = 1 << 18, 1 << 20
+#: Lines of one chunk of a hot key, and pairs verified at a time there.
+LINES, CHECKED = 1 << 15, 1 << 11
+#: Part of the key, sketch with the threshold in its upper bits, line.
 ENTRY = np.dtype([("k", "<u4"), ("s", "<u4"), ("h", "<u8")])
+CLASSES = 29
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+WORDS, CHARACTERS = 0, 1
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What is compared, and how far apart lines may be; thresholds are 7 at most."""
+
+    words: int = 8
+    per: int = 24
+    most: int = 7
+    shortest: int = 20
+    tau: int = 2
+
+    def threshold(self, kind: int, n: np.ndarray) -> np.ndarray:
+        """Of pairs whose shorter line has n symbols; -1 if such lines aren't compared."""
+        n = np.asarray(n)
+        if kind == WORDS:
+            return np.where(n >= self.words, np.minimum(1 + n // self.per, self.most), -1)
+        return np.where(n >= self.shortest, self.tau, -1)
+
+    @property
+    def widest(self) -> int:
+        return max(self.most, self.tau)
+
+
+RULE = Rule()
 
 
 def line_hash(line: bytes) -> int:
@@ -75,67 +106,90 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def segments(length: np.ndarray, tau: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Starts and sizes of the tau + 1 even segments of lines of these lengths."""
-    m = tau + 1
-    base, more = length // m, length % m
-    return [i * base + np.maximum(0, i - (m - more)) for i in range(m)], [base + (i >= m - more) for i in range(m)]
+def segments(length: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the tau + 1 even segments of lines of these lengths, a column each."""
+    m, i = tau + 1, np.arange(tau + 1)
+    base, more = length[:, None] // m, length[:, None] % m
+    return i * base + np.maximum(0, i - (m - more)), base + (i >= m - more)
+
 
+def windows(delta: int, tau: int) -> np.ndarray:
+    """(segment, shift) pairs: where a line `delta` symbols longer can hold a segment (from 0)
+    with at most tau edits in all.  The place of the index itself is left out."""
+    out = [(i, shift) for i in range(tau + 1) for shift in range(max(-i, delta - (tau - i)), min(i, delta + tau - i) + 1)]
+    return np.array([x for x in out if delta or x[1]], np.int64).reshape(-1, 2)
 
-def window(i: int, delta: int, tau: int) -> range:
-    """Shifts of segment i (from 0) at which a line `delta` characters longer can
-    hold it with at most tau edits in all."""
-    left, right = i, tau - i
-    return range(max(-left, delta - right), min(left, delta + right) + 1)
 
+class Symbols:
+    """Lines of one kind as symbols: those of line i are sym[start[i] : start[i] + size[i]]."""
 
-def code_points(lines: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    def __init__(self, kind: int, lines: list[bytes], which: list[int]):
+        self.kind, self.which = kind, np.array(which, np.int64)
+        if kind == WORDS:
+            number: defaultdict[bytes, int] = defaultdict(count().__next__)
+            words = [line.split() for line in lines]
+            self.size = np.fromiter(map(len, words), np.int64, len(words))
+            code = np.fromiter((number[w] for x in words for w in x), np.int64, int(self.size.sum()))
+            self.sym = np.fromiter(map(line_hash, number), np.uint64, len(number))[code]
+        else:
+            text = [line.decode("utf-8", "replace") for line in lines]
+            self.size = np.fromiter(map(len, text), np.int64, len(text))
+            self.sym = np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        self.start = np.cumsum(self.size) - self.size
 
+    def sketches(self) -> np.ndarray:
+        """Parities of the counts of a line's symbols, in CLASSES classes."""
+        if not len(self.size):
+            return np.zeros(0, np.uint32)
+        bit = np.uint64(1) << (scramble(self.sym) % np.uint64(CLASSES))
+        return np.bitwise_xor.reduceat(bit, self.start).astype(np.uint32)
 
-def sketches(lines: list[str]) -> np.ndarray:
-    """Parities of the counts of a line's characters, in 32 classes."""
-    if not lines:
-        return np.zeros(0, np.uint32)
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    bit = np.uint64(1) << (scramble(code_points(lines)) & np.uint64(31))
-    return np.bitwise_xor.reduceat(bit, np.cumsum(size) - size).astype(np.uint32)
+
+def kinds(lines: list[bytes], rule: Rule) -> list[Symbols]:
+    """Lines (none of them white space) by what they are compared by."""
+    of: tuple[list[int], list[int]] = ([], [])
+    for i, line in enumerate(lines):
+        of[WORDS if len(line.split(None, rule.words - 1)) == rule.words else CHARACTERS].append(i)
+    return [Symbols(kind, [lines[i] for i in own], own) for kind, own in enumerate(of) if own]
 
 
 class Signatures:
-    """Index and probe entries of a list of distinct lines (as text)."""
-
-    def __init__(self, lines: list[str], hashes: list[int], tau: int, shortest: int):
-        self.lines, self.hashes = lines, hashes
-        cp = code_points(lines)
-        size = np.fromiter(map(len, lines), np.int64, len(lines))
-        end = np.cumsum(size)
-        start = end - size
-        fwd, self.inv = powers(len(cp) + 1)
-        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(scramble(cp + np.uint64(1)) * fwd[:-1])]
-        sketch = sketches(lines)
-        h = np.array(hashes, np.uint64)
+    """Index and probe entries (key, sketch, line) of distinct lines."""
+
+    def __init__(self, lines: list[bytes], hashes: list[int], rule: Rule):
         self.index, self.probe = [], []
-        at, n = segments(size, tau)
-        for i in range(tau + 1):
-            self.index.append((self._key(size, i, start + at[i], n[i]), sketch, h))
-        for delta in range(tau + 1):
-            length = size - delta
-            at, n = segments(length, tau)
-            for i in range(tau + 1):
-                for shift in window(i, delta, tau):
-                    p = at[i] + shift
-                    ok = (length >= shortest) & (p >= 0) & (p + n[i] <= size)
-                    self.probe.append((self._key(length[ok], i, (start + p)[ok], n[i][ok]), sketch[ok], h[ok]))
-
-    def _key(self, length: np.ndarray, i: int, a: np.ndarray, n: np.ndarray) -> np.ndarray:
+        for x in kinds(lines, rule):
+            self._add(x, np.array(hashes, np.uint64)[x.which], rule)
+
+    def _add(self, x: Symbols, h: np.ndarray, rule: Rule) -> None:
+        fwd, self.inv = powers(len(x.sym) + 1)
+        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(scramble(x.sym + np.uint64(1)) * fwd[:-1])]
+        sketch = x.sketches()
+        for delta in range(rule.widest + 1):
+            length = x.size - delta
+            tau = rule.threshold(x.kind, length)
+            for t in np.unique(tau[tau >= delta]).tolist():
+                own = np.flatnonzero(tau == t)
+                at, n = segments(length[own], t)
+                mark = sketch[own] | np.uint32(t << CLASSES)
+                whole = (np.repeat(np.arange(t + 1)[:, None], 2, 1) * [1, 0]) if not delta else None
+                for role, place in ((self.index, whole), (self.probe, windows(delta, t))):
+                    if place is not None and len(place):
+                        i, shift = place.T
+                        p, size = at[:, i] + shift, n[:, i]
+                        ok = (p >= 0) & (p + size <= x.size[own, None])
+                        line, col = np.nonzero(ok)
+                        key = self._key(x.kind, length[own][line], i[col], x.start[own][line] + p[ok], size[ok])
+                        role.append((key, mark[line], h[own][line]))
+
+    def _key(self, kind: int, length: np.ndarray, i: np.ndarray, a: np.ndarray, n: np.ndarray) -> np.ndarray:
         own = (self.sums[a + n] - self.sums[a]) * self.inv[a]
-        return scramble(scramble(own) ^ ((length.astype(np.uint64) << np.uint64(8)) + np.uint64(i)))
+        return scramble(scramble(own) ^ ((length << 5) + (i << 1) + kind).astype(np.uint64))
 
 
 def by_target(parts: list[tuple], bits: int) -> tuple[list[int], list[bytes]]:
     """Entries as bytes, by the first bits of their key."""
-    key, sketch, h = (np.concatenate(x) for x in zip(*parts))
+    key, sketch, h = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64),) * 3
     target = (key >> np.uint64(64 - bits)).astype(np.int64)
     order = np.argsort(target, kind="stable")
     rows = np.empty(len(key), ENTRY)
@@ -145,138 +199,146 @@ def by_target(parts: list[tuple], bits: int) -> tuple[list[int], list[bytes]]:
     return full.tolist(), [rows[ends[t] : ends[t + 1]].tobytes() for t in full]
 
 
-def candidates(index: np.ndarray, probe: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs (smaller hash, larger hash) that share a key and whose
-    sketches differ in at most 2 tau bits (an edit changes two counts at most)."""
-    index, probe = np.unique(index), np.unique(probe)
+def distinct(rows: np.ndarray) -> np.ndarray:
+    """Entries by key, each line of a key once."""
+    rows = rows[np.argsort((rows["k"].astype(np.uint64) << np.uint64(32)) | (rows["h"] >> np.uint64(32)))]
+    return rows[np.r_[True, (rows["k"][1:] != rows["k"][:-1]) | (rows["h"][1:] != rows["h"][:-1])]] if len(rows) else rows
+
+
+def candidates(index: np.ndarray, probe: np.ndarray, most: int = HOT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs (smaller line, larger line) that share a key and whose sketches
+    differ in at most twice the threshold (an edit changes two counts at most); and the
+    entries of hot keys (of more than `most` pairs), whose lines are not paired."""
+    index = distinct(index)
+    if not len(index):  # a linked line's segment is in the index
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), index
+    held = np.zeros(1 << 20, bool)
+    held[index["k"] >> np.uint32(12)] = True
+    probe = probe[held[probe["k"] >> np.uint32(12)]]
+    again = np.r_[False, index["k"][1:] == index["k"][:-1]]
+    again[:-1] |= again[1:]
+    probe = distinct(np.concatenate([probe, index[again]]))  # lines of one length meet in the index
     lo, hi = np.searchsorted(index["k"], probe["k"]), np.searchsorted(index["k"], probe["k"], side="right")
-    n = hi - lo
-    probe, lo, n = probe[n > 0], lo[n > 0], n[n > 0]
+    probe, lo, n = probe[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+    key, first = np.unique(probe["k"], return_index=True)
+    total = np.add.reduceat(n, first) if len(n) else n
+    hot = key[total > most]
+    if len(hot):
+        cold = ~np.isin(probe["k"], hot)
+        some = distinct(np.concatenate([index[np.isin(index["k"], hot)], probe[~cold]]))
+        probe, lo, n = probe[cold], lo[cold], n[cold]
+    else:
+        some = np.zeros(0, ENTRY)
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     block = np.cumsum(n) // AT_ONCE
     for one in np.unique(block):
-        own = block == one
-        for part in range(0, int(n[own].max()), AT_ONCE):  # a key with more index lines than that, too
-            m = np.clip(n[own] - part, 0, AT_ONCE)
-            src = np.repeat(np.flatnonzero(own), m)
-            at = np.arange(len(src)) - np.repeat(np.cumsum(m) - m, m) + lo[src] + part
-            x, y = index["h"][at], probe["h"][src]
-            near = (x != y) & (np.bitwise_count(index["s"][at] ^ probe["s"][src]) <= 2 * tau)
-            a.append(np.minimum(x[near], y[near]))
-            b.append(np.maximum(x[near], y[near]))
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
-
-
-def slots(key: np.ndarray) -> np.ndarray:
-    """Counters of keys; other bits than those that make up the target."""
-    return (key & np.uint64(SLOTS - 1)).astype(np.int64)
-
-
-def hot_slots(docs: DataFrame, n_entries: int, tau: int, shortest: int) -> np.ndarray:
-    """Counters with more entries than a bound; equal lines of several batches all count."""
-    bound = max(HOT, 4 * n_entries // SLOTS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
-        for sig in signatures(batches, tau, shortest):
-            total += np.bincount(np.concatenate([slots(key) for key, _, _ in sig.index + sig.probe]), minlength=SLOTS)
-        parts = total.reshape(-1, min(SLOTS, SLOT_CHUNK))
-        full = np.flatnonzero(parts.any(1))
-        salt = TaskContext.get().partitionId() % 32
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([salt] * len(full), pa.int64()), pa.array([parts[i].tobytes() for i in full], pa.binary())], names=["chunk", "salt", "sums"])
-
-    def summed(rows: pd.DataFrame) -> np.ndarray:
-        return sum(np.frombuffer(x, np.int64) for x in rows["sums"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "sums": [summed(rows).tobytes()]})
-
-    def above(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"slot": int(rows["chunk"].iloc[0]) * min(SLOTS, SLOT_CHUNK) + np.flatnonzero(summed(rows) > bound)})
-
-    once = map_batches(docs, run, "chunk long, salt long, sums binary").groupBy("chunk", "salt").applyInPandas(add, "chunk long, sums binary")
-    return np.array(sorted(r.slot for r in once.groupBy("chunk").applyInPandas(above, "slot long").collect()), np.int64)  # at most SLOTS / 4
-
-
-def spanning(lines: list[str], hashes: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links whose components are those of all pairs of lines at most tau edits
-    apart, fewer than there are lines.  Pairs already connected are passed over; lines
-    come by hash, as neighbours of similar lines connect little."""
+        own = np.flatnonzero(block == one)
+        src = np.repeat(own, n[own])
+        at = np.arange(len(src)) - np.repeat(np.cumsum(n[own]) - n[own], n[own]) + lo[src]
+        x, y, s = index["h"][at], probe["h"][src], index["s"][at]
+        differ = np.bitwise_count((s ^ probe["s"][src]) & np.uint32((1 << CLASSES) - 1))
+        near = (x != y) & (differ <= 2 * (s >> np.uint32(CLASSES)))
+        a.append(np.minimum(x[near], y[near]))
+        b.append(np.maximum(x[near], y[near]))
+    pairs = np.unique(np.rec.fromarrays([np.concatenate(a), np.concatenate(b)], names="a,b"))
+    return pairs["a"], pairs["b"], some
+
+
+def spanning(lines: list[bytes], hashes: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Links whose components are those of all linked pairs of the lines, fewer than
+    there are lines.  Pairs already connected are passed over; lines come by hash, as
+    neighbours of similar lines connect little."""
     order = np.argsort(scramble(hashes.view(np.uint64)), kind="stable")
     lines, hashes = [lines[i] for i in order.tolist()], hashes[order]
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    sketch = sketches(lines)
+    kind, size, sketch = np.zeros(len(lines), np.int8), np.zeros(len(lines), np.int64), np.zeros(len(lines), np.uint32)
+    for x in kinds(lines, rule):
+        kind[x.which], size[x.which], sketch[x.which] = x.kind, x.size, x.sketches()
+    own = np.where(kind == WORDS, rule.threshold(WORDS, size), rule.threshold(CHARACTERS, size))
     root = np.arange(len(lines))
-    out, todo, n = [], [], 0
+    parts, out, todo, n = len(lines), [], [], 0
 
     def verify() -> None:
+        nonlocal parts
         a, b = (np.concatenate(x) for x in zip(*todo))
         apart_yet = root[a] != root[b]
         a, b = a[apart_yet], b[apart_yet]
-        near = within([lines[i] for i in a], [lines[i] for i in b], tau)
+        near = within([lines[i] for i in a], [lines[i] for i in b], rule)
         for i, j in zip(a[near].tolist(), b[near].tolist()):
             if root[i] != root[j]:
                 root[root == root[j]] = root[i]
+                parts -= 1
                 out.append((i, j))
 
     for i in range(len(lines)):
-        near = (np.bitwise_count(sketch[i + 1 :] ^ sketch[i]) <= 2 * tau) & (np.abs(size[i + 1 :] - size[i]) <= tau) & (root[i + 1 :] != root[i])
-        b = i + 1 + np.flatnonzero(near)
+        if parts == 1:
+            break
+        b = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
+        tau = np.minimum(own[b], own[i])  # that of the shorter line
+        b = b[(np.bitwise_count(sketch[b] ^ sketch[i]) <= 2 * tau) & (np.abs(size[b] - size[i]) <= tau) & (kind[b] == kind[i])]
         todo.append((np.full(len(b), i), b))
         n += len(b)
-        if n >= CHECKED:
+        if n >= CHECKED or i == len(lines) - 1:
             verify()
             todo, n = [], 0
-    if n:
+    if n and parts > 1:
         verify()
     a, b = np.array(out, np.int64).reshape(-1, 2).T
     return hashes[a], hashes[b]
 
 
-def hot_links(docs: DataFrame, hot: np.ndarray, tau: int, shortest: int) -> DataFrame:
-    """Links among the lines of each hot counter, verified."""
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig in signatures(batches, tau, shortest):
-            found = [(slots(key), h) for key, _, h in sig.index + sig.probe]
-            slot, h = (np.concatenate(x) for x in zip(*found))
-            own = np.isin(slot, hot)
-            rows = np.unique(np.rec.fromarrays([slot[own], h[own]], names="slot,h"))
-            text = dict(zip(sig.hashes, sig.lines))
-            yield pa.RecordBatch.from_arrays([pa.array(rows["slot"], pa.int64()), pa.array(rows["h"].view(np.int64)), pa.array([text[x] for x in rows["h"].tolist()], pa.string())], names=["slot", "h", "line"])
-
-    lines = cut(map_batches(docs, members, "slot long, h long, line string").dropDuplicates(["slot", "h"]), "line-hot")
-    chunks = {r.slot: -(-r["count"] // LINES) for r in lines.groupBy("slot").count().where("count > 1").collect()}  # at most one row a hot counter
+def hot_links(members: DataFrame, rule: Rule) -> DataFrame:
+    """Links among the lines of each hot key, verified, for a written table `members(slot, h, line)`."""
+    chunks = {r.slot: -(-r["count"] // LINES) for r in members.groupBy("slot").count().collect()}  # a row a hot key
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A line to all pairs of chunks that its own is one of."""
         for b in batches:
             slot, h = column(b, "slot").to_numpy(), column(b, "h").to_numpy()
-            n = np.array([chunks.get(s, 0) for s in slot.tolist()], np.int64)
+            n = np.array([chunks[s] for s in slot.tolist()], np.int64)
             own = (scramble(h.view(np.uint64)) % np.maximum(n, 1).astype(np.uint64)).astype(np.int64)
             for j in range(int(n.max(initial=0))):
                 met = (n > j) & ((own != j) | (n == 1))
                 yield pa.RecordBatch.from_arrays([column(b, "slot"), pa.array(np.minimum(own, j)), pa.array(np.maximum(own, j)), column(b, "h"), column(b, "line")], names=["slot", "i", "j", "h", "line"]).filter(pa.array(met))
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = spanning(rows["line"].tolist(), rows["h"].to_numpy(np.int64), tau)
+        a, b = spanning(rows["line"].tolist(), rows["h"].to_numpy(np.int64), rule)
         hand_back()
         return pd.DataFrame({"a": a, "b": b})
 
-    dealt = map_batches(lines, deal, "slot long, i long, j long, h long, line string")
+    dealt = map_batches(members, deal, "slot long, i long, j long, h long, line binary")
     return cut(dealt.groupBy("slot", "i", "j").applyInPandas(meet, "a long, b long"), "line-hot-links")
 
 
-def within(first: list[str], second: list[str], tau: int) -> np.ndarray:
-    """Whether each pair's edit distance is at most tau (tau <= 31).  A band of 2 tau
-    + 1 diagonals is kept in one machine word a pair and moves down one row a column;
-    the word's top bit is the band's lowest row, whose distance is followed."""
-    n1, n2 = (np.fromiter(map(len, x), np.int64, len(x)) for x in (first, second))
+def within(first: list[bytes], second: list[bytes], rule: Rule) -> np.ndarray:
+    """Whether each pair of lines is linked."""
+    out = np.zeros(len(first), bool)
+    if not len(first):
+        return out
+    place: dict[bytes, int] = {}
+    for line in (*first, *second):
+        place.setdefault(line, len(place))
+    which, of, start, size = np.zeros(len(place), np.int8), np.zeros(len(place), np.int64), np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    found = kinds(list(place), rule)
+    for k, x in enumerate(found):
+        which[x.which], of[x.which], start[x.which], size[x.which] = x.kind, k, x.start, x.size
+    a, b = (np.array([place[x] for x in side], np.int64) for side in (first, second))
+    for k, x in enumerate(found):
+        own = np.flatnonzero((of[a] == k) & (of[b] == k))
+        tau = rule.threshold(x.kind, np.minimum(size[a[own]], size[b[own]]))
+        for t in np.unique(tau[tau >= 0]).tolist():
+            some = own[tau == t]
+            out[some] = near(x.sym, start[a[some]], size[a[some]], start[b[some]], size[b[some]], t)
+    return out
+
+
+def near(sym: np.ndarray, s1: np.ndarray, n1: np.ndarray, s2: np.ndarray, n2: np.ndarray, tau: int) -> np.ndarray:
+    """Whether the edit distance of each pair of symbol runs is at most tau (tau <= 31).  A
+    band of 2 tau + 1 diagonals is kept in one machine word a pair and moves down one row a
+    column; the word's top bit is the band's lowest row, whose distance is followed."""
     swap = n1 < n2
-    rows = [b if s else a for a, b, s in zip(first, second, swap)]
-    cols = [a if s else b for a, b, s in zip(first, second, swap)]
+    s1, s2 = np.where(swap, s2, s1), np.where(swap, s1, s2)
     n1, n2 = np.maximum(n1, n2), np.minimum(n1, n2)
-    out = np.zeros(len(first), bool)
+    out = np.zeros(len(n1), bool)
     same = n1 - n2 <= tau
     small = same & (n1 <= tau)
     out[small] = True  # replacing everything is cheap enough
@@ -285,31 +347,32 @@ def within(first: list[str], second: list[str], tau: int) -> np.ndarray:
     i = 0
     while i < len(todo):
         k = 1
-        while i + k < len(todo) and k < 8192 and (k + 1) * int(n1[todo[i + k]]) < 1 << 21:
+        while i + k < len(todo) and k < 8192 and (k + 1) * int(n1[todo[i + k]]) < 1 << 20:
             k += 1
         pick = todo[i : i + k]
-        out[pick] = _band([rows[j] for j in pick], [cols[j] for j in pick], n1[pick], n2[pick], tau)
+        out[pick] = _band(sym, s1[pick], n1[pick], s2[pick], n2[pick], tau)
         i += k
     return out
 
 
-def _padded(texts: list[str], left: int, width: int, fill: int) -> np.ndarray:
-    out = np.full((width, len(texts)), fill, np.uint32)
-    for j, t in enumerate(texts):
-        out[left : left + len(t), j] = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return out
+def _padded(sym: np.ndarray, start: np.ndarray, size: np.ndarray, left: int, width: int, fill: int) -> np.ndarray:
+    """Symbol runs as columns, `left` rows down."""
+    i = np.arange(width)[:, None] - left
+    inside = (i >= 0) & (i < size)
+    return np.where(inside, sym[np.where(inside, start + i, 0)], np.uint64(fill))
 
 
-def _band(rows: list[str], cols: list[str], m: np.ndarray, n: np.ndarray, tau: int) -> np.ndarray:
+def _band(sym: np.ndarray, s1: np.ndarray, m: np.ndarray, s2: np.ndarray, n: np.ndarray, tau: int) -> np.ndarray:
     one, top = np.uint64(1), np.uint64(63)
     longest = int(n.max())
-    r = _padded(rows, tau, max(int(m.max()), longest) + 2 * tau + 1, 0xFFFFFFFF)
-    c = _padded(cols, 0, longest, 0xFFFFFFFE)
-    vp = np.full(len(rows), ((1 << (tau + 1)) - 1) << (63 - tau), np.uint64)
-    vn = np.zeros(len(rows), np.uint64)
-    dist = np.full(len(rows), tau, np.int64)
+    # fills that differ: a row beyond the line is never equal to a column
+    r = _padded(sym, s1, m, tau, max(int(m.max()), longest) + 2 * tau + 1, (1 << 64) - 1)
+    c = _padded(sym, s2, n, 0, longest, (1 << 64) - 2)
+    vp = np.full(len(m), ((1 << (tau + 1)) - 1) << (63 - tau), np.uint64)
+    vn = np.zeros(len(m), np.uint64)
+    dist = np.full(len(m), tau, np.int64)
     for j in range(longest):
-        eq = np.zeros(len(rows), np.uint64)
+        eq = np.zeros(len(m), np.uint64)
         for k in range(2 * tau + 1):  # bit 63 - k is row j + tau - k
             eq |= (r[j + 2 * tau - k] == c[j]).astype(np.uint64) << np.uint64(63 - k)
         d0 = (((eq & vp) + vp) ^ vp) | eq | vn
@@ -324,117 +387,119 @@ def _band(rows: list[str], cols: list[str], m: np.ndarray, n: np.ndarray, tau: i
     return dist <= tau
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, text); the key tells rows without a doc_id apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.lit(0)).alias("key"), text.alias("text"))
+
+
 def places(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, h) of every line that isn't white space."""
+    """(doc_id, key, line_no, h) of every line of `keyed` rows that isn't white space."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            doc, no, h = [], [], []
-            for d, t in zip(column(b, "doc_id").to_pylist(), raw(b, "text")):
+            row, no, h = [], [], []
+            for r, t in enumerate(raw(b, "text")):
                 for i, line in enumerate(lines_of(t)):
-                    if not line.isspace() and line:
-                        doc.append(d)
+                    if line and not line.isspace():
+                        row.append(r)
                         no.append(i)
                         h.append(line_hash(line))
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(no, pa.int64()), pa.array(np.array(h, np.uint64).view(np.int64))], names=["doc_id", "line_no", "h"])
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(at), column(b, "key").take(at), pa.array(no, pa.int64()), pa.array(np.array(h, np.uint64).view(np.int64))], names=["doc_id", "key", "line_no", "h"])
 
-    return map_batches(docs, run, "doc_id long, line_no long, h long")
+    return map_batches(docs, run, "doc_id long, key long, line_no long, h long")
 
 
-def distinct_lines(batch: pa.RecordBatch, shortest: int, wanted=None) -> dict[int, str]:
-    """A batch's lines by hash, white space and short ones left out."""
-    found: dict[int, str] = {}
+def distinct_lines(batch: pa.RecordBatch, rule: Rule, wanted=None) -> dict[int, bytes]:
+    """A batch's lines by hash, without those that are compared for equality only."""
+    found: dict[int, bytes] = {}
     for t in raw(batch, "text"):
         for line in lines_of(t):
-            if len(line) >= shortest and not line.isspace():
+            # a character is a byte or more, a word two but for the last
+            if len(line) >= min(rule.shortest, 2 * rule.words - 1) and not line.isspace():
                 h = line_hash(line)
                 if h not in found and (wanted is None or wanted(h)):
-                    found[h] = line.decode("utf-8", "replace")
-    return {h: s for h, s in found.items() if len(s) >= shortest}
-
-
-def signatures(batches: Iterator[pa.RecordBatch], tau: int, shortest: int) -> Iterator[Signatures]:
-    """Entries of the lines of a few documents at a time."""
-    for b in batches:
-        for piece in rows_in_pieces(b, 1 << 20, 1 << 19):
-            found = distinct_lines(piece, shortest)
-            if found:
-                yield Signatures(list(found.values()), list(found), tau, shortest)
+                    found[h] = line
+    return found
 
 
-def pairs(docs: DataFrame, n_entries: int, hot: np.ndarray, tau: int, shortest: int) -> DataFrame:
-    """Distinct candidate pairs (a, b) of line hashes; keys of hot counters are left out."""
-    bits = max(FEWEST_BITS, math.ceil(math.log2(max(1, n_entries / PER_TARGET))))
+def pairs(docs: DataFrame, n_lines: int, rule: Rule) -> DataFrame:
+    """Written table of distinct candidate pairs (slot null, a, b) of line hashes, and of
+    the lines b of hot keys: (slot, 0, b)."""
+    bits, most = max(FEWEST_BITS, math.ceil(math.log2(max(1, n_lines * PER_LINE / PER_TARGET)))), HOT
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig in signatures(batches, tau, shortest):
-            for role, part in ((0, sig.index), (1, sig.probe)):
-                if len(hot):
-                    part = [tuple(x[~np.isin(slots(entry[0]), hot)] for x in entry) for entry in part]
-                t, blobs = by_target(part, bits)
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array([role] * len(t), pa.int32()), pa.array(blobs, pa.binary())], names=["target", "role", "entries"])
-
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        for b in batches:
+            for piece in rows_in_pieces(b, 1 << 20, 1 << 20):
+                found = distinct_lines(piece, rule)
+                sig = Signatures(list(found.values()), list(found), rule)
+                for role, part in ((0, sig.index), (1, sig.probe)):
+                    t, blobs = by_target(part, bits)
+                    yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array([role] * len(t), pa.int32()), pa.array(blobs, pa.binary())], names=["target", "role", "entries"])
+
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         of = [np.frombuffer(b"".join(rows["entries"][rows["role"] == role]), ENTRY) for role in (0, 1)]
-        a, b = candidates(*of, tau)
+        a, b, hot = candidates(*of, most)
         hand_back()
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-
-    return map_batches(docs, emit, "target long, role int, entries binary").groupBy("target").applyInPandas(meet, "a long, b long").distinct()
+        slot = pd.array(np.r_[np.zeros(len(a), np.int64), (int(key[0]) << 32) + hot["k"].astype(np.int64)], "Int64")
+        slot[: len(a)] = pd.NA
+        return pd.DataFrame({"slot": slot, "a": np.r_[a.view(np.int64), np.zeros(len(hot), np.int64)], "b": np.r_[b, hot["h"]].view(np.int64)})
 
+    met = map_batches(docs, emit, "target long, role int, entries binary").groupBy("target").applyInPandas(meet, "slot long, a long, b long")
+    return cut(met.distinct(), "line-pairs")
 
-def links(docs: DataFrame, n_lines: int, tau: int, shortest: int) -> DataFrame:
-    """Pairs (a, b) of hashes of distinct lines at most tau edits apart; of lines that
-    share the key of a hot counter, as many as keep them connected."""
-    n_entries = n_lines * (tau + 1 + sum(len(window(i, d, tau)) for d in range(tau + 1) for i in range(tau + 1)))
-    hot = hot_slots(docs, n_entries, tau, shortest)
-    near = verified(docs, cut(pairs(docs, n_entries, hot, tau, shortest), "line-pairs"), tau, shortest)
-    return near.union(hot_links(docs, hot, tau, shortest)) if len(hot) else near
 
-
-def verified(docs: DataFrame, found: DataFrame, tau: int, shortest: int) -> DataFrame:
-    """The pairs of the written table `found(a, b)` at most tau edits apart."""
-    hashes = found.select(F.col("a").alias("h")).union(found.select("b"))
-    wanted = Bitmap(hashes, 2 * found.count())
+def links(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
+    """Pairs (a, b) of hashes of distinct linked lines; of lines that share a hot key, as many
+    as keep them connected."""
+    met = pairs(docs, n_lines, rule)
+    found, hot = met.where("slot is null").select("a", "b"), met.where("slot is not null").select("slot", F.col("b").alias("h"))
+    hashes = found.select(F.col("a").alias("h")).union(found.select("b")).union(hot.select("h"))
+    wanted = Bitmap(hashes, 2 * met.count())
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for piece in rows_in_pieces(b, 1 << 20):
-                own = distinct_lines(piece, shortest, wanted)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(list(own), np.uint64).view(np.int64)), pa.array(list(own.values()), pa.string())], names=["h", "line"])
+                own = distinct_lines(piece, rule, wanted)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(list(own), np.uint64).view(np.int64)), pa.array(list(own.values()), pa.binary())], names=["h", "line"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            near = within(column(b, "line").to_pylist(), column(b, "line2").to_pylist(), tau)
-            yield pa.RecordBatch.from_arrays([column(b, "a"), column(b, "b")], names=["a", "b"]).filter(pa.array(near))
+            linked = within(column(b, "line").to_pylist(), column(b, "line2").to_pylist(), rule)
+            yield pa.RecordBatch.from_arrays([column(b, "a"), column(b, "b")], names=["a", "b"]).filter(pa.array(linked))
 
-    texts = map_batches(docs, fetch, "h long, line string").join(hashes.distinct(), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    texts = map_batches(docs, fetch, "h long, line binary").join(hashes.distinct(), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
     texts = cut(texts, "line-texts")
     both = found.join(texts.select(F.col("h").alias("a"), "line"), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line2")), "b")
-    return map_batches(both.select("a", "b", "line", "line2"), verify, "a long, b long")
+    linked = map_batches(both.select("a", "b", "line", "line2"), verify, "a long, b long")
+    if hot.isEmpty():
+        return linked
+    return linked.union(hot_links(cut(hot.join(texts, "h").select("slot", "h", "line"), "line-hot"), rule))
 
 
-def dropped(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFrame:
-    """One row per document with lines to drop: doc_id and
+def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """One row per document with lines to drop: doc_id, key and
     drops array<struct<line_no, h, first_doc_id, first_line_no>>."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = keyed(docs)
     occ = cut(places(docs), "line-places")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line_no")
     firsts = cut(occ.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-firsts")
-    roots = components(links(docs, firsts.count(), tau, shortest))
+    roots = components(links(docs, firsts.count(), rule))
     classed = firsts.join(roots, firsts.h == roots.node, "left").select("h", "first", "last", F.coalesce("root", "h").alias("root"))
     least = classed.groupBy("root").agg(F.min("first").alias("kept"))
     # a line of one place that is its class's first has nothing to drop
     live = classed.join(least, "root").where("not (first <=> kept and last <=> kept)").select("h", "kept")
     gone = occ.join(live, "h").where(~place.eqNullSafe(F.col("kept")))
     drop = F.struct("line_no", "h", F.col("kept.doc_id").alias("first_doc_id"), F.col("kept.line_no").alias("first_line_no"))
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set(drop)).alias("drops"))
+    return gone.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(drop)).alias("drops"))
 
 
-def _dropping(docs: DataFrame, tau: int, shortest: int) -> DataFrame:
-    """`docs` with the column _drops; only documents that have some are shuffled."""
-    found = cut(dropped(docs, tau, shortest).select(F.col("doc_id").alias("__id"), F.col("drops").alias("__drops")), "line-drops")
+def _dropping(docs: DataFrame, rule: Rule) -> DataFrame:
+    """`docs` with the column __drops; only documents that have some are shuffled."""
+    found = cut(dropped(docs, rule).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("drops").alias("__drops")), "line-drops")
     hit, rest = apart(docs, found.select(F.col("__id").alias("doc_id")))
-    met = hit.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string"))).otherwise(F.lit(0))
+    met = hit.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left").drop("__id", "__key")
     return met.unionByName(rest.withColumn("__drops", F.lit(None).cast(found.schema["__drops"].dataType)))
 
 
@@ -448,7 +513,7 @@ def _without(text: bytes | None, drops: list | None) -> tuple[bytes | None, int,
     return b"\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), own
 
 
-def dedup(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFrame:
+def dedup(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text has lost its repeated
     lines; `n_chars`, if there, is the new text's number of characters."""
     names = docs.columns
@@ -460,12 +525,12 @@ def dedup(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFram
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema])
-    out = map_batches(_dropping(docs, tau, shortest), run, schema)
+    out = map_batches(_dropping(docs, rule), run, schema)
     kind = dict(docs.dtypes).get("n_chars")
     return out.withColumn("n_chars", F.length("text").cast(kind)) if kind in ("bigint", "int") else out
 
 
-def report(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFrame:
+def report(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One row per row of `docs`: doc_id, n_lines, n_dropped, the text that stays, and
     drops array<struct<line_no, first_doc_id, first_line_no>>."""
     kind = pa.list_(pa.struct([("line_no", pa.int64()), ("first_doc_id", pa.int64()), ("first_line_no", pa.int64())]))
@@ -479,4 +544,4 @@ def report(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST) -> DataFra
                 pa.array([t for t, _, _ in rows], pa.binary()).cast(pa.string()), pa.array(drops, kind)], names=["doc_id", "n_lines", "n_dropped", "text", "drops"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(_dropping(docs, tau, shortest), run, "doc_id long, n_lines long, n_dropped long, text string, drops array<struct<line_no: long, first_doc_id: long, first_line_no: long>>")
+    return map_batches(_dropping(docs, rule), run, "doc_id long, n_lines long, n_dropped long, text string, drops array<struct<line_no: long, first_doc_id: long, first_line_no: long>>")

@@ -75,7 +75,7 @@ SQL["op7_chat_formatting"] = chat.SQL
 
 @query
 def op8_line_dedup(spark, sf_dir):
-    return linededup.report(table(spark, sf_dir, "documents"), tau=2, shortest=20)
+    return linededup.report(table(spark, sf_dir, "documents"))
 
 
 @query
