@@ -43,11 +43,12 @@ ID_AND_TARGET_COLUMNS = ["TransactionID", "uid", "isFraud", "ato_proxy"]
 
 @dataclass(frozen=True)
 class ScaleConfig:
-    """parts: range partitions that ordered operators (ranks, quantiles, curves,
-    card passes) lay their rows out in; None: ``spark.sql.shuffle.partitions``.
-    Results don't depend on it."""
+    """parts: range partitions that ordered operators (ranks, curves) lay their rows
+    out in; None: ``spark.sql.shuffle.partitions``.  chunk_rows: rows of one card that a
+    card pass keeps together; None: about a million.  Results depend on neither."""
 
     parts: int | None = None
+    chunk_rows: int | None = None
 
 
 DEFAULT_SCALE = ScaleConfig()

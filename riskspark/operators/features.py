@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from riskspark import config
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
 from riskspark.functions.scalar import (clip, device_type_code, finite_or_null, hour_of_day,
                                         lenient_double)
 from riskspark.operators.cardpass import card_pass
-from riskspark.operators.ranks import exact_quantiles, exact_rank
-from riskspark.operators.split import _hash_cols
+from riskspark.operators.ranks import exact_rank
+from riskspark.operators.selection import AT_MOST, select_quantiles
+from riskspark.operators.split import card_strata, test_side
 from riskspark.session import cut_lineage
 
 
@@ -43,11 +45,16 @@ def frequency_encode(df: DataFrame, col: str, out: str, fit_df: DataFrame | None
     return lookup_join(df, freq, col).withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 
-def ordinal_codes(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+def ordinal_codes(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE, at_most: int = AT_MOST) -> DataFrame:
     """F2 state: sorted distinct non-null values -> 0..k-1, in the order of the
-    column's own type (numbers by value, strings by bytes)."""
+    column's own type (numbers by value, strings by bytes).  Up to ``at_most`` values are
+    numbered on the driver, more of them by a distributed rank."""
     vals = df.filter(F.col(col).isNotNull()).select(col).distinct()
-    return exact_rank(vals, [], [col], scale=scale).select(col, (F.col("rank") - 1).alias(out))
+    some = vals.orderBy(col).limit(at_most + 1).collect()
+    if len(some) > at_most:
+        return exact_rank(vals, [], [col], scale=scale).select(col, (F.col("rank") - 1).alias(out))
+    schema = StructType([df.schema[col], StructField(out, LongType())])
+    return df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(some)], schema)
 
 
 def ordinal_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE,
@@ -141,21 +148,15 @@ def unpivot_features(df: DataFrame, cols: list[str], keep: list[str] | None = No
 
 # --- fitted column transforms --------------------------------------------------------
 
-def quantile_table(df: DataFrame, cols: list[str], probs, scale: ScaleConfig = DEFAULT_SCALE) -> dict:
+def quantile_table(df: DataFrame, cols: list[str], probs) -> dict:
     """Exact per-column quantiles ``{col: {p: q}}`` (bounded: cols x probs)."""
-    if not cols:
-        return {}
-    res = exact_quantiles(unpivot_features(df, cols), "value", list(probs), ["feature"], scale=scale).collect()
-    out: dict = {c: {} for c in cols}
-    for r in res:
-        out[r["feature"]][r["p"]] = r["q"]
-    return out
+    found = select_quantiles(df, {c: lenient_double(c) for c in cols}, list(probs))
+    return {c: {p: q.q for p, q in own.items()} for c, own in found.items()}
 
 
-def winsor_bounds(df: DataFrame, cols: list[str], probs=config.CLIP_QUANTILES,
-                  scale: ScaleConfig = DEFAULT_SCALE) -> dict:
+def winsor_bounds(df: DataFrame, cols: list[str], probs=config.CLIP_QUANTILES) -> dict:
     """``{col: (lo, hi)}`` at the .001 / .999 quantiles."""
-    q = quantile_table(df, cols, probs, scale)
+    q = quantile_table(df, cols, probs)
     return {c: (q[c].get(probs[0]), q[c].get(probs[1])) for c in cols}
 
 
@@ -164,9 +165,9 @@ def winsorise(df: DataFrame, bounds: dict) -> DataFrame:
     return df.withColumns({c: clip(lenient_double(c), lo, hi) for c, (lo, hi) in bounds.items()})
 
 
-def medians(df: DataFrame, cols: list[str], scale: ScaleConfig = DEFAULT_SCALE) -> dict:
+def medians(df: DataFrame, cols: list[str]) -> dict:
     """Exact median per column, nulls skipped."""
-    q = quantile_table(df, cols, [0.5], scale)
+    q = quantile_table(df, cols, [0.5])
     return {c: q[c].get(0.5) for c in cols}
 
 
@@ -282,23 +283,12 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     if fit_on == "train":
         clip_fit_on = "train"
 
-    # R1 without joining the big frame: per stratum, the hash of the last test card
-    cards = (labeled.filter(F.col(uid).isNotNull()).groupBy(uid)
-             .agg(F.max(label).cast("int").alias("has_pos")))
-    ranked = exact_rank(_hash_cols(cards, seed, uid), ["has_pos"], ["_h", uid], scale=scale)
-    cut = {r["has_pos"]: (r["_h"], r[uid]) for r in ranked.filter(
-        F.col("rank") == F.round(F.lit(test_size) * F.col("group_n"))).collect()}  # <= 2 rows
-
-    def is_test_of(has_pos_col: str):
-        t = F.lit(False)
-        for hp, (ch, cu) in cut.items():
-            t = t | ((F.col(has_pos_col) == hp) & ((F.col("_h") < ch) | ((F.col("_h") == ch) & (F.col(uid) <= cu))))
-        return t
-
+    # R1 without joining the big frame: a condition on a card's hash and stratum
+    cards = card_strata(labeled, uid, label)
+    in_test = test_side(cards, uid, "has_pos", test_size, seed)
     fit_rows = None
     if fit_on == "train":  # only the small encoder tables are fitted through this semi-join
-        train_cards = _hash_cols(cards, seed, uid).filter(~is_test_of("has_pos")).select(uid)
-        fit_rows = labeled.join(train_cards, uid, "left_semi")
+        fit_rows = labeled.join(cards.filter(~in_test).select(uid), uid, "left_semi")
     enc = encode_categoricals(labeled, scale=scale, fit_df=fit_rows)
     id_cols = [c for c in labeled.columns if c.startswith("id_")]
     raw = enc.select(
@@ -310,7 +300,7 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     raw_cols = _RAW_FIXED + [f"_r_{c}" for c in id_cols]
     frame = card_pass(raw, key=uid, order=(ts, tie), row_number="txn_count_rolling",
                       card_aggs={"_amt_mu": F.avg("_r_amt"), "_amt_sd": F.stddev_samp("_r_amt"),
-                                 "_dt_min": F.min(ts), "_has_pos": F.max(F.col(label).cast("int"))},
+                                 "_dt_min": F.min(ts), "has_pos": F.max(F.col(label).cast("int"))},
                       scale=scale)
     id_slot = {c: 6 + i for i, c in enumerate(id_cols)}
     row_ctx = {"rownum": F.col("txn_count_rolling").cast("double"), "id_slot": id_slot}
@@ -318,14 +308,11 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     # narrow per-row frame (keys + one value per candidate feature) is the only
     # thing materialised for the fits; the wide history is never written here
     frame = cut_lineage(frame.select(
-        uid, tie, ts, label, "_has_pos",
+        uid, tie, ts, label,
+        F.when(F.col(uid).isNotNull(), F.when(in_test, "test").otherwise("train")).alias("split"),
         *[finite_or_null(_feature_from_raw(c, lambda i: F.col(raw_cols[i]), row_ctx).cast("double")).alias(f"_f_{c}")
           for c in cands]))
 
-    h = _hash_cols(frame, seed, uid)
-    frame = h.withColumn("split", F.when(F.col(uid).isNull(), F.lit(None))
-                         .when(is_test_of("_has_pos"), "test").otherwise("train"))
-
     # P10 on the per-row values (all rows, or train rows)
     p10_rows = frame if fit_on == "all" else frame.filter(F.col("split") == "train")
     counts = p10_rows.agg(*[F.count(f"_f_{c}").alias(c) for c in cands]).first()
@@ -336,19 +323,12 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     # clip bounds over all (or train) rows and train medians.  Clipping is
     # monotone, so the median of clipped values interpolates the clipped
     # neighbours of the raw median.
-    bound_set = "all" if clip_fit_on == "all" else "train"
-    long = unpivot_features(frame, fcols, keep=["split"]).select(
-        "feature", "value", F.explode(F.array(F.lit("all"), F.when(F.col("split") == "train", F.lit("train"))))
-        .alias("subset")).filter(F.col("subset").isNotNull())
     lo_p, hi_p = config.CLIP_QUANTILES
-    qrows = exact_quantiles(long, "value", [lo_p, 0.5, hi_p], ["feature", "subset"], scale=scale).collect()
-    qd = {(r["feature"], r["subset"], r["p"]): r for r in qrows}
-
-    def _q(c, subset, p):
-        r = qd.get((c, subset, p))
-        return None if r is None else r["q"]
-
-    bounds = {c: (_q(c, bound_set, lo_p), _q(c, bound_set, hi_p)) for c in fcols}
+    in_train = F.col("split") == "train"
+    series = {("clip", c): F.col(c) if clip_fit_on == "all" else F.when(in_train, F.col(c)) for c in fcols}
+    series |= {("median", c): F.when(in_train, F.col(c)) for c in fcols}
+    found = select_quantiles(frame, series, {k: [lo_p, hi_p] if k[0] == "clip" else [0.5] for k in series})
+    bounds = {c: tuple(found["clip", c][p].q if found["clip", c] else None for p in (lo_p, hi_p)) for c in fcols}
 
     def _clip_v(v, lo, hi):
         if v is None:
@@ -361,12 +341,12 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
 
     meds = {}
     for c in fcols:
-        r = qd.get((c, "train", 0.5))
+        r = found["median", c].get(0.5)
         if r is None:
             meds[c] = None
             continue
-        a, b = _clip_v(r["q_lo"], *bounds[c]), _clip_v(r["q_hi"], *bounds[c])
-        meds[c] = a + (b - a) * r["q_frac"]
+        a, b = _clip_v(r.lo, *bounds[c]), _clip_v(r.hi, *bounds[c])
+        meds[c] = a + (b - a) * r.frac
     clipped = frame.withColumns({c: clip(F.col(c), *bounds[c]) for c in fcols})
     train = clipped.filter(F.col("split") == "train")
     mom = moments(impute(train, meds), fcols)

@@ -7,10 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.config import DEFAULT_SCALE, ScaleConfig
 from riskspark.functions.scalar import day_bucket
-from riskspark.operators.ranks import exact_quantiles
-from riskspark.operators.features import unpivot_features
+from riskspark.operators.features import quantile_table, unpivot_features
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
@@ -45,16 +43,15 @@ def missing_profile(df: DataFrame, k: int = 20) -> DataFrame:
     return long.orderBy(F.col("missing_share").desc(), "column").limit(k)
 
 
-def describe(df: DataFrame, cols: list[str], scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """A5: count, mean, sample std, min, exact quartiles, max per column."""
-    long = unpivot_features(df, cols)
-    base = long.groupBy("feature").agg(
+    base = unpivot_features(df, cols).groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"], scale=scale)
-    qp = q.groupBy("feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
-    qp = qp.select("feature", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
-    return base.join(qp, "feature", "left")
+    probs = [0.25, 0.5, 0.75]
+    q = [(c, *[own.get(p) for p in probs]) for c, own in quantile_table(df, cols, probs).items()]
+    qp = df.sparkSession.createDataFrame(q, "feature string, q25 double, q50 double, q75 double")  # a row a column
+    return base.join(F.broadcast(qp), "feature", "left")
 
 
 def conditional_means(df: DataFrame, cols: list[str], label: str) -> DataFrame:

@@ -1,87 +1,97 @@
 """Splitting, resampling and class weights.
 
 All randomness is ``md5(seed:key)``: the same rows come out on every run and
-in DuckDB.  Exact sizes come from distributed ranks (two-level running
-totals), never from a one-partition window.
+in DuckDB.  Exact sizes come from cut-offs on the hash (a histogram of its first
+digits, and a look at the border bucket), never from a sort of all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark import config
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
 from riskspark.functions.scalar import hash_key
-from riskspark.operators.ranks import exact_quantiles, exact_rank
+from riskspark.operators.ranks import exact_rank
+from riskspark.operators.selection import bottom_cuts, select_quantiles, within_cuts
+from riskspark.session import cut_lineage
 
 
 def _hash_cols(df: DataFrame, seed, key: str) -> DataFrame:
     return df.withColumn("_h", hash_key(seed, key))
 
 
+def test_side(keys: DataFrame, key: str, stratum: str, test_size: float = config.TEST_SIZE, seed=config.RANDOM_SEED) -> Column:
+    """R1/R2 core, as a condition on rows with ``key`` and ``stratum``: whether a key is
+    among the ``round(test_size * n)`` of its stratum with the smallest ``md5(seed:key)``."""
+    def sizes(n: dict) -> dict:
+        return {g: math.floor(test_size * c + 0.5) for g, c in n.items()}
+
+    h = hash_key(seed, key)
+    return within_cuts(bottom_cuts(keys, F.col(stratum), F.col(key), h, sizes), F.col(stratum), F.col(key), h)
+
+
 def stratified_split(keys: DataFrame, key: str, stratum: str, test_size: float = config.TEST_SIZE,
-                     seed=config.RANDOM_SEED, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """R1/R2 core: within each stratum the ``round(test_size * n)`` keys with
+                     seed=config.RANDOM_SEED) -> DataFrame:
+    """``keys`` with their side: within each stratum the ``round(test_size * n)`` keys with
     the smallest ``md5(seed:key)`` are ``test``, the rest ``train``."""
-    r = exact_rank(_hash_cols(keys, seed, key), [stratum], ["_h", key], scale=scale)
-    n_test = F.round(F.lit(test_size) * F.col("group_n"))
-    return r.select(*keys.columns, F.when(F.col("rank") <= n_test, "test").otherwise("train").alias("split"))
+    return keys.withColumn("split", F.when(test_side(keys, key, stratum, test_size, seed), "test").otherwise("train"))
+
+
+def card_strata(labeled: DataFrame, uid: str = "uid", label: str = "ato_proxy") -> DataFrame:
+    """A written table of the cards and whether they have a positive row.  Cards without a
+    key are not cards."""
+    return cut_lineage(labeled.filter(F.col(uid).isNotNull()).groupBy(uid)
+                       .agg(F.max(label).cast("int").alias("has_pos")), columnar=True)
 
 
 def card_split(labeled: DataFrame, uid: str = "uid", label: str = "ato_proxy",
-               test_size: float = config.TEST_SIZE, seed=config.RANDOM_SEED,
-               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """Cards stratified by "has a positive row"; returns (uid, has_pos, split).
-    Cards without a key are not cards and get no side."""
-    cards = (labeled.filter(F.col(uid).isNotNull()).groupBy(uid)
-             .agg(F.max(label).cast("int").alias("has_pos")))
-    return stratified_split(cards, uid, "has_pos", test_size, seed, scale)
+               test_size: float = config.TEST_SIZE, seed=config.RANDOM_SEED) -> DataFrame:
+    """Cards stratified by "has a positive row"; returns (uid, has_pos, split)."""
+    return stratified_split(card_strata(labeled, uid, label), uid, "has_pos", test_size, seed)
 
 
-def row_split(df: DataFrame, key: str, label: str, test_size: float = 0.5, seed=config.RANDOM_SEED,
-              scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+def row_split(df: DataFrame, key: str, label: str, test_size: float = 0.5, seed=config.RANDOM_SEED) -> DataFrame:
     """R2: rows stratified by label (50/50 by default)."""
-    return stratified_split(df, key, label, test_size, seed, scale)
+    return stratified_split(df, key, label, test_size, seed)
 
 
-def time_split(df: DataFrame, ts: str = "TransactionDT", train_share: float = 0.8,
-               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+def time_split(df: DataFrame, ts: str = "TransactionDT", train_share: float = 0.8) -> DataFrame:
     """Rows up to the exact ``train_share`` quantile of time are train."""
-    cut = exact_quantiles(df, ts, [train_share], scale=scale).first()
-    cut_v = None if cut is None else cut["q"]
-    return df.withColumn("split", F.when(F.col(ts) <= F.lit(cut_v), "train").otherwise("test"))
+    found = select_quantiles(df, {"t": F.col(ts)}, [train_share])["t"]
+    cut = found[train_share].q if found else None
+    return df.withColumn("split", F.when(F.col(ts) <= F.lit(cut), "train").otherwise("test"))
 
 
 def undersample(df: DataFrame, key: str, label: str = "label", ratio: int = config.UNDERSAMPLE_RATIO,
                 seed=config.RANDOM_SEED, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
-    """Every positive plus ``min(n_neg, ratio * n_pos)`` negatives with the
-    smallest ``md5(seed:key)`` (exact size, no replacement)."""
-    pos = df.filter(F.col(label) == 1)
-    neg = df.filter(F.col(label) != 1)
-    n_pos = pos.count()
-    ranked = exact_rank(_hash_cols(neg.select(key), seed, key).distinct(), [], ["_h", key], scale=scale)
-    last = ranked.filter(F.col("rank") <= F.lit(n_pos * ratio)).agg(F.max(F.struct("_h", key)).alias("m")).first()["m"]
-    if last is None:
-        return pos
-    # only key and hash were ranked; the cut-off pair picks the full rows
-    h = hash_key(seed, key)
-    return pos.unionByName(neg.filter((h < last["_h"]) | ((h == last["_h"]) & (F.col(key) <= F.lit(last[key])))))
+    """Every positive plus the ``min(n_neg, ratio * n_pos)`` negatives with the
+    smallest ``md5(seed:key)`` (no replacement; rows of equal keys go together).  Rows
+    without a label are neither.  ``df`` is evaluated three times: the histogram, the border
+    bucket, the rows."""
+    positive, h = F.col(label) == 1, hash_key(seed, key)
+    cuts = bottom_cuts(df, positive, F.col(key), h, lambda n: {False: ratio * n.get(True, 0)})
+    return df.filter(F.coalesce(positive, F.lit(False)) | within_cuts(cuts, positive, F.col(key), h))
 
 
 def bootstrap(df: DataFrame, key: str, n: int | None = None, seed=config.RANDOM_SEED,
               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """``n`` draws with replacement (default: as many as rows).  Draw ``i``
     takes the row whose 0-based index in ``key`` order is
-    ``h(seed:i) mod n_rows``; ``draw`` tells the draws apart."""
+    ``h(seed:i) mod n_rows``; ``draw`` tells the draws apart.  Keys are unique."""
     spark = df.sparkSession
-    indexed = exact_rank(df, [], [key], scale=scale).withColumn("_idx", F.col("rank") - 1)
+    # keys alone are sorted and numbered
+    indexed = exact_rank(df.select(key), [], [key], scale=scale).select(key, (F.col("rank") - 1).alias("_idx"))
     n_rows = df.count()
     total = n_rows if n is None else n
     draws = (spark.range(total).withColumnRenamed("id", "draw")
              .withColumn("_idx", F.pmod(F.conv(F.substring(hash_key(seed, "draw"), 1, 15), 16, 10)
                                         .cast("long"), F.lit(n_rows))))
-    return draws.join(indexed.drop("rank", "group_n"), "_idx").drop("_idx")
+    drawn = draws.join(indexed, "_idx").drop("_idx")
+    return drawn if df.columns == [key] else drawn.join(df, key).select("draw", *df.columns)
 
 
 def random_subset(df: DataFrame, key: str, k: int, seed=config.RANDOM_SEED) -> DataFrame:

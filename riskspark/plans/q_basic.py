@@ -13,6 +13,7 @@ from riskspark.operators.label import label_transactions
 from riskspark.operators.split import card_split
 from riskspark.plans.registry import register
 from riskspark.plans.sqlparts import LAB, SPLIT_SQL, T, r6
+from riskspark.session import cut_lineage
 from riskspark.sources import bindings as B
 from riskspark.sources.io import read_table
 
@@ -176,7 +177,7 @@ def j2(spark, sf):
 @register("j3_membership_semi_join", f"""{LAB}, {SPLIT_SQL}
 select TransactionID, lab.uid from lab where lab.uid in (select uid from sp where split = 'test')""")
 def j3(spark, sf):
-    lab = label_transactions(_txn(spark, sf))
+    lab = cut_lineage(label_transactions(_txn(spark, sf)).select("TransactionID", "uid", "ato_proxy"), columnar=True)
     test_cards = card_split(lab).filter(F.col("split") == "test").select("uid")
     return lab.join(test_cards, "uid", "left_semi").select("TransactionID", "uid")
 

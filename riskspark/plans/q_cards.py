@@ -14,6 +14,7 @@ from riskspark.operators.cardpass import card_pass
 from riskspark.operators.label import label_transactions
 from riskspark.plans.registry import register
 from riskspark.plans.sqlparts import LAB, SPLIT_SQL, T, r6
+from riskspark.session import cut_lineage
 from riskspark.sources import bindings as B
 from riskspark.sources.io import read_table
 
@@ -192,7 +193,7 @@ _TRAIN_ROWS = "tr as (select lab.* from lab join sp on lab.uid = sp.uid where sp
 @register("f5_median_impute", f"""{LAB}, {SPLIT_SQL}, {_TRAIN_ROWS}, m as (select median(id_02) as med from tr)
 select TransactionID, {r6('coalesce(id_02, med)')} as id_02 from lab, m""")
 def f5(spark, sf):
-    lab = _lab(spark, sf)
+    lab = cut_lineage(_lab(spark, sf).select("TransactionID", "uid", "ato_proxy", "id_02"), columnar=True)
     train_cards = SP.card_split(lab).filter(F.col("split") == "train").select("uid")
     meds = FE.medians(lab.join(train_cards, "uid", "left_semi"), ["id_02"])
     return FE.impute(lab, meds).select("TransactionID", "id_02")
@@ -202,7 +203,7 @@ def f5(spark, sf):
 m as (select avg(TransactionAmt) as mu, case when stddev_pop(TransactionAmt) = 0 then 1.0 else stddev_pop(TransactionAmt) end as sd from tr)
 select TransactionID, {r6('(TransactionAmt - mu) / sd')} as TransactionAmt from lab, m""")
 def f6(spark, sf):
-    lab = _lab(spark, sf)
+    lab = cut_lineage(_lab(spark, sf).select("TransactionID", "uid", "ato_proxy", "TransactionAmt"), columnar=True)
     train_cards = SP.card_split(lab).filter(F.col("split") == "train").select("uid")
     mom = FE.moments(lab.join(train_cards, "uid", "left_semi"), ["TransactionAmt"])
     return FE.standardise(lab, mom).select("TransactionID", "TransactionAmt")
@@ -286,7 +287,7 @@ n as (select TransactionID, ato_proxy, row_number() over (order by md5('42:' ||
 select TransactionID, cast(ato_proxy as bigint) as ato_proxy from lab where ato_proxy = 1
 union all select TransactionID, cast(ato_proxy as bigint) from n, p where rk <= 20 * np""")
 def r4(spark, sf):
-    lab = _lab(spark, sf).select("TransactionID", "ato_proxy")
+    lab = cut_lineage(_lab(spark, sf).select("TransactionID", "ato_proxy"), columnar=True)
     return SP.undersample(lab, "TransactionID", "ato_proxy", ratio=config.UNDERSAMPLE_RATIO)
 
 

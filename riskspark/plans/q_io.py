@@ -17,7 +17,7 @@ from riskspark.plans.q_cards import _W
 from riskspark.plans.q_eval import _report_sql
 from riskspark.plans.registry import register
 from riskspark.plans.sqlparts import LAB, SPLIT_SQL, T, r6
-from riskspark.session import ensure_checkpoint_dir
+from riskspark.session import cut_lineage, ensure_checkpoint_dir
 from riskspark.sources import bindings as B
 from riskspark.sources import io
 from riskspark.sources.io import read_table
@@ -54,7 +54,7 @@ h as (select TransactionID, uid, ato_proxy, list(TransactionAmt) over ({_W} rows
 select h.TransactionID, h.uid, cast(h.ato_proxy as bigint) as label, sp.split, cast(len(la) as bigint) as hist_len,
   {r6('list_sum(la)')} as s_amt from h join sp on h.uid = sp.uid where la is not null and len(la) > 0""")
 def s4(spark, sf):
-    lab = label_transactions(B.txn_view(spark, sf))
+    lab = cut_lineage(label_transactions(B.txn_view(spark, sf)).select("TransactionID", "uid", "TransactionDT", "TransactionAmt", "ato_proxy"), columnar=True)
     seq = FE.sequence_history(lab, ["TransactionAmt"]).join(card_split(lab).select("uid", "split"), "uid")
     path = _scratch(spark, "sequences")
     io.write_parquet(seq.select("TransactionID", "uid", F.col("ato_proxy").alias("label"), "split", "hist_len", "seq"),

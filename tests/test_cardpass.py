@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.config import ScaleConfig
-from riskspark.operators.cardpass import card_pass
+from riskspark.operators import cardpass
+from riskspark.operators.cardpass import card_pass, chunk_of, hot_cards
 from tests.conftest import SF001
 
 SCHEMA = "uid string, TransactionDT long, TransactionID long, x double, dev string"
@@ -47,12 +48,12 @@ def close(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("parts", [1, 4, 37])
+@pytest.mark.parametrize("chunk_rows", [None, 1, 7, 30, 150])
 @pytest.mark.parametrize("kind", ["hot", "one time", "mixed"])
-def test_equals_a_plain_loop(spark, kind, parts):
+def test_equals_a_plain_loop(spark, kind, chunk_rows):
     rows = table(kind)
     got = card_pass(spark.createDataFrame(rows, SCHEMA), lags={"prev": "dev"}, row_number="rn", history=["x"], history_len=3,
-                    card_aggs={"mu": F.avg("x"), "n": F.count("x")}, running=["x"], scale=ScaleConfig(parts=parts))
+                    card_aggs={"mu": F.avg("x"), "n": F.count("x")}, running=["x"], scale=ScaleConfig(chunk_rows=chunk_rows))
     want = slow(rows, 3)
     found = got.collect()
     assert sorted(r.TransactionID for r in found) == sorted(want)
@@ -62,14 +63,36 @@ def test_equals_a_plain_loop(spark, kind, parts):
         assert all(close(have[k], w[k]) for k in w), (r, w)
 
 
-def test_one_time_is_divided(spark):
-    from riskspark.operators.ranks import PART, ordered_parts
-    df = spark.createDataFrame(table("one time"), SCHEMA)
-    sizes = [r["count"] for r in ordered_parts(df, ["uid", "TransactionDT", "TransactionID"], ScaleConfig(parts=8)).groupBy(PART).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 120
+@pytest.mark.parametrize("kind", ["hot", "one time"])
+def test_a_hot_card_is_divided(spark, kind):
+    df = spark.createDataFrame(table(kind), SCHEMA)
+    order = ("TransactionDT", "TransactionID")
+    hot, spread = hot_cards(df, "uid", order, ScaleConfig(chunk_rows=40))
+    assert [r.uid for r in hot.collect()] == ["h"] and not spread
+    rows = df.join(hot, "uid").withColumn("chunk", chunk_of(order)).orderBy(*order).collect()
+    chunks = [r.chunk for r in rows]
+    assert chunks == sorted(chunks) and len(set(chunks)) >= len(rows) // 80
+    assert max(chunks.count(c) for c in set(chunks)) <= 120
+    assert hot_cards(df, "uid", order, ScaleConfig()) == (None, False)
 
 
-def test_labels_and_sequences_do_not_depend_on_parts(spark):
+def test_more_edges_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(cardpass, "BLOCK", 4)
+    rows = table("one time")
+    got = card_pass(spark.createDataFrame(rows, SCHEMA), lags={"prev": "dev"}, row_number="rn", scale=ScaleConfig(chunk_rows=5))
+    want = slow(rows, 1)
+    assert {r.TransactionID: (r.prev, r.rn) for r in got.collect()} == {i: (w["prev"], w["rn"]) for i, w in want.items()}
+
+
+def test_rows_meet_in_one_exchange(spark):
+    """W7 over a table: one exchange of the rows, whose input is read once by it."""
+    from riskspark.operators.label import label_transactions
+    from riskspark.sources.bindings import txn_view
+    plan = label_transactions(txn_view(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_labels_and_sequences_do_not_depend_on_parts_or_chunks(spark):
     from riskspark.operators.features import build_sequences
     from riskspark.operators.label import label_transactions
     from riskspark.sources.bindings import txn_view
@@ -82,4 +105,4 @@ def test_labels_and_sequences_do_not_depend_on_parts(spark):
                 sorted((r.TransactionID, r.split, r.label, r.hist_len, tuple(round(float(x), 5) for step in r.seq for x in step)) for r in seqs.collect()),
                 sorted((r.feature, r.stat, round(r.value, 9)) for r in state.collect()), feats)
 
-    assert run(ScaleConfig(parts=2)) == run(ScaleConfig(parts=61))
+    assert run(ScaleConfig(parts=2)) == run(ScaleConfig(parts=61, chunk_rows=40))
