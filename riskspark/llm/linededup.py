@@ -12,10 +12,12 @@ are (kind, l, segment, substring).  Index and probe entries are shuffled on the
 pairs that meet are sifted by the parity of their symbols' counts and verified by
 banded bit-parallel edit distance on their symbols.
 
-The target of a key counts the key's lines before it pairs them.  Those of a key with
-more than `HOT` pairs are not paired but handed on: they are dealt to chunks, each pair of
-chunks is verified in a group of its own, and only links that join two parts of
-the group are kept.
+The target of a key counts the key's lines before it pairs them.  Lines of a key with
+more than `HOT` pairs are only paired with their next `NEXT` neighbours there, and handed
+on.  Once the pairs are verified, such a key is done if its lines lie in one component,
+as those of a group of near copies soon do.  Else its lines are dealt to chunks, and each
+pair of chunks is verified in a group of its own, where pairs already connected are passed
+over and only links that join two parts are kept.
 
 A class is a connected component of links; its first place, the smallest
 (doc_id, line number), stays, all other places go.  Lines of fewer than `words` words
@@ -31,7 +33,7 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -45,8 +47,9 @@ from riskspark.llm.common import Bitmap, apart, column, components, cut, hand_ba
 
 #: Entries one shuffle target gets, about, entries of a line, about, and the fewest targets.
 PER_TARGET, PER_LINE, FEWEST_BITS = 1 << 21, 24, 6
-#: Pairs a task looks at at a time, and pairs of one key above which it is hot.
-AT_ONCE, HOT = 1 << 18, 1 << 20
+#: Pairs a task looks at at a time, pairs of one key above which it is hot, and neighbours that
+#: a line of a hot key is paired with.
+AT_ONCE, HOT, NEXT = 1 << 18, 1 << 6, 2
 #: Lines of one chunk of a hot key, and pairs verified at a time there.
 LINES, CHECKED = 1 << 15, 1 << 11
 #: Part of the key, sketch with the threshold in its upper bits, line.
@@ -123,18 +126,15 @@ def windows(delta: int, tau: int) -> np.ndarray:
 class Symbols:
     """Lines of one kind as symbols: those of line i are sym[start[i] : start[i] + size[i]]."""
 
-    def __init__(self, kind: int, lines: list[bytes], which: list[int]):
+    def __init__(self, kind: int, lines: list, which: list[int]):
         self.kind, self.which = kind, np.array(which, np.int64)
-        if kind == WORDS:
+        self.size = np.fromiter(map(len, lines), np.int64, len(lines))
+        if kind == WORDS:  # lists of words
             number: defaultdict[bytes, int] = defaultdict(count().__next__)
-            words = [line.split() for line in lines]
-            self.size = np.fromiter(map(len, words), np.int64, len(words))
-            code = np.fromiter((number[w] for x in words for w in x), np.int64, int(self.size.sum()))
-            self.sym = np.fromiter(map(line_hash, number), np.uint64, len(number))[code]
+            code = np.fromiter(map(number.__getitem__, chain.from_iterable(lines)), np.int64, int(self.size.sum()))
+            self.sym = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[code]
         else:
-            text = [line.decode("utf-8", "replace") for line in lines]
-            self.size = np.fromiter(map(len, text), np.int64, len(text))
-            self.sym = np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.uint64)
+            self.sym = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
         self.start = np.cumsum(self.size) - self.size
 
     def sketches(self) -> np.ndarray:
@@ -147,10 +147,14 @@ class Symbols:
 
 def kinds(lines: list[bytes], rule: Rule) -> list[Symbols]:
     """Lines (none of them white space) by what they are compared by."""
-    of: tuple[list[int], list[int]] = ([], [])
+    of: tuple[list, list] = ([], [])
+    which: tuple[list[int], list[int]] = ([], [])
     for i, line in enumerate(lines):
-        of[WORDS if len(line.split(None, rule.words - 1)) == rule.words else CHARACTERS].append(i)
-    return [Symbols(kind, [lines[i] for i in own], own) for kind, own in enumerate(of) if own]
+        words = line.split()
+        kind = WORDS if len(words) >= rule.words else CHARACTERS
+        of[kind].append(words if kind == WORDS else line.decode("utf-8", "replace"))
+        which[kind].append(i)
+    return [Symbols(kind, of[kind], which[kind]) for kind in (WORDS, CHARACTERS) if of[kind]]
 
 
 class Signatures:
@@ -208,7 +212,7 @@ def distinct(rows: np.ndarray) -> np.ndarray:
 def candidates(index: np.ndarray, probe: np.ndarray, most: int = HOT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs (smaller line, larger line) that share a key and whose sketches
     differ in at most twice the threshold (an edit changes two counts at most); and the
-    entries of hot keys (of more than `most` pairs), whose lines are not paired."""
+    entries of hot keys (of more than `most` pairs), paired with their neighbours only."""
     index = distinct(index)
     if not len(index):  # a linked line's segment is in the index
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), index
@@ -230,6 +234,11 @@ def candidates(index: np.ndarray, probe: np.ndarray, most: int = HOT) -> tuple[n
     else:
         some = np.zeros(0, ENTRY)
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for step in range(1, NEXT + 1):
+        x, y = some[:-step], some[step:]
+        same = x["k"] == y["k"]
+        a.append(np.minimum(x["h"][same], y["h"][same]))
+        b.append(np.maximum(x["h"][same], y["h"][same]))
     block = np.cumsum(n) // AT_ONCE
     for one in np.unique(block):
         own = np.flatnonzero(block == one)
@@ -244,18 +253,18 @@ def candidates(index: np.ndarray, probe: np.ndarray, most: int = HOT) -> tuple[n
     return pairs["a"], pairs["b"], some
 
 
-def spanning(lines: list[bytes], hashes: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Links whose components are those of all linked pairs of the lines, fewer than
-    there are lines.  Pairs already connected are passed over; lines come by hash, as
-    neighbours of similar lines connect little."""
+def spanning(lines: list[bytes], hashes: np.ndarray, known: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the components `known` so that they are those of all linked pairs of
+    the lines; fewer than there are components.  Pairs already connected are passed over;
+    lines come by hash, as neighbours of similar lines connect little."""
     order = np.argsort(scramble(hashes.view(np.uint64)), kind="stable")
-    lines, hashes = [lines[i] for i in order.tolist()], hashes[order]
+    lines, hashes, known = [lines[i] for i in order.tolist()], hashes[order], known[order]
     kind, size, sketch = np.zeros(len(lines), np.int8), np.zeros(len(lines), np.int64), np.zeros(len(lines), np.uint32)
     for x in kinds(lines, rule):
         kind[x.which], size[x.which], sketch[x.which] = x.kind, x.size, x.sketches()
     own = np.where(kind == WORDS, rule.threshold(WORDS, size), rule.threshold(CHARACTERS, size))
-    root = np.arange(len(lines))
-    parts, out, todo, n = len(lines), [], [], 0
+    root = np.unique(known, return_inverse=True)[1]
+    parts, out, todo, n = len(np.unique(root)), [], [], 0
 
     def verify() -> None:
         nonlocal parts
@@ -287,7 +296,8 @@ def spanning(lines: list[bytes], hashes: np.ndarray, rule: Rule) -> tuple[np.nda
 
 
 def hot_links(members: DataFrame, rule: Rule) -> DataFrame:
-    """Links among the lines of each hot key, verified, for a written table `members(slot, h, line)`."""
+    """Links that are missing among the lines of each hot key, verified, for a written table
+    `members(slot, h, root, line)`, roots being the components so far."""
     chunks = {r.slot: -(-r["count"] // LINES) for r in members.groupBy("slot").count().collect()}  # a row a hot key
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,14 +308,14 @@ def hot_links(members: DataFrame, rule: Rule) -> DataFrame:
             own = (scramble(h.view(np.uint64)) % np.maximum(n, 1).astype(np.uint64)).astype(np.int64)
             for j in range(int(n.max(initial=0))):
                 met = (n > j) & ((own != j) | (n == 1))
-                yield pa.RecordBatch.from_arrays([column(b, "slot"), pa.array(np.minimum(own, j)), pa.array(np.maximum(own, j)), column(b, "h"), column(b, "line")], names=["slot", "i", "j", "h", "line"]).filter(pa.array(met))
+                yield pa.RecordBatch.from_arrays([column(b, "slot"), pa.array(np.minimum(own, j)), pa.array(np.maximum(own, j)), column(b, "h"), column(b, "root"), column(b, "line")], names=["slot", "i", "j", "h", "root", "line"]).filter(pa.array(met))
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = spanning(rows["line"].tolist(), rows["h"].to_numpy(np.int64), rule)
+        a, b = spanning(rows["line"].tolist(), rows["h"].to_numpy(np.int64), rows["root"].to_numpy(np.int64), rule)
         hand_back()
         return pd.DataFrame({"a": a, "b": b})
 
-    dealt = map_batches(members, deal, "slot long, i long, j long, h long, line binary")
+    dealt = map_batches(members, deal, "slot long, i long, j long, h long, root long, line binary")
     return cut(dealt.groupBy("slot", "i", "j").applyInPandas(meet, "a long, b long"), "line-hot-links")
 
 
@@ -474,7 +484,11 @@ def links(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
     linked = map_batches(both.select("a", "b", "line", "line2"), verify, "a long, b long")
     if hot.isEmpty():
         return linked
-    return linked.union(hot_links(cut(hot.join(texts, "h").select("slot", "h", "line"), "line-hot"), rule))
+    linked = cut(linked, "line-links")
+    roots = components(linked)
+    rooted = cut(hot.join(roots, hot.h == roots.node, "left").select("slot", "h", F.coalesce("root", "h").alias("root")), "line-hot")
+    several = rooted.groupBy("slot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("slot")
+    return linked.union(hot_links(cut(rooted.join(several, "slot").join(texts, "h").select("slot", "h", "root", "line"), "line-hot-texts"), rule))
 
 
 def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
