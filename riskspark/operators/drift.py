@@ -4,6 +4,8 @@ two-sample KS statistic, for all features in one job over long
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from riskspark import config
 from riskspark.config import DEFAULT_SCALE, ScaleConfig
 from riskspark.functions.scalar import drift_band
 from riskspark.operators.features import unpivot_features
-from riskspark.operators.ranks import quantiles_from_running, running_totals
+from riskspark.operators.ranks import PART, laid_totals, ordered_parts, quantiles_from_running, running_totals
 from riskspark.session import cut_lineage
+from riskspark.sources.io import read_text, write_text
 
 
 def _both(ref: DataFrame, cur: DataFrame) -> DataFrame:
@@ -46,18 +49,26 @@ def drift_of(rows: DataFrame, bins: int = config.PSI_BINS, scale: ScaleConfig =
     sum((c - r) ln(c / r)); a constant reference gives 0.  Nulls are dropped
     and counted in ``n_null``.
     """
-    spark = rows.sparkSession
     counts = cut_lineage(_side_counts(rows))
     nulls = counts.filter(F.col("value").isNull()).select("feature", (F.col("r") + F.col("c")).alias("n_null"))
     d = counts.filter(F.col("value").isNotNull())
     rt = cut_lineage(running_totals(d, ["feature"], ["value"], ["r", "c"], scale=scale))
+    return _stats(rt, _edges(rt, bins), nulls)
+
+
+def _edges(rt: DataFrame, bins: int) -> dict[str, list[float]]:
+    """Distinct exact reference quantiles of each feature (features x (bins + 1) at most)."""
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles_from_running(rt.filter(F.col("r") > 0), ["feature"], "value", "r", "cum_r", "tot_r",
-                               probs).collect()  # features x (bins + 1)
+    q = quantiles_from_running(rt.filter(F.col("r") > 0), ["feature"], "value", "r", "cum_r", "tot_r", probs).collect()
     uniq: dict = {}
     for row in q:
         uniq.setdefault(row["feature"], set()).add(row["q"])
-    edges = {f: sorted(u) for f, u in uniq.items()}
+    return {f: sorted(u) for f, u in uniq.items()}
+
+
+def _stats(rt: DataFrame, edges: dict[str, list[float]], nulls: DataFrame) -> DataFrame:
+    """PSI and KS from running totals of both sides over the distinct values."""
+    spark = rt.sparkSession
     feats = sorted(edges)
     if not feats:
         return spark.createDataFrame([], "feature string, psi double, ks double, n_ref long, n_cur long, n_null long")
@@ -83,6 +94,46 @@ def drift_of(rows: DataFrame, bins: int = config.PSI_BINS, scale: ScaleConfig =
                     "ks", "n_ref", "n_cur", F.coalesce(F.col("n_null"), F.lit(0)).alias("n_null")))
 
 
+# ---- a saved reference: new batches are compared without reading its rows again ----------------
+
+def save_profile(reference: DataFrame, path: str, bins: int = config.PSI_BINS, scale: ScaleConfig = DEFAULT_SCALE) -> None:
+    """The reference side of long ``(feature, value)`` rows as a profile: its distinct values with
+    counts, in range partitions, where each begins, the edges of the PSI bins, and the null
+    counts.  The profile counts once its ``profile.json`` is written."""
+    root, spark = path.rstrip("/"), reference.sparkSession
+    counts = cut_lineage(reference.groupBy("feature", F.col("value").cast("double").alias("value")).agg(F.count(F.lit(1)).alias("r")))
+    laid = ordered_parts(counts.filter(F.col("value").isNotNull()), ["feature", "value"], scale)
+    laid.write.mode("overwrite").parquet(f"{root}/values")
+    laid = spark.read.schema(laid.schema).parquet(f"{root}/values")
+    starts = laid.groupBy(PART).agg(F.min(F.struct("feature", "value")).alias("s")).orderBy(PART).collect()  # a row a part
+    edges = _edges(laid_totals(laid, ["feature"], ["value"], ["r"]), bins)
+    nulls = counts.filter(F.col("value").isNull()).select("feature", "r").collect()  # a row a feature
+    write_text(spark, f"{root}/profile.json", json.dumps({
+        "edges": edges, "starts": [[r[PART], r["s"]["feature"], r["s"]["value"]] for r in starts], "nulls": {r["feature"]: r["r"] for r in nulls}}))
+
+
+def drift_against(path: str, current: DataFrame) -> DataFrame:
+    """``drift_stats`` of a saved reference and a new batch of long ``(feature, value)`` rows.  The
+    batch's distinct values go to the profile's own range partitions; the two runs
+    are merged there and summed up inside them."""
+    root, spark = path.rstrip("/"), current.sparkSession
+    about = json.loads(read_text(spark, f"{root}/profile.json"))
+    counts = cut_lineage(current.groupBy("feature", F.col("value").cast("double").alias("value")).agg(F.count(F.lit(1)).alias("c")))
+    at = F.struct("feature", "value")
+    starts = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(v).alias("value")) for _, f, v in about["starts"]]) if about["starts"] else None
+    numbers = F.array(*[F.lit(p) for p, _, _ in about["starts"]] or [F.lit(0)])
+    # a value before the first start belongs to the first part
+    part = F.lit(0) if starts is None else F.get(numbers, F.greatest(F.size(F.filter(starts, lambda s: s <= at)) - 1, F.lit(0)))
+    reference = spark.read.schema("feature string, value double, r long, _part int").parquet(f"{root}/values")
+    new = counts.filter(F.col("value").isNotNull()).select("feature", "value", F.lit(0).cast("long").alias("r"), "c", part.cast("int").alias(PART))
+    both = reference.withColumn("c", F.lit(0).cast("long")).select("feature", "value", "r", "c", PART).unionByName(new)
+    merged = cut_lineage(both.groupBy("feature", PART, "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c")), columnar=True)
+    rt = cut_lineage(laid_totals(merged, ["feature"], ["value"], ["r", "c"]))
+    kept = spark.createDataFrame(list(about["nulls"].items()), "feature string, r long")
+    nulls = counts.filter(F.col("value").isNull()).select("feature", F.col("c").alias("r")).unionByName(kept).groupBy("feature").agg(F.sum("r").alias("n_null"))
+    return _stats(rt, about["edges"], nulls)
+
+
 def psi_table(ref: DataFrame, cur: DataFrame, bins: int = config.PSI_BINS,
               scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
     """D1 per feature: ``feature, psi, n_ref, n_cur, n_null``."""

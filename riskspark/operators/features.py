@@ -36,13 +36,21 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return left.join(side, (left[key] == side["_key"]) & (left["_salt"] == side["_side"]), "left").drop("_salt", "_side", "_key")
 
 
+def frequency_counts(df: DataFrame, col: str, out: str) -> DataFrame:
+    """F1 state: value -> number of rows holding it.  A grouped count, never a window
+    on the value."""
+    return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(out))
+
+
+def encode(df: DataFrame, table: DataFrame, col: str, out: str, missing: int) -> DataFrame:
+    """A fitted code table ``(col, out)`` looked up; null and unseen values get ``missing``."""
+    return lookup_join(df, table, col).withColumn(out, F.coalesce(F.col(out), F.lit(missing)).cast("long"))
+
+
 def frequency_encode(df: DataFrame, col: str, out: str, fit_df: DataFrame | None = None) -> DataFrame:
     """value -> number of rows holding it (null / unseen -> 0), counted
-    on ``fit_df`` (default ``df``).  A grouped count plus a lookup join;
-    never a window on the value."""
-    src = df if fit_df is None else fit_df
-    freq = src.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(out))
-    return lookup_join(df, freq, col).withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
+    on ``fit_df`` (default ``df``)."""
+    return encode(df, frequency_counts(df if fit_df is None else fit_df, col, out), col, out, 0)
 
 
 def ordinal_codes(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAULT_SCALE, at_most: int = AT_MOST) -> DataFrame:
@@ -61,25 +69,46 @@ def ordinal_encode(df: DataFrame, col: str, out: str, scale: ScaleConfig = DEFAU
                    fit_df: DataFrame | None = None) -> DataFrame:
     """category code in sorted order over the values of ``fit_df`` (default
     ``df``); null or unseen -> -1."""
-    codes = ordinal_codes(df if fit_df is None else fit_df, col, out, scale)
-    return lookup_join(df, codes, col).withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("long"))
+    return encode(df, ordinal_codes(df if fit_df is None else fit_df, col, out, scale), col, out, -1)
 
 
-def encode_categoricals(df: DataFrame, *, device_type: str = "DeviceType", device_info: str = "DeviceInfo",
-                        cards=("card4", "card6"), scale: ScaleConfig = DEFAULT_SCALE,
-                        fit_df: DataFrame | None = None) -> DataFrame:
-    """F3 = P3 + F1 + F2, fitted on ``fit_df`` (default: ``df`` itself)."""
+#: Code of null and unseen values by kind of encoder.
+MISSING = {"frequency": 0, "ordinal": -1}
+
+
+def fit_encoders(df: DataFrame, *, device_info: str = "DeviceInfo", cards=("card4", "card6"),
+                 scale: ScaleConfig = DEFAULT_SCALE) -> dict[str, tuple[str, DataFrame]]:
+    """F1 / F2 state: ``{column: (kind, code table)}`` of the columns that ``df`` has."""
+    out = {}
+    if device_info in df.columns:
+        out[device_info] = "frequency", frequency_counts(df, device_info, f"{device_info}_enc")
+    for c in cards:
+        if c in df.columns:
+            out[c] = "ordinal", ordinal_codes(df, c, f"{c}_enc", scale)
+    return out
+
+
+def apply_encoders(df: DataFrame, encoders: dict[str, tuple[str, DataFrame]], device_type: str = "DeviceType") -> DataFrame:
+    """F3 on new rows: P3 and the fitted code tables; columns that ``df`` lacks are all missing."""
     out = df
     if device_type in df.columns:
         out = out.withColumn(f"{device_type}_enc", device_type_code(device_type).cast("long"))
-    if device_info in df.columns:
-        out = frequency_encode(out, device_info, f"{device_info}_enc", fit_df=fit_df)
-    for c in cards:
+    for c, (kind, table) in encoders.items():
         if c in df.columns:
-            out = ordinal_encode(out, c, f"{c}_enc", scale, fit_df=fit_df)
+            out = encode(out, table, c, f"{c}_enc", MISSING[kind])
+        else:
+            out = out.withColumn(f"{c}_enc", F.lit(MISSING[kind]).cast("long"))
     return out
 
 
+def encode_categoricals(df: DataFrame, *, device_type: str = "DeviceType", device_info: str = "DeviceInfo",
+                        cards=("card4", "card6"), scale: ScaleConfig = DEFAULT_SCALE,
+                        fit_df: DataFrame | None = None) -> DataFrame:
+    """F3 = P3 + F1 + F2, fitted on ``fit_df`` (default: ``df`` itself)."""
+    fitted = fit_encoders(df if fit_df is None else fit_df, device_info=device_info, cards=cards, scale=scale)
+    return apply_encoders(df, fitted, device_type)
+
+
 # --- behaviour -----------------------------------------------------------------
 
 def amount_deviation(x, mu, sd) -> Column:
@@ -256,11 +285,57 @@ def sequence_history(df: DataFrame, feature_cols: list[str], *, uid: str = "uid"
             .withColumn("seq", F.concat(pad, F.col("_hist"))).drop("_hist"))
 
 
+def feature_frame(enc: DataFrame, extra: list[str] | None = None, *, uid: str = "uid", ts: str = "TransactionDT",
+                  tie: str = "TransactionID", card_aggs: dict | None = None, scale: ScaleConfig = DEFAULT_SCALE) -> tuple[DataFrame, list[str]]:
+    """Encoded rows -> ``uid, tie, ts, extra..., _f_<feature>...``, one value per candidate
+    feature and row (P10's candidates), and the candidates.  One ordered pass per card."""
+    id_cols = [c for c in enc.columns if c.startswith("id_")]
+    raw = enc.select(
+        "*",
+        lenient_double("TransactionAmt").alias("_r_amt"), F.col(ts).cast("double").alias("_r_dt"),
+        *[F.col(c).cast("double").alias(r) for c, r in
+          zip(["DeviceType_enc", "DeviceInfo_enc", "card4_enc", "card6_enc"], _RAW_FIXED[2:])],
+        *[lenient_double(c).alias(f"_r_{c}") for c in id_cols])
+    raw_cols = _RAW_FIXED + [f"_r_{c}" for c in id_cols]
+    frame = card_pass(raw, key=uid, order=(ts, tie), row_number="txn_count_rolling",
+                      card_aggs={"_amt_mu": F.avg("_r_amt"), "_amt_sd": F.stddev_samp("_r_amt"),
+                                 "_dt_min": F.min(ts)} | (card_aggs or {}), scale=scale)
+    row_ctx = {"rownum": F.col("txn_count_rolling").cast("double"), "id_slot": {c: 6 + i for i, c in enumerate(id_cols)}}
+    cands = feature_candidates(config.BASE_FEATURES + id_cols)
+    return frame.select(
+        uid, tie, ts, *(extra or []), *(card_aggs or {}),
+        *[finite_or_null(_feature_from_raw(c, lambda i: F.col(raw_cols[i]), row_ctx).cast("double")).alias(f"_f_{c}")
+          for c in cands]), cands
+
+
+def scaled_sequences(frame: DataFrame, feats: list[str], fitted: dict, extra: list, *, uid: str = "uid", ts: str = "TransactionDT",
+                     tie: str = "TransactionID", history_len: int = config.WINDOW_SIZE, scale: ScaleConfig = DEFAULT_SCALE) -> DataFrame:
+    """``uid, tie, extra..., hist_len, seq`` from a feature frame: every feature clipped, imputed
+    and scaled by ``fitted[feature]`` (clip_lo, clip_hi, median, mean, scale), then the history
+    of each row after a card's first, front-padded with zero rows.  The second ordered pass reads
+    narrow, final values."""
+    def value(c: str) -> Column:
+        f = {k: F.lit(fitted[c].get(k)).cast("double") for k in ("clip_lo", "clip_hi", "median", "mean", "scale")}
+        filled = F.coalesce(clip(F.col(f"_f_{c}"), f["clip_lo"], f["clip_hi"]), f["median"])
+        return ((filled - f["mean"]) / f["scale"]).cast("float").alias(f"_z_{c}")
+
+    names = frame.select(uid, *extra).columns[1:]
+    final = frame.filter(F.col(uid).isNotNull()).select(uid, tie, ts, *extra, *[value(c) for c in feats])
+    hist = card_pass(final, key=uid, order=(ts, tie), history=[f"_z_{c}" for c in feats],
+                     history_len=history_len, scale=scale)
+    n = F.size("_hist")
+    zero = F.array(*[F.lit(0.0) for _ in feats])
+    return (hist.filter(n > 0)
+            .select(uid, tie, *names, n.alias("hist_len"),
+                    F.concat(F.array_repeat(zero, F.lit(history_len) - n), F.col("_hist"))
+                    .cast("array<array<float>>").alias("seq")))
+
+
 def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "TransactionDT",
                     tie: str = "TransactionID", label: str = "ato_proxy",
                     history_len: int = config.WINDOW_SIZE, test_size: float = config.TEST_SIZE,
                     seed=config.RANDOM_SEED, clip_fit_on: str = "all", fit_on: str = "all",
-                    scale: ScaleConfig = DEFAULT_SCALE):
+                    with_encoders: bool = False, scale: ScaleConfig = DEFAULT_SCALE):
     """encode -> behaviour -> choose -> winsorise -> card split ->
     train-median impute -> train standardise -> sequences.
 
@@ -271,7 +346,8 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
 
     Returns ``(sequences, state, feature_cols)``; ``sequences`` has
     ``uid, TransactionID, label, split, hist_len, seq (array<array<float>>)``
-    and ``state`` is the fitted ``(feature, stat, value)`` table.
+    and ``state`` is the fitted ``(feature, stat, value)`` table; ``with_encoders`` adds the
+    fitted code tables, which with the state are all that new rows need.
     The fitted statistics are aggregates over the checkpointed narrow frame.
 
     ``fit_on="all"`` (default) fits encoders, column choice and clip bounds on
@@ -286,32 +362,16 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     # R1 without joining the big frame: a condition on a card's hash and stratum
     cards = card_strata(labeled, uid, label)
     in_test = test_side(cards, uid, "has_pos", test_size, seed)
-    fit_rows = None
+    fit_rows = labeled
     if fit_on == "train":  # only the small encoder tables are fitted through this semi-join
         fit_rows = labeled.join(cards.filter(~in_test).select(uid), uid, "left_semi")
-    enc = encode_categoricals(labeled, scale=scale, fit_df=fit_rows)
-    id_cols = [c for c in labeled.columns if c.startswith("id_")]
-    raw = enc.select(
-        "*",
-        lenient_double("TransactionAmt").alias("_r_amt"), F.col(ts).cast("double").alias("_r_dt"),
-        *[F.col(c).cast("double").alias(r) for c, r in
-          zip(["DeviceType_enc", "DeviceInfo_enc", "card4_enc", "card6_enc"], _RAW_FIXED[2:])],
-        *[lenient_double(c).alias(f"_r_{c}") for c in id_cols])
-    raw_cols = _RAW_FIXED + [f"_r_{c}" for c in id_cols]
-    frame = card_pass(raw, key=uid, order=(ts, tie), row_number="txn_count_rolling",
-                      card_aggs={"_amt_mu": F.avg("_r_amt"), "_amt_sd": F.stddev_samp("_r_amt"),
-                                 "_dt_min": F.min(ts), "has_pos": F.max(F.col(label).cast("int"))},
-                      scale=scale)
-    id_slot = {c: 6 + i for i, c in enumerate(id_cols)}
-    row_ctx = {"rownum": F.col("txn_count_rolling").cast("double"), "id_slot": id_slot}
-    cands = feature_candidates(config.BASE_FEATURES + id_cols)
+    encoders = fit_encoders(fit_rows, scale=scale)
+    frame, cands = feature_frame(apply_encoders(labeled, encoders), [label], uid=uid, ts=ts, tie=tie,
+                                 card_aggs={"has_pos": F.max(F.col(label).cast("int"))}, scale=scale)
     # narrow per-row frame (keys + one value per candidate feature) is the only
     # thing materialised for the fits; the wide history is never written here
-    frame = cut_lineage(frame.select(
-        uid, tie, ts, label,
-        F.when(F.col(uid).isNotNull(), F.when(in_test, "test").otherwise("train")).alias("split"),
-        *[finite_or_null(_feature_from_raw(c, lambda i: F.col(raw_cols[i]), row_ctx).cast("double")).alias(f"_f_{c}")
-          for c in cands]))
+    side = F.when(F.col(uid).isNotNull(), F.when(in_test, "test").otherwise("train"))
+    frame = cut_lineage(frame.withColumn("split", side).drop("has_pos"))
 
     # P10 on the per-row values (all rows, or train rows)
     p10_rows = frame if fit_on == "all" else frame.filter(F.col("split") == "train")
@@ -351,30 +411,11 @@ def build_sequences(labeled: DataFrame, *, uid: str = "uid", ts: str = "Transact
     train = clipped.filter(F.col("split") == "train")
     mom = moments(impute(train, meds), fcols)
 
-    def transform_value(c: str, x: Column) -> Column:
-        lo, hi = bounds[c]
-        m, s = mom[c]
-        filled = F.coalesce(clip(finite_or_null(x), lo, hi), F.lit(meds[c]))
-        return ((filled - F.lit(m)) / F.lit(s)).cast("float")
-
-    # second ordered pass over the narrow, final feature values: the history
-    # window reads them directly (a narrow shuffle instead of a wide checkpoint)
-    final = frame.filter(F.col(uid).isNotNull()).select(
-        uid, tie, ts, F.col(label).cast("int").alias("label"), "split",
-        *[transform_value(f"_f_{c}", F.col(f"_f_{c}")).alias(f"_z_{c}") for c in feats])
-    hist = card_pass(final, key=uid, order=(ts, tie), history=[f"_z_{c}" for c in feats],
-                     history_len=history_len, scale=scale)
-    n = F.size("_hist")
-    zero = F.array(*[F.lit(0.0) for _ in feats])
-    seqs = (hist.filter(n > 0)
-            .select(uid, tie, "label", "split", n.alias("hist_len"),
-                    F.concat(F.array_repeat(zero, F.lit(history_len) - n), F.col("_hist"))
-                    .cast("array<array<float>>").alias("seq")))
-    state_rows = []
-    for c in feats:
-        fc = f"_f_{c}"
-        lo, hi = bounds[fc]
-        state_rows += [(c, "clip_lo", lo), (c, "clip_hi", hi), (c, "median", meds[fc]),
-                       (c, "mean", mom[fc][0]), (c, "scale", mom[fc][1])]
-    state = spark.createDataFrame(state_rows, "feature string, stat string, value double")
+    fitted = {c: {"clip_lo": bounds[f"_f_{c}"][0], "clip_hi": bounds[f"_f_{c}"][1], "median": meds[f"_f_{c}"],
+                  "mean": mom[f"_f_{c}"][0], "scale": mom[f"_f_{c}"][1]} for c in feats}
+    seqs = scaled_sequences(frame, feats, fitted, [F.col(label).cast("int").alias("label"), F.col("split")], uid=uid, ts=ts, tie=tie,
+                            history_len=history_len, scale=scale)
+    state = spark.createDataFrame([(c, k, v) for c in feats for k, v in fitted[c].items()], "feature string, stat string, value double")
+    if with_encoders:
+        return seqs, state, feats, encoders
     return seqs, state, feats

@@ -40,7 +40,12 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
     ``order`` must be unique within a group (pre-aggregate ties); nulls of
     ``by`` are a group, nulls of ``order`` come first.
     """
-    d = ordered_parts(df, [*by, *order], scale)
+    return laid_totals(ordered_parts(df, [*by, *order], scale), by, order, sums)
+
+
+def laid_totals(d: DataFrame, by: list[str], order: list[str], sums: list[str]) -> DataFrame:
+    """The same of a written table that is laid out already: rows of a smaller ``_part`` come
+    before those of a larger one."""
     run = (Window.partitionBy(*by, PART).orderBy(*ascending(order))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.select("*", *[F.sum(c).over(run).alias(f"_in_{c}") for c in sums])
@@ -54,7 +59,7 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[st
     same = F.lit(True)
     for c in [*by, PART]:
         same = same & inner[c].eqNullSafe(offs[f"_k_{c}"])
-    return inner.join(offs, same).select(*[inner[c] for c in df.columns],
+    return inner.join(offs, same).select(*[inner[c] for c in d.columns if c != PART],
                                          *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums],
                                          *[F.col(f"tot_{c}") for c in sums])
 

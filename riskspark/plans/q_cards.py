@@ -3,12 +3,15 @@ splitting / resampling (R)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskspark import config
 from riskspark.functions import scalar as S
 from riskspark.operators import features as FE
+from riskspark.operators import neighbours as NB
 from riskspark.operators import split as SP
 from riskspark.operators.cardpass import card_pass
 from riskspark.operators.label import label_transactions
@@ -304,6 +307,32 @@ def r6q(spark, sf):
     return SP.random_subset(read_table(spark, sf, "documents").select("doc_id"), "doc_id", 100)
 
 
+_RARE = 5  # the class of embeddings that R7 fills up to a fifth of the others
+
+
+@register("r7_smote", f"""with e as (select vec_id as id, list_transform(embedding, lambda x: cast(x as double)) as x, label from embeddings
+  where vec_id is not null and embedding is not null),
+p as (select id, x, row_number() over (order by md5('42:' || id), id) as rk from e where label = {_RARE}),
+c as (select count(*) filter (label = {_RARE}) as pos, cast(floor(0.2 * count(*) filter (label <> {_RARE}) + 0.5) as bigint) - count(*) filter (label = {_RARE}) as n_new from e),
+g as (select a.id, b.id as neighbour, row_number() over (partition by a.id order by list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) ** 2)), b.id) as rk
+  from p a join p b on a.id <> b.id),
+n as (select id, least(max(rk), 5) as k from g group by id),
+d as (select id, x, unnest(range(n_new // pos + cast(rk <= n_new % pos as bigint))) as copy from p, c),
+u as (select d.*, n.k, ('0x' || substr(md5('42:' || d.id || ':' || copy), 1, 15))::BIGINT % n.k + 1 as pick,
+  ('0x' || substr(md5('42:' || d.id || ':' || copy), 17, 15))::BIGINT / (1::BIGINT << 60)::DOUBLE as u from d join n on d.id = n.id)
+select u.id, u.copy, g.neighbour, {r6('u.u')} as u, {r6('list_sum(list_transform(range(1, len(u.x) + 1), lambda i: u.x[i] + u.u * (o.x[i] - u.x[i])))')} as s_x,
+  {r6('list_sum(list_transform(range(1, len(u.x) + 1), lambda i: i * (u.x[i] + u.u * (o.x[i] - u.x[i]))))')} as w_x
+from u join g on g.id = u.id and g.rk = u.pick join p o on o.id = g.neighbour""")
+def r7(spark, sf):
+    e = read_table(spark, sf, "embeddings").filter("vec_id is not null and embedding is not null")
+    n = e.agg(F.count_if(F.col("label") == _RARE).alias("pos"), F.count_if(F.col("label") != _RARE).alias("others")).first()
+    rare = e.filter(F.col("label") == _RARE).select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"))
+    new = NB.smote(rare, math.floor(0.2 * n["others"] + 0.5) - n["pos"])
+    total = F.aggregate("x", F.lit(0.0), lambda a, b: a + b)
+    weighted = F.aggregate(F.transform("x", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    return new.select("id", "copy", "neighbour", "u", total.alias("s_x"), weighted.alias("w_x"))
+
+
 @register("r8_class_weights", f"""{LAB}, c as (select count(*) as n, sum(ato_proxy) as n_pos from lab)
 select n, cast(n_pos as bigint) as n_pos, cast(n - n_pos as bigint) as n_neg, 1.0::double as weight_neg, {r6('least((n - greatest(n_pos, 1)) / greatest(n_pos, 1), 25.0)')} as weight_pos,
   {r6('n / (2.0 * (n - n_pos))')} as balanced_neg, {r6('n / (2.0 * n_pos)')} as balanced_pos from c""")

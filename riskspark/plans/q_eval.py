@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskspark import config
+from riskspark.functions.scalar import drift_band
 from riskspark.operators import drift as DR
 from riskspark.operators import evaluate as EV
 from riskspark.plans.registry import register
 from riskspark.plans.sqlparts import r6
+from riskspark.session import fresh_folder
 from riskspark.sources import bindings as B
 
 MODELS = ["length", "digits"]
@@ -265,6 +267,15 @@ def d3(spark, sf):
     return DR.report_of(_long(spark, sf, _FEATS))
 
 
+@register("d3b_drift_from_profile", f"with {_DRIFT} select feature, {r6('psi')} as psi, {r6('ks')} as ks, drift from rep order by psi desc")
+def d3b(spark, sf):
+    """D3 of a new batch against a saved reference, whose rows are not read again."""
+    path, long = fresh_folder(spark, "profile"), _long(spark, sf, _FEATS)
+    DR.save_profile(long.filter("is_ref"), path)
+    found = DR.drift_against(path, long.filter("not is_ref"))
+    return found.select("feature", "psi", "ks", drift_band("psi").alias("drift")).orderBy(F.col("psi").desc())
+
+
 @register("d5_score_drift", f"with {_SDRIFT} select feature as series, {r6('psi')} as psi, {r6('ks')} as ks, drift from rep")
 def d5(spark, sf):
     return DR.report_of(_long(spark, sf, ["score"])).withColumnRenamed("feature", "series")

@@ -115,8 +115,9 @@ def s7b(spark, sf):
 def s8(spark, sf):
     path = _scratch(spark, "materialized")
     build = lambda: label_transactions(B.txn_view(spark, sf)).select("TransactionID", "ato_proxy")
-    io.materialize(spark, build, path)
-    return io.materialize(spark, build, path)  # second call reuses the written table
+    made_from = [io.table_path(sf, "events")]
+    io.materialize(spark, build, path, inputs=made_from)
+    return io.materialize(spark, build, path, inputs=made_from)  # second call reuses the committed table
 
 
 @register("j5_align_fitted_stats", f"""{T}, l as (select TransactionID, 'TransactionAmt' as feature, TransactionAmt as value from t

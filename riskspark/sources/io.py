@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale-factor folder."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -50,21 +56,99 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop path and its file system; works for local, HDFS and object stores."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Hadoop-FS existence check, works for local, HDFS and object stores."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    jpath, fs = _fs(spark, path)
     return bool(fs.exists(jpath))
 
 
-def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
-                rebuild: bool = False, partition_by: list[str] | None = None) -> DataFrame:
-    """Reuse a written intermediate table unless ``rebuild``.
+def file_marks(spark: SparkSession, path: str) -> list[list]:
+    """Name, size and time of change of each data file below a folder (or of one file): two
+    listings are equal if the table was not written in between."""
+    jpath, fs = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    out, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        f = files.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            out.append([f.getPath().toString(), f.getLen(), f.getModificationTime()])
+    return sorted(out)
+
+
+#: Names the version of a table that counts, and what it was made from.
+MANIFEST = "_manifest.json"
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    jpath, fs = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that is there whole or not at all: written beside, then renamed."""
+    target, fs = _fs(spark, path)
+    beside = _fs(spark, f"{path}-{uuid.uuid4().hex}")[0]
+    stream = fs.create(beside, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    whole = [p.makeQualified(fs.getUri(), fs.getWorkingDirectory()) for p in (beside, target)]
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole[0].toUri(), conf).rename(*whole, how)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    name = f"{path.rstrip('/')}/{MANIFEST}"
+    return json.loads(read_text(spark, name)) if path_exists(spark, name) else None
+
+
+def commit_table(df: DataFrame, path: str, inputs: list[str] | None = None, partition_by: list[str] | None = None) -> DataFrame:
+    """S3 / S8 as a transaction: the table is written beside earlier versions, in a folder of
+    its own, and counts from the moment the manifest that names it replaces the old one.
+    A write that breaks off leaves the earlier version as it was; readers of that
+    version keep its files.  The manifest holds the marks of ``inputs`` from before
+    the write, and of the files written."""
+    spark, root = df.sparkSession, path.rstrip("/")
+    marks = {i: file_marks(spark, i) for i in inputs or []}
+    version = f"version-{uuid.uuid4().hex}"
+    write_parquet(df, f"{root}/{version}", partition_by)
+    manifest = {"version": version, "inputs": marks, "files": file_marks(spark, f"{root}/{version}")}
+    write_text(spark, f"{root}/{MANIFEST}", json.dumps(manifest))
+    return spark.read.parquet(f"{root}/{version}")
+
+
+def committed(spark: SparkSession, path: str, inputs: list[str] | None = None) -> DataFrame | None:
+    """The table that counts at a folder; None if none was committed, if its files are not
+    those that were written, or if ``inputs`` are not those that it was made from."""
+    root, manifest = path.rstrip("/"), read_manifest(spark, path)
+    if manifest is None or file_marks(spark, f"{root}/{manifest['version']}") != manifest["files"]:
+        return None
+    if {i: file_marks(spark, i) for i in inputs or []} != manifest["inputs"]:
+        return None
+    return spark.read.parquet(f"{root}/{manifest['version']}")
+
+
+def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str, rebuild: bool = False,
+                partition_by: list[str] | None = None, inputs: list[str] | None = None) -> DataFrame:
+    """Reuse a committed intermediate table unless ``rebuild``, or unless the files of
+    ``inputs`` (folders or files that ``build`` reads) have changed since.
 
     The table is written once and read back, which also cuts the lineage of
     the expensive plan that produced it.
     """
-    if rebuild or not path_exists(spark, path):
-        write_parquet(build(), path, partition_by)
-    return spark.read.parquet(path)
+    found = None if rebuild else committed(spark, path, inputs)
+    return commit_table(build(), path, inputs, partition_by) if found is None else found
