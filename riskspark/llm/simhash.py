@@ -36,6 +36,8 @@ PER_TARGET = 1 << 22
 #: Targets of one round; each fingerprint is shuffled at most this often a round.
 PER_ROUND = 1 << 11
 FEWEST_BITS = 6
+#: Entries made at a time, fingerprints whose variants are looked at at a time, and hash slots.
+AT_ONCE, PIECE, SLOT_BITS = 1 << 20, 1 << 13, 22
 
 
 def fingerprint(text: bytes | None, n: int = 4) -> int:
@@ -94,14 +96,20 @@ class Ball:
         return fp[src] ^ self.masks[at], src
 
 
-def shared(var: np.ndarray, bits: int = 23) -> np.ndarray:
-    """True at least where a value occurs more than once: its hash slot does."""
-    slot = ((var * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
-    last = np.zeros(1 << bits, np.int32)
-    last[slot] = np.arange(len(var), dtype=np.int32)
-    again = np.zeros(1 << bits, bool)
-    again[slot[last[slot] != np.arange(len(var), dtype=np.int32)]] = True
-    return again[slot]
+def slots(var: np.ndarray) -> np.ndarray:
+    return (var * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+
+
+def mark(var: np.ndarray, once: np.ndarray, again: np.ndarray) -> None:
+    """Note the hash slots of values; a slot is in `again` at least where a value occurs a
+    second time."""
+    slot = slots(var)
+    again[slot[once[slot]]] = True
+    last = np.zeros(len(once), np.int32)
+    at = np.arange(len(var), dtype=np.int32)
+    last[slot] = at
+    again[slot[last[slot] != at]] = True
+    once[slot] = True
 
 
 def meetings(fp: np.ndarray, ball: Ball, target: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,9 +118,19 @@ def meetings(fp: np.ndarray, ball: Ball, target: int, radius: int) -> tuple[np.n
     each of them is within half the radius of the variant, so this loses no
     component, and it avoids a group's pairs.  Links are verified by bit distance."""
     fp = np.unique(fp)
-    var, src = ball.variants(fp, target)
-    keep = shared(var)
-    var, src = var[keep], src[keep]
+    # two looks at the variants, piece by piece: which hash slots come up again, then those alone
+    once, again = np.zeros(1 << SLOT_BITS, bool), np.zeros(1 << SLOT_BITS, bool)
+    pieces = [slice(i, i + PIECE) for i in range(0, len(fp), PIECE)]
+    for piece in pieces:
+        mark(ball.variants(fp[piece], target)[0], once, again)
+    var, src = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+    for piece in pieces:
+        v, s = ball.variants(fp[piece], target)
+        keep = again[slots(v)]
+        var.append(v[keep])
+        src.append(s[keep] + np.int32(piece.start))
+    del once, again
+    var, src = np.concatenate(var), np.concatenate(src)
     order = np.lexsort((src, var))
     var, src = var[order], src[order]
     new = np.r_[True, var[1:] != var[:-1]] if len(var) else np.zeros(0, bool)
@@ -152,24 +170,26 @@ def links(distinct: DataFrame, n_fingerprints: int, radius: int = 4) -> DataFram
 
 
 def _round(distinct: DataFrame, ball: Ball, lo: int, hi: int, radius: int) -> DataFrame:
+    span = (hi - lo).bit_length() - 1  # targets of a round share the code's other bits
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = column(b, "fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            code = ball.of(fp)
-            targets, blobs = [], []
-            order = np.argsort(code, kind="stable")
-            fp, code = fp[order], code[order]
-            groups = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(fp) else []
-            per: dict[int, list[bytes]] = {}
-            for i, j in zip(groups, [*groups[1:], len(fp)]):
-                own = fp[i:j].tobytes()
-                for t in (int(code[i]) ^ ball.codes).tolist():
-                    if lo <= t < hi:
-                        per.setdefault(t, []).append(own)
-            for t, own in per.items():
-                targets.append(t)
-                blobs.append(b"".join(own))
-            yield pa.RecordBatch.from_arrays([pa.array(targets, pa.int64()), pa.array(blobs, pa.binary())], names=["target", "fps"])
+            every = column(b, "fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            step = max(1, AT_ONCE >> span)
+            for i in range(0, len(every), step):
+                fp = every[i : i + step]
+                code = ball.of(fp)
+                # flips that lead to this round's targets: a slice of the sorted codes
+                wanted = (code ^ lo) >> span << span
+                first, last = np.searchsorted(ball.codes, wanted), np.searchsorted(ball.codes, wanted + (1 << span))
+                n = last - first
+                src = np.repeat(np.arange(len(fp)), n)
+                target = ball.codes[np.arange(len(src)) + np.repeat(first - (np.cumsum(n) - n), n)] ^ code[src]
+                order = np.argsort(target, kind="stable")
+                target, own = target[order], fp[src[order]]
+                at = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(target) else np.zeros(0, np.int64)
+                blobs = [own[x:y].tobytes() for x, y in zip(at, [*at[1:], len(own)])]
+                yield pa.RecordBatch.from_arrays([pa.array(target[at], pa.int64()), pa.array(blobs, pa.binary())], names=["target", "fps"])
 
     def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         fp = np.frombuffer(b"".join(rows["fps"]), np.uint64)

@@ -205,7 +205,7 @@ def test_small_blocks_give_the_same_pairs(monkeypatch):
     lines = sorted({edited(rng, base, rng.randrange(3)) for _ in range(120)})
     sig = L.Signatures([x.encode() for x in lines], list(range(1, len(lines) + 1)), L.RULE)
 
-    def found(most=L.HOT):
+    def found(most=1 << 20):
         of = [np.frombuffer(b"".join(L.by_target(part, 1)[1]), L.ENTRY) for part in (sig.index, sig.probe)]
         a, b, hot = L.candidates(*of, most)
         return set(zip(a.tolist(), b.tolist())), hot
