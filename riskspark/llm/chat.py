@@ -2,8 +2,9 @@
 
 A template is any function from a list of (role, text) to a string.  Successive
 turn prefixes are rendered and consecutive outputs compared: what a turn appends is
-its span.  Inside it, the place of the turn's text is found by rendering two probe
-texts in its stead.  If adding a turn changes what was rendered before, the template
+its span.  Inside it, the place of the turn's text is found by rendering probe texts in
+its stead; what was found for a pair of roles is tried again on a probe in each
+later turn, and a turn whose text can't be located is reported.  If adding a turn changes what was rendered before, the template
 rewrites history; the turns at which that happens are reported, and the conversation
 then has no spans, as no loss mask would be right.
 
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import column, map_batches
 
 Turns = list[tuple[str, str]]
-PROBES = ("\x01a", "\x02b")
+#: Texts without a common beginning or end, of characters that templates leave alone.
+PROBES = ("aQ7x", "Zk3", "9mB")
 SPANS = "array<struct<role: string, start: long, text_start: long, text_end: long, end: long, loss: boolean>>"
 
 
@@ -68,33 +70,42 @@ class Instruct:
 
 def locate(turns: Turns, render: Callable[[Turns], str]) -> tuple[str, list[dict], list[int]]:
     """The whole output, each turn's span and text span, and the turns at whose
-    addition earlier output changed (then there are no spans)."""
+    addition earlier output changed (then there are no spans).  A text that can't be
+    located has null offsets and no loss."""
     before, spans, rewrites = render([]), [], []
-    frames: dict[tuple, tuple[str, str]] = {}
+    frames: dict[tuple, tuple[str, str, str] | None] = {}
     for k, (role, text) in enumerate(turns):
         out = render(turns[: k + 1])
         if not out.startswith(before):
             rewrites.append(k)
         elif not rewrites:
-            added = out[len(before) :]
             key = (role, turns[k - 1][0] if k else None)
-            for fresh in (False, True):
-                if fresh or key not in frames:
-                    frames[key] = _frame([render([*turns[:k], (role, p)]) for p in PROBES], len(before))
-                head, foot = frames[key]
+            known = frames.get(key)
+            # what held for an earlier turn of these roles is tried on a probe in this one's place
+            if known is None or render([*turns[:k], (role, PROBES[0])]) != before + "".join(known):
+                frames[key] = _frame([render([*turns[:k], (role, p)]) for p in PROBES], before)
+            span = {"role": role, "start": len(before), "text_start": None, "text_end": None, "end": len(out), "loss": False}
+            if frames[key] is not None:
+                head, _, foot = frames[key]
+                added = out[len(before) :]
                 if len(added) >= len(head) + len(foot) and added.startswith(head) and added.endswith(foot):
-                    break
-            spans.append({"role": role, "start": len(before), "text_start": len(before) + len(head), "text_end": len(out) - len(foot), "end": len(out), "loss": role == "assistant"})
+                    span |= {"text_start": len(before) + len(head), "text_end": len(out) - len(foot), "loss": role == "assistant"}
+            spans.append(span)
         before = out
     return before, [] if rewrites else spans, rewrites
 
 
-def _frame(outs: list[str], at: int) -> tuple[str, str]:
-    """What a turn puts before and after its text."""
-    a, b = (o[at:] for o in outs)
-    head = os.path.commonprefix([a, b])
-    foot = os.path.commonprefix([a[len(head) :][::-1], b[len(head) :][::-1]])[::-1]
-    return head, foot
+def _frame(outs: list[str], before: str) -> tuple[str, str, str] | None:
+    """What a turn puts before its text, the first probe as it is rendered, and what comes
+    after; None if the probes change what was rendered before, or leave no trace."""
+    if not all(o.startswith(before) for o in outs):
+        return None
+    added = [o[len(before) :] for o in outs]
+    head = os.path.commonprefix(added)
+    rest = [a[len(head) :] for a in added]
+    foot = os.path.commonprefix([r[::-1] for r in rest])[::-1]
+    text = rest[0][: len(rest[0]) - len(foot)]
+    return (head, text, foot) if text else None
 
 
 def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Turns]]:
@@ -106,16 +117,18 @@ def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Tur
 
 def format_conversations(convs: DataFrame, render: Callable[[Turns], str]) -> DataFrame:
     """One row per conversation: conv_id, formatted, spans (with the turns under the
-    loss mask marked), rewrites (turns at which the template changed history)."""
-    names = ["conv_id", "formatted", "spans", "rewrites"]
+    loss mask marked), rewrites (turns at which the template changed history), unlocated
+    (turns whose text was not found in the output; they carry no loss)."""
+    names = ["conv_id", "formatted", "spans", "rewrites", "unlocated"]
     span = pa.struct([("role", pa.string()), *((n, pa.int64()) for n in ("start", "text_start", "text_end", "end")), ("loss", pa.bool_())])
-    kinds = [pa.int64(), pa.string(), pa.list_(span), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.string(), pa.list_(span), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for conv, turns in ordered(batches):
-            held.append((conv, *locate(turns, render)))
-            size += len(held[-1][1])
+            out, spans, rewrites = locate(turns, render)
+            held.append((conv, out, spans, rewrites, [k for k, s in enumerate(spans) if s["text_start"] is None]))
+            size += len(out)
             if size > 4 << 20:
                 yield _batch(held, names, kinds)
                 held, size = [], 0
@@ -125,7 +138,7 @@ def format_conversations(convs: DataFrame, render: Callable[[Turns], str]) -> Da
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return map_batches(rows, run, f"conv_id long, formatted string, spans {SPANS}, rewrites array<long>")
+    return map_batches(rows, run, f"conv_id long, formatted string, spans {SPANS}, rewrites array<long>, unlocated array<long>")
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:

@@ -49,7 +49,7 @@ from riskspark.llm.common import Bitmap, apart, column, components, cut, hand_ba
 PER_TARGET, PER_LINE, FEWEST_BITS = 1 << 21, 24, 6
 #: Pairs a task looks at at a time, pairs of one key above which it is hot, and neighbours that
 #: a line of a hot key is paired with.
-AT_ONCE, HOT, NEXT = 1 << 18, 1 << 6, 2
+AT_ONCE, HOT, NEXT = 1 << 18, 1 << 8, 2
 #: Lines of one chunk of a hot key, and pairs verified at a time there.
 LINES, CHECKED = 1 << 15, 1 << 11
 #: Part of the key, sketch with the threshold in its upper bits, line.
@@ -254,9 +254,9 @@ def candidates(index: np.ndarray, probe: np.ndarray, most: int = HOT) -> tuple[n
 
 
 def spanning(lines: list[bytes], hashes: np.ndarray, known: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the components `known` so that they are those of all linked pairs of
-    the lines; fewer than there are components.  Pairs already connected are passed over;
-    lines come by hash, as neighbours of similar lines connect little."""
+    """Links between the components `known` that join them as all linked pairs of the lines
+    do; fewer than there are components.  Pairs already connected are passed over; lines
+    come by hash, as neighbours of similar lines connect little."""
     order = np.argsort(scramble(hashes.view(np.uint64)), kind="stable")
     lines, hashes, known = [lines[i] for i in order.tolist()], hashes[order], known[order]
     kind, size, sketch = np.zeros(len(lines), np.int8), np.zeros(len(lines), np.int64), np.zeros(len(lines), np.uint32)
@@ -292,12 +292,12 @@ def spanning(lines: list[bytes], hashes: np.ndarray, known: np.ndarray, rule: Ru
     if n and parts > 1:
         verify()
     a, b = np.array(out, np.int64).reshape(-1, 2).T
-    return hashes[a], hashes[b]
+    return known[a], known[b]
 
 
 def hot_links(members: DataFrame, rule: Rule) -> DataFrame:
-    """Links that are missing among the lines of each hot key, verified, for a written table
-    `members(slot, h, root, line)`, roots being the components so far."""
+    """Links (a, b) that are missing between the roots of each hot key's lines, verified, for a
+    written table `members(slot, h, root, line)`, roots being the components so far."""
     chunks = {r.slot: -(-r["count"] // LINES) for r in members.groupBy("slot").count().collect()}  # a row a hot key
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,9 +459,8 @@ def pairs(docs: DataFrame, n_lines: int, rule: Rule) -> DataFrame:
     return cut(met.distinct(), "line-pairs")
 
 
-def links(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
-    """Pairs (a, b) of hashes of distinct linked lines; of lines that share a hot key, as many
-    as keep them connected."""
+def classes(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
+    """(node, root) of every line that is not the smallest hash of its class."""
     met = pairs(docs, n_lines, rule)
     found, hot = met.where("slot is null").select("a", "b"), met.where("slot is not null").select("slot", F.col("b").alias("h"))
     hashes = found.select(F.col("a").alias("h")).union(found.select("b")).union(hot.select("h"))
@@ -482,13 +481,16 @@ def links(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
     texts = cut(texts, "line-texts")
     both = found.join(texts.select(F.col("h").alias("a"), "line"), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line2")), "b")
     linked = map_batches(both.select("a", "b", "line", "line2"), verify, "a long, b long")
-    if hot.isEmpty():
-        return linked
-    linked = cut(linked, "line-links")
     roots = components(linked)
+    if hot.isEmpty():
+        return roots
     rooted = cut(hot.join(roots, hot.h == roots.node, "left").select("slot", "h", F.coalesce("root", "h").alias("root")), "line-hot")
     several = rooted.groupBy("slot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("slot")
-    return linked.union(hot_links(cut(rooted.join(several, "slot").join(texts, "h").select("slot", "h", "root", "line"), "line-hot-texts"), rule))
+    more = hot_links(cut(rooted.join(several, "slot").join(texts, "h").select("slot", "h", "root", "line"), "line-hot-texts"), rule)
+    if more.isEmpty():
+        return roots
+    joined = components(more).toDF("old", "new")  # roots that turned out to be one class
+    return roots.join(joined, roots.root == joined.old, "left").select("node", F.coalesce("new", "root").alias("root")).union(joined)
 
 
 def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -498,7 +500,7 @@ def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     occ = cut(places(docs), "line-places")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line_no")
     firsts = cut(occ.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-firsts")
-    roots = components(links(docs, firsts.count(), rule))
+    roots = classes(docs, firsts.count(), rule)
     classed = firsts.join(roots, firsts.h == roots.node, "left").select("h", "first", "last", F.coalesce("root", "h").alias("root"))
     least = classed.groupBy("root").agg(F.min("first").alias("kept"))
     # a line of one place that is its class's first has nothing to drop

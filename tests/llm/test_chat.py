@@ -1,5 +1,7 @@
 """Chat formatting: DuckDB, round trips, templates that rewrite history."""
 
+import json
+
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,6 +35,39 @@ def test_history_rewrites_are_found():
     assert not rewrites and [out[s["text_start"] : s["text_end"]] for s in spans] == list("abcd")
 
 
+def texts(turns, render):
+    out, spans, rewrites = chat.locate(turns, render)
+    assert not rewrites
+    return [None if s["text_start"] is None else out[s["text_start"] : s["text_end"]] for s in spans]
+
+
+TURNS = [("user", "hi there"), ("assistant", 'say "x"'), ("user", ""), ("assistant", "\x01\u00e9"), ("user", "hi"), ("assistant", "Zk3")]
+
+
+def test_encoded_texts_are_located():
+    coded = lambda ts: "".join(f"<{r}>{json.dumps(t)}\n" for r, t in ts)
+    assert texts(TURNS, coded) == [json.dumps(t)[1:-1] for _, t in TURNS]
+    whole = lambda ts: "".join(json.dumps({"role": r, "content": t}) for r, t in ts)
+    assert texts(TURNS, whole) == [json.dumps(t)[1:-1] for _, t in TURNS]
+
+
+def test_frames_that_change_with_the_place_are_found_again():
+    dated = lambda ts: "".join(("[day %d]" % i if i % 4 == 0 else "") + f"<{r}>{t}" for i, (r, t) in enumerate(ts))
+    assert texts(TURNS * 2, dated) == [t for _, t in TURNS * 2]
+    bare = lambda ts: "".join(("[day %d]" % i if i % 4 == 0 else "") + t for i, (_, t) in enumerate(ts))
+    assert texts(TURNS * 2, bare) == [t for _, t in TURNS * 2]
+
+
+def test_texts_that_leave_no_trace_are_reported(spark):
+    counted = lambda ts: "".join(f"<{r}>" if r == "assistant" else f"<{r}>{t}" for r, t in ts)
+    assert texts(TURNS, counted) == ["hi there", None, "", None, "hi", None]
+    odd = lambda ts: "".join(f"<{r}:{len(t)}>{t}" for r, t in ts)  # noqa: E731 -- the mark depends on the text
+    assert texts([("user", "four"), ("user", "seven..")], odd)[1] in (None, "7>seven..")
+    rows = [(1, i, r, t) for i, (r, t) in enumerate(TURNS)]
+    row = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), counted).first()
+    assert row.unlocated == [1, 3, 5] and [s.loss for s in row.spans] == [False] * 6
+
+
 def duck(con):
     rel = con.execute(SQL["op7_chat_formatting"])
     return [c[0] for c in rel.description], sorted(rel.fetchall(), key=repr)

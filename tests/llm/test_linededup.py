@@ -239,7 +239,8 @@ def test_hot_keys_are_dealt_to_chunks(spark, monkeypatch):
 def test_a_hot_key_does_not_give_all_pairs(spark):
     lines = [f"page {i:05d} of the yearly report" for i in range(3000)]
     df = spark.createDataFrame([(i, "\n".join(lines[i : i + 50])) for i in range(0, 3000, 50)], "doc_id long, text string")
-    assert L.links(df, len(lines)).count() < 20 * len(lines)
+    assert L.pairs(df, len(lines), L.RULE).count() < 40 * len(lines)
+    assert L.classes(df, len(lines)).count() == len(lines) - 1
     assert sum(r.n_dropped for r in L.report(df).collect()) == len(lines) - 1
 
 
