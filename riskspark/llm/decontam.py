@@ -6,9 +6,10 @@ an item with fewer words, but not none, is one window.  All windows go into one
 automaton.  Each text is normalised the same way and scanned once; matches are
 mapped back to words and to character offsets of the original text.
 
-The automaton is sent to the tasks only up to `max_bytes` of windows.  Beyond
-that the windows are dealt into groups of that size by hash, one automaton each;
-a text is then scanned once per group and its matches are merged.
+The windows are a written table in the shared folder, dealt by hash into groups of at most
+about `max_bytes` (one, for a benchmark of some hundred thousand words).  A worker reads a
+group's windows there and builds its automaton; the driver only counts them.  With several
+groups a text is scanned once per group and its matches are merged.
 
 Null texts have no words.  Items without an id still mark words as hit, but
 are not listed.  Repeated rows give repeated results.
@@ -18,20 +19,22 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import LOWER, column, cut, map_batches, raw
+from riskspark.llm.common import LOWER, column, cut, map_batches, raw, scratch, store
 
 #: Separators become a space; bytes from 0x80 on are part of words.
 NORMAL = bytes(b if chr(b).isalnum() or b >= 0x80 else 32 for b in LOWER)
-MAX_BYTES = 64 << 20
+#: A trie takes some tens of bytes a byte of windows.
+MAX_BYTES = 8 << 20
 MATCHES = "item_ids array<string>, spans array<struct<start: long, end: long>>, n_words long, n_hit long"
 
 
@@ -56,19 +59,29 @@ def windows(items: DataFrame, window: int) -> DataFrame:
 
 
 class Automaton:
-    """Built once in each Python worker from the windows it was sent."""
+    """One group's windows, read from their folder and built once in each Python worker."""
 
     _built: tuple[str, ahocorasick.Automaton] | None = None
 
-    def __init__(self, patterns: dict[bytes, list[str | None]]):
-        self.key, self.patterns = uuid.uuid4().hex, patterns
+    def __init__(self, folder: str):
+        self.key = folder
+
+    def patterns(self) -> dict[bytes, list[str | None]]:
+        fs, path = store(self.key)
+        out: dict[bytes, list[str | None]] = {}
+        if fs.get_file_info(path).type == pafs.FileType.Directory:
+            rows = pq.read_table(path, filesystem=fs, columns=["pattern", "item_id"])
+            for p, i in zip(rows["pattern"].to_pylist(), rows["item_id"].to_pylist()):
+                out.setdefault(p, []).append(i)
+        return out
 
     def get(self) -> ahocorasick.Automaton:
         if Automaton._built is None or Automaton._built[0] != self.key:
             a = ahocorasick.Automaton()
-            for p, ids in self.patterns.items():  # Latin-1 keeps a byte a character
+            patterns = self.patterns()
+            for p, ids in patterns.items():  # Latin-1 keeps a byte a character
                 a.add_word(f" {p.decode('latin-1')} ", (p.count(b" ") + 1, ids))
-            if self.patterns:
+            if patterns:
                 a.make_automaton()
             Automaton._built = (self.key, a)
         return Automaton._built[1]
@@ -100,17 +113,14 @@ def spans(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 
 
 def automata(items: DataFrame, window: int, max_bytes: int) -> list[Automaton]:
-    """One automaton, or as many as keep each within `max_bytes` of windows."""
+    """One automaton, or as many as keep each within about `max_bytes` of windows."""
     found = cut(windows(items, window), "windows")
     size = found.agg(F.sum(F.length("pattern") + F.coalesce(F.length("item_id"), F.lit(0)) + 2)).first()[0] or 0
     groups = max(1, math.ceil(size / max_bytes))
-    out = []
-    for g in range(groups):
-        patterns: dict[bytes, list] = {}
-        for r in found.where(F.pmod(F.xxhash64("pattern"), F.lit(groups)) == g).collect():
-            patterns.setdefault(bytes(r.pattern), []).append(r.item_id)
-        out.append(Automaton(patterns))
-    return out
+    folder = scratch(items.sparkSession, "window-groups")
+    dealt = found.withColumn("g", F.pmod(F.xxhash64("pattern"), F.lit(groups)))
+    dealt.repartition("g").write.partitionBy("g").parquet(folder)
+    return [Automaton(f"{folder}/g={g}") for g in range(groups)]
 
 
 def _merge(text: bytes | None, n: int, found: list[tuple[int, int, list]]) -> tuple:

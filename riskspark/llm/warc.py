@@ -30,12 +30,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import column, cut, map_batches, scratch
+from riskspark.llm.common import column, cut, map_batches, scratch, store
 
 #: Captures per index block; bytes of an archive file and of one read of it, about.
 LINES, FILE_BYTES, READ_BYTES = 300, 64 << 20, 4 << 20
@@ -44,13 +43,6 @@ RECORD = "page_id long, url string, payload_bytes long, payload_digest string, r
 NO_ID = -(1 << 63)
 
 
-def store(folder: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a folder URI, on whatever store it is."""
-    if "://" not in folder:
-        folder = "file://" + folder.removeprefix("file:")
-    return pafs.FileSystem.from_uri(folder)
-
-
 def url_key(url: str | None) -> bytes:
     """`com,example,www)/path?query`: host labels reversed and lower-cased; scheme,
     user, default ports and fragment dropped; white space and controls escaped."""
@@ -284,7 +276,9 @@ def read_records(found: DataFrame, folder: str, payloads: bool = True) -> DataFr
         if handle is not None:
             handle.close()
 
-    return map_batches(found.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset"), run, RECORD)
+    # the rows are tiny but stand for the archives' bytes, so their number of tasks is fixed
+    lanes = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_batches(found.select("file", "offset", "length").repartition(lanes, "file").sortWithinPartitions("file", "offset"), run, RECORD)
 
 
 def archive(spark: SparkSession, pages: DataFrame) -> tuple[str, Index]:
