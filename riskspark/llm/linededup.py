@@ -485,7 +485,9 @@ def classes(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
     if hot.isEmpty():
         return roots
     rooted = cut(hot.join(roots, hot.h == roots.node, "left").select("slot", "h", F.coalesce("root", "h").alias("root")), "line-hot")
-    several = rooted.groupBy("slot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("slot")
+    # the segments of near copies give many keys with the same lines: one of them is enough
+    same = [F.bit_xor(F.xxhash64("h", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    several = rooted.groupBy("slot").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), *same).where("lo <> hi").groupBy("n", "x0", "x1").agg(F.min("slot").alias("slot")).select("slot")
     more = hot_links(cut(rooted.join(several, "slot").join(texts, "h").select("slot", "h", "root", "line"), "line-hot-texts"), rule)
     if more.isEmpty():
         return roots
@@ -521,6 +523,8 @@ def _dropping(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def _without(text: bytes | None, drops: list | None) -> tuple[bytes | None, int, list]:
     """Text that stays, number of lines, and the drops that are this text's."""
+    if not drops:
+        return text, (text or b"").count(b"\n") + 1, []
     lines = lines_of(text)
     own = [d for d in drops or [] if d["line_no"] < len(lines) and line_hash(lines[d["line_no"]]) == d["h"] % (1 << 64)]
     if not own:
