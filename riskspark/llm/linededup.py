@@ -22,9 +22,9 @@ over and only links that join two parts are kept.
 A class is a connected component of links; its first place, the smallest
 (doc_id, line number), stays, all other places go.  Lines of fewer than `words` words
 and fewer than `shortest` characters are only compared for equality, and lines of white
-space are never touched.  Rows with the same doc_id are one place.  Rows with a null
-doc_id come last and are told apart, and ordered, by the hash of their text.  Null
-texts stay null.
+space are never touched.  Rows of the same doc_id and text are one place; rows of one
+doc_id and different texts are ordered by the texts' hash, rows with a null doc_id
+come last.  Null texts stay null.
 """
 
 from __future__ import annotations
@@ -39,9 +39,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskspark.llm.common import Bitmap, apart, column, components, cut, hand_back, map_batches, raw, rows_in_pieces
 
@@ -398,9 +397,9 @@ def _band(sym: np.ndarray, s1: np.ndarray, m: np.ndarray, s2: np.ndarray, n: np.
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, text); the key tells rows without a doc_id apart."""
+    """(doc_id, key, text); the key tells rows of one doc_id, or of none, apart."""
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.lit(0)).alias("key"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
 def places(docs: DataFrame) -> DataFrame:
@@ -497,7 +496,7 @@ def classes(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
 
 def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One row per document with lines to drop: doc_id, key and
-    drops array<struct<line_no, h, first_doc_id, first_line_no>>."""
+    drops array<struct<line_no, first_doc_id, first_line_no>>."""
     docs = keyed(docs)
     occ = cut(places(docs), "line-places")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line_no")
@@ -508,7 +507,7 @@ def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     # a line of one place that is its class's first has nothing to drop
     live = classed.join(least, "root").where("not (first <=> kept and last <=> kept)").select("h", "kept")
     gone = occ.join(live, "h").where(~place.eqNullSafe(F.col("kept")))
-    drop = F.struct("line_no", "h", F.col("kept.doc_id").alias("first_doc_id"), F.col("kept.line_no").alias("first_line_no"))
+    drop = F.struct("line_no", F.col("kept.doc_id").alias("first_doc_id"), F.col("kept.line_no").alias("first_line_no"))
     return gone.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(drop)).alias("drops"))
 
 
@@ -516,36 +515,28 @@ def _dropping(docs: DataFrame, rule: Rule) -> DataFrame:
     """`docs` with the column __drops; only documents that have some are shuffled."""
     found = cut(dropped(docs, rule).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("drops").alias("__drops")), "line-drops")
     hit, rest = apart(docs, found.select(F.col("__id").alias("doc_id")))
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string"))).otherwise(F.lit(0))
-    met = hit.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left").drop("__id", "__key")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    met = hit.join(found, same, "left").drop("__id", "__key")
     return met.unionByName(rest.withColumn("__drops", F.lit(None).cast(found.schema["__drops"].dataType)))
 
 
-def _without(text: bytes | None, drops: list | None) -> tuple[bytes | None, int, list]:
-    """Text that stays, number of lines, and the drops that are this text's."""
-    if not drops:
-        return text, (text or b"").count(b"\n") + 1, []
-    lines = lines_of(text)
-    own = [d for d in drops or [] if d["line_no"] < len(lines) and line_hash(lines[d["line_no"]]) == d["h"] % (1 << 64)]
-    if not own:
-        return text, len(lines), []
-    gone = {d["line_no"] for d in own}
-    return b"\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), own
+def _left() -> Column:
+    """The text without its dropped lines, in SQL functions."""
+    gone = F.transform("__drops", lambda d: d["line_no"].cast("int"))
+
+    def joined(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+    text = F.col("text").cast("string")
+    # the one-element array binds the lines once
+    return F.when(F.col("__drops").isNull(), text).otherwise(F.transform(F.array(F.split(text, "\n", -1)), joined)[0])
 
 
 def dedup(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text has lost its repeated
     lines; `n_chars`, if there, is the new text's number of characters."""
-    names = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [_without(t, d)[0] for t, d in zip(raw(b, "text"), column(b, "__drops").to_pylist())]
-            cols = {n: column(b, n) for n in names} | {"text": pa.array(texts, pa.binary()).cast(pa.string())}
-            yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
-
-    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema])
-    out = map_batches(_dropping(docs, rule), run, schema)
+    out = _dropping(docs, rule).withColumn("text", _left()).select(*docs.columns)
     kind = dict(docs.dtypes).get("n_chars")
     return out.withColumn("n_chars", F.length("text").cast(kind)) if kind in ("bigint", "int") else out
 
@@ -553,15 +544,7 @@ def dedup(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
 def report(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One row per row of `docs`: doc_id, n_lines, n_dropped, the text that stays, and
     drops array<struct<line_no, first_doc_id, first_line_no>>."""
-    kind = pa.list_(pa.struct([("line_no", pa.int64()), ("first_doc_id", pa.int64()), ("first_line_no", pa.int64())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [_without(t, d) for t, d in zip(raw(b, "text"), column(b, "__drops").to_pylist())]
-            drops = [[{k: d[k] for k in ("line_no", "first_doc_id", "first_line_no")} for d in own] for _, _, own in rows]
-            yield pa.RecordBatch.from_arrays([
-                column(b, "doc_id"), pa.array([n for _, n, _ in rows], pa.int64()), pa.array([len(d) for d in drops], pa.int64()),
-                pa.array([t for t, _, _ in rows], pa.binary()).cast(pa.string()), pa.array(drops, kind)], names=["doc_id", "n_lines", "n_dropped", "text", "drops"])
-
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(_dropping(docs, rule), run, "doc_id long, n_lines long, n_dropped long, text string, drops array<struct<line_no: long, first_doc_id: long, first_line_no: long>>")
+    n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(1))
+    drops = F.coalesce("__drops", F.array().cast("array<struct<line_no: long, first_doc_id: long, first_line_no: long>>"))
+    return _dropping(docs, rule).select("doc_id", n_lines.cast("long").alias("n_lines"), F.size(drops).cast("long").alias("n_dropped"), _left().alias("text"), drops.alias("drops"))
