@@ -37,7 +37,7 @@ from riskspark.llm.common import column, map_batches, rows_in_pieces
 SIZE = 4096
 SENTENCE, INSIDE, STEP = 16, 256, 512
 #: Stems a worker keeps before it goes back to those of its last batch.
-CACHE = 1 << 18
+CACHE = 1 << 17
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -140,21 +140,24 @@ def take(flat: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
 def cuts(ends: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
     """Ends of the cheapest windows over cut positions `ends` (ascending, at most
     `size` apart) with penalties `cost`; they reach into the last `size` tokens."""
-    pos = [0, *ends.tolist()]
-    index = {p: i for i, p in enumerate(pos)}
-    pen = [0, *cost.tolist()]
+    places = np.r_[0, ends]
+    pos, pen = places.tolist(), [0, *cost.tolist()]
+    halves = []
+    for h in (size // 2, size // 4):
+        if h and h & (h - 1) == 0:  # the cut h tokens earlier, if there is one
+            k = np.searchsorted(places, places - h)
+            halves.append(np.where(places[k] == places - h, k, -1).tolist())
     f, back = [0] * len(pos), [0] * len(pos)
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (f(i) + p_i, i), ascending
-    halves = [h for h in (size // 2, size // 4) if h and h & (h - 1) == 0]
     for j in range(1, len(pos)):
         p = pos[j]
         while p - pos[queue[0][1]] > size:
             queue.popleft()
         best, i = queue[0]
         best += size - p
-        for h in halves:
-            k = index.get(p - h)
-            if k is not None and f[k] < best:
+        for earlier in halves:
+            k = earlier[j]
+            if k >= 0 and f[k] < best:
                 best, i = f[k], k
         f[j] = best + pen[j]
         back[j] = i
@@ -162,7 +165,8 @@ def cuts(ends: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
         while queue and queue[-1][0] >= g:
             queue.pop()
         queue.append((g, j))
-    last = min((j for j in range(len(pos)) if pos[j] > pos[-1] - size or j == len(pos) - 1), key=lambda j: (f[j], -j))
+    first = min(int(np.searchsorted(places, pos[-1] - size, side="right")), len(pos) - 1)
+    last = min(range(first, len(pos)), key=lambda j: (f[j], -j))
     out = []
     while last:
         out.append(pos[last])
@@ -195,12 +199,16 @@ class Packer:
         self.held = np.concatenate([self.held, flat])
         self.parts += [(d, k, 0, k) for d, k in zip(doc_ids, (n + 1).tolist())]
         known = np.cumsum([p[3] for p in self.parts])  # every document's end, those held over too
-        sentence = np.flatnonzero(self.ids.sentence_end[self.held]) + 1
-        ends = np.union1d(known, sentence)
+        kind = np.zeros(len(self.held) + 1, np.uint8)  # of each place: 1 after a sentence, 2 a document, 3 inside
+        kind[1:] = self.ids.sentence_end[self.held]
+        kind[known] = 2
+        ends = np.flatnonzero(kind)
         gaps = np.diff(np.r_[0, ends])
         inner = [np.arange(e - g + STEP, e, STEP) for e, g in zip(ends[gaps > STEP].tolist(), gaps[gaps > STEP].tolist())]
-        every = np.union1d(ends, np.concatenate(inner)) if inner else ends
-        cost = np.where(np.isin(every, known), 0, np.where(np.isin(every, ends), SENTENCE, INSIDE))
+        for places in inner:
+            kind[places] = 3
+        every = np.flatnonzero(kind)
+        cost = np.array([0, SENTENCE, 0, INSIDE])[kind[every]]
         if len(self.held) > self.size:
             yield from self._emit(cuts(every, cost, self.size))
 
@@ -234,7 +242,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = SIZE) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[x.split()[0] for x in PIECES.split(", ")])
 
         for b in batches:
-            for piece in rows_in_pieces(b, 1 << 20):
+            for piece in rows_in_pieces(b, 1 << 20, 3 << 20):
                 yield rows(list(packer.add(column(piece, "doc_id").to_pylist(), column(piece, "text"))))
         yield rows(list(packer.finish()))
 

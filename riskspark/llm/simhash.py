@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import LOWER, apart, column, components, cut, hand_back, map_batches, raw
 
 #: Variants one target handles at most, about.
-PER_TARGET = 1 << 22
+PER_TARGET = 1 << 21
 #: Targets of one round; each fingerprint is shuffled at most this often a round.
 PER_ROUND = 1 << 11
 FEWEST_BITS = 6
