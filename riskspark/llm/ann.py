@@ -8,9 +8,10 @@ with a heap until their cells hold `share` of all vectors, and all entries of th
 cells are reranked by exact inner product on the original vectors.  The share is
 the same at every size, so recall doesn't fall as the table grows.
 
-Vectors are laid out in blocks of about `block` entries of neighbouring cells; a
-cell with more is spread over several.  Queries meet a block in chunks of `chunk`,
-and pass on their best `top` of each block.
+Vectors are laid out once, in blocks of about `block` entries of neighbouring cells; a
+cell with more is spread over several.  Queries go to the blocks that hold a cell they
+traverse and stream past them, `chunk` at a time, and pass on their best `top` of each
+block; a block asked by more than `ASKED` queries is read by several tasks.
 
 Rows with a null vec_id, and vectors that are null, zero, hold null or non-finite
 components or don't have the table's most common length, take no part.  Of rows
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import column, cut, map_batches
 
 FOUND = "query_id long, vec_id long, score double"
+#: Queries that one task takes past a block.
+ASKED = 1 << 16
 
 
 def vectors(table: DataFrame) -> DataFrame:
@@ -163,16 +166,18 @@ def search(table: DataFrame, is_query, top: int = 20, k: int = 64, share: float
     lists = cut(map_batches(rows, assign, "vec_id long, v binary, cell long"), "vector-lists")
     index.lay_out({r.cell: r["count"] for r in lists.groupBy("cell").count().collect()})  # k * k rows at most
     queries = lists.where(is_query).select(F.col("vec_id").alias("query_id"), "v")
-    chunks = max(1, math.ceil(queries.count() / chunk))
     enough = max(math.ceil(share * total), min(total, 40 * top))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Entries to their blocks, once per chunk of queries."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Entries with their block."""
         for b in batches:
             vid, cell = column(b, "vec_id").to_numpy(), column(b, "cell").to_numpy()
             at = index.first[cell] + (vid * 0x9E3779B1 >> 16) % index.parts[cell]
-            for c in range(chunks):
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), c)), column(b, "vec_id"), column(b, "v")], names=["block", "chunk", "vec_id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), column(b, "vec_id"), column(b, "v")], names=["block", "vec_id", "v"])
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("vec_id")
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()], "vs": [b"".join(rows["v"])]})
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Queries, with how far they traverse, to all blocks that hold such a cell."""
@@ -182,20 +187,43 @@ def search(table: DataFrame, is_query, top: int = 20, k: int = 64, share: float
             qid = column(b, "query_id").to_numpy()
             d1, d2 = index.distances(q)
             reach = np.array([index.reach(x, y, enough) for x, y in zip(d1, d2)])
-            c = (qid * 0x9E3779B1 >> 16) % chunks
             for t, cells in enumerate(lowest):
                 a, z = np.divmod(cells, index.shape[1])
                 hit = np.concatenate([(d1[i : i + 256][:, a] + d2[i : i + 256][:, z]).min(1) for i in range(0, len(q), 256)]) <= reach if len(q) else np.zeros(0, bool)
                 mask = pa.array(hit)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(qid), t)), pa.array(c), column(b, "query_id"), column(b, "v"), pa.array(reach, pa.float64())], names=["block", "chunk", "query_id", "v", "reach"]).filter(mask)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(qid), t)), column(b, "query_id"), column(b, "v"), pa.array(reach, pa.float64())], names=["block", "query_id", "v", "reach"]).filter(mask)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block comes first in its group, queries follow."""
+        ids, vs, held = np.zeros(0, np.int64), np.zeros((0, dim)), []
 
-    def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(v):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return best_of_block(q["query_id"].to_numpy(), matrix(q["v"], dim), q["reach"].to_numpy(), v["vec_id"].to_numpy(), matrix(v["v"], dim), index, top)
+        def met() -> pa.RecordBatch:
+            qid, v, reach = zip(*held)
+            found = best_of_block(np.array(qid, np.int64), matrix(v, dim), np.array(reach), ids, vs, index, top)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found["query_id"].to_numpy(np.int64)), pa.array(found["vec_id"].to_numpy(np.int64)), pa.array(found["score"].to_numpy(np.float64))], names=["query_id", "vec_id", "score"])
 
-    asked = map_batches(queries, ask, "block long, chunk long, query_id long, v binary, reach double")
-    dealt = map_batches(lists, deal, "block long, chunk long, vec_id long, v binary")
-    found = asked.groupBy("block", "chunk").cogroup(dealt.groupBy("block", "chunk")).applyInPandas(meet, FOUND)
+        for b in batches:
+            for i, x, *query in zip(*(column(b, c).to_pylist() for c in ("ids", "vs", "query_id", "v", "reach"))):
+                if i is not None:
+                    if held:
+                        yield met()
+                    ids, vs = np.frombuffer(i, np.int64), matrix([x], dim)
+                else:
+                    held.append(query)
+                    if len(held) == chunk:
+                        yield met()
+        if held:
+            yield met()
+
+    asked = cut(map_batches(queries, ask, "block long, query_id long, v binary, reach double"), "vector-asks")
+    blocks = map_batches(lists, place, "block long, vec_id long, v binary").groupBy("block").applyInPandas(pack, "block long, ids binary, vs binary")
+    salts = asked.groupBy("block").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("salts"))
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("query_id", "long"), ("v", "binary"), ("reach", "double"))]
+    read = blocks.join(salts, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "ids", "vs", *none)
+    passing = asked.join(salts, "block").select("block", F.pmod(F.xxhash64("query_id"), "salts").cast("int").alias("salt"), F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("vs"), "query_id", "v", "reach")
+    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = read.union(passing).repartition(lanes, "block", "salt").sortWithinPartitions("block", "salt", F.col("ids").isNull(), "query_id")
+    found = map_batches(both, stream, FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
