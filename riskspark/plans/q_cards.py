@@ -218,8 +218,15 @@ _FEATS = ["TransactionAmt", "amt_deviation", "account_age_dt", "hour_of_day", "t
           "DeviceType_enc", "DeviceInfo_enc", "card4_enc", "card6_enc", "id_01", "id_02"]
 
 
-def _f7_sql():
+def _f7_sql(train_only: bool = False):
+    """``train_only``: code tables and clip bounds from train cards, too."""
     beh = BEH_SQL.replace("from t)", "from e)")
+    fit = "tr" if train_only else "lab"
+    enc = ENC_SQL.replace("from t left join", "from lab t left join").replace("from t where", f"from {fit} where")
+    bounds_of = "(select b.* from b join sp on b.uid = sp.uid where sp.split = 'train') b" if train_only else "b"
+    n = len(_FEATS)
+    extra = f""",
+  round(cast(fl[len(fl) - {n} + 1] as double), 4) + 0.0::double as last_amount, round(cast(fl[len(fl) - {n} + 7] as double), 4) + 0.0::double as last_device""" if train_only else ""
     qs = ", ".join(f"quantile_cont({c}, 0.001) as lo_{c}, quantile_cont({c}, 0.999) as hi_{c}" for c in _FEATS)
     clipped = ", ".join(f"case when {c} is null then null else greatest(lo_{c}, least(hi_{c}, {c})) end as {c}"
                         for c in _FEATS)
@@ -229,9 +236,9 @@ def _f7_sql():
                     for c in _FEATS)
     scaled = ", ".join(f"cast(({c} - mu_{c}) / sd_{c} as float) as {c}" for c in _FEATS)
     vec = ", ".join(_FEATS)
-    return f"""{LAB}, {ENC_SQL.replace('from t left join', 'from lab t left join').replace('from t where', 'from lab where').replace('select t.*', 'select t.*')},
-{beh}, {SPLIT_SQL.replace('from lab where', 'from b where')},
-q as (select {qs} from b),
+    return f"""{LAB}, {SPLIT_SQL}, {_TRAIN_ROWS}, {enc},
+{beh},
+q as (select {qs} from {bounds_of}),
 c as (select b.uid, b.TransactionID, b.TransactionDT, b.ato_proxy, sp.split, {clipped} from b join sp on b.uid = sp.uid, q),
 md as (select {meds} from c where split = 'train'),
 f as (select uid, TransactionID, TransactionDT, ato_proxy, split, {filled} from c, md),
@@ -241,7 +248,7 @@ h as (select uid, TransactionID, ato_proxy, split,
   flatten(list([{vec}]) over ({_W} rows between {_H} preceding and 1 preceding)) as fl from z)
 select uid, TransactionID, cast(ato_proxy as bigint) as label, split, cast(len(fl) / {len(_FEATS)} as bigint) as hist_len,
   round(list_sum(list_transform(fl, lambda x: cast(x as double))), 3) + 0.0::double as s_seq,
-  round(list_sum(list_transform(fl, lambda x, i: cast(x as double) * ({_H * len(_FEATS)} - len(fl) + i))), 2) + 0.0::double as w_seq
+  round(list_sum(list_transform(fl, lambda x, i: cast(x as double) * ({_H * len(_FEATS)} - len(fl) + i))), 2) + 0.0::double as w_seq{extra}
 from h where fl is not null and len(fl) > 0"""
 
 
@@ -255,6 +262,19 @@ def f7(spark, sf):
                        F.round(s, 3).alias("s_seq"), F.round(w, 2).alias("w_seq"))
 
 
+@register("f7c_build_sequences_train_only", _f7_sql(train_only=True))
+def f7c(spark, sf):
+    """F7 with every fitted table and constant from train cards; two values of the last step, too."""
+    seqs, _state, feats = FE.build_sequences(_lab(spark, sf), fit_on="train")
+    flat = F.transform(F.flatten("seq"), lambda x: x.cast("double"))
+    s = F.aggregate(flat, F.lit(0.0), lambda a, b: a + b)
+    w = F.aggregate(F.transform(flat, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    last = F.element_at("seq", -1)
+    return seqs.select("uid", "TransactionID", "label", "split", F.col("hist_len").cast("long").alias("hist_len"), F.round(s, 3).alias("s_seq"), F.round(w, 2).alias("w_seq"),
+                       F.round(last[feats.index("TransactionAmt")].cast("double"), 4).alias("last_amount"),
+                       F.round(last[feats.index("DeviceInfo_enc")].cast("double"), 4).alias("last_device"))
+
+
 @register("f9_min_max_scale", f"""with s as (select * from {B.SCORE_PAIRS_SQL} x where model = 'length'),
 r as (select min(score) as lo, max(score) as hi from s)
 select doc_id, {r6('(score - lo) / (hi - lo + 1e-9)')} as score_scaled from s, r""")
