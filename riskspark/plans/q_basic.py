@@ -200,6 +200,11 @@ def a1(spark, sf):
     return PR.value_counts(_txn(spark, sf), "DeviceInfo")
 
 
+@register("a1b_value_counts_with_nulls", f"{T} select DeviceInfo, count(*) as count from t group by DeviceInfo")
+def a1b(spark, sf):
+    return PR.value_counts(_txn(spark, sf), "DeviceInfo", dropna=False)
+
+
 @register("a2_group_rate", f"{T} select DeviceType, {r6('avg(isFraud)')} as rate from t where DeviceType is not null group by DeviceType")
 def a2(spark, sf):
     return PR.group_rate(_txn(spark, sf), "DeviceType", "isFraud")
@@ -338,6 +343,23 @@ def a17(spark, sf):
     return PR.histogram(_txn(spark, sf), "TransactionAmt", bins=50)
 
 
+@register("a17b_score_densities", f"""with s as (select is_ref, l_extendedprice as x from (
+  select true as is_ref, l_extendedprice from {B.DRIFT_REF_SQL} r union all select false, l_extendedprice from {B.DRIFT_CUR_SQL} c) u),
+r as (select min(x) as lo, (max(x) - min(x)) / 39 as w from s),
+k as (select is_ref, cast(least(floor((x - lo) / w), 38) as integer) as bin, count(*) as count from s, r group by 1, 2),
+g as (select is_ref, bin from (select unnest(range(39)) as bin) b, (select unnest([true, false]) as is_ref) i)
+select g.is_ref, cast(g.bin as bigint) as bin, coalesce(k.count, 0) as count, {r6('lo + g.bin * w')} as "left",
+  {r6('coalesce(k.count, 0) / (sum(coalesce(k.count, 0)) over (partition by g.is_ref) * w) * 1000')} as density_per_1000
+from g left join k on g.is_ref = k.is_ref and g.bin = k.bin, r""")
+def a17b(spark, sf):
+    """Densities of both drift sides over their shared range, in 39 bins."""
+    rows = B.drift_rows(spark, sf).select("is_ref", "l_extendedprice")
+    r = rows.agg(F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi")).first()
+    sides = [PR.histogram(rows.filter(F.col("is_ref") == side), "l_extendedprice", bins=39, lo=r["lo"], hi=r["hi"], density=True)
+             .select(F.lit(side).alias("is_ref"), "bin", "count", "left", (F.col("density") * 1000).alias("density_per_1000")) for side in (True, False)]
+    return sides[0].unionByName(sides[1])
+
+
 # ---- T: sort / top-k / union / distinct -------------------------------------------------
 
 @register("t1_sort_by_card_time", f"{T} select TransactionID, uid, TransactionDT from t order by uid, TransactionDT, TransactionID")

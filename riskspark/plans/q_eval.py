@@ -57,8 +57,8 @@ def e3(spark, sf):
     return EV.score_table(_curve(spark, sf))
 
 
-def _sweep_sql():
-    ts = ", ".join(str(t) for t in config.SWEEP_THRESHOLDS)
+def _sweep_sql(thresholds=config.SWEEP_THRESHOLDS):
+    ts = ", ".join(f"{t!r}::double" for t in thresholds)
     return f"""with sp as {B.SCORE_PAIRS_SQL},
 a as (select model, cast(th.t as double) as threshold, sum(label) as pos_total, count(*) - sum(label) as neg_total,
   sum(case when score >= th.t then label else 0 end) as tp, sum(case when score >= th.t then 1 else 0 end) as pp
@@ -74,6 +74,15 @@ def e4(spark, sf):
     return EV.threshold_sweep(_sp(spark, sf))
 
 
+#: 50 even steps from .10 to .95
+_STEPS = tuple(round(0.1 + 0.85 * i / 49, 6) for i in range(50))
+
+
+@register("e4b_threshold_sweep_50", _sweep_sql(_STEPS))
+def e4b(spark, sf):
+    return EV.threshold_sweep(_sp(spark, sf), _STEPS)
+
+
 @register("e5_pr_curve", f"{CURVE_SQL} select model, {r6('threshold')} as threshold, {r6('prec')} as precision, {r6('rec')} as recall from cv")
 def e5(spark, sf):
     return _curve(spark, sf).select("model", "threshold", "precision", "recall")
