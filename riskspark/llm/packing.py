@@ -22,7 +22,7 @@ import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from riskspark.llm.common import column, map_batches, rows_in_pieces
 SIZE = 4096
 SENTENCE, INSIDE, STEP = 16, 256, 512
 #: Stems a worker keeps before it goes back to those of its last batch.
-CACHE = 1 << 17
+CACHE = 1 << 18
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -86,7 +86,11 @@ class Ids:
     def _encode(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         blobs, of, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         # letters alone are one pre-token each, so have one word end each
-        alone = [i for i, w in enumerate(stems) if w.isalpha() and (w.isascii() or unicodedata.normalize("NFC", w).lower().isalpha())]
+        every = pa.array(stems, pa.string())
+        letters = pc.ascii_is_alpha(every).to_numpy(zero_copy_only=False).copy()
+        for i in np.flatnonzero(~pc.string_is_ascii(every).to_numpy(zero_copy_only=False)).tolist():
+            letters[i] = stems[i].isalpha() and unicodedata.normalize("NFC", stems[i]).lower().isalpha()
+        alone = np.flatnonzero(letters).tolist()
         single = np.ones(len(stems), bool)
         for i in range(0, len(alone), 2000):
             part = alone[i : i + 2000]
@@ -99,7 +103,7 @@ class Ids:
                 n.append(np.diff(np.r_[0, ends]))
         rest = np.flatnonzero(single)
         found = [e.ids for e in self.tok.encode_batch_fast([stems[j] for j in rest], add_special_tokens=False)]
-        blobs.append(np.fromiter((x for ids in found for x in ids), np.uint32))
+        blobs.append(np.fromiter(chain.from_iterable(found), np.uint32))
         of.append(rest)
         n.append(np.fromiter(map(len, found), np.int64, len(found)))
         order, size = np.concatenate(of), np.concatenate(n)
@@ -242,7 +246,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = SIZE) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[x.split()[0] for x in PIECES.split(", ")])
 
         for b in batches:
-            for piece in rows_in_pieces(b, 1 << 20, 3 << 20):
+            for piece in rows_in_pieces(b, 1 << 20):
                 yield rows(list(packer.add(column(piece, "doc_id").to_pylist(), column(piece, "text"))))
         yield rows(list(packer.finish()))
 

@@ -13,7 +13,8 @@ in rounds, so the shuffle on disk stays bounded too.
 Texts: A-Z lower-cased, words split at ASCII white space, `n`-word shingles with
 repeats (fewer words: the whole sequence; none or a null text: fingerprint 0).
 Rows of a table may repeat; every row gets its component.  A null doc_id never
-names a component; a component without any doc_id has a null component_id.
+names a component; a component without any doc_id has a null component_id.  `keep_one`
+tells rows apart by doc_id and text: of rows that agree in both, one stays.
 """
 
 from __future__ import annotations
@@ -57,13 +58,16 @@ def fingerprint(text: bytes | None, n: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row; fp is the fingerprint as a signed long."""
+    """(doc_id, key, fp) for every row; the key is the text's hash, fp the fingerprint as a
+    signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, n) for t in raw(b, "text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "key"), pa.array(fp)], names=["doc_id", "key", "fp"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    return map_batches(rows, run, "doc_id long, key long, fp long")
 
 
 class Ball:
@@ -201,13 +205,13 @@ def _round(distinct: DataFrame, ball: Ball, lo: int, hi: int, radius: int) -> Da
 
 
 def with_components(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for a written table of (doc_id, fp)."""
+    """A written table with (doc_id, fp), and root and component_id of each row."""
     groups = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-fps")
     roots = components(links(groups.select("fp"), groups.count(), radius))
     rooted = groups.join(roots, groups.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select(*fps.columns, "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4) -> DataFrame:
@@ -218,14 +222,16 @@ def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 4, radius: int = 4) -> DataFrame:
-    """Rows of `docs` without near-duplicates: of each component the row of the
-    smallest doc_id stays (once, if that id repeats).  Rows without a doc_id
-    can't be told apart and stay."""
-    found = with_components(cut(fingerprints(docs, n), "simhash"), radius)
-    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"), F.max(F.col("doc_id") == F.col("component_id")).alias("__kept"))
-    special = cut(ids.where("_n > 1 or not __kept"), "simhash-special")  # documents that go or repeat
-    hit, rest = apart(docs, special)
-    told = hit.where("doc_id is not null").join(special.select(F.col("doc_id").alias("__id"), "__kept"), F.col("doc_id").cast("long") == F.col("__id"), "left")
-    once = told.where("__id is null").select(*docs.columns)
-    more = told.where("__kept").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return rest.unionByName(hit.where("doc_id is null")).unionByName(once).unionByName(more)
+    """Rows of `docs` without near-duplicates: of each component one row stays, that with the
+    smallest doc_id (a null one comes last), then the smallest hash of its text."""
+    found = cut(with_components(cut(fingerprints(docs, n), "simhash"), radius), "simhash-found")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    groups = found.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("kept")).where("n > 1")
+    # rows of a component of several, each id and text once
+    told = cut(found.join(groups, "root").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), (place == F.col("kept")).alias("__kept")).distinct(), "simhash-told")
+    hit, rest = apart(docs, told.select(F.col("__id").alias("doc_id")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    met = hit.join(told, same, "left")
+    alone = met.where("__kept is null").select(*docs.columns)
+    first = met.where("__kept").dropDuplicates(["__id", "__key"]).select(*docs.columns)
+    return rest.unionByName(alone).unionByName(first)

@@ -80,7 +80,11 @@ def test_edge_rows(spark):
     check(simhash.near_duplicates(df).collect(), docs)
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 4, 7, 8, None, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 4, 7, 8]  # copies without an id go, too
+    other = "pack my box with five dozen liquor jugs and then some more of them"
+    rows = [(None, other, "x", 1), (None, other, "y", 2), (9, text, "x", 1), (9, "nothing like the other text of this id at all", "x", 1)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, other), (9, text), (9, rows[3][1])], key=repr)
     assert simhash.near_duplicates(df.limit(0)).collect() == []
 
 
