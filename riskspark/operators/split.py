@@ -20,10 +20,6 @@ from riskspark.operators.selection import bottom_cuts, select_quantiles, within_
 from riskspark.session import cut_lineage
 
 
-def _hash_cols(df: DataFrame, seed, key: str) -> DataFrame:
-    return df.withColumn("_h", hash_key(seed, key))
-
-
 def test_side(keys: DataFrame, key: str, stratum: str, test_size: float = config.TEST_SIZE, seed=config.RANDOM_SEED) -> Column:
     """R1/R2 core, as a condition on rows with ``key`` and ``stratum``: whether a key is
     among the ``round(test_size * n)`` of its stratum with the smallest ``md5(seed:key)``."""
