@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from riskspark import config
 from riskspark.functions.scalar import hash_unit
 from riskspark.operators.split import class_weights
-from riskspark.session import cut_lineage
+from riskspark.session import fresh_folder
 
 #: Rows of a block, reducers of a step's gradients, and bins of the validation's scores.
 BLOCK, REDUCERS, BINS = 1024, 16, 4096
@@ -91,14 +91,14 @@ class Lstm:
 
 
 def packed(rows: DataFrame, steps: int, seed: int) -> DataFrame:
-    """A written table ``(batch, n, data)`` of blocks; batch -1 is the validation share."""
+    """A written table ``(n, data, batch)`` of blocks; batch -1 is the validation share."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
 
         def block(batch: int, own: list) -> pd.DataFrame:
             x, y, w = zip(*own)
             data = pickle.dumps((np.array(x, np.float32), np.array(y, np.float32), np.array(w, np.float32)))
-            return pd.DataFrame({"batch": [batch], "n": [len(own)], "data": [data]})
+            return pd.DataFrame({"n": [len(own)], "data": [data], "batch": [batch]})
 
         for part in batches:
             for batch, seq, y, w in zip(part["batch"], part["seq"], part["label"], part["weight"]):
@@ -109,7 +109,10 @@ def packed(rows: DataFrame, steps: int, seed: int) -> DataFrame:
         for batch, own in held.items():
             yield block(batch, own)
 
-    return cut_lineage(rows.select("batch", "seq", "label", "weight").mapInPandas(pack, "batch int, n int, data binary"), columnar=True)
+    blocks = rows.select("batch", "seq", "label", "weight").mapInPandas(pack, "n int, data binary, batch int")
+    path = fresh_folder(rows.sparkSession, "blocks")  # a folder for each batch: a step reads its own rows only
+    blocks.write.partitionBy("batch").parquet(path)
+    return rows.sparkSession.read.schema(blocks.schema).parquet(path)
 
 
 def summed(blocks: DataFrame, per_block, size: int) -> tuple[np.ndarray, int]:
