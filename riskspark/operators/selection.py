@@ -2,7 +2,7 @@
 of the rows and no table of all their values.
 
 A mergeable sketch gives each probability a bracket of values; one scan then counts
-the rows below, between and inside the brackets and keeps the values of those inside,
+the rows below and between the brackets, and one keeps the values of those inside,
 each once with its count.  The counts say exactly which bracket holds a wanted
 rank, so the sketch's error only decides how many values are kept, never the
 result: a rank that falls outside its bracket is looked for in wider ones.  While more
@@ -49,7 +49,7 @@ def select_quantiles(df: DataFrame, series: dict[str, Column], probs: list[float
 
     A series is an expression over ``df``; a subset is ``F.when(subset, x)``.
     Series and probabilities (the same for all, or by series) are few.  A series
-    without values has no quantiles.  ``df`` is scanned twice.
+    without values has no quantiles.  ``df`` is scanned three times.
     """
     names, columns = list(series), [c.cast("double") for c in series.values()]
     probs_of = [list(probs[n]) if isinstance(probs, dict) else list(probs) for n in names]
@@ -90,18 +90,29 @@ def _brackets(at: dict[float, float], probs: list[float], width: float) -> list[
 
 def _kept(df: DataFrame, columns: list[Column], brackets: list) -> DataFrame:
     """(s, b, v, c): rows c of series s in bucket b; odd buckets are brackets and
-    have a row per value, even ones lie between them and have one row."""
-    items = []
+    have a row per value, even ones lie between them and have one row.  These and brackets of one value are
+    counted in one aggregate; only what is in a wider bracket becomes rows."""
+    spark, cols, counted, points, items = df.sparkSession, [], [], {}, []
     for s, (c, own) in enumerate(zip(columns, brackets)):
         b = F.lit(2 * len(own))
         for i, (lo, hi) in reversed(list(enumerate(own))):
             b = b if hi is None else F.when(c > hi, b)
             b = F.lit(2 * i + 1) if hi is None else b.otherwise(2 * i + 1)
             b = b if lo is None else F.when(c < lo, 2 * i).otherwise(b)
-        items.append(F.struct(F.lit(s).alias("s"), b.alias("b"), c.alias("x")))
-    long = df.select(F.inline(F.filter(F.array(*items), lambda r: r["x"].isNotNull())))
-    v = F.when(F.col("b") % 2 == 1, F.col("x"))
-    return cut_lineage(long.groupBy("s", "b", v.alias("v")).agg(F.count(F.lit(1)).alias("c")), columnar=True)
+        cols += [c.alias(f"x{s}"), F.when(c.isNotNull(), b).alias(f"b{s}")]
+        one = {2 * i + 1: lo + 0.0 for i, (lo, hi) in enumerate(own) if lo is not None and lo == hi}  # the sum makes -0.0 0.0
+        points |= {(s, b): v for b, v in one.items()}
+        counted += [(s, b) for b in (*range(0, 2 * len(own) + 1, 2), *one)]
+        several = [b for b in range(1, 2 * len(own), 2) if b not in one]
+        if several:
+            items.append(F.struct(F.lit(s).alias("s"), F.when(F.col(f"b{s}").isin(several), F.col(f"b{s}")).alias("b"), F.col(f"x{s}").alias("v")))
+    at = df.select(*cols)
+    counts = zip(counted, at.agg(*[F.count_if(F.col(f"b{s}") == b) for s, b in counted]).first())
+    kept = spark.createDataFrame([(*x, points.get(x), n) for x, n in counts if n], "s int, b int, v double, c long")
+    if items:  # no lambda functions here: Spark interprets all that is below one
+        long = at.select(F.inline(F.array(*items))).where("b is not null")
+        kept = kept.union(cut_lineage(long.groupBy("s", "b", "v").agg(F.count(F.lit(1)).alias("c")), columnar=True))
+    return kept
 
 
 def _totals(kept: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:

@@ -119,8 +119,8 @@ def with_weights(df: DataFrame, label: str = "label", out: str = "weight") -> Da
 
 def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` in partitions of about ``rows`` rows (``config.TASK_ROWS``), if any has more.  Spark ML keeps the rows of a partition
-    as one cached block, and every pass over the data reads it whole."""
+    as one cached block, and every pass over the data reads it whole.  Spread rows are written, as a fit reads them several times."""
     rows = rows or config.TASK_ROWS
     n = (df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
          .agg(F.max("n").alias("most"), F.sum("n").alias("n")).first())
-    return df if (n["most"] or 0) <= rows else df.repartition(math.ceil(n["n"] / rows))
+    return df if (n["most"] or 0) <= rows else cut_lineage(df.repartition(math.ceil(n["n"] / rows)))

@@ -98,3 +98,14 @@ def test_equal_digests_go_by_the_order(spark):
     cuts = SE.bottom_cuts(df, F.col("g"), F.col("i"), same, lambda n: {1: 20}, at_most=3)
     assert cuts == {1: ("0" * 32, 19)}
     assert df.where(SE.within_cuts(cuts, F.col("g"), F.col("i"), same)).count() == 20
+
+
+def test_values_between_brackets_and_ties_are_counted_without_lambdas(spark, monkeypatch):
+    """Spark interprets all that is below a lambda function; and a bracket of one value needs no rows."""
+    plans, cut = [], SE.cut_lineage
+    monkeypatch.setattr(SE, "cut_lineage", lambda df, **kw: plans.append(df) or cut(df, **kw))
+    df = spark.range(3000).select((F.col("id") % 3).cast("double").alias("few"), F.col("id").cast("double").alias("many")).cache()
+    got = SE.select_quantiles(df, {"few": F.col("few"), "many": F.col("many"), "none": F.lit(None).cast("double")}, [0.5])
+    assert (got["few"][0.5].q, got["many"][0.5].q, got["none"]) == (1.0, 1499.5, {})
+    assert "lambda" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["s"] for r in plans[0].collect()} == {1}

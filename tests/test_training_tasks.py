@@ -55,3 +55,9 @@ def test_sums_are_computed_once_a_mask(monkeypatch):
     assert max(sizes) <= 128 and np.allclose(phi.sum(1) + tree.base, score)
     few = AT.shapley([tree], x[:7])
     assert np.allclose(phi[:7], few[0]) and np.allclose(score[:7], few[1])
+
+
+def test_spread_rows_are_written_once(spark):
+    df = spread(spark.range(100).repartition(2), 20)
+    assert df.rdd.getNumPartitions() == 5 and df.count() == 100
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
