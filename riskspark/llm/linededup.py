@@ -30,14 +30,13 @@ come last.  Null texts stay null.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,35 +124,79 @@ def windows(delta: int, tau: int) -> np.ndarray:
 class Symbols:
     """Lines of one kind as symbols: those of line i are sym[start[i] : start[i] + size[i]]."""
 
-    def __init__(self, kind: int, lines: list, which: list[int]):
-        self.kind, self.which = kind, np.array(which, np.int64)
-        self.size = np.fromiter(map(len, lines), np.int64, len(lines))
-        if kind == WORDS:  # lists of words
-            number: defaultdict[bytes, int] = defaultdict(count().__next__)
-            code = np.fromiter(map(number.__getitem__, chain.from_iterable(lines)), np.int64, int(self.size.sum()))
-            self.sym = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[code]
-        else:
-            self.sym = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    def __init__(self, kind: int, which: np.ndarray, size: np.ndarray, sym: np.ndarray):
+        self.kind, self.which, self.size, self.sym = kind, which, size, sym
         self.start = np.cumsum(self.size) - self.size
 
-    def sketches(self) -> np.ndarray:
-        """Parities of the counts of a line's symbols, in CLASSES classes."""
+    def sketches(self, classes: int = CLASSES) -> np.ndarray:
+        """Parities of the counts of a line's symbols, in so many classes."""
         if not len(self.size):
-            return np.zeros(0, np.uint32)
-        bit = np.uint64(1) << (scramble(self.sym) % np.uint64(CLASSES))
-        return np.bitwise_xor.reduceat(bit, self.start).astype(np.uint32)
+            return np.zeros(0, np.uint64)
+        bit = np.uint64(1) << (scramble(self.sym) % np.uint64(classes))
+        return np.bitwise_xor.reduceat(bit, self.start)
+
+
+def word_hashes(words: pa.LargeStringArray) -> np.ndarray:
+    """Words of at most 16 bytes by their first and last 8 and their size, others by XXH3."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2].to_pybytes() + bytes(8)
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the 8 bytes from each place on
+    start, size = ends[:-1], np.diff(ends)
+    first = eight[start] & (np.uint64((1 << 64) - 1) >> (64 - 8 * np.minimum(size, 8)).astype(np.uint64))
+    last = np.where(size > 8, eight[np.maximum(ends[1:] - 8, 0)], 0).astype(np.uint64)
+    out = scramble(scramble(first + size.astype(np.uint64) * np.uint64(BASE)) ^ last)
+    for i in np.flatnonzero(size > 16).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[ends[i] : ends[i + 1]])
+    return out
 
 
 def kinds(lines: list[bytes], rule: Rule) -> list[Symbols]:
     """Lines (none of them white space) by what they are compared by."""
-    of: tuple[list, list] = ([], [])
-    which: tuple[list[int], list[int]] = ([], [])
-    for i, line in enumerate(lines):
-        words = line.split()
-        kind = WORDS if len(words) >= rule.words else CHARACTERS
-        of[kind].append(words if kind == WORDS else line.decode("utf-8", "replace"))
-        which[kind].append(i)
-    return [Symbols(kind, of[kind], which[kind]) for kind in (WORDS, CHARACTERS) if of[kind]]
+    if not lines:
+        return []
+    texts = pa.array(lines, pa.large_binary())
+    # Arrow splits strings only; at ASCII white space, as bytes.split does, whatever the bytes are
+    words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pa.LargeStringArray.from_buffers(len(texts), *texts.buffers()[1:])))
+    size = np.diff(words.offsets.to_numpy()).astype(np.int64)
+    many, out = size >= rule.words, []
+    if many.any():
+        code = words.filter(pa.array(many)).flatten().dictionary_encode()
+        out.append(Symbols(WORDS, np.flatnonzero(many), size[many], word_hashes(code.dictionary)[code.indices.to_numpy()]))
+    if not many.all():
+        which = np.flatnonzero(~many)
+        some = [lines[i].decode("utf-8", "replace") for i in which.tolist()]
+        sym = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        out.append(Symbols(CHARACTERS, which, np.fromiter(map(len, some), np.int64, len(some)), sym))
+    return out
+
+
+class Compared:
+    """Lines made ready once for many comparisons."""
+
+    def __init__(self, lines: list[bytes], rule: Rule):
+        n, parts, at = len(lines), [np.zeros(0, np.uint64)], 0
+        self.kind, self.tau, self.size, self.start = (np.zeros(n, np.int64) for _ in range(4))
+        self.sketch = np.zeros(n, np.uint64)
+        for x in kinds(lines, rule):
+            self.kind[x.which], self.tau[x.which] = x.kind, rule.threshold(x.kind, x.size)
+            self.size[x.which], self.start[x.which], self.sketch[x.which] = x.size, x.start + at, x.sketches(64)
+            parts.append(x.sym)
+            at += len(x.sym)
+        self.sym = np.concatenate(parts)
+
+    def likely(self, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+        """False for pairs that can't be linked: an edit changes two counts and one length at most."""
+        tau = np.minimum(self.tau[a], self.tau[b])  # that of the shorter line
+        return (np.bitwise_count(self.sketch[a] ^ self.sketch[b]) <= 2 * tau) & (np.abs(self.size[a] - self.size[b]) <= tau) & (self.kind[a] == self.kind[b])
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out, tau = self.likely(a, b), np.minimum(self.tau[a], self.tau[b])
+        for t in np.unique(tau[out]).tolist():
+            some = np.flatnonzero(out & (tau == t))
+            out[some] = near(self.sym, self.start[a[some]], self.size[a[some]], self.start[b[some]], self.size[b[some]], t)
+        return out
 
 
 class Signatures:
@@ -167,7 +210,7 @@ class Signatures:
     def _add(self, x: Symbols, h: np.ndarray, rule: Rule) -> None:
         fwd, self.inv = powers(len(x.sym) + 1)
         self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(scramble(x.sym + np.uint64(1)) * fwd[:-1])]
-        sketch = x.sketches()
+        sketch = x.sketches().astype(np.uint32)
         for delta in range(rule.widest + 1):
             length = x.size - delta
             tau = rule.threshold(x.kind, length)
@@ -257,20 +300,17 @@ def spanning(lines: list[bytes], hashes: np.ndarray, known: np.ndarray, rule: Ru
     do; fewer than there are components.  Pairs already connected are passed over; lines
     come by hash, as neighbours of similar lines connect little."""
     order = np.argsort(scramble(hashes.view(np.uint64)), kind="stable")
-    lines, hashes, known = [lines[i] for i in order.tolist()], hashes[order], known[order]
-    kind, size, sketch = np.zeros(len(lines), np.int8), np.zeros(len(lines), np.int64), np.zeros(len(lines), np.uint32)
-    for x in kinds(lines, rule):
-        kind[x.which], size[x.which], sketch[x.which] = x.kind, x.size, x.sketches()
-    own = np.where(kind == WORDS, rule.threshold(WORDS, size), rule.threshold(CHARACTERS, size))
+    hashes, known = hashes[order], known[order]
+    x = Compared([lines[i] for i in order.tolist()], rule)
     root = np.unique(known, return_inverse=True)[1]
     parts, out, todo, n = len(np.unique(root)), [], [], 0
 
     def verify() -> None:
         nonlocal parts
-        a, b = (np.concatenate(x) for x in zip(*todo))
+        a, b = (np.concatenate(side) for side in zip(*todo))
         apart_yet = root[a] != root[b]
         a, b = a[apart_yet], b[apart_yet]
-        near = within([lines[i] for i in a], [lines[i] for i in b], rule)
+        near = x.linked(a, b)
         for i, j in zip(a[near].tolist(), b[near].tolist()):
             if root[i] != root[j]:
                 root[root == root[j]] = root[i]
@@ -281,8 +321,7 @@ def spanning(lines: list[bytes], hashes: np.ndarray, known: np.ndarray, rule: Ru
         if parts == 1:
             break
         b = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
-        tau = np.minimum(own[b], own[i])  # that of the shorter line
-        b = b[(np.bitwise_count(sketch[b] ^ sketch[i]) <= 2 * tau) & (np.abs(size[b] - size[i]) <= tau) & (kind[b] == kind[i])]
+        b = b[x.likely(i, b)]
         todo.append((np.full(len(b), i), b))
         n += len(b)
         if n >= CHECKED or i == len(lines) - 1:
@@ -320,24 +359,11 @@ def hot_links(members: DataFrame, rule: Rule) -> DataFrame:
 
 def within(first: list[bytes], second: list[bytes], rule: Rule) -> np.ndarray:
     """Whether each pair of lines is linked."""
-    out = np.zeros(len(first), bool)
-    if not len(first):
-        return out
     place: dict[bytes, int] = {}
     for line in (*first, *second):
         place.setdefault(line, len(place))
-    which, of, start, size = np.zeros(len(place), np.int8), np.zeros(len(place), np.int64), np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-    found = kinds(list(place), rule)
-    for k, x in enumerate(found):
-        which[x.which], of[x.which], start[x.which], size[x.which] = x.kind, k, x.start, x.size
     a, b = (np.array([place[x] for x in side], np.int64) for side in (first, second))
-    for k, x in enumerate(found):
-        own = np.flatnonzero((of[a] == k) & (of[b] == k))
-        tau = rule.threshold(x.kind, np.minimum(size[a[own]], size[b[own]]))
-        for t in np.unique(tau[tau >= 0]).tolist():
-            some = own[tau == t]
-            out[some] = near(x.sym, start[a[some]], size[a[some]], start[b[some]], size[b[some]], t)
-    return out
+    return Compared(list(place), rule).linked(a, b)
 
 
 def near(sym: np.ndarray, s1: np.ndarray, n1: np.ndarray, s2: np.ndarray, n2: np.ndarray, tau: int) -> np.ndarray:
@@ -545,6 +571,6 @@ def report(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One row per row of `docs`: doc_id, n_lines, n_dropped, the text that stays, and
     drops array<struct<line_no, first_doc_id, first_line_no>>."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(1))
+    n_lines = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(1))
     drops = F.coalesce("__drops", F.array().cast("array<struct<line_no: long, first_doc_id: long, first_line_no: long>>"))
     return _dropping(docs, rule).select("doc_id", n_lines.cast("long").alias("n_lines"), F.size(drops).cast("long").alias("n_dropped"), _left().alias("text"), drops.alias("drops"))

@@ -251,3 +251,29 @@ def test_rows_without_an_id_are_told_apart(spark):
     rows = L.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     check(rows, docs)
     assert sorted(r.n_dropped for r in rows) in ([0, 0, 0, 0, 0, 1, 1], [0, 0, 0, 0, 1, 1, 1])
+
+
+def test_words_and_their_hashes():
+    """Words as bytes.split has them, and equal hashes of equal words only, whatever their size."""
+    lines = [b" a b\x0bc\x0c d\te\r f g  h ", b"\x1ca \xc2\xa0b c\x00 \xff d e f g", b"x y", *(b" ".join([b"w" * n + bytes([65 + k]) + b"v" * m for k in range(8)]) for n in range(18) for m in (0, 1, 9))]
+    of = {}
+    for x in L.kinds(lines, L.RULE):
+        for i, a, n in zip(x.which.tolist(), x.start.tolist(), x.size.tolist()):
+            if x.kind == L.WORDS:
+                assert n == len(lines[i].split()) >= L.RULE.words
+                for word, h in zip(lines[i].split(), x.sym[a : a + n].tolist()):
+                    assert of.setdefault(word, h) == h
+            else:
+                assert len(lines[i].split()) < L.RULE.words
+    assert len(set(of.values())) == len(of) > 400
+
+
+def test_a_hot_group_is_cut_into_words_once(monkeypatch):
+    cuts, kinds = [], L.kinds
+    monkeypatch.setattr(L, "kinds", lambda *a: cuts.append(1) or kinds(*a))
+    monkeypatch.setattr(L, "CHECKED", 4)
+    words = [f"w{i}" for i in range(24)]
+    lines = [" ".join([*words[:i], f"x{i}", f"y{i}", *words[i + 1 :]]).encode() for i in range(0, 24, 2)]
+    a, b = L.spanning(lines, np.arange(12), np.arange(12), L.RULE)
+    pairs = [(i, j) for i in range(12) for j in range(i) if L.within([lines[i]], [lines[j]], L.RULE)[0]]
+    assert len(cuts) == 1 + 66 and (len(a) == 0) == (not pairs)
