@@ -107,16 +107,16 @@ class Bitmap:
         self.words = np.zeros(self.bits // 64, np.uint64)
         self.words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).view(np.uint64)
 
-    def __call__(self, h: int) -> bool:
-        at = h % self.bits
-        return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
+    def among(self, h: np.ndarray) -> np.ndarray:
+        """Whether 64-bit hashes pass."""
+        at = h & np.uint64(self.bits - 1)
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     def holds(self, h: Column) -> Column:
         """Whether hashes pass; only they go to Python."""
         @F.pandas_udf("boolean")
         def test(s: pd.Series) -> pd.Series:
-            at = s.to_numpy(np.int64).view(np.uint64) & np.uint64(self.bits - 1)
-            return pd.Series((self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+            return pd.Series(self.among(s.to_numpy(np.int64).view(np.uint64)))
 
         return test(h)
 

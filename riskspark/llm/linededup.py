@@ -36,7 +36,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +47,19 @@ PER_TARGET, PER_LINE, FEWEST_BITS = 1 << 21, 24, 6
 #: Pairs a task looks at at a time, pairs of one key above which it is hot, and neighbours that
 #: a line of a hot key is paired with.
 AT_ONCE, HOT, NEXT = 1 << 18, 1 << 8, 2
-#: Lines of one chunk of a hot key, and pairs verified at a time there.
-LINES, CHECKED = 1 << 15, 1 << 11
+#: Lines of one chunk of a hot key, pairs verified at a time there, and pairs of sketches compared at a time.
+LINES, CHECKED, SIFTED = 1 << 15, 1 << 11, 1 << 16
+#: Places above which a class is large: its first place is broadcast, a row for so many places.
+MANY = 1 << 10
 #: Part of the key, sketch with the threshold in its upper bits, line.
 ENTRY = np.dtype([("k", "<u4"), ("s", "<u4"), ("h", "<u8")])
 CLASSES = 29
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 WORDS, CHARACTERS = 0, 1
+#: 1 for the bytes at which bytes.split cuts; the lowest n bytes of eight.
+BLANK = bytes(b in b" \t\n\r\x0b\x0c" for b in range(256))
+LOWEST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 @dataclass(frozen=True)
@@ -102,9 +106,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(33))
     for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
-    return x ^ (x >> np.uint64(33))
+        x *= np.uint64(m)
+        x ^= x >> np.uint64(33)
+    return x
 
 
 def segments(length: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +128,7 @@ def windows(delta: int, tau: int) -> np.ndarray:
 
 
 class Symbols:
-    """Lines of one kind as symbols: those of line i are sym[start[i] : start[i] + size[i]]."""
+    """Lines of one kind as symbols, 64-bit hashes: those of line i are sym[start[i] : start[i] + size[i]]."""
 
     def __init__(self, kind: int, which: np.ndarray, size: np.ndarray, sym: np.ndarray):
         self.kind, self.which, self.size, self.sym = kind, which, size, sym
@@ -132,43 +138,47 @@ class Symbols:
         """Parities of the counts of a line's symbols, in so many classes."""
         if not len(self.size):
             return np.zeros(0, np.uint64)
-        bit = np.uint64(1) << (scramble(self.sym) % np.uint64(classes))
+        bit = np.uint64(1) << ((self.sym >> np.uint64(32)) * np.uint64(classes) >> np.uint64(32))
         return np.bitwise_xor.reduceat(bit, self.start)
 
-
-def word_hashes(words: pa.LargeStringArray) -> np.ndarray:
-    """Words of at most 16 bytes by their first and last 8 and their size, others by XXH3."""
-    if not len(words):
-        return np.zeros(0, np.uint64)
-    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-    data = words.buffers()[2].to_pybytes() + bytes(8)
-    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the 8 bytes from each place on
-    start, size = ends[:-1], np.diff(ends)
-    first = eight[start] & (np.uint64((1 << 64) - 1) >> (64 - 8 * np.minimum(size, 8)).astype(np.uint64))
-    last = np.where(size > 8, eight[np.maximum(ends[1:] - 8, 0)], 0).astype(np.uint64)
-    out = scramble(scramble(first + size.astype(np.uint64) * np.uint64(BASE)) ^ last)
-    for i in np.flatnonzero(size > 16).tolist():
-        out[i] = xxhash.xxh3_64_intdigest(data[ends[i] : ends[i + 1]])
-    return out
+    def fine(self) -> np.ndarray:
+        """Those parities in 256 classes, four words a line."""
+        of = self.sym >> np.uint64(56)
+        bit, word = np.uint64(1) << (of & np.uint64(63)), of >> np.uint64(6)
+        return np.stack([np.bitwise_xor.reduceat(np.where(word == i, bit, np.uint64(0)), self.start) for i in range(4)], 1)
+
+
+def words_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's number of words, as bytes.split cuts them, and the hashes of all words: those of at
+    most 16 bytes by their first and last 8 and their size, others by XXH3."""
+    data = b"\n" + b"\n".join(lines) + b"\n" + bytes(8)
+    blank = np.frombuffer(data.translate(BLANK), np.uint8, len(data) - 8)
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)
+    many = np.diff(np.searchsorted(start, ends), prepend=0)
+    eight, size = np.ndarray(len(data) - 7, "<u8", data, strides=(1,)), end - start  # the 8 bytes from each place on
+    out = scramble((eight[start] & LOWEST[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(BASE))
+    long = np.flatnonzero(size > 8)
+    out[long] = scramble(out[long] ^ eight[end[long] - 8])
+    for i in long[size[long] > 16].tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]])
+    return many, out
 
 
 def kinds(lines: list[bytes], rule: Rule) -> list[Symbols]:
     """Lines (none of them white space) by what they are compared by."""
     if not lines:
         return []
-    texts = pa.array(lines, pa.large_binary())
-    # Arrow splits strings only; at ASCII white space, as bytes.split does, whatever the bytes are
-    words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pa.LargeStringArray.from_buffers(len(texts), *texts.buffers()[1:])))
-    size = np.diff(words.offsets.to_numpy()).astype(np.int64)
+    size, sym = words_of(lines)
     many, out = size >= rule.words, []
     if many.any():
-        code = words.filter(pa.array(many)).flatten().dictionary_encode()
-        out.append(Symbols(WORDS, np.flatnonzero(many), size[many], word_hashes(code.dictionary)[code.indices.to_numpy()]))
+        out.append(Symbols(WORDS, np.flatnonzero(many), size[many], sym if many.all() else sym[np.repeat(many, size)]))
     if not many.all():
         which = np.flatnonzero(~many)
         some = [lines[i].decode("utf-8", "replace") for i in which.tolist()]
-        sym = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        out.append(Symbols(CHARACTERS, which, np.fromiter(map(len, some), np.int64, len(some)), sym))
+        code = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        out.append(Symbols(CHARACTERS, which, np.fromiter(map(len, some), np.int64, len(some)), scramble(code + np.uint64(1))))
     return out
 
 
@@ -178,10 +188,11 @@ class Compared:
     def __init__(self, lines: list[bytes], rule: Rule):
         n, parts, at = len(lines), [np.zeros(0, np.uint64)], 0
         self.kind, self.tau, self.size, self.start = (np.zeros(n, np.int64) for _ in range(4))
-        self.sketch = np.zeros(n, np.uint64)
+        self.sketch, self.fine = np.zeros(n, np.uint64), np.zeros((n, 4), np.uint64)
         for x in kinds(lines, rule):
             self.kind[x.which], self.tau[x.which] = x.kind, rule.threshold(x.kind, x.size)
             self.size[x.which], self.start[x.which], self.sketch[x.which] = x.size, x.start + at, x.sketches(64)
+            self.fine[x.which] = x.fine()
             parts.append(x.sym)
             at += len(x.sym)
         self.sym = np.concatenate(parts)
@@ -193,6 +204,8 @@ class Compared:
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out, tau = self.likely(a, b), np.minimum(self.tau[a], self.tau[b])
+        some = np.flatnonzero(out)
+        out[some] = np.bitwise_count(self.fine[a[some]] ^ self.fine[b[some]]).sum(1) <= 2 * tau[some]
         for t in np.unique(tau[out]).tolist():
             some = np.flatnonzero(out & (tau == t))
             out[some] = near(self.sym, self.start[a[some]], self.size[a[some]], self.start[b[some]], self.size[b[some]], t)
@@ -209,7 +222,7 @@ class Signatures:
 
     def _add(self, x: Symbols, h: np.ndarray, rule: Rule) -> None:
         fwd, self.inv = powers(len(x.sym) + 1)
-        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(scramble(x.sym + np.uint64(1)) * fwd[:-1])]
+        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(x.sym * fwd[:-1])]
         sketch = x.sketches().astype(np.uint32)
         for delta in range(rule.widest + 1):
             length = x.size - delta
@@ -224,23 +237,27 @@ class Signatures:
                         i, shift = place.T
                         p, size = at[:, i] + shift, n[:, i]
                         ok = (p >= 0) & (p + size <= x.size[own, None])
-                        line, col = np.nonzero(ok)
-                        key = self._key(x.kind, length[own][line], i[col], x.start[own][line] + p[ok], size[ok])
+                        if ok.all():  # as always where segments are longer than shifts
+                            line, key = np.repeat(np.arange(len(own)), len(i)), self._key(x.kind, length[own, None], i, x.start[own, None] + p, size).ravel()
+                        else:
+                            line, col = np.nonzero(ok)
+                            key = self._key(x.kind, length[own][line], i[col], x.start[own][line] + p[ok], size[ok])
                         role.append((key, mark[line], h[own][line]))
 
     def _key(self, kind: int, length: np.ndarray, i: np.ndarray, a: np.ndarray, n: np.ndarray) -> np.ndarray:
         own = (self.sums[a + n] - self.sums[a]) * self.inv[a]
-        return scramble(scramble(own) ^ ((length << 5) + (i << 1) + kind).astype(np.uint64))
+        return scramble(own ^ ((length << 5) + (i << 1) + kind).astype(np.uint64))
 
 
 def by_target(parts: list[tuple], bits: int) -> tuple[list[int], list[bytes]]:
     """Entries as bytes, by the first bits of their key."""
     key, sketch, h = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64),) * 3
-    target = (key >> np.uint64(64 - bits)).astype(np.int64)
+    target = (key >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)  # 16 bits are sorted by radix
     order = np.argsort(target, kind="stable")
-    rows = np.empty(len(key), ENTRY)
-    rows["k"], rows["s"], rows["h"] = key[order].astype(np.uint32), sketch[order], h[order]
-    ends = np.searchsorted(target[order], np.arange((1 << bits) + 1))
+    rows = np.empty((len(key), 2), "<u8")  # an ENTRY each
+    rows[:, 0] = ((key & np.uint64((1 << 32) - 1)) | (sketch.astype(np.uint64) << np.uint64(32)))[order]
+    rows[:, 1] = h[order]
+    ends = np.r_[0, np.cumsum(np.bincount(target, minlength=1 << bits))]
     full = np.flatnonzero(np.diff(ends))
     return full.tolist(), [rows[ends[t] : ends[t + 1]].tobytes() for t in full]
 
@@ -307,24 +324,27 @@ def spanning(lines: list[bytes], hashes: np.ndarray, known: np.ndarray, rule: Ru
 
     def verify() -> None:
         nonlocal parts
-        a, b = (np.concatenate(side) for side in zip(*todo))
-        apart_yet = root[a] != root[b]
-        a, b = a[apart_yet], b[apart_yet]
-        near = x.linked(a, b)
-        for i, j in zip(a[near].tolist(), b[near].tolist()):
-            if root[i] != root[j]:
-                root[root == root[j]] = root[i]
-                parts -= 1
-                out.append((i, j))
-
-    for i in range(len(lines)):
+        left, right = (np.concatenate(side) for side in zip(*todo))
+        for at in range(0, len(left), CHECKED):
+            a, b = left[at : at + CHECKED], right[at : at + CHECKED]
+            apart_yet = root[a] != root[b]
+            a, b = a[apart_yet], b[apart_yet]
+            near = x.linked(a, b)
+            for i, j in zip(a[near].tolist(), b[near].tolist()):
+                if root[i] != root[j]:
+                    root[root == root[j]] = root[i]
+                    parts -= 1
+                    out.append((i, j))
+
+    step = max(1, SIFTED // max(1, len(lines)))  # so many lines are compared with all later ones at a time
+    for i in range(0, len(lines), step):
         if parts == 1:
             break
-        b = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
-        b = b[x.likely(i, b)]
-        todo.append((np.full(len(b), i), b))
-        n += len(b)
-        if n >= CHECKED or i == len(lines) - 1:
+        own, later = np.arange(i, min(i + step, len(lines)))[:, None], np.arange(i + 1, len(lines))
+        a, b = np.nonzero((later > own) & (root[own] != root[later]) & x.likely(own, later))
+        todo.append((a + i, b + i + 1))
+        n += len(a)
+        if n >= CHECKED:
             verify()
             todo, n = [], 0
     if n and parts > 1:
@@ -375,21 +395,40 @@ def near(sym: np.ndarray, s1: np.ndarray, n1: np.ndarray, s2: np.ndarray, n2: np
     n1, n2 = np.maximum(n1, n2), np.minimum(n1, n2)
     out = np.zeros(len(n1), bool)
     same = n1 - n2 <= tau
+    for back in (False, True):  # what both begin with, and then what both end with, costs nothing
+        for pick in _blocks(np.flatnonzero(same), n2):
+            n = _alike(sym, s1[pick], n1[pick], s2[pick], n2[pick], back)
+            n1[pick] -= n
+            n2[pick] -= n
+            if not back:
+                s1[pick] += n
+                s2[pick] += n
     small = same & (n1 <= tau)
     out[small] = True  # replacing everything is cheap enough
-    todo = np.flatnonzero(same & ~small)
-    todo = todo[np.argsort(n1[todo], kind="stable")]
-    i = 0
-    while i < len(todo):
-        k = 1
-        while i + k < len(todo) and k < 8192 and (k + 1) * int(n1[todo[i + k]]) < 1 << 20:
-            k += 1
-        pick = todo[i : i + k]
+    for pick in _blocks(np.flatnonzero(same & ~small), n1):
         out[pick] = _band(sym, s1[pick], n1[pick], s2[pick], n2[pick], tau)
-        i += k
     return out
 
 
+def _blocks(todo: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs by their size n, at most 8,192 and about a million symbols at a time."""
+    todo = todo[np.argsort(n[todo], kind="stable")]
+    size, i = n[todo], 0
+    while i < len(todo):
+        some = size[i : i + 8192]
+        k = max(1, int(np.count_nonzero(np.arange(1, len(some) + 1) * some < 1 << 20)))
+        yield todo[i : i + k]
+        i += k
+
+
+def _alike(sym: np.ndarray, s1: np.ndarray, n1: np.ndarray, s2: np.ndarray, n2: np.ndarray, back: bool) -> np.ndarray:
+    """How many symbols the runs of each pair (the second is not the longer) agree in from their start, or from their end."""
+    i = np.arange(int(n2.max(initial=0)) + 1)
+    inside = i < n2[:, None]
+    a, b = (np.where(inside, (s + n - 1)[:, None] - i if back else s[:, None] + i, 0) for s, n in ((s1, n1), (s2, n2)))
+    return np.argmin(inside & (sym[a] == sym[b]), axis=1)
+
+
 def _padded(sym: np.ndarray, start: np.ndarray, size: np.ndarray, left: int, width: int, fill: int) -> np.ndarray:
     """Symbol runs as columns, `left` rows down."""
     i = np.arange(width)[:, None] - left
@@ -397,29 +436,53 @@ def _padded(sym: np.ndarray, start: np.ndarray, size: np.ndarray, left: int, wid
     return np.where(inside, sym[np.where(inside, start + i, 0)], np.uint64(fill))
 
 
-def _band(sym: np.ndarray, s1: np.ndarray, m: np.ndarray, s2: np.ndarray, n: np.ndarray, tau: int) -> np.ndarray:
-    one, top = np.uint64(1), np.uint64(63)
-    longest = int(n.max())
+def _equal(sym: np.ndarray, s1: np.ndarray, m: np.ndarray, s2: np.ndarray, n: np.ndarray, tau: int) -> np.ndarray:
+    """A row a column of the band: bit 63 - k is set where row j + tau - k has the column's symbol."""
+    longest, bits = int(n.max()), 2 * tau + 1
     # fills that differ: a row beyond the line is never equal to a column
-    r = _padded(sym, s1, m, tau, max(int(m.max()), longest) + 2 * tau + 1, (1 << 64) - 1)
+    r = _padded(sym, s1, m, tau, longest + 2 * tau, (1 << 64) - 1)
     c = _padded(sym, s2, n, 0, longest, (1 << 64) - 2)
+    same = np.empty((*c.shape, bits), bool)
+    for k in range(bits):
+        same[:, :, k] = r[2 * tau - k : 2 * tau - k + longest] == c
+    packed = np.packbits(same, axis=2)
+    eq = packed[:, :, 0].astype(np.uint64) << np.uint64(56)
+    for i in range(1, packed.shape[2]):
+        eq |= packed[:, :, i].astype(np.uint64) << np.uint64(56 - 8 * i)
+    return eq
+
+
+def _band(sym: np.ndarray, s1: np.ndarray, m: np.ndarray, s2: np.ndarray, n: np.ndarray, tau: int) -> np.ndarray:
+    one, top = np.uint64(1), np.uint64(63)
+    eq = _equal(sym, s1, m, s2, n, tau)
     vp = np.full(len(m), ((1 << (tau + 1)) - 1) << (63 - tau), np.uint64)
     vn = np.zeros(len(m), np.uint64)
     dist = np.full(len(m), tau, np.int64)
-    for j in range(longest):
-        eq = np.zeros(len(m), np.uint64)
-        for k in range(2 * tau + 1):  # bit 63 - k is row j + tau - k
-            eq |= (r[j + 2 * tau - k] == c[j]).astype(np.uint64) << np.uint64(63 - k)
-        d0 = (((eq & vp) + vp) ^ vp) | eq | vn
+    out, own = np.zeros(len(m), bool), np.arange(len(m))
+    above = np.uint64(((1 << (2 * tau + 1)) - 1) << (62 - 2 * tau))  # rows of the band over its lowest
+    inner = min(int(n.min()), int(m.min()) - tau)  # columns whose band ends on a row of each line
+    for j in range(len(eq)):
+        if 0 < j < inner and j % 8 == 0:  # no row of the band is less than its lowest by more than the steps up to it
+            open_yet = dist - np.bitwise_count(vp & above) <= tau
+            if 4 * np.count_nonzero(open_yet) < 3 * len(own):
+                own, m, n, vp, vn, dist = (x[open_yet] for x in (own, m, n, vp, vn, dist))
+                eq = eq[:, open_yet]
+                if not len(own):
+                    break
+        d0 = (((eq[j] & vp) + vp) ^ vp) | eq[j] | vn
         hp, hn = vn | ~(d0 | vp), d0 & vp
-        down = j < m - tau  # the band's lowest row is still one of the line's rows
-        live = j < n
-        dist += np.where(down & live, (d0 >> top & one ^ one).astype(np.int64), 0)
-        last = np.clip(62 - (j - (m - tau)), 0, 63).astype(np.uint64)
-        dist += np.where(~down & live, (hp >> last & one).astype(np.int64) - (hn >> last & one).astype(np.int64), 0)
+        if j < inner:
+            dist += (d0 >> top ^ one).view(np.int64)
+        else:
+            down = j < m - tau  # the band's lowest row is still one of the line's rows
+            live = j < n
+            dist += np.where(down & live, (d0 >> top ^ one).view(np.int64), 0)
+            last = np.clip(62 - (j - (m - tau)), 0, 63).astype(np.uint64)
+            dist += np.where(~down & live, (hp >> last & one).astype(np.int64) - (hn >> last & one).astype(np.int64), 0)
         x = d0 >> one
         vp, vn = hn | ~(x | hp), x & hp
-    return dist <= tau
+    out[own] = dist <= tau
+    return out
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -445,17 +508,18 @@ def places(docs: DataFrame) -> DataFrame:
     return map_batches(docs, run, "doc_id long, key long, line_no long, h long")
 
 
-def distinct_lines(batch: pa.RecordBatch, rule: Rule, wanted=None) -> dict[int, bytes]:
-    """A batch's lines by hash, without those that are compared for equality only."""
+def distinct_lines(batch: pa.RecordBatch, rule: Rule, wanted: Bitmap | None = None) -> dict[int, bytes]:
+    """A batch's lines by hash, without those that are compared for equality only or not wanted."""
     found: dict[int, bytes] = {}
     for t in raw(batch, "text"):
         for line in lines_of(t):
             # a character is a byte or more, a word two but for the last
             if len(line) >= min(rule.shortest, 2 * rule.words - 1) and not line.isspace():
-                h = line_hash(line)
-                if h not in found and (wanted is None or wanted(h)):
-                    found[h] = line
-    return found
+                found[line_hash(line)] = line
+    if wanted is None:
+        return found
+    hashes = np.fromiter(found, np.uint64, len(found))
+    return {h: found[h] for h in hashes[wanted.among(hashes)].tolist()}
 
 
 def pairs(docs: DataFrame, n_lines: int, rule: Rule) -> DataFrame:
@@ -488,8 +552,8 @@ def classes(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
     """(node, root) of every line that is not the smallest hash of its class."""
     met = pairs(docs, n_lines, rule)
     found, hot = met.where("slot is null").select("a", "b"), met.where("slot is not null").select("slot", F.col("b").alias("h"))
-    hashes = found.select(F.col("a").alias("h")).union(found.select("b")).union(hot.select("h"))
-    wanted = Bitmap(hashes, 2 * met.count())
+    hashes = cut(found.select(F.col("a").alias("h")).union(found.select("b")).union(hot.select("h")).distinct(), "line-hashes")
+    wanted = Bitmap(hashes, 4 * hashes.count())  # one in a hundred others passes
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -502,7 +566,7 @@ def classes(docs: DataFrame, n_lines: int, rule: Rule = RULE) -> DataFrame:
             linked = within(column(b, "line").to_pylist(), column(b, "line2").to_pylist(), rule)
             yield pa.RecordBatch.from_arrays([column(b, "a"), column(b, "b")], names=["a", "b"]).filter(pa.array(linked))
 
-    texts = map_batches(docs, fetch, "h long, line binary").join(hashes.distinct(), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    texts = map_batches(docs, fetch, "h long, line binary").join(hashes, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
     texts = cut(texts, "line-texts")
     both = found.join(texts.select(F.col("h").alias("a"), "line"), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line2")), "b")
     linked = map_batches(both.select("a", "b", "line", "line2"), verify, "a long, b long")
@@ -526,13 +590,19 @@ def dropped(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     docs = keyed(docs)
     occ = cut(places(docs), "line-places")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line_no")
-    firsts = cut(occ.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-firsts")
-    roots = classes(docs, firsts.count(), rule)
-    classed = firsts.join(roots, firsts.h == roots.node, "left").select("h", "first", "last", F.coalesce("root", "h").alias("root"))
-    least = classed.groupBy("root").agg(F.min("first").alias("kept"))
-    # a line of one place that is its class's first has nothing to drop
-    live = classed.join(least, "root").where("not (first <=> kept and last <=> kept)").select("h", "kept")
-    gone = occ.join(live, "h").where(~place.eqNullSafe(F.col("kept")))
+    at = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "key", "line_no")
+    lines = cut(occ.groupBy("h").agg((F.min(at) != F.max(at)).alias("several")), "line-tally")
+    roots = cut(classes(docs, lines.count(), rule), "line-roots")
+    tied = roots.select(F.col("node").alias("h"), "root").union(roots.select("root", "root").distinct())
+    # a line of one place that is like no other has nothing to drop
+    live = lines.where("several").select("h").join(tied, "h", "full").select("h", F.coalesce("root", "h").alias("root"))
+    met = cut(occ.join(live, "h").drop("h"), "line-live")
+    least = cut(met.groupBy("root").agg(F.min(place).alias("kept"), F.count("*").alias("n")), "line-least")
+    # the places of a large class stay where they are
+    large, small = (least.where(x).select("root", "kept") for x in (F.col("n") > MANY, F.col("n") <= MANY))
+    of_large = met.join(F.broadcast(large), "root")
+    of_small = met.join(F.broadcast(large), "root", "left_anti").join(small, "root")
+    gone = of_large.union(of_small).where(~place.eqNullSafe(F.col("kept")))
     drop = F.struct("line_no", F.col("kept.doc_id").alias("first_doc_id"), F.col("kept.line_no").alias("first_line_no"))
     return gone.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(drop)).alias("drops"))
 

@@ -277,3 +277,43 @@ def test_a_hot_group_is_cut_into_words_once(monkeypatch):
     a, b = L.spanning(lines, np.arange(12), np.arange(12), L.RULE)
     pairs = [(i, j) for i in range(12) for j in range(i) if L.within([lines[i]], [lines[j]], L.RULE)[0]]
     assert len(cuts) == 1 + 66 and (len(a) == 0) == (not pairs)
+
+
+@given(st.lists(st.integers(0, 3), min_size=20, max_size=80), st.integers(0, 7), st.integers(0, 9), st.integers(0, 1 << 20))
+@settings(max_examples=200, deadline=None)
+def test_band_on_long_runs(line, tau, edits, seed):
+    """Pairs that are given up on the way, and those whose ends are alike."""
+    a = "".join("abc "[i] for i in line)
+    b = edited(random.Random(seed), a, edits)
+    assert band([(a, b), (b, a), (a, a)], tau) == [slow_near(a, b, tau)] * 2 + [True]
+
+
+def test_common_ends_are_not_compared(monkeypatch):
+    seen, inner = [], L._band
+    monkeypatch.setattr(L, "_band", lambda sym, s1, m, *rest: seen.extend(m.tolist()) or inner(sym, s1, m, *rest))
+    words = [f"w{i}" for i in range(150)]
+    a = " ".join(words).encode()
+    b, c = (" ".join([*words[:70], *new, *words[80:]]).encode() for new in (["x", *words[71:79], "y"], [f"x{i}" for i in range(10)]))
+    assert L.within([a, a, a], [a, b, c], L.RULE).tolist() == [True, True, False]
+    assert sum(seen) <= 10  # the ten words that differ, or none
+
+
+def test_pairs_of_unlike_counts_are_not_compared(monkeypatch):
+    """256 classes tell lines apart that 64 don't."""
+    seen, inner = [], L.near
+    monkeypatch.setattr(L, "near", lambda sym, s1, *rest: seen.extend(s1.tolist()) or inner(sym, s1, *rest))
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(20)]
+    lines = [" ".join([*base[:-3], *(f"v{rng.randrange(10**6)}" for _ in range(3))]).encode() for _ in range(300)]
+    x = L.Compared(lines, L.RULE)
+    a, b = np.triu_indices(300, 1)
+    assert not x.linked(a, b).any()
+    assert 0 < x.likely(a, b).sum() and len(seen) < x.likely(a, b).sum() / 2
+
+
+def test_lines_of_large_classes(spark, monkeypatch):
+    monkeypatch.setattr(L, "MANY", 3)
+    rng = random.Random(8)
+    base = ["the long line that comes in many rows of the table, more or less", "a line of a small class that comes twice or so", "ok"]
+    docs = [(d if d % 5 else None, "\n".join([edited(rng, base[0], rng.choice([0, 0, 1])), base[1] if d % 9 == 0 else f"own line number {d} of this row", base[2]])) for d in range(30)]
+    check(L.report(spark.createDataFrame(docs + docs[:3], "doc_id long, text string")).collect(), docs + docs[:3])
