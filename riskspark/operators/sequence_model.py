@@ -16,8 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskspark import config
 from riskspark.functions.scalar import hash_unit
@@ -26,6 +28,8 @@ from riskspark.session import fresh_folder
 
 #: Rows of a block, reducers of a step's gradients, and bins of the validation's scores.
 BLOCK, REDUCERS, BINS = 1024, 16, 4096
+#: Rows that go through the network together (what they need fits a core's cache).
+TOGETHER = 256
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -57,59 +61,134 @@ class Lstm:
     def like(self, flat: np.ndarray) -> Lstm:
         return Lstm(flat[: self.gates.size].reshape(self.gates.shape), flat[self.gates.size :])
 
-    def forward(self, x: np.ndarray) -> tuple[np.ndarray, list]:
-        """P(1) of rows x (rows, steps, features), and what going back needs."""
+    def forward(self, x: np.ndarray, back: bool = True) -> tuple[np.ndarray, list]:
+        """P(1) of rows x (rows, steps, features), and what going back needs if it is asked for.  Rows lie side by side, those that begin
+        first in front, so that a step computes only rows that have begun.  One exponential gives all gates."""
         n, steps, _ = x.shape
         k = self.hidden
-        h, c, seen = np.zeros((n, k)), np.zeros((n, k)), []
+        live = (x != 0).any(2)  # a padding step leaves the state as it is
+        begin = np.where(live.any(1), live.argmax(1), steps)
+        order = begin.argsort(kind="stable")
+        begun = np.searchsorted(begin[order], np.arange(steps), "right")
+        x, live = x[order].transpose(1, 2, 0), live[order].T
+        scale = np.repeat([-1.0, -1.0, -2.0, -1.0], k)
+        gates = np.ascontiguousarray((self.gates * scale).T)
+        h, c, seen = np.zeros((k, n)), np.zeros((k, n)), []
         for t in range(steps):
-            z = np.concatenate([x[:, t], h, np.ones((n, 1))], 1)
-            a = z @ self.gates
-            i, f, g, o = sigmoid(a[:, :k]), sigmoid(a[:, k : 2 * k]), np.tanh(a[:, 2 * k : 3 * k]), sigmoid(a[:, 3 * k :])
-            live = (x[:, t] != 0).any(1)[:, None]  # a padding step leaves the state as it is
-            before, c = c, np.where(live, f * c + i * g, c)
-            squashed = np.tanh(c)
-            h = np.where(live, o * squashed, h)
-            seen.append((z, i, f, g, o, before, squashed, live))
-        last = np.concatenate([h, np.ones((n, 1))], 1)
-        return sigmoid(last @ self.out), [last, seen]
+            m = int(begun[t])
+            z = np.concatenate([x[t, :, :m], h[:, :m], np.ones((1, m))])
+            s = logistic(gates @ z)
+            i, f, g, o = s.reshape(4, k, m)
+            g *= 2
+            g -= 1
+            before, all_live = c[:, :m], live[t, :m].all()
+            now = f * before
+            now += i * g
+            if not all_live:
+                now = np.where(live[t, :m], now, before)
+            squashed = logistic(-2 * now)
+            squashed *= 2
+            squashed -= 1
+            out = o * squashed
+            if not all_live:
+                out = np.where(live[t, :m], out, h[:, :m])
+            if back:
+                seen.append((z, s, before, squashed, None if all_live else live[t, :m]))
+            h, c = (v if m == n else np.concatenate([v, np.zeros((k, n - m))], 1) for v in (out, now))
+        last = np.concatenate([h, np.ones((1, n))])
+        p = np.empty(n)
+        p[order] = sigmoid(self.out @ last)
+        return p, [order, last, seen]
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """P(1) of any number of rows."""
+        return np.concatenate([self.forward(x[i : i + TOGETHER], False)[0] for i in range(0, len(x), TOGETHER)] or [np.zeros(0)])
 
     def gradient(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:
         """Gradient and sum of the weighted log losses of the rows."""
-        p, (last, seen) = self.forward(x)
+        grad, loss = np.zeros(self.gates.size + len(self.out)), 0.0
+        for i in range(0, len(x), TOGETHER):
+            g, own = self._gradient(*(v[i : i + TOGETHER] for v in (x, y, w)))
+            grad += g
+            loss += own
+        return grad, loss
+
+    def _gradient(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:
+        p, (order, last, seen) = self.forward(x)
         loss = -(w * (y * np.log(np.maximum(p, 1e-12)) + (1 - y) * np.log(np.maximum(1 - p, 1e-12)))).sum()
-        k, slope = self.hidden, w * (p - y)
-        d_out, d_gates = last.T @ slope, np.zeros_like(self.gates)
-        dh, dc = slope[:, None] * self.out[:-1], np.zeros((len(x), k))
-        for z, i, f, g, o, before, squashed, live in reversed(seen):
-            own = dc + dh * o * (1 - squashed**2)
-            da = live * np.concatenate([own * g * i * (1 - i), own * before * f * (1 - f), own * i * (1 - g**2), dh * squashed * o * (1 - o)], 1)
-            d_gates += z.T @ da
-            dh = np.where(live, (da @ self.gates.T)[:, -k - 1 : -1], dh)
-            dc = np.where(live, own * f, dc)
+        k, slope = self.hidden, (w * (p - y))[order]
+        d_out, d_gates = last @ slope, np.zeros_like(self.gates)
+        dh, dc, back = self.out[:-1, None] * slope, np.zeros((k, len(x))), np.ascontiguousarray(self.gates[-k - 1 : -1])
+        for z, s, before, squashed, live in reversed(seen):
+            m = z.shape[1]
+            i, f, g, o = s.reshape(4, k, m)
+            da = np.empty((4, k, m))
+            of_out = dh[:, :m] * o
+            np.multiply(of_out * squashed, 1 - o, out=da[3])
+            own = 1 - squashed**2
+            own *= of_out
+            own += dc[:, :m]
+            kept = own * f
+            np.multiply(kept * before, 1 - f, out=da[1])
+            of_in = own * i
+            np.multiply(of_in, 1 - g**2, out=da[2])
+            of_in *= g
+            np.multiply(of_in, 1 - i, out=da[0])
+            if live is not None:
+                da *= live
+                kept = np.where(live, kept, dc[:, :m])
+            da = da.reshape(4 * k, m)
+            d_gates += z @ da.T
+            before_h = back @ da
+            dh[:, :m] = before_h if live is None else np.where(live, before_h, dh[:, :m])
+            dc[:, :m] = kept
         return np.r_[d_gates.ravel(), d_out], float(loss)
 
 
+def logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in the place of x."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def arrays(seq: pa.Array) -> np.ndarray:
+    """Arrow's lists of steps as (rows, steps, features)."""
+    steps = seq.flatten()
+    values = steps.flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(len(seq), len(steps) // max(len(seq), 1), len(values) // max(len(steps), 1))
+
+
 def packed(rows: DataFrame, steps: int, seed: int) -> DataFrame:
     """A written table ``(n, data, batch)`` of blocks; batch -1 is the validation share."""
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
-        def block(batch: int, own: list) -> pd.DataFrame:
-            x, y, w = zip(*own)
-            data = pickle.dumps((np.array(x, np.float32), np.array(y, np.float32), np.array(w, np.float32)))
-            return pd.DataFrame({"n": [len(own)], "data": [data], "batch": [batch]})
+        def block(batch: int, own: list) -> pa.RecordBatch:
+            x, y, w = (np.concatenate(v) for v in zip(*own))
+            return pa.RecordBatch.from_pydict({"n": pa.array([len(x)], pa.int32()), "data": pa.array([pickle.dumps((x, y, w))], pa.binary()),
+                                               "batch": pa.array([batch], pa.int32())})
 
         for part in batches:
-            for batch, seq, y, w in zip(part["batch"], part["seq"], part["label"], part["weight"]):
-                own = held.setdefault(int(batch), [])
-                own.append((np.stack(seq), y, w))
-                if len(own) == BLOCK:
-                    yield block(int(batch), held.pop(int(batch)))
+            if not part.num_rows:
+                continue
+            of = part["batch"].to_numpy()
+            columns = [arrays(part["seq"]), *(part[c].to_numpy(zero_copy_only=False) for c in ("label", "weight"))]
+            for batch in np.unique(of):
+                rows, own = np.flatnonzero(of == batch), held.setdefault(int(batch), [])
+                while len(rows):
+                    now = rows[: BLOCK - sum(len(v[0]) for v in own)]
+                    own.append(tuple(c[now].astype(np.float32) for c in columns))
+                    rows = rows[len(now) :]
+                    if sum(len(v[0]) for v in own) == BLOCK:
+                        yield block(int(batch), own)
+                        own = held[int(batch)] = []
         for batch, own in held.items():
-            yield block(batch, own)
+            if own:
+                yield block(batch, own)
 
-    blocks = rows.select("batch", "seq", "label", "weight").mapInPandas(pack, "n int, data binary, batch int")
+    blocks = rows.select("batch", "seq", "label", "weight").mapInArrow(pack, "n int, data binary, batch int")
     path = fresh_folder(rows.sparkSession, "blocks")  # a folder for each batch: a step reads its own rows only
     blocks.write.partitionBy("batch").parquet(path)
     return rows.sparkSession.read.schema(blocks.schema).parquet(path)
@@ -183,7 +262,7 @@ def fit_sequence_lstm(train: DataFrame, *, hidden: int = 32, steps: int = 8, epo
 
 
 def score_bins(model: Lstm, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    at = np.minimum((model.forward(x)[0] * BINS).astype(np.int64), BINS - 1)
+    at = np.minimum((model.scores(x) * BINS).astype(np.int64), BINS - 1)
     return np.bincount(at + BINS * (y > 0.5), minlength=2 * BINS).astype(float)
 
 
@@ -192,9 +271,11 @@ def score_sequence_lstm(model: Lstm, df: DataFrame, keep=("TransactionID", "uid"
     cols = [c for c in keep if c in df.columns]
     flat, shape = model.flat(), model
 
-    @F.pandas_udf("double")
-    def score(seq: pd.Series) -> pd.Series:
-        x = np.stack([np.stack(s) for s in seq]).astype(np.float64) if len(seq) else np.zeros((0, 1, 1))
-        return pd.Series(shape.like(flat).forward(x)[0] if len(seq) else [], dtype=float)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shape.like(flat)
+        for rows in batches:
+            p = own.scores(arrays(rows["seq"]).astype(np.float64)) if rows.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*(rows[c] for c in cols), pa.array(p)], [*cols, "score"])
 
-    return df.select(*cols, score("seq").alias("score"))
+    schema = StructType([*df.select(*cols).schema.fields, StructField("score", DoubleType())])
+    return df.select(*cols, "seq").mapInArrow(score, schema)

@@ -28,6 +28,33 @@ def test_padding_in_front_changes_nothing():
     assert np.allclose(model.forward(x)[0], model.forward(padded)[0])
 
 
+def test_a_step_computes_only_rows_that_have_begun(monkeypatch):
+    """Padding in front costs nothing, and a row's score and gradient are its own whatever rows come with it."""
+    rng, seen, plain = np.random.default_rng(3), [], SM.logistic
+    model = SM.Lstm.fresh(3, 4, 1)
+    x, y, w = rng.normal(size=(40, 6, 3)), rng.integers(0, 2, 40).astype(float), rng.uniform(1, 3, 40)
+    for i in range(40):
+        x[i, : i % 7] = 0  # up to padding alone
+    x[5, 5] = x[6, 2] = 0  # a step of zeros after the first
+    monkeypatch.setattr(SM, "TOGETHER", 16)
+    monkeypatch.setattr(SM, "logistic", lambda v: seen.append(v.shape[1]) or plain(v))
+    grad, loss = model.gradient(x, y, w)
+    assert sum(seen) == 2 * sum(6 - int((r != 0).any(1).argmax()) for r in x if r.any())
+    single = [model.gradient(x[i : i + 1], y[i : i + 1], w[i : i + 1]) for i in range(40)]
+    assert np.allclose(grad, sum(g for g, _ in single), atol=1e-12) and loss == pytest.approx(sum(v for _, v in single))
+    assert np.allclose(model.scores(x), [model.forward(x[i : i + 1])[0][0] for i in range(40)], atol=1e-14)
+
+
+def test_blocks_hold_all_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(SM, "BLOCK", 7)
+    df = sequences(spark, 100).selectExpr("cast(TransactionID % 4 as int) - 1 batch", "seq", "cast(TransactionID as double) label", "1.0D weight")
+    blocks = [(r.batch, r.n, SM.pickle.loads(r.data)) for r in SM.packed(df.repartition(3), 3, 1).collect()]
+    want = {r.label: r.seq for r in df.collect()}
+    assert sorted(v for _, _, (_, y, _) in blocks for v in y) == sorted(want) and max(n for _, n, _ in blocks) == 7
+    for batch, n, (x, y, _) in blocks:
+        assert len(x) == n and all(int(v) % 4 - 1 == batch and np.array_equal(r, np.float32(want[v])) for r, v in zip(x, y))
+
+
 def test_binned_auc():
     rng = np.random.default_rng(2)
     y, p = rng.integers(0, 2, 500), rng.integers(0, 40, 500) / 40
