@@ -81,3 +81,35 @@ def test_saved_forest_adds_up_to_its_score(spark):
     phi = np.abs([r.phi for r in got.values()]).mean(0).reshape(4, 2).sum(0)
     assert mean.keys() == {"a", "b"} and abs(mean["a"] - phi[0]) < 1e-9 and abs(mean["b"] - phi[1]) < 1e-9
     assert AT.tree_attribution(path, df.limit(0)).collect() == []
+
+
+def test_leaves_of_value_0_are_passed_over(monkeypatch):
+    """They add nothing, and neither sums nor splits above them alone are computed."""
+    rng, calls, plain = np.random.default_rng(7), [], AT.leaf_terms
+    t = grown(rng, 6, 4)
+    leaves = np.flatnonzero(t[0] < 0)
+    t[4][leaves[rng.random(len(leaves)) < 0.7]] = 0.0
+    kept = int((t[4][leaves] != 0).sum())
+    tree = AT.Tree(t[0].astype(int), t[1], t[2].astype(int), t[3].astype(int), t[4], t[5])
+    monkeypatch.setattr(AT, "leaf_terms", lambda met, z: calls.append(met.shape) or plain(met, z))
+    x = rng.normal(size=(3000, 4))
+    monkeypatch.setattr(AT, "ROWS", 700)
+    phi, score = AT.shapley([tree], x)
+    assert 0 < len(calls) <= kept and all(masks <= 1 << features for features, masks in calls)
+    assert np.allclose(phi[:9], [enumerated([t], r) for r in x[:9]]) and np.allclose(phi.sum(1) + tree.base, score)
+    empty = AT.Tree(t[0].astype(int), t[1], t[2].astype(int), t[3].astype(int), t[4] * 0, t[5])
+    assert not AT.shapley([empty], x)[0].any()
+
+
+def test_many_splits_need_wide_masks():
+    rng = np.random.default_rng(8)
+    n = 18  # a chain of splits on 18 features: more than 16 bits
+    feature = np.array([*range(n), *[-1] * (n + 1)])
+    left = np.array([*range(n, 2 * n), *[-1] * (n + 1)])
+    right = np.array([*range(1, n), 2 * n, *[-1] * (n + 1)])
+    cover = np.array([float(n + 1 - i) for i in range(n)] + [1.0] * (n + 1))
+    tree = AT.Tree(feature, np.zeros(2 * n + 1), left, right, rng.random(2 * n + 1), cover)
+    x = rng.normal(size=(400, n)) - 1
+    phi, score = AT.shapley([tree], x)
+    few = AT.shapley([tree], x[:3])
+    assert np.allclose(phi.sum(1) + tree.base, score) and np.allclose(phi[:3], few[0])
